@@ -111,6 +111,12 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if scan_bytes < cores * split_bytes else rows
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(place) and files.getFileStatus(place).isDirectory()
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder through the file system it belongs to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

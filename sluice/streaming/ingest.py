@@ -7,7 +7,6 @@ named by the batch, overwritten if a batch is run again, so a repeated batch add
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +14,7 @@ from sluice.functions.order import by_position
 from sluice.operators.cut import find_boundaries, keep
 from sluice.operators.stage import Stage
 from sluice.operators.stats import source_totals
+from sluice.sources.tables import is_folder, table
 
 PROGRESS_SCHEMA = "source string, samples long, tokens long, batch_id long"
 
@@ -111,10 +111,9 @@ def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFra
 
 def read_progress(spark: SparkSession, progress: str) -> DataFrame:
     """(source, samples, tokens, batch_id); empty before the first batch."""
-    try:
-        return spark.read.schema(PROGRESS_SCHEMA).parquet(progress)
-    except AnalysisException:
-        return spark.createDataFrame([], PROGRESS_SCHEMA)
+    if not is_folder(spark, progress):
+        return table(spark, [], PROGRESS_SCHEMA)
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(progress)
 
 
 def progress_totals(spark: SparkSession, progress: str, before_batch: int) -> dict[str, int]:
