@@ -21,17 +21,18 @@ from sluice.functions import text as tx
 from sluice.functions.bpe import Vocabulary, decoded, positions_of, token_count, token_ids
 from sluice.functions.order import by_position, shuffled
 from sluice.operators import mixture, sinks, split, stats
-from sluice.operators.budget import BudgetSource, coupled_budgets, position_span, take_budgets
+from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
 from sluice.operators.cut import find_boundaries, keep, share_of_total
 from sluice.operators.stage import Stage
 from sluice.plans.instruct import MAX_TOKENS, VAL_RATIO, capped_instruct_corpus, instruct_corpus
-from sluice.plans.pretrain import BUDGET_RATIOS, pretrain_by_samples, pretrain_by_tokens
+from sluice.plans.pretrain import BUDGET_SOURCES, pretrain_by_samples, pretrain_by_tokens
 from sluice.sources.tables import (
     Source, conform, is_folder, open_source, optional, read_shards, read_string_fields, spread, tagged_text,
 )
 from sluice.streaming import ingest as streams
 
 SEED = 42
+BUDGET_RATIOS = {source.name: source.ratio for source in BUDGET_SOURCES}
 SHARD = 100
 PAIR = ("conv_id", "turn")
 DAY = date(2024, 5, 6)
@@ -278,9 +279,8 @@ def token_budget_coupled(spark, sf_dir):
     }
     total = half_of(rows["fineweb_edu"].unionByName(rows["open_web_math"]))
     targets = mixture.source_targets(total, BUDGET_RATIOS)
-    ordered = [BudgetSource(name, rows[name], targets[name]) for name in BUDGET_RATIOS]
-    spans = {name: position_span(r, "doc_id") for name, r in inputs.items()}
-    cuts = coupled_budgets(ordered, total, "doc_id", "token_count", staged(spark), spans)
+    ordered = [BudgetSource(name, inputs[name], rows[name], targets[name]) for name in BUDGET_RATIOS]
+    cuts = coupled_budgets(ordered, total, "doc_id", "token_count", staged(spark))
     return take_budgets(ordered, cuts, ["doc_id", "source", "token_count"]).withColumn(
         "source_order", F.col("source_order").cast("long")
     )
@@ -411,7 +411,7 @@ def _instruct(spark, sf_dir, vocabulary):
 def run_metadata(spark, sf_dir):
     corpus, path = _instruct(spark, sf_dir, Vocabulary.bytes_only()), staged(spark).path
     corpus.save(path)
-    return sinks.read_metadata(spark, corpus.metadata_schema(), path).drop("created", "format_version")
+    return sinks.read_metadata(spark, corpus.metadata_schema(), path).drop("created", "location", "format_version")
 
 
 def written_totals(spark, sf_dir):

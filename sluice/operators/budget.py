@@ -33,9 +33,10 @@ class BudgetCut:
 
 @dataclass(frozen=True)
 class BudgetSource:
-    """A source of a mixture in budget order: its accepted rows, and its target in tokens."""
+    """A source of a mixture in budget order: its scan, the rows accepted from it, its target in tokens."""
 
     name: str
+    scan: DataFrame
     rows: DataFrame
     target: int
 
@@ -88,7 +89,6 @@ def coupled_budgets(
     position: str,
     weight: str,
     stage: Stage,
-    spans: Mapping[str, tuple[int, int] | None],
     **search,
 ) -> dict[str, BudgetCut]:
     """The cut of each source, in order, under its own target and the total.
@@ -102,7 +102,7 @@ def coupled_budgets(
     for index, source in enumerate(sources):
         if index and spent >= total:
             break
-        span = spans[source.name]
+        span = position_span(source.scan, position)
         if span is None:
             continue
         target = max(1, min(source.target, total - spent))

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from sluice.operators.stage import Stage
 
@@ -15,8 +15,8 @@ def ranked(
     """``rows`` with a column ``name``: their 0-based place in the order of ``keys``; and the number of rows.
 
     The keys are unique, so Spark's range partitioning balances whatever their spread. Each sorted
-    partition numbers its own rows and is staged; the sizes of the partitions, one number per partition,
-    give the offsets.
+    partition numbers its own rows and is staged; the sizes of the partitions, one number for each of at
+    most ``spark.sql.shuffle.partitions``, give the offsets.
     """
     # monotonically_increasing_id holds the partition in its upper bits and the row's index below them.
     numbered = (
@@ -24,7 +24,8 @@ def ranked(
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    staged = stage.write(numbered, name)
+    seen = Observation()
+    staged = stage.write(numbered, name, seen, [F.count("*").alias("rows")])
     part = F.shiftright("_place", INDEX_BITS)
     sizes = staged.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -36,4 +37,4 @@ def ranked(
         .withColumn(name, F.col("_offset") + index)
         .drop("_part", "_place", "_offset")
     )
-    return placed, staged.count()
+    return placed, seen.get["rows"]

@@ -6,8 +6,9 @@ the loss of executors. Each ``Stage`` owns one folder of its own and removes it
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
 
 from sluice.sources.tables import delete_path
 
@@ -34,14 +35,22 @@ class Stage:
         self.path = f"{root or checkpoint_root(spark)}/stage-{uuid.uuid4().hex}"
 
     def write(
-        self, rows: DataFrame, name: str, observe: Observation | None = None, measures=(), partition_by=()
+        self,
+        rows: DataFrame,
+        name: str,
+        observe: Observation | None = None,
+        measures: Sequence[Column] = (),
+        file_rows: int = 0,
     ) -> DataFrame:
-        """Write ``rows`` and read them back; ``measures`` are collected by the same pass."""
+        """Write ``rows`` and read them back; ``measures`` are collected by the same pass.
+
+        ``file_rows`` bounds the rows of a file; 0 leaves it to the tasks.
+        """
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
         if observe is not None:
             rows = rows.observe(observe, *measures)
         path = f"{self.path}/{name}"
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        rows.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def read(self, schema: T.StructType, *names: str) -> DataFrame:

@@ -3,22 +3,33 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def token_stats(rows: DataFrame, tokens: str = "tokencount") -> DataFrame:
-    """One row: rows, total, mean (0 for no rows), smallest and largest token count."""
-    return rows.agg(
-        F.count("*").alias("samples"),
+def token_measures(tokens: Column) -> list[Column]:
+    """Number, total, mean (0 for none), smallest and largest of the token counts that are not null."""
+    return [
+        F.count(tokens).alias("samples"),
         F.coalesce(F.sum(tokens), F.lit(0)).alias("total_tokens"),
         F.coalesce(F.avg(tokens), F.lit(0.0)).alias("mean_tokens"),
         F.min(tokens).alias("min_tokens"),
         F.max(tokens).alias("max_tokens"),
-    )
+    ]
+
+
+def retention_measures(kept: Column) -> list[Column]:
+    """Rows before and after a filter, and the percentage kept."""
+    before, after = F.count("*"), F.count_if(kept)
+    return [
+        before.alias("original_rows"),
+        after.alias("filtered_rows"),
+        F.when(before > 0, after / before * 100).otherwise(0.0).alias("retained_percent"),
+    ]
+
+
+def token_stats(rows: DataFrame, tokens: str = "tokencount") -> DataFrame:
+    return rows.agg(*token_measures(F.col(tokens)))
 
 
 def retention(rows: DataFrame, kept: Column) -> DataFrame:
-    """One row: rows before and after a filter, and the percentage kept, in one pass."""
-    counted = rows.agg(F.count("*").alias("original_rows"), F.count_if(kept).alias("filtered_rows"))
-    share = F.col("filtered_rows") / F.col("original_rows") * 100
-    return counted.withColumn("retained_percent", F.when(F.col("original_rows") > 0, share).otherwise(0.0))
+    return rows.agg(*retention_measures(kept))
 
 
 def source_totals(rows: DataFrame, tokens: Column | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """What every plan returns: rows with a split, and how to save them with their figures."""
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -19,12 +19,11 @@ class Corpus:
     figure_types: str
     vocabulary: Vocabulary | None = None
     tokens: str | None = None
-    extra_measures: dict = field(default_factory=dict)
 
     def metadata_schema(self) -> str:
         counts = ", ".join(f"{n}_samples long" for n in self.names)
         tokens = ", total_tokens long, mean_tokens_per_sample double" if self.tokens else ""
-        return f"{self.figure_types}, {counts}, total_samples long{tokens}, created string"
+        return f"{self.figure_types}, {counts}, total_samples long{tokens}, location string, created string"
 
     def save(self, path: str) -> dict:
         """Write splits, metadata and markers; the figures come from the writing pass, not a second one."""
@@ -42,6 +41,7 @@ class Corpus:
         if self.tokens:
             record["total_tokens"] = seen["total_tokens"]
             record["mean_tokens_per_sample"] = seen["total_tokens"] / rows if rows else 0.0
+        record["location"] = path
         record["created"] = datetime.now(timezone.utc).isoformat()
         sinks.write_metadata(spark, record, self.metadata_schema(), path)
         if self.vocabulary:

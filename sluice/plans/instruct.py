@@ -1,6 +1,6 @@
 """Chat-formatted instruct corpora with exact token counts."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from sluice.functions.bpe import Vocabulary, token_count
 from sluice.functions.order import shuffled
@@ -9,7 +9,7 @@ from sluice.operators.cut import find_boundaries, inside
 from sluice.operators.sinks import thousands_name
 from sluice.operators.split import SPLIT_SEED_OFFSET, permutation_boundary, permuted_split, split_column
 from sluice.operators.stage import Stage
-from sluice.operators.stats import require_rows, retention, token_stats
+from sluice.operators.stats import require_rows, retention_measures, token_measures
 from sluice.plans.corpus import Corpus
 
 # Sequence cap, validation share, seed and target rows.
@@ -67,7 +67,8 @@ def capped_instruct_corpus(
     """Instructions whose formatted text has fewer than ``max_tokens`` tokens, in permuted order.
 
     All input columns stay. The turns are joined by a backslash and the letter n, not by a line break.
-    The counted rows are staged, as the size of the split depends on how many pass the cap.
+    The counted rows are staged, as the size of the split depends on how many pass the cap; the same pass
+    observes the statistics.
     """
     formatted = chat(
         strip(or_empty(F.col("instruction"))), strip(or_empty(F.col("response"))), separator
@@ -75,17 +76,16 @@ def capped_instruct_corpus(
     counted = instructions.withColumn("formattedconversation", formatted).withColumn(
         "tokencount", token_count(F.col("formattedconversation"), vocabulary)
     )
-    counted = stage.write(counted, "counted")
-    under = F.col("tokencount") < max_tokens
-    before = retention(counted, under).first()
-    require_rows(before["filtered_rows"], "rows remaining after filtering")
-    kept = counted.where(under)
-    stats = token_stats(kept).first()
-    rows = permuted_split(kept, *ids, val_ratio=val_ratio, seed=seed, stage=stage)
+    under, seen = F.col("tokencount") < max_tokens, Observation()
+    measures = retention_measures(under) + token_measures(F.when(under, F.col("tokencount")))
+    counted = stage.write(counted, "counted", seen, measures)
+    stats = seen.get
+    require_rows(stats["filtered_rows"], "rows remaining after filtering")
+    rows = permuted_split(counted.where(under), *ids, val_ratio=val_ratio, seed=seed, stage=stage)
     figures = {
-        "original_rows": before["original_rows"],
-        "filtered_rows": before["filtered_rows"],
-        "retained_percent": before["retained_percent"],
+        "original_rows": stats["original_rows"],
+        "filtered_rows": stats["filtered_rows"],
+        "retained_percent": stats["retained_percent"],
         "min_tokens": stats["min_tokens"],
         "max_tokens": stats["max_tokens"],
         "max_seq_len_filter": max_tokens,

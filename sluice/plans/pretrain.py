@@ -1,26 +1,37 @@
 """Pretraining mixtures, bounded by planned samples or by tokens."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.functions.order import shuffled
-from sluice.functions.text import estimated_tokens, language_is, long_enough, non_blank, strip
+from sluice.functions.text import estimated_tokens, long_enough, non_blank, strip
 from sluice.operators import mixture
-from sluice.operators.budget import BudgetSource, coupled_budgets, position_span, take_budgets
+from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
 from sluice.operators.cut import find_boundaries, inside
 from sluice.operators.sinks import budget_name
 from sluice.operators.split import SPLIT_SEED_OFFSET, permutation_boundary, split_column, take_skip_boundary
 from sluice.operators.stage import Stage
 from sluice.operators.stats import require_rows
 from sluice.plans.corpus import Corpus
-from sluice.sources.tables import Source, optional, tagged_text
+from sluice.sources.tables import Source, tagged_text
 
 # The source labels and shares of the mixtures, validation share, seed and token budget.
 PRIMARY, SECONDARY = "fineweb-edu", "open-web-math"
 SECONDARY_SHARE = 0.01
-BUDGET_RATIOS = {"fineweb_edu": 0.99, "open_web_math": 0.01}
+BUDGET_SOURCES = (
+    Source(
+        "fineweb_edu",
+        path="smollm-corpus",
+        subset="fineweb-edu-dedup",
+        split="train",
+        predicate="language IS NULL OR language = 'en'",
+        optional={"language": "string"},
+        ratio=0.99,
+    ),
+    Source("open_web_math", path="open-web-math", split="train", ratio=0.01),
+)
 VAL_RATIO = 0.02
 SEED = 42
 TARGET_TOKENS = 3_000_000_000
@@ -89,31 +100,31 @@ def pretrain_by_samples(
     return Corpus(mixed.withColumn("split", split_column(train_end, *names)), names, figures, types)
 
 
+def accepted_text(rows: DataFrame, source: Source, position: str) -> DataFrame:
+    """(position, text, source, token_count) of the rows that pass the source's predicate and are long enough."""
+    long_texts = tagged_text(rows, source, position).where(long_enough(F.col("text")))
+    return long_texts.withColumn("token_count", estimated_tokens(F.col("text")))
+
+
 def pretrain_by_tokens(
-    sources: Mapping[str, DataFrame],
+    inputs: Mapping[str, DataFrame],
     position: str,
     stage: Stage,
     total_tokens: int = TARGET_TOKENS,
-    ratios: Mapping[str, float] = BUDGET_RATIOS,
+    sources: Sequence[Source] = BUDGET_SOURCES,
     seed: int = SEED,
     val_ratio: float = VAL_RATIO,
-    english_only: frozenset[str] = frozenset({"fineweb_edu"}),
 ) -> Corpus:
-    """Sources in the order of ``ratios``, each read in position order up to its token budget, then split.
+    """Sources in their order, each read by position up to its token budget, then split.
 
-    ``sources`` have the position, ``text`` and perhaps ``language``. Reading stops where a budget is met.
+    ``inputs`` has the rows of each source by its name. Reading stops where a budget is met.
     """
-    targets = mixture.source_targets(total_tokens, dict(ratios))
-    mixed = []
-    for name in ratios:
-        rows = sources[name]
-        if name in english_only:
-            rows = rows.where(language_is(optional(rows, "language")))
-        accepted = tagged_text(rows, Source(name, ""), position).where(long_enough(F.col("text")))
-        accepted = accepted.withColumn("token_count", estimated_tokens(F.col("text")))
-        mixed.append(BudgetSource(name, accepted, targets[name]))
-    spans = {name: position_span(sources[name], position) for name in ratios}
-    cuts = coupled_budgets(mixed, total_tokens, position, "token_count", stage, spans)
+    targets = mixture.source_targets(total_tokens, {s.name: s.ratio for s in sources})
+    mixed = [
+        BudgetSource(s.name, inputs[s.name], accepted_text(inputs[s.name], s, position), targets[s.name])
+        for s in sources
+    ]
+    cuts = coupled_budgets(mixed, total_tokens, position, "token_count", stage)
     ends = {name: cut.boundary for name, cut in cuts.items()}
     require_rows(sum(end.rows for end in ends.values()))
     kept_ids = _concatenated(

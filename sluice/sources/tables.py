@@ -1,5 +1,6 @@
 """Opening sources as DataFrames with explicit schemas."""
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
@@ -57,6 +58,16 @@ def open_source(
         return table(spark, [], schema)
 
 
+def open_sources(
+    spark: SparkSession,
+    sources: Iterable[Source],
+    schema: T.StructType | str | None = None,
+    on_missing: str = "error",
+) -> dict[str, DataFrame]:
+    """The rows of each source of a mixture, by name."""
+    return {source.name: open_source(spark, source, schema, on_missing) for source in sources}
+
+
 def optional(rows: DataFrame, column: str, type_name: str = "string") -> Column:
     """The column if the rows have it with this type, otherwise a typed null."""
     types = dict(rows.dtypes)

@@ -91,16 +91,16 @@ def ingest_budgeted(
         }
         open_sources = [source for source, tokens_left in left.items() if tokens_left > 0]
         with Stage(spark) as stage:
-            wanted = stage.write(batch.where(F.col("source").isin(open_sources)), "batch")
-            ends = find_boundaries(wanted, by_position(position), left, weight=tokens, group="source")
+            wanted = batch.where(F.col("source").isin(open_sources))
+            weights = stage.write(wanted.select("source", position, tokens), "weights")
+            ends = find_boundaries(weights, by_position(position), left, weight=tokens, group="source")
             keep(wanted, ends, "source").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         taken = [(source, end.rows, end.weight) for source, end in ends.items()]
         spark.createDataFrame(taken, "source string, samples long, tokens long").coalesce(1).write.mode(
             "overwrite"
         ).parquet(f"{progress}/batch_id={batch_id}")
 
-    query = _run(rows, store, checkpoint)
-    return query
+    return _run(rows, store, checkpoint)
 
 
 def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
