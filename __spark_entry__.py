@@ -255,7 +255,9 @@ def first_n_seeded(spark, sf_dir):
     drawn = []
     for offset, condition in enumerate(("source <> 'src0'", "source = 'src0'")):
         ids = staged(spark).write(usable.where(condition).select("doc_id"), "ids")
-        ends = find_boundaries(ids, shuffled(SEED + offset, "doc_id"), share_of_total(0.3))
+        ends = find_boundaries(
+            ids.rows, shuffled(SEED + offset, "doc_id"), share_of_total(0.3), rows_known=ids.count
+        )
         drawn.append(keep(usable.where(condition), ends).select("doc_id", "source"))
     return drawn[0].unionByName(drawn[1])
 
@@ -264,7 +266,8 @@ def token_budget_per_source(spark, sf_dir):
     rows = documents(spark, sf_dir).withColumn("token_count", tx.estimated_tokens(F.col("text")))
     weights = staged(spark).write(rows.select("doc_id", "source", "token_count"), "weights")
     ends = find_boundaries(
-        weights, by_position("doc_id"), share_of_total(0.5), weight="token_count", group="source"
+        weights.rows, by_position("doc_id"), share_of_total(0.5), weight="token_count", group="source",
+        rows_known=weights.count,
     )
     return keep(rows, ends, "source").select("doc_id", "text", "source", "token_count")
 
@@ -398,14 +401,14 @@ def split_roundtrip(spark, sf_dir):
 
 
 def chunk_roundtrip(spark, sf_dir):
-    chunks = staged(spark).write(estimated(spark, sf_dir), "chunks")
+    chunks = staged(spark).write(estimated(spark, sf_dir), "chunks", file_rows=25_000).rows
     return chunks.groupBy("source").agg(F.count("*").alias("samples"), F.sum("token_count").alias("tokens"))
 
 
 def _instruct(spark, sf_dir, vocabulary):
     stage = staged(spark)
-    rows = stage.write(pairs(spark, sf_dir), "pairs")
-    return instruct_corpus(spread(rows), PAIR, vocabulary, stage, target_rows=rows.count() * 3 // 4)
+    source = stage.write(pairs(spark, sf_dir), "pairs")
+    return instruct_corpus(spread(source.rows), PAIR, vocabulary, stage, target_rows=source.count * 3 // 4)
 
 
 def run_metadata(spark, sf_dir):

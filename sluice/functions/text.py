@@ -58,8 +58,8 @@ def non_empty(*texts: Column) -> Column:
 
 
 def non_blank(text: Column) -> Column:
-    """Something is left of the text after stripping."""
-    return strip(text) != ""
+    """Something is left of the text after stripping; trimming one end tells, and ends at the first letter."""
+    return F.ltrim(text, F.lit(WHITESPACE)) != ""
 
 
 def long_enough(text: Column, characters: int = MIN_CHARACTERS) -> Column:

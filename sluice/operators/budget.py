@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from sluice.functions.order import by_position
 from sluice.operators.cut import Boundary, find_boundaries
@@ -56,31 +56,30 @@ def stage_prefix(
     name: str,
     span: tuple[int, int],
     probe: int | None = None,
-) -> tuple[DataFrame, tuple[int, int]]:
+) -> tuple[DataFrame, int, tuple[int, int]]:
     """(position, weight) of a prefix of the rows that holds at least ``target``, or of all rows.
 
-    Returns the staged pairs and the range of positions read.
+    Returns the staged pairs, their number and the range of positions read.
     """
     low, high = span
     schema = T.StructType([T.StructField(position, T.LongType()), T.StructField(weight, T.LongType())])
     pairs = rows.select(F.col(position).cast("long"), F.col(weight).cast("long"))
     width = probe or max(PROBE_POSITIONS, (high - low) // PROBE_FRACTION)
-    start, reached, parts = low, 0, []
+    start, reached, count, parts = low, 0, 0, []
     while start <= high and (reached < target or not parts):
         end = min(high, start + width - 1)
-        seen = Observation()
         parts.append(f"{name}/{len(parts)}")
-        stage.write(
+        part = stage.write(
             pairs.where(F.col(position).between(start, end)),
             parts[-1],
-            seen,
             [F.coalesce(F.sum(weight), F.lit(0)).alias("weight")],
         )
-        reached += seen.get["weight"]
+        count += part.count
+        reached += part.figures["weight"]
         start = end + 1
         missing = (target - reached) * (start - low)
         width = max(width, int(HEADROOM * missing / reached) + 1 if reached else 4 * width)
-    return stage.read(schema, *parts), (low, start - 1)
+    return stage.read(schema, *parts), count, (low, start - 1)
 
 
 def coupled_budgets(
@@ -106,10 +105,12 @@ def coupled_budgets(
         if span is None:
             continue
         target = max(1, min(source.target, total - spent))
-        pairs, span = stage_prefix(
+        pairs, count, span = stage_prefix(
             source.rows, position, weight, target, stage, f"weights/{source.name}", span
         )
-        boundary = find_boundaries(pairs, order, target, weight=weight, span=span, **search).get("")
+        boundary = find_boundaries(
+            pairs, order, target, weight=weight, span=span, rows_known=count, **search
+        ).get("")
         if boundary is not None:
             found[source.name] = BudgetCut(boundary, pairs)
             spent += boundary.weight

@@ -11,7 +11,7 @@ plain filter: no row with its text is shuffled, joined or sorted.
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from sluice.functions.order import HASH_BITS, Order
 
@@ -80,6 +80,7 @@ def find_boundaries(
     weight: str | None = None,
     group: str | None = None,
     span: tuple[int, int] | None = None,
+    rows_known: int | None = None,
     bucket_bits: int = BUCKET_BITS,
     window_rows: int = WINDOW_ROWS,
 ) -> dict[str, Boundary]:
@@ -89,7 +90,8 @@ def find_boundaries(
     if None. ``limit`` is one number, a number per group, or an expression of the group's total weight.
     ``group`` names a column with few values (the sources of a mixture): one boundary per value returns to
     the driver. Without it the only key of the result is "". Stage an expensive weight first: the rows
-    are read twice or three times, on the narrow columns of this search only.
+    are read twice or three times, on the narrow columns of this search only. ``span`` and ``rows_known``
+    (first and last position, number of rows) save a job each: few rows are ordered without a search.
     """
     narrow = rows.select(
         (F.col(group).cast("string") if group else F.lit("")).alias("grp"),
@@ -97,6 +99,8 @@ def find_boundaries(
         (F.col(weight).cast("long") if weight else F.lit(1).cast("long")).alias("w"),
         order.digit().alias("digit"),
     )
+    if rows_known is not None and rows_known <= window_rows:
+        return _ordered_boundaries(narrow, order, _limit_column(limit))
     low, high = _digit_span(narrow, order, span)
     shift = max(0, (high - low).bit_length() - bucket_bits)
     found, searches = _search(narrow, order, shift, _limit_column(limit))
@@ -105,7 +109,7 @@ def find_boundaries(
             raise ValueError(f"the order by {order.ids} is not unique in {sorted(wide)}")
         shift = max(0, shift - bucket_bits)
         searches |= _narrow_down(narrow, order, shift, wide)
-    return found | _ordered_boundaries(narrow, order, searches)
+    return found | _bucket_boundaries(narrow, order, searches)
 
 
 def keep(rows: DataFrame, boundaries: Mapping[str, Boundary], group: str | None = None) -> DataFrame:
@@ -191,33 +195,32 @@ def _search(
     narrow: DataFrame, order: Order, shift: int, limit: Column
 ) -> tuple[dict[str, Boundary], dict[str, _Search]]:
     """First histogram: groups that are kept whole or not at all, and the bucket of the others."""
-    per_group = (
-        _histogram(narrow, shift)
-        .withColumn("limit", limit)
-        .groupBy("grp")
-        .agg(
-            F.max("limit").alias("limit"),
-            F.max("total_rows").alias("total_rows"),
-            F.max("total_weight").alias("total_weight"),
-            F.max(_crossing(F.col("limit"))).alias("at"),
-        )
-    )
+    per_group = _per_group(_histogram(narrow, shift).withColumn("limit", limit), _crossing(F.col("limit")))
     found, searches = {}, {}
     for r in per_group.collect():
-        if r.at is not None:
+        if r.at is None:
+            found[r.grp] = _all_or_nothing(order, r)
+        else:
             searches[r.grp] = _Search(
                 r.limit, shift, r.at.bucket, r.at.before_weight, r.at.before_rows, r.at.bucket_rows,
                 r.total_rows, r.total_weight,
             )
-        elif r.limit > 0:
-            found[r.grp] = Boundary(
-                order, None, True, r.total_rows, r.total_weight, r.total_rows, r.total_weight
-            )
-        else:
-            found[r.grp] = Boundary(order, None, False, 0, 0, r.total_rows, r.total_weight)
     return found, searches
 
 
+def _per_group(rows: DataFrame, at: Column) -> DataFrame:
+    """One row per group: its limit and totals, and the ``at`` of the one row where that is set."""
+    totals = [F.max(c).alias(c) for c in ("limit", "total_rows", "total_weight")]
+    return rows.groupBy("grp").agg(*totals, F.max(at).alias("at"))
+
+
+def _all_or_nothing(order: Order, r: Row) -> Boundary:
+    """The boundary of a group in which no row reaches the limit."""
+    if r.limit > 0:
+        return Boundary(order, None, True, r.total_rows, r.total_weight, r.total_rows, r.total_weight)
+    return Boundary(order, None, False, 0, 0, r.total_rows, r.total_weight)
+
+
 def _narrow_down(
     narrow: DataFrame, order: Order, shift: int, wide: Mapping[str, _Search]
 ) -> dict[str, _Search]:
@@ -235,35 +238,55 @@ def _narrow_down(
     return closer
 
 
-def _ordered_boundaries(
+def _ordered(rows: DataFrame, order: Order, limit: Column) -> list[Row]:
+    """Order the rows of each group (a bounded number) and find the row that reaches the limit."""
+    of_group = Window.partitionBy("grp")
+    in_order = of_group.orderBy(*order.keys())
+    running = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    ordered = rows.select(
+        "grp",
+        "w",
+        F.struct(*[k.alias(f"k{i}") for i, k in enumerate(order.keys())]).alias("keys"),
+        F.row_number().over(in_order).alias("rank"),
+        F.sum("w").over(running).alias("weight"),
+        (order.key() == F.lead(order.key()).over(in_order)).alias("tied"),
+        F.sum("w").over(of_group).alias("total_weight"),
+        F.count("*").over(of_group).alias("total_rows"),
+    ).withColumn("limit", limit)
+    reached = (F.col("weight") >= F.col("limit")) & (F.col("weight") - F.col("w") < F.col("limit"))
+    return _per_group(ordered, F.when(reached, F.struct("rank", "weight", "tied", "keys"))).collect()
+
+
+def _last_row(order: Order, r: Row) -> tuple:
+    if r.at.tied:
+        raise ValueError(f"the order by {order.ids} is not unique at {tuple(r.at['keys'])}")
+    return tuple(r.at["keys"])
+
+
+def _ordered_boundaries(narrow: DataFrame, order: Order, limit: Column) -> dict[str, Boundary]:
+    """Boundaries of groups that are small as a whole."""
+    found = {}
+    for r in _ordered(narrow, order, limit):
+        if r.at is None:
+            found[r.grp] = _all_or_nothing(order, r)
+        else:
+            found[r.grp] = Boundary(
+                order, _last_row(order, r), False, r.at["rank"], r.at.weight, r.total_rows, r.total_weight
+            )
+    return found
+
+
+def _bucket_boundaries(
     narrow: DataFrame, order: Order, searches: Mapping[str, _Search]
 ) -> dict[str, Boundary]:
-    """Order the rows of each group's last bucket (a bounded number) and take the row that reaches the limit."""
+    """Boundaries inside the buckets that the search has come to."""
     if not searches:
         return {}
-    in_order = Window.partitionBy("grp").orderBy(*order.keys())
-    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    left = _limit_column({g: s.left for g, s in searches.items()})
-    last = (
-        narrow.where(_in_buckets(searches))
-        .select(
-            "grp",
-            "w",
-            F.array(*[k.cast("string") for k in order.keys()]).alias("shown"),
-            F.struct(*[k.alias(f"k{i}") for i, k in enumerate(order.keys())]).alias("keys"),
-            F.sum("w").over(upto).alias("weight"),
-            F.row_number().over(in_order).alias("rank"),
-            (order.key() == F.lead(order.key()).over(in_order)).alias("tied"),
-        )
-        .where((F.col("weight") >= left) & (F.col("weight") - F.col("w") < left))
-    )
-    found = {}
-    for r in last.collect():
-        if r.tied:
-            raise ValueError(f"the order by {order.ids} is not unique: {r.shown}")
+    found, left = {}, _limit_column({g: s.left for g, s in searches.items()})
+    for r in _ordered(narrow.where(_in_buckets(searches)), order, left):
         s = searches[r.grp]
         found[r.grp] = Boundary(
-            order, tuple(r["keys"]), False, s.before_rows + r["rank"], s.before_weight + r.weight,
+            order, _last_row(order, r), False, s.before_rows + r.at["rank"], s.before_weight + r.at.weight,
             s.total_rows, s.total_weight,
         )
     return found

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluice.operators.stage import Stage
 
@@ -24,17 +24,16 @@ def ranked(
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    seen = Observation()
-    staged = stage.write(numbered, name, seen, [F.count("*").alias("rows")])
+    staged = stage.write(numbered, name)
     part = F.shiftright("_place", INDEX_BITS)
-    sizes = staged.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    sizes = staged.rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     index = F.col("_place").bitwiseAND(F.lit((1 << INDEX_BITS) - 1))
     placed = (
-        staged.withColumn("_part", part)
+        staged.rows.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + index)
         .drop("_part", "_place", "_offset")
     )
-    return placed, seen.get["rows"]
+    return placed, staged.count

@@ -25,14 +25,18 @@ def take_skip_sizes(rows: int, val_ratio: float) -> tuple[int, int]:
     return rows - val, val
 
 
-def permutation_boundary(ids: DataFrame, order: Order, val_ratio: float) -> Boundary | None:
+def permutation_boundary(
+    ids: DataFrame, order: Order, val_ratio: float, rows_known: int | None = None
+) -> Boundary | None:
     """End of the train part of the order; None without rows."""
-    return find_boundaries(ids, order, share_of_total(1 - val_ratio)).get("")
+    return find_boundaries(ids, order, share_of_total(1 - val_ratio), rows_known=rows_known).get("")
 
 
-def take_skip_boundary(ids: DataFrame, order: Order, val_ratio: float) -> Boundary | None:
+def take_skip_boundary(
+    ids: DataFrame, order: Order, val_ratio: float, rows_known: int | None = None
+) -> Boundary | None:
     """End of the validation part, which comes first in the order; None without rows."""
-    return find_boundaries(ids, order, share_of_total(val_ratio)).get("")
+    return find_boundaries(ids, order, share_of_total(val_ratio), rows_known=rows_known).get("")
 
 
 def split_column(boundary: Boundary | None, first: str, rest: str):

@@ -7,8 +7,9 @@ the loss of executors. Each ``Stage`` owns one folder of its own and removes it
 import tempfile
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sluice.sources.tables import delete_path
 
@@ -27,6 +28,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A stage table read back, its number of rows, and what else was measured on writing it."""
+
+    rows: DataFrame
+    count: int
+    figures: dict
+
+
+def plain(schema: T.StructType) -> T.StructType:
+    """The schema with every column nullable, as files give it back."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
+
 class Stage:
     """A run's own folder of stage tables; use as a context manager, or call ``close``."""
 
@@ -35,23 +50,17 @@ class Stage:
         self.path = f"{root or checkpoint_root(spark)}/stage-{uuid.uuid4().hex}"
 
     def write(
-        self,
-        rows: DataFrame,
-        name: str,
-        observe: Observation | None = None,
-        measures: Sequence[Column] = (),
-        file_rows: int = 0,
-    ) -> DataFrame:
-        """Write ``rows`` and read them back; ``measures`` are collected by the same pass.
+        self, rows: DataFrame, name: str, measures: Sequence[Column] = (), file_rows: int = 0
+    ) -> "Staged":
+        """Write ``rows``; their number and the ``measures`` are collected by the same pass.
 
         ``file_rows`` bounds the rows of a file; 0 leaves it to the tasks.
         """
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
-        if observe is not None:
-            rows = rows.observe(observe, *measures)
-        path = f"{self.path}/{name}"
-        rows.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
+        seen, path = Observation(), f"{self.path}/{name}"
+        observed = rows.observe(seen, F.count("*").alias("rows"), *measures)
+        observed.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
+        figures = seen.get
+        return Staged(self.read(plain(rows.schema), name), figures["rows"], figures)
 
     def read(self, schema: T.StructType, *names: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{n}" for n in names])

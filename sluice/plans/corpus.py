@@ -3,10 +3,11 @@
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from sluice.functions.bpe import Vocabulary
 from sluice.operators import sinks
+from sluice.operators.stage import plain
 
 
 @dataclass
@@ -49,5 +50,4 @@ class Corpus:
         return record
 
     def read(self, path: str, split: str | None = None) -> DataFrame:
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in self.rows.schema])
-        return sinks.read_splits(self.rows.sparkSession, path, schema, split)
+        return sinks.read_splits(self.rows.sparkSession, path, plain(self.rows.schema), split)

@@ -1,6 +1,6 @@
 """Chat-formatted instruct corpora with exact token counts."""
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sluice.functions.bpe import Vocabulary, token_count
 from sluice.functions.order import shuffled
@@ -35,11 +35,14 @@ def instruct_corpus(
     """
     usable = pairs.where(non_empty(F.col("prompt"), F.col("text")))
     usable_ids = stage.write(usable.select(*ids), "instruct_ids")
-    taken = find_boundaries(usable_ids, shuffled(seed, *ids), target_rows)
-    require_rows(taken[""].rows if taken else 0)
+    taken = find_boundaries(
+        usable_ids.rows, shuffled(seed, *ids), target_rows, rows_known=usable_ids.count
+    )
+    count = taken[""].rows if taken else 0
+    require_rows(count)
     kept = inside(taken)
     train_end = permutation_boundary(
-        usable_ids.where(kept), shuffled(seed + SPLIT_SEED_OFFSET, *ids), val_ratio
+        usable_ids.rows.where(kept), shuffled(seed + SPLIT_SEED_OFFSET, *ids), val_ratio, count
     )
     rows = (
         usable.where(kept)
@@ -76,12 +79,12 @@ def capped_instruct_corpus(
     counted = instructions.withColumn("formattedconversation", formatted).withColumn(
         "tokencount", token_count(F.col("formattedconversation"), vocabulary)
     )
-    under, seen = F.col("tokencount") < max_tokens, Observation()
+    under = F.col("tokencount") < max_tokens
     measures = retention_measures(under) + token_measures(F.when(under, F.col("tokencount")))
-    counted = stage.write(counted, "counted", seen, measures)
-    stats = seen.get
+    counted = stage.write(counted, "counted", measures)
+    stats = counted.figures
     require_rows(stats["filtered_rows"], "rows remaining after filtering")
-    rows = permuted_split(counted.where(under), *ids, val_ratio=val_ratio, seed=seed, stage=stage)
+    rows = permuted_split(counted.rows.where(under), *ids, val_ratio=val_ratio, seed=seed, stage=stage)
     figures = {
         "original_rows": stats["original_rows"],
         "filtered_rows": stats["filtered_rows"],

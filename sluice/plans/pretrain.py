@@ -70,14 +70,16 @@ def pretrain_by_samples(
             continue
         usable = rows.where(non_blank(F.col("text"))).withColumn("source", F.lit(label))
         usable_ids = stage.write(usable.select(*ids, "source"), f"sample_ids/{offset}")
-        taken = find_boundaries(usable_ids, shuffled(seed + offset, *ids), planned)
+        taken = find_boundaries(
+            usable_ids.rows, shuffled(seed + offset, *ids), planned, rows_known=usable_ids.count
+        )
         samples[label] = taken[""].rows if taken else 0
-        kept_ids.append(usable_ids.where(inside(taken)))
+        kept_ids.append(usable_ids.rows.where(inside(taken)))
         drawn.append(usable.where(inside(taken)).select(*ids, strip(F.col("text")).alias("text"), "source"))
     require_rows(sum(samples.values()))
     mixed, mixed_ids = (_concatenated(frames) for frames in (drawn, kept_ids))
     train_end = permutation_boundary(
-        mixed_ids, shuffled(seed + SPLIT_SEED_OFFSET, "source", *ids), val_ratio
+        mixed_ids, shuffled(seed + SPLIT_SEED_OFFSET, "source", *ids), val_ratio, sum(samples.values())
     )
     names = ("pretrain_train", "pretrain_val")
     share = secondary_share if with_secondary else 0.0
@@ -126,11 +128,12 @@ def pretrain_by_tokens(
     ]
     cuts = coupled_budgets(mixed, total_tokens, position, "token_count", stage)
     ends = {name: cut.boundary for name, cut in cuts.items()}
-    require_rows(sum(end.rows for end in ends.values()))
+    count = sum(end.rows for end in ends.values())
+    require_rows(count)
     kept_ids = _concatenated(
         [cut.kept_pairs().withColumn("source", F.lit(name)) for name, cut in cuts.items()]
     )
-    val_end = take_skip_boundary(kept_ids, shuffled(seed, "source", position), val_ratio)
+    val_end = take_skip_boundary(kept_ids, shuffled(seed, "source", position), val_ratio, count)
     names = ("train", "validation")
     rows = take_budgets(mixed, cuts, [position, "text", "source"]).withColumn(
         "split", split_column(val_end, names[1], names[0])

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.order import by_position
 from sluice.operators.cut import find_boundaries, keep
-from sluice.operators.stage import Stage
+from sluice.operators.stage import Stage, plain
 from sluice.operators.stats import source_totals
 from sluice.sources.tables import is_folder, table
 
@@ -52,7 +52,7 @@ def ingest_with_progress(rows: DataFrame, tokens: str, out: str, progress: str,
     The totals are taken from the batch as it was stored, so the sources are read once.
     """
     spark = rows.sparkSession
-    schema = _plain(rows.schema)
+    schema = plain(rows.schema)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         path = f"{out}/batch_id={batch_id}"
@@ -81,7 +81,7 @@ def ingest_budgeted(
     that reaches the target is kept; a source yields its first row even for a target of 0.
     """
     spark = rows.sparkSession
-    schema = _plain(rows.schema)
+    schema = plain(rows.schema)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         before = progress_totals(spark, progress, batch_id)
@@ -93,7 +93,9 @@ def ingest_budgeted(
         with Stage(spark) as stage:
             wanted = batch.where(F.col("source").isin(open_sources))
             weights = stage.write(wanted.select("source", position, tokens), "weights")
-            ends = find_boundaries(weights, by_position(position), left, weight=tokens, group="source")
+            ends = find_boundaries(
+                weights.rows, by_position(position), left, weight=tokens, group="source", rows_known=weights.count
+            )
             keep(wanted, ends, "source").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         taken = [(source, end.rows, end.weight) for source, end in ends.items()]
         spark.createDataFrame(taken, "source string, samples long, tokens long").coalesce(1).write.mode(
@@ -105,7 +107,7 @@ def ingest_budgeted(
 
 def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     """The rows of all batches, with their ``batch_id``."""
-    with_batch = T.StructType([*_plain(schema).fields, T.StructField("batch_id", T.LongType())])
+    with_batch = T.StructType([*plain(schema).fields, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(with_batch).option("basePath", out).parquet(out)
 
 
@@ -131,7 +133,3 @@ def _run(rows: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: s
     )
     query.awaitTermination()
     return query
-
-
-def _plain(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])

@@ -68,14 +68,14 @@ def test_random_mixtures_equal_a_walk(spark, stage):
 
 def test_reading_stops_near_the_budget(spark, stage):
     rows = source(spark, [2] * 1000)
-    pairs, (low, high) = stage_prefix(rows, "pos", "tokens", 300, stage, "p", (0, 999), probe=20)
+    pairs, count, (low, high) = stage_prefix(rows, "pos", "tokens", 300, stage, "p", (0, 999), probe=20)
     assert low == 0 and 149 <= high < 400
-    assert pairs.count() == high + 1 and pairs.agg(F.sum("tokens")).first()[0] >= 300
+    assert pairs.count() == count == high + 1 and pairs.agg(F.sum("tokens")).first()[0] >= 300
 
 
 def test_reading_goes_on_through_empty_ranges(spark, stage):
     rows = source(spark, [1] * 500).where("pos < 2 or pos > 480")
-    pairs, span = stage_prefix(rows, "pos", "tokens", 10, stage, "p", (0, 499), probe=5)
+    pairs, _, span = stage_prefix(rows, "pos", "tokens", 10, stage, "p", (0, 499), probe=5)
     assert pairs.count() >= 10 and span[1] >= 488
-    everything, span = stage_prefix(rows, "pos", "tokens", 10**6, stage, "q", (0, 499), probe=5)
-    assert everything.count() == rows.count() and span == (0, 499)
+    everything, count, span = stage_prefix(rows, "pos", "tokens", 10**6, stage, "q", (0, 499), probe=5)
+    assert everything.count() == rows.count() == count and span == (0, 499)

@@ -55,6 +55,8 @@ def test_position_cuts_equal_a_walk_however_positions_lie(spread, spark):
     rows = table(spark, data)
     limits = {"a": 70, "b": 15}
     ends = find_boundaries(rows, by_position("id"), limits, weight="w", group="source", **SMALL)
+    known = {"rows_known": len(data)}
+    assert ends == find_boundaries(rows, by_position("id"), limits, weight="w", group="source", **known)
     for source, limit in limits.items():
         expected = prefix(sorted((p, w) for p, s, w in data if s == source), limit)
         assert ids(keep(rows, ends, "source").where(F.col("source") == source)) == expected
@@ -66,7 +68,7 @@ def test_position_cuts_equal_a_walk_however_positions_lie(spread, spark):
 @pytest.mark.parametrize("partitions", [1, 7, 64])
 def test_seeded_cuts_do_not_depend_on_partitions(spark, partitions):
     rows = table(spark, [(i, "a", 1) for i in range(200)], partitions)
-    for search in ({}, SMALL):
+    for search in ({}, SMALL, {"rows_known": 200}):
         ends = find_boundaries(rows, shuffled(5, "id"), 77, **search)
         assert ids(keep(rows, ends)) == sorted(seeded(5, range(200))[:77])
 
@@ -96,9 +98,11 @@ def test_share_of_total_truncates(spark):
 def test_groups_kept_whole_cut_or_left_out(spark):
     data = [(i, s, 1) for i, s in enumerate("aabbbccd")]
     rows = table(spark, data)
-    ends = find_boundaries(rows, by_position("id"), {"a": 9, "b": 2, "c": 0}, group="source")
-    assert ids(keep(rows, ends, "source")) == [0, 1, 2, 3]
-    assert ends["a"].whole and ends["c"].rows == 0 and ends["d"].rows == 0
+    for search in ({}, SMALL, {"rows_known": 8}):
+        ends = find_boundaries(rows, by_position("id"), {"a": 9, "b": 2, "c": 0}, group="source", **search)
+        assert ids(keep(rows, ends, "source")) == [0, 1, 2, 3]
+        assert ends["a"].whole and ends["c"].rows == 0 and ends["d"].rows == 0
+        assert (ends["b"].rows, ends["b"].total_rows) == (2, 3)
 
 
 def test_no_rows_no_boundary(spark):
@@ -109,7 +113,7 @@ def test_no_rows_no_boundary(spark):
 
 def test_equal_positions_are_refused(spark):
     rows = table(spark, [(7, "a", 1) for _ in range(20)])
-    for search in ({}, SMALL):
+    for search in ({}, SMALL, {"rows_known": 20}):
         with pytest.raises(ValueError, match="not unique"):
             find_boundaries(rows, by_position("id"), 10, **search)
 

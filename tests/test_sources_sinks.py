@@ -80,14 +80,14 @@ def test_small_scans_spread_and_large_ones_do_not(spark, sf_dir):
 def test_stage_lives_in_the_checkpoint_folder_and_goes(spark):
     with pytest.raises(RuntimeError), Stage(spark) as stage:
         assert stage.path.startswith(checkpoint_root(spark))
-        assert stage.write(spark.range(3).toDF("id"), "t").count() == 3
+        assert stage.write(spark.range(3).toDF("id"), "t").count == 3
         assert is_folder(spark, stage.path)
         raise RuntimeError
     assert not is_folder(spark, stage.path)
 
 
 def test_an_empty_stage_table_keeps_its_schema(spark, stage):
-    rows = stage.write(spark.range(3).toDF("id").where("id > 5"), "t")
+    rows = stage.write(spark.range(3).toDF("id").where("id > 5"), "t").rows
     assert rows.count() == 0 and rows.dtypes == [("id", "bigint")]
 
 
