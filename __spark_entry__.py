@@ -24,6 +24,7 @@ from sluice.operators import mixture, sinks, split, stats
 from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
 from sluice.operators.cut import find_boundaries, keep, share_of_total
 from sluice.operators.stage import Stage
+from sluice.plans.inspection import first_row_report
 from sluice.plans.instruct import MAX_TOKENS, VAL_RATIO, capped_instruct_corpus, instruct_corpus
 from sluice.plans.pretrain import BUDGET_SOURCES, pretrain_by_samples, pretrain_by_tokens
 from sluice.sources.tables import (
@@ -213,6 +214,19 @@ def decode_roundtrip(spark, sf_dir):
     return rows.select("doc_id", decoded(F.col("ids"), vocabulary).alias("text"))
 
 
+def sample_inspection(spark, sf_dir):
+    corpus = _instruct(spark, sf_dir, Vocabulary.bytes_only())
+    key = shuffled(SEED, *PAIR).key()
+    report = first_row_report(corpus.rows, [key], Vocabulary.bytes_only())
+    places = {c: F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("starts", "ends")}
+    return report.select("preview", "tokens", *[v.alias(c) for c, v in places.items()])
+
+
+def sample_inspection_50k(spark, sf_dir):
+    corpus, key = _instruct(spark, sf_dir, public_vocabulary()), shuffled(SEED, *PAIR).key()
+    return first_row_report(corpus.rows, [key], public_vocabulary())
+
+
 def marker_positions(spark, sf_dir):
     vocabulary = Vocabulary.bytes_only()
     marks = vocabulary.special_ids()
@@ -254,7 +268,7 @@ def first_n_seeded(spark, sf_dir):
     usable = documents(spark, sf_dir).where(tx.non_blank(F.col("text")))
     drawn = []
     for offset, condition in enumerate(("source <> 'src0'", "source = 'src0'")):
-        ids = staged(spark).write(usable.where(condition).select("doc_id"), "ids")
+        ids = staged(spark).write(usable.where(condition).select("doc_id"), "ids", narrow=True)
         ends = find_boundaries(
             ids.rows, shuffled(SEED + offset, "doc_id"), share_of_total(0.3), rows_known=ids.count
         )
@@ -264,7 +278,7 @@ def first_n_seeded(spark, sf_dir):
 
 def token_budget_per_source(spark, sf_dir):
     rows = documents(spark, sf_dir).withColumn("token_count", tx.estimated_tokens(F.col("text")))
-    weights = staged(spark).write(rows.select("doc_id", "source", "token_count"), "weights")
+    weights = staged(spark).write(rows.select("doc_id", "source", "token_count"), "weights", narrow=True)
     ends = find_boundaries(
         weights.rows, by_position("doc_id"), share_of_total(0.5), weight="token_count", group="source",
         rows_known=weights.count,
@@ -544,6 +558,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "token_ids_head": token_ids_head,
         "decode_roundtrip": decode_roundtrip,
         "marker_positions": marker_positions,
+        "sample_inspection": sample_inspection,
+        "sample_inspection_50k": sample_inspection_50k,
         "length_capped": length_capped,
         "length_capped_50k": length_capped_50k,
         "token_stats": token_stats,
@@ -720,6 +736,12 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT conv_id, turn, '0,' || (9 + p) AS starts, (7 + p) || ',' || (21 + p + t) AS ends FROM "
             f"(SELECT conv_id, turn, strlen({_trim('prompt')}) AS p, strlen({_trim('text')}) AS t FROM pairs)", "pairs",
         ),
+        "sample_inspection": (
+            f"{instruct_sql} SELECT substring(formattedconversation, 1, 1000) AS preview, tokencount AS tokens, "
+            f"'0,' || (9 + p) AS starts, (7 + p) || ',' || (21 + p + t) AS ends FROM (SELECT *, "
+            f"strlen({_trim('prompt')}) AS p, strlen({_trim('text')}) AS t FROM divided WHERE place <= {train_size} "
+            "ORDER BY rn LIMIT 1)"
+        ),
         "length_capped": _sql(
             "SELECT conv_id, turn, formattedconversation, tokencount FROM bytes_literal WHERE tokencount < 508", *literal
         ),

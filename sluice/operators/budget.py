@@ -73,6 +73,7 @@ def stage_prefix(
             pairs.where(F.col(position).between(start, end)),
             parts[-1],
             [F.coalesce(F.sum(weight), F.lit(0)).alias("weight")],
+            narrow=True,
         )
         count += part.count
         reached += part.figures["weight"]

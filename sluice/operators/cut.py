@@ -2,7 +2,7 @@
 
 A window over the group would sort it in one task, and a limit of millions of rows would gather them in
 one. Instead the end of the prefix is searched: a histogram of the order's leading bits (partially
-aggregated, at most 2^16 buckets per group) shows the bucket in which the running sum reaches the limit.
+aggregated, 2^12 to 2^16 buckets per group) shows the bucket in which the running sum reaches the limit.
 If that bucket is still large it is searched again by its next bits, however the values are spread; the
 few rows left are ordered by a window. What comes back is one boundary per group, so the cut itself is a
 plain filter: no row with its text is shuffled, joined or sorted.
@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from sluice.functions.order import HASH_BITS, Order
 
-BUCKET_BITS = 16
+# Few buckets keep the partial aggregate of a scan task small; more of them pay off only for rows known
+# to be many, which come from a stage table of large splits.
+BUCKET_BITS = 12
+MOST_BUCKET_BITS = 16
 WINDOW_ROWS = 500_000
 
 LimitOf = Callable[[Column], Column]
@@ -81,7 +84,7 @@ def find_boundaries(
     group: str | None = None,
     span: tuple[int, int] | None = None,
     rows_known: int | None = None,
-    bucket_bits: int = BUCKET_BITS,
+    bucket_bits: int | None = None,
     window_rows: int = WINDOW_ROWS,
 ) -> dict[str, Boundary]:
     """The boundary of each group's prefix; a row is kept iff the weights before it sum to less than the limit.
@@ -101,6 +104,7 @@ def find_boundaries(
     )
     if rows_known is not None and rows_known <= window_rows:
         return _ordered_boundaries(narrow, order, _limit_column(limit))
+    bucket_bits = bucket_bits or _bucket_bits(rows_known, window_rows)
     low, high = _digit_span(narrow, order, span)
     shift = max(0, (high - low).bit_length() - bucket_bits)
     found, searches = _search(narrow, order, shift, _limit_column(limit))
@@ -166,6 +170,13 @@ def _digit_span(narrow: DataFrame, order: Order, span: tuple[int, int] | None) -
     return (0, 0) if span[0] is None else (span[0], span[1])
 
 
+def _bucket_bits(rows_known: int | None, window_rows: int) -> int:
+    """Enough buckets to leave about a quarter of ``window_rows`` in each, if the rows lie evenly."""
+    if rows_known is None:
+        return BUCKET_BITS
+    return max(BUCKET_BITS, min(MOST_BUCKET_BITS, (4 * rows_known // window_rows).bit_length()))
+
+
 def _histogram(narrow: DataFrame, shift: int) -> DataFrame:
     """Weight and rows per bucket, with the running totals before each bucket and those of the group."""
     buckets = narrow.groupBy("grp", F.shiftright("digit", shift).alias("bucket")).agg(

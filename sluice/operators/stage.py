@@ -50,13 +50,20 @@ class Stage:
         self.path = f"{root or checkpoint_root(spark)}/stage-{uuid.uuid4().hex}"
 
     def write(
-        self, rows: DataFrame, name: str, measures: Sequence[Column] = (), file_rows: int = 0
+        self,
+        rows: DataFrame,
+        name: str,
+        measures: Sequence[Column] = (),
+        file_rows: int = 0,
+        narrow: bool = False,
     ) -> "Staged":
         """Write ``rows``; their number and the ``measures`` are collected by the same pass.
 
-        ``file_rows`` bounds the rows of a file; 0 leaves it to the tasks.
+        ``file_rows`` bounds the rows of a file; 0 leaves it to the tasks. ``narrow`` rows are much smaller
+        than what they are read from: they are rebalanced, or each scan task would leave a tiny file.
         """
         seen, path = Observation(), f"{self.path}/{name}"
+        rows = rows.hint("rebalance") if narrow else rows
         observed = rows.observe(seen, F.count("*").alias("rows"), *measures)
         observed.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
         figures = seen.get

@@ -34,7 +34,7 @@ def instruct_corpus(
     of the train part are searched, and once to format and count the rows kept. Nothing is shuffled.
     """
     usable = pairs.where(non_empty(F.col("prompt"), F.col("text")))
-    usable_ids = stage.write(usable.select(*ids), "instruct_ids")
+    usable_ids = stage.write(usable.select(*ids), "instruct_ids", narrow=True)
     taken = find_boundaries(
         usable_ids.rows, shuffled(seed, *ids), target_rows, rows_known=usable_ids.count
     )

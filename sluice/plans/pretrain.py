@@ -69,7 +69,7 @@ def pretrain_by_samples(
         if planned == 0:
             continue
         usable = rows.where(non_blank(F.col("text"))).withColumn("source", F.lit(label))
-        usable_ids = stage.write(usable.select(*ids, "source"), f"sample_ids/{offset}")
+        usable_ids = stage.write(usable.select(*ids, "source"), f"sample_ids/{offset}", narrow=True)
         taken = find_boundaries(
             usable_ids.rows, shuffled(seed + offset, *ids), planned, rows_known=usable_ids.count
         )

@@ -92,7 +92,7 @@ def ingest_budgeted(
         open_sources = [source for source, tokens_left in left.items() if tokens_left > 0]
         with Stage(spark) as stage:
             wanted = batch.where(F.col("source").isin(open_sources))
-            weights = stage.write(wanted.select("source", position, tokens), "weights")
+            weights = stage.write(wanted.select("source", position, tokens), "weights", narrow=True)
             ends = find_boundaries(
                 weights.rows, by_position(position), left, weight=tokens, group="source", rows_known=weights.count
             )

@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators.budget import BudgetSource, coupled_budgets, stage_prefix, take_budgets
+from sluice.functions.text import estimated_tokens
+from sluice.operators.budget import BudgetSource, coupled_budgets, position_span, stage_prefix, take_budgets
+from tests.plans import physical_plan
 
 
 def source(spark, weights):
@@ -79,3 +81,13 @@ def test_reading_goes_on_through_empty_ranges(spark, stage):
     assert pairs.count() >= 10 and span[1] >= 488
     everything, count, span = stage_prefix(rows, "pos", "tokens", 10**6, stage, "q", (0, 499), probe=5)
     assert everything.count() == rows.count() == count and span == (0, 499)
+
+
+def test_the_range_read_reaches_the_scan(spark, stage, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", estimated_tokens(F.col("text")).alias("tokens")
+    )
+    plan = physical_plan(rows.where(F.col("doc_id").between(0, 9)).hint("rebalance"))
+    assert "GreaterThanOrEqual(doc_id,0)" in plan and "LessThanOrEqual(doc_id,9)" in plan
+    pairs, count, _ = stage_prefix(rows, "doc_id", "tokens", 500, stage, "p", position_span(rows, "doc_id"), probe=10)
+    assert count == pairs.count() < rows.count()
