@@ -443,14 +443,14 @@ def written_totals(spark, sf_dir):
 
 def marker_sidecar(spark, sf_dir):
     vocabulary = Vocabulary.bytes_only()
-    ids = formatted(spark, sf_dir).select(
-        F.explode(token_ids(F.col("formattedconversation"), vocabulary)).alias("id")
-    )
-    markers = vocabulary.marker_table(spark).where(~F.col("token").isin("pad", "vocabulary size"))
-    found = ids.join(F.broadcast(markers), "id").groupBy("id").agg(F.count("*").alias("occurrences"))
-    return markers.join(found, "id", "left").select(
-        "token", F.col("id").cast("long").alias("id"), F.coalesce("occurrences", F.lit(0)).alias("occurrences")
+    marks = vocabulary.special_ids()
+    ids = formatted(spark, sf_dir).select(token_ids(F.col("formattedconversation"), vocabulary).alias("ids"))
+    per_row = ids.select(*[F.size(positions_of(F.col("ids"), i)).alias(token) for token, i in marks.items()])
+    found = per_row.agg(*[F.coalesce(F.sum(f"`{t}`"), F.lit(0)).alias(t) for t in marks]).unpivot(
+        [], list(marks), "token", "occurrences"
     )
+    markers = vocabulary.marker_table(spark).select("token", F.col("id").cast("long").alias("id"))
+    return markers.join(found, "token")
 
 
 def corpus_name(spark, sf_dir):

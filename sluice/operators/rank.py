@@ -2,25 +2,32 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sluice.operators.stage import Stage
 
 INDEX_BITS = 33
+ROWS_PER_PARTITION = 200_000
+
+
+def partitions_for(spark: SparkSession, rows_known: int | None) -> int | None:
+    """Partitions that keep a shuffle of so many rows of text within memory; None if the session's suffice."""
+    wanted = (rows_known or 0) // ROWS_PER_PARTITION
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def ranked(
-    rows: DataFrame, keys: Sequence[Column], stage: Stage, name: str
+    rows: DataFrame, keys: Sequence[Column], stage: Stage, name: str, partitions: int | None = None
 ) -> tuple[DataFrame, int]:
     """``rows`` with a column ``name``: their 0-based place in the order of ``keys``; and the number of rows.
 
     The keys are unique, so Spark's range partitioning balances whatever their spread. Each sorted
-    partition numbers its own rows and is staged; the sizes of the partitions, one number for each of at
-    most ``spark.sql.shuffle.partitions``, give the offsets.
+    partition numbers its own rows and is staged; the sizes of the partitions, one number for each of the
+    ``partitions`` (by default ``spark.sql.shuffle.partitions``), give the offsets.
     """
     # monotonically_increasing_id holds the partition in its upper bits and the row's index below them.
     numbered = (
-        rows.repartitionByRange(*keys)
+        rows.repartitionByRange(*([partitions] if partitions else []), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_place", F.monotonically_increasing_id())
     )

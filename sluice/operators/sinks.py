@@ -33,12 +33,18 @@ def read_splits(spark, path: str, schema: T.StructType, split: str | None = None
     return rows if split is None else rows.where(F.col("split") == split)
 
 
-def with_shards(rows: DataFrame, keys: Sequence[Column], stage: Stage, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def with_shards(
+    rows: DataFrame,
+    keys: Sequence[Column],
+    stage: Stage,
+    shard_rows: int = SHARD_ROWS,
+    partitions: int | None = None,
+) -> DataFrame:
     """``rows`` with their global ``position`` in the order of ``keys`` and the ``shard`` it falls into.
 
     Every shard has exactly ``shard_rows`` rows, the last one the remainder.
     """
-    placed, _ = ranked(rows, keys, stage, "position")
+    placed, _ = ranked(rows, keys, stage, "position", partitions)
     return placed.withColumn("shard", F.floor(F.col("position") / shard_rows))
 
 

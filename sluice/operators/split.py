@@ -61,13 +61,14 @@ def permuted_split(
     seed: int,
     stage: Stage,
     names: tuple[str, str] = ("train", "val"),
+    partitions: int | None = None,
 ) -> DataFrame:
     """``rows`` in permuted order: a ``permuted`` rank from 0 and the ``split`` it falls into.
 
     Sorting the rows moves their text once, by a range shuffle; they are staged in that order.
     """
     order = shuffled(seed, *ids)
-    in_order, total = ranked(rows, order.keys(), stage, "permuted")
+    in_order, total = ranked(rows, order.keys(), stage, "permuted", partitions)
     train, _ = permutation_sizes(total, val_ratio)
     return in_order.withColumn(
         "split", F.when(F.col("permuted") < train, F.lit(names[0])).otherwise(F.lit(names[1]))

@@ -1,13 +1,15 @@
 """What every plan returns: rows with a split, and how to save them with their figures."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions.bpe import Vocabulary
 from sluice.operators import sinks
-from sluice.operators.stage import plain
+from sluice.operators.rank import partitions_for
+from sluice.operators.stage import Stage, plain
 
 
 @dataclass
@@ -20,6 +22,7 @@ class Corpus:
     figure_types: str
     vocabulary: Vocabulary | None = None
     tokens: str | None = None
+    row_count: int | None = None
 
     def metadata_schema(self) -> str:
         counts = ", ".join(f"{n}_samples long" for n in self.names)
@@ -49,5 +52,16 @@ class Corpus:
             sinks.write_markers(self.vocabulary.marker_table(spark), path)
         return record
 
+    def save_shards(
+        self, path: str, keys: Sequence[Column], stage: Stage, shard_rows: int = sinks.SHARD_ROWS
+    ) -> None:
+        """Write the rows as JSON-lines shards of exact size, in the order of ``keys``."""
+        shards = sinks.with_shards(self.rows, keys, stage, shard_rows, self.partitions())
+        sinks.write_shards(shards, path)
+
+    def partitions(self) -> int | None:
+        """Partitions for moving all rows: more than the session's if the rows are known to need more."""
+        return partitions_for(self.rows.sparkSession, self.row_count)
+
     def read(self, path: str, split: str | None = None) -> DataFrame:
         return sinks.read_splits(self.rows.sparkSession, path, plain(self.rows.schema), split)

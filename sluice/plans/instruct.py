@@ -6,6 +6,7 @@ from sluice.functions.bpe import Vocabulary, token_count
 from sluice.functions.order import shuffled
 from sluice.functions.text import chat, non_empty, or_empty, strip
 from sluice.operators.cut import find_boundaries, inside
+from sluice.operators.rank import partitions_for
 from sluice.operators.sinks import thousands_name
 from sluice.operators.split import SPLIT_SEED_OFFSET, permutation_boundary, permuted_split, split_column
 from sluice.operators.stage import Stage
@@ -53,7 +54,7 @@ def instruct_corpus(
     )
     figures = {"target_rows": target_rows, "val_split": val_ratio, "seed": seed, "format_version": "v2_streaming"}
     types = "target_rows long, val_split double, seed long, format_version string"
-    return Corpus(rows, ("train", "val"), figures, types, vocabulary, "tokencount")
+    return Corpus(rows, ("train", "val"), figures, types, vocabulary, "tokencount", count)
 
 
 def capped_instruct_corpus(
@@ -84,10 +85,14 @@ def capped_instruct_corpus(
     counted = stage.write(counted, "counted", measures)
     stats = counted.figures
     require_rows(stats["filtered_rows"], "rows remaining after filtering")
-    rows = permuted_split(counted.rows.where(under), *ids, val_ratio=val_ratio, seed=seed, stage=stage)
+    count = stats["filtered_rows"]
+    rows = permuted_split(
+        counted.rows.where(under), *ids, val_ratio=val_ratio, seed=seed, stage=stage,
+        partitions=partitions_for(instructions.sparkSession, count),
+    )
     figures = {
         "original_rows": stats["original_rows"],
-        "filtered_rows": stats["filtered_rows"],
+        "filtered_rows": count,
         "retained_percent": stats["retained_percent"],
         "min_tokens": stats["min_tokens"],
         "max_tokens": stats["max_tokens"],
@@ -101,4 +106,4 @@ def capped_instruct_corpus(
         "original_rows long, filtered_rows long, retained_percent double, min_tokens long, max_tokens long, "
         "max_seq_len_filter long, val_split double, seed long, format_version string, name string"
     )
-    return Corpus(rows, ("train", "val"), figures, types, vocabulary, "tokencount")
+    return Corpus(rows, ("train", "val"), figures, types, vocabulary, "tokencount", count)

@@ -99,7 +99,8 @@ def pretrain_by_samples(
         "math_ratio_of_pretrain double, samples_per_source map<string,long>, val_split double, seed long, "
         "name string"
     )
-    return Corpus(mixed.withColumn("split", split_column(train_end, *names)), names, figures, types)
+    rows = mixed.withColumn("split", split_column(train_end, *names))
+    return Corpus(rows, names, figures, types, row_count=sum(samples.values()))
 
 
 def accepted_text(rows: DataFrame, source: Source, position: str) -> DataFrame:
@@ -150,7 +151,7 @@ def pretrain_by_tokens(
         "target_tokens long, total_tokens long, tokens_per_source map<string,long>, "
         "examples_per_source map<string,long>, val_split double, seed long"
     )
-    return Corpus(rows, names, figures, types)
+    return Corpus(rows, names, figures, types, row_count=count)
 
 
 def _concatenated(frames: list[DataFrame]) -> DataFrame:

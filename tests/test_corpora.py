@@ -113,7 +113,19 @@ def test_token_mix_reports_what_it_kept(spark, stage):
     assert {r["split"] for r in corpus.rows.collect()} == {"train"}
 
 
-def test_pipelines_move_no_text_and_count_once(spark, stage, sf_dir):
+def test_a_mixture_as_shards(spark, stage):
+    text = spark.range(30).withColumn("text", F.concat(F.lit("x" * 80), "id"))
+    web, math = BUDGET_SOURCES
+    corpus = pretrain_by_tokens({web.name: text, math.name: text}, "id", stage, 400, val_ratio=0.1)
+    path = f"{stage.path}/shards"
+    corpus.save_shards(path, [F.col("source_order"), F.col("id")], stage, 4)
+    back = spark.read.schema("text string, source string, position long, shard long").json(path)
+    rows = back.orderBy("position").collect()
+    assert [r["shard"] for r in rows] == [i // 4 for i in range(corpus.row_count)]
+    assert [r["source"] for r in rows] == [web.name] * 20
+
+
+def test_plans_move_no_text_and_count_once(spark, stage, sf_dir):
     rows = registry.by_tokens(spark, sf_dir)
     assert "Exchange" not in physical_plan(rows) and "Join" not in physical_plan(rows)
     source = spark.read.parquet(f"{sf_dir}/documents.parquet").select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.order import shuffled
 from sluice.operators import sinks
-from sluice.operators.rank import ranked
+from sluice.operators.rank import partitions_for, ranked
 from sluice.operators.stage import Stage, checkpoint_root
 from sluice.sources.tables import (
     Source, conform, is_folder, open_source, optional, read_shards, read_string_fields, spread, table, tagged_text,
@@ -154,3 +154,8 @@ def test_names():
 def test_preview_takes_one_row_without_sorting_all(spark):
     rows = spark.range(50).withColumn("key", shuffled(1, "id").hash_text())
     assert "TakeOrderedAndProject" in physical_plan(rows.orderBy("key", "id").limit(1))
+
+
+def test_many_rows_get_more_partitions(spark):
+    assert partitions_for(spark, None) is None and partitions_for(spark, 10**6) is None
+    assert partitions_for(spark, 10**9) == 5000
