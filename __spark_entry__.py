@@ -23,6 +23,7 @@ from sluice.functions.order import by_position, shuffled
 from sluice.operators import mixture, sinks, split, stats
 from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
 from sluice.operators.cut import find_boundaries, keep, share_of_total
+from sluice.operators.draw import draw
 from sluice.operators.stage import Stage
 from sluice.plans.inspection import first_row_report
 from sluice.plans.instruct import MAX_TOKENS, VAL_RATIO, capped_instruct_corpus, instruct_corpus
@@ -276,6 +277,12 @@ def first_n_seeded(spark, sf_dir):
     return drawn[0].unionByName(drawn[1])
 
 
+def drawn_sample(spark, sf_dir):
+    rows = documents(spark, sf_dir)
+    usable, count = rows.where(tx.language_is(F.col("lang"))).select("doc_id", "text"), rows.count()
+    return draw(usable, ("doc_id",), count // 10, SEED, count, staged(spark), "sample").rows
+
+
 def token_budget_per_source(spark, sf_dir):
     rows = documents(spark, sf_dir).withColumn("token_count", tx.estimated_tokens(F.col("text")))
     weights = staged(spark).write(rows.select("doc_id", "source", "token_count"), "weights", narrow=True)
@@ -565,6 +572,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "token_stats": token_stats,
         "retention": retention,
         "first_n_seeded": first_n_seeded,
+        "drawn_sample": drawn_sample,
         "token_budget_per_source": token_budget_per_source,
         "token_budget_coupled": token_budget_coupled,
         "taken_first": taken_first,
@@ -757,6 +765,10 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE rn <= {_share('n', 0.3)}"
             for seed, op in ((42, "<>"), (43, "="))
         ),
+        "drawn_sample": (
+            "SELECT doc_id, text FROM (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS rn "
+            "FROM documents WHERE lang IS NULL OR lang = 'en') WHERE rn <= (SELECT count(*) // 10 FROM documents)"
+        ),
         "token_budget_per_source": _sql(half_budget + _share("total", 0.5), "estimated"),
         "token_budget_coupled": (
             f"WITH {estimated}, {coupled.format(condition='', whole='accepted')} "

@@ -1,16 +1,19 @@
 """Total orders of rows that do not depend on partitioning."""
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+HASH_DIGITS = 32
+SHARE_DIGITS = 8
+
 
 @dataclass(frozen=True)
 class Order:
     """Rows by a long position, or by a seeded hash of their ids (``seed`` set).
 
-    The ids together must be unique and not null. ``digit`` is a long that sorts like the order
-    (several rows may share one); ``key`` settles the order completely.
+    The ids together must be unique and not null.
     """
 
     ids: tuple[str, ...]
@@ -24,10 +27,28 @@ class Order:
         parts = [F.col(c).cast("string") for c in self.ids]
         return F.md5(F.concat_ws(":", F.lit(str(self.seed)), *parts))
 
-    def digit(self) -> Column:
+    def buckets(self, span: tuple[int, int], bits: int) -> Iterator[tuple[int, Column]]:
+        """Ever finer buckets that sort like the order, each ``bits`` finer than the one before.
+
+        Positions are cut into ranges of 2^depth, hashes by their first ``depth`` hexadecimal digits.
+        """
         if self.seeded:
-            return F.conv(F.substring(self.hash_text(), 1, HASH_BITS // 4), 16, 10).cast("long")
-        return F.col(self.ids[0]).cast("long")
+            step = -(-bits // 4)
+            for depth in range(step, HASH_DIGITS + step, step):
+                yield min(depth, HASH_DIGITS), F.substring(self.hash_text(), 1, depth)
+            return
+        depth = (span[1] - span[0]).bit_length()
+        while True:
+            depth = max(0, depth - bits)
+            yield depth, F.shiftright(F.col(self.ids[0]).cast("long"), depth)
+            if depth == 0:
+                return
+
+    def share(self, start: float, end: float) -> Column:
+        """The rows of a seeded order from one share of it to another, 0 and 1 being its ends."""
+        first, stop = (int(s * 16**SHARE_DIGITS) for s in (start, end))
+        part = self.hash_text() >= f"{first:0{SHARE_DIGITS}x}"
+        return part & (self.hash_text() < f"{stop:0{SHARE_DIGITS}x}") if end < 1 else part
 
     def keys(self) -> list[Column]:
         ids = [F.col(c) for c in self.ids]
@@ -43,9 +64,6 @@ class Order:
         return values[0] if len(values) == 1 else F.struct(*[v.alias(f"k{i}") for i, v in enumerate(values)])
 
 
-HASH_BITS = 60
-
-
 def by_position(column: str) -> Order:
     """Ascending order of a unique long column."""
     return Order((column,))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
-from sluice.functions.order import HASH_BITS, Order
+from sluice.functions.order import Order
 
 # Few buckets keep the partial aggregate of a scan task small; more of them pay off only for rows known
 # to be many, which come from a stage table of large splits.
@@ -49,8 +49,8 @@ class _Search:
     """A group whose boundary lies in one bucket: its limit, what comes before the bucket, its size."""
 
     limit: int
-    shift: int
-    bucket: int
+    depth: int
+    bucket: int | str
     before_weight: int
     before_rows: int
     bucket_rows: int
@@ -58,12 +58,12 @@ class _Search:
     total_weight: int
 
     @property
-    def low(self) -> int:
-        return self.bucket << self.shift
+    def first(self) -> int:
+        return self.bucket << self.depth
 
     @property
-    def high(self) -> int:
-        return self.low + (1 << self.shift) - 1
+    def last(self) -> int:
+        return self.first + (1 << self.depth) - 1
 
     @property
     def left(self) -> int:
@@ -92,27 +92,25 @@ def find_boundaries(
     So the row that reaches the limit is kept. ``weight`` names a column of non-negative longs, 1 per row
     if None. ``limit`` is one number, a number per group, or an expression of the group's total weight.
     ``group`` names a column with few values (the sources of a mixture): one boundary per value returns to
-    the driver. Without it the only key of the result is "". Stage an expensive weight first: the rows
+    the driver, and rows without a group are in none. Without it the only key of the result is "". Stage an expensive weight first: the rows
     are read twice or three times, on the narrow columns of this search only. ``span`` and ``rows_known``
     (first and last position, number of rows) save a job each: few rows are ordered without a search.
     """
-    narrow = rows.select(
+    narrow = (rows.where(F.col(group).isNotNull()) if group else rows).select(
         (F.col(group).cast("string") if group else F.lit("")).alias("grp"),
         *[F.col(c) for c in order.ids],
         (F.col(weight).cast("long") if weight else F.lit(1).cast("long")).alias("w"),
-        order.digit().alias("digit"),
     )
     if rows_known is not None and rows_known <= window_rows:
         return _ordered_boundaries(narrow, order, _limit_column(limit))
     bucket_bits = bucket_bits or _bucket_bits(rows_known, window_rows)
-    low, high = _digit_span(narrow, order, span)
-    shift = max(0, (high - low).bit_length() - bucket_bits)
-    found, searches = _search(narrow, order, shift, _limit_column(limit))
+    depths = order.buckets(_span(narrow, order, span), bucket_bits)
+    found, searches = _search(narrow, order, next(depths), _limit_column(limit))
     while wide := {g: s for g, s in searches.items() if s.bucket_rows > window_rows}:
-        if shift == 0:
+        finer = next(depths, None)
+        if finer is None:
             raise ValueError(f"the order by {order.ids} is not unique in {sorted(wide)}")
-        shift = max(0, shift - bucket_bits)
-        searches |= _narrow_down(narrow, order, shift, wide)
+        searches |= _narrow_down(narrow, order, finer, wide)
     return found | _bucket_boundaries(narrow, order, searches)
 
 
@@ -154,20 +152,20 @@ def _limit_column(limit: int | Mapping[str, int] | LimitOf) -> Column:
     return F.lit(limit).cast("long")
 
 
-def _in_buckets(searches: Mapping[str, _Search]) -> Column:
+def _in_buckets(order: Order, searches: Mapping[str, _Search]) -> Column:
     """Rows in the bucket that their group's search has come to."""
-    return F.col("digit").between(
-        _lookup("grp", {g: F.lit(s.low) for g, s in searches.items()}),
-        _lookup("grp", {g: F.lit(s.high) for g, s in searches.items()}),
+    if order.seeded:
+        return order.hash_text().startswith(_lookup("grp", {g: F.lit(s.bucket) for g, s in searches.items()}))
+    return F.col(order.ids[0]).between(
+        _lookup("grp", {g: F.lit(s.first) for g, s in searches.items()}),
+        _lookup("grp", {g: F.lit(s.last) for g, s in searches.items()}),
     )
 
 
-def _digit_span(narrow: DataFrame, order: Order, span: tuple[int, int] | None) -> tuple[int, int]:
-    if order.seeded:
-        return 0, (1 << HASH_BITS) - 1
-    if span is None:
-        span = narrow.agg(F.min("digit"), F.max("digit")).first()
-    return (0, 0) if span[0] is None else (span[0], span[1])
+def _span(narrow: DataFrame, order: Order, span: tuple[int, int] | None) -> tuple[int, int]:
+    if span is None and not order.seeded:
+        span = narrow.agg(F.min(order.ids[0]), F.max(order.ids[0])).first()
+    return (0, 0) if span is None or span[0] is None else (span[0], span[1])
 
 
 def _bucket_bits(rows_known: int | None, window_rows: int) -> int:
@@ -177,9 +175,9 @@ def _bucket_bits(rows_known: int | None, window_rows: int) -> int:
     return max(BUCKET_BITS, min(MOST_BUCKET_BITS, (4 * rows_known // window_rows).bit_length()))
 
 
-def _histogram(narrow: DataFrame, shift: int) -> DataFrame:
+def _histogram(narrow: DataFrame, bucket: Column) -> DataFrame:
     """Weight and rows per bucket, with the running totals before each bucket and those of the group."""
-    buckets = narrow.groupBy("grp", F.shiftright("digit", shift).alias("bucket")).agg(
+    buckets = narrow.groupBy("grp", bucket.alias("bucket")).agg(
         F.sum("w").alias("bucket_weight"), F.count("*").alias("bucket_rows")
     )
     of_group = Window.partitionBy("grp")
@@ -203,17 +201,18 @@ def _crossing(limit: Column) -> Column:
 
 
 def _search(
-    narrow: DataFrame, order: Order, shift: int, limit: Column
+    narrow: DataFrame, order: Order, buckets: tuple[int, Column], limit: Column
 ) -> tuple[dict[str, Boundary], dict[str, _Search]]:
     """First histogram: groups that are kept whole or not at all, and the bucket of the others."""
-    per_group = _per_group(_histogram(narrow, shift).withColumn("limit", limit), _crossing(F.col("limit")))
+    depth, bucket = buckets
+    per_group = _per_group(_histogram(narrow, bucket).withColumn("limit", limit), _crossing(F.col("limit")))
     found, searches = {}, {}
     for r in per_group.collect():
         if r.at is None:
             found[r.grp] = _all_or_nothing(order, r)
         else:
             searches[r.grp] = _Search(
-                r.limit, shift, r.at.bucket, r.at.before_weight, r.at.before_rows, r.at.bucket_rows,
+                r.limit, depth, r.at.bucket, r.at.before_weight, r.at.before_rows, r.at.bucket_rows,
                 r.total_rows, r.total_weight,
             )
     return found, searches
@@ -233,17 +232,18 @@ def _all_or_nothing(order: Order, r: Row) -> Boundary:
 
 
 def _narrow_down(
-    narrow: DataFrame, order: Order, shift: int, wide: Mapping[str, _Search]
+    narrow: DataFrame, order: Order, buckets: tuple[int, Column], wide: Mapping[str, _Search]
 ) -> dict[str, _Search]:
     """Search the bucket of each group again, by the next bits of the order."""
-    rows = narrow.where(_in_buckets(wide))
+    depth, bucket = buckets
+    rows = narrow.where(_in_buckets(order, wide))
     left = _limit_column({g: s.left for g, s in wide.items()})
-    at = _histogram(rows, shift).select("grp", _crossing(left).alias("at")).where("at is not null")
+    at = _histogram(rows, bucket).select("grp", _crossing(left).alias("at")).where("at is not null")
     closer = {}
     for r in at.collect():
         s = wide[r.grp]
         closer[r.grp] = _Search(
-            s.limit, shift, r.at.bucket, s.before_weight + r.at.before_weight,
+            s.limit, depth, r.at.bucket, s.before_weight + r.at.before_weight,
             s.before_rows + r.at.before_rows, r.at.bucket_rows, s.total_rows, s.total_weight,
         )
     return closer
@@ -294,7 +294,7 @@ def _bucket_boundaries(
     if not searches:
         return {}
     found, left = {}, _limit_column({g: s.left for g, s in searches.items()})
-    for r in _ordered(narrow.where(_in_buckets(searches)), order, left):
+    for r in _ordered(narrow.where(_in_buckets(order, searches)), order, left):
         s = searches[r.grp]
         found[r.grp] = Boundary(
             order, _last_row(order, r), False, s.before_rows + r.at["rank"], s.before_weight + r.at.weight,

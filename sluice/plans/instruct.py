@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from sluice.functions.bpe import Vocabulary, token_count
 from sluice.functions.order import shuffled
 from sluice.functions.text import chat, non_empty, or_empty, strip
-from sluice.operators.cut import find_boundaries, inside
+from sluice.operators.draw import draw
 from sluice.operators.rank import partitions_for
 from sluice.operators.sinks import thousands_name
 from sluice.operators.split import SPLIT_SEED_OFFSET, permutation_boundary, permuted_split, split_column
@@ -31,30 +31,23 @@ def instruct_corpus(
 ) -> Corpus:
     """The first ``target_rows`` usable (prompt, text) pairs of a seeded order, formatted, counted and split.
 
-    The pairs are read twice: once to stage the ids of usable rows, from which the ends of the prefix and
-    of the train part are searched, and once to format and count the rows kept. Nothing is shuffled.
+    Only rows that are kept are formatted and counted, each once.
     """
-    usable = pairs.where(non_empty(F.col("prompt"), F.col("text")))
-    usable_ids = stage.write(usable.select(*ids), "instruct_ids", narrow=True)
-    taken = find_boundaries(
-        usable_ids.rows, shuffled(seed, *ids), target_rows, rows_known=usable_ids.count
-    )
-    count = taken[""].rows if taken else 0
-    require_rows(count)
-    kept = inside(taken)
+    usable = pairs.where(non_empty(F.col("prompt"), F.col("text"))).select(*ids, "prompt", "text")
+    drawn = draw(usable, ids, target_rows, seed, pairs.count(), stage, "instruct")
+    require_rows(drawn.count)
     train_end = permutation_boundary(
-        usable_ids.rows.where(kept), shuffled(seed + SPLIT_SEED_OFFSET, *ids), val_ratio, count
+        drawn.ids, shuffled(seed + SPLIT_SEED_OFFSET, *ids), val_ratio, drawn.count
     )
     rows = (
-        usable.where(kept)
-        .select(*ids, strip(F.col("prompt")).alias("prompt"), strip(F.col("text")).alias("text"))
+        drawn.rows.select(*ids, strip(F.col("prompt")).alias("prompt"), strip(F.col("text")).alias("text"))
         .withColumn("formattedconversation", chat(F.col("prompt"), F.col("text")))
         .withColumn("tokencount", token_count(F.col("formattedconversation"), vocabulary))
         .withColumn("split", split_column(train_end, "train", "val"))
     )
     figures = {"target_rows": target_rows, "val_split": val_ratio, "seed": seed, "format_version": "v2_streaming"}
     types = "target_rows long, val_split double, seed long, format_version string"
-    return Corpus(rows, ("train", "val"), figures, types, vocabulary, "tokencount", count)
+    return Corpus(rows, ("train", "val"), figures, types, vocabulary, "tokencount", drawn.count)
 
 
 def capped_instruct_corpus(

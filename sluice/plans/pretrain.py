@@ -9,7 +9,7 @@ from sluice.functions.order import shuffled
 from sluice.functions.text import estimated_tokens, long_enough, non_blank, strip
 from sluice.operators import mixture
 from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
-from sluice.operators.cut import find_boundaries, inside
+from sluice.operators.draw import draw
 from sluice.operators.sinks import budget_name
 from sluice.operators.split import SPLIT_SEED_OFFSET, permutation_boundary, split_column, take_skip_boundary
 from sluice.operators.stage import Stage
@@ -63,21 +63,18 @@ def pretrain_by_samples(
         mixture.planned_samples(budgets[0], mixture.PRIMARY_TOKENS_PER_SAMPLE),
         mixture.planned_samples(budgets[1], mixture.SECONDARY_TOKENS_PER_SAMPLE),
     )
-    drawn, kept_ids, samples = [], [], {}
+    drawn, drawn_ids, samples = [], [], {}
     for offset, (label, rows, planned) in enumerate(zip(labels, (primary, secondary), plans)):
         samples[label] = 0
         if planned == 0:
             continue
-        usable = rows.where(non_blank(F.col("text"))).withColumn("source", F.lit(label))
-        usable_ids = stage.write(usable.select(*ids, "source"), f"sample_ids/{offset}", narrow=True)
-        taken = find_boundaries(
-            usable_ids.rows, shuffled(seed + offset, *ids), planned, rows_known=usable_ids.count
-        )
-        samples[label] = taken[""].rows if taken else 0
-        kept_ids.append(usable_ids.rows.where(inside(taken)))
-        drawn.append(usable.where(inside(taken)).select(*ids, strip(F.col("text")).alias("text"), "source"))
+        usable = rows.where(non_blank(F.col("text"))).select(*ids, "text")
+        sample = draw(usable, ids, planned, seed + offset, rows.count(), stage, f"samples/{offset}")
+        samples[label] = sample.count
+        drawn.append(sample.rows.select(*ids, strip(F.col("text")).alias("text"), F.lit(label).alias("source")))
+        drawn_ids.append(sample.ids.withColumn("source", F.lit(label)))
     require_rows(sum(samples.values()))
-    mixed, mixed_ids = (_concatenated(frames) for frames in (drawn, kept_ids))
+    mixed, mixed_ids = _concatenated(drawn), _concatenated(drawn_ids)
     train_end = permutation_boundary(
         mixed_ids, shuffled(seed + SPLIT_SEED_OFFSET, "source", *ids), val_ratio, sum(samples.values())
     )

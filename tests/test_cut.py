@@ -105,6 +105,13 @@ def test_groups_kept_whole_cut_or_left_out(spark):
         assert (ends["b"].rows, ends["b"].total_rows) == (2, 3)
 
 
+def test_rows_without_a_group_are_dropped(spark):
+    rows = table(spark, [(i, "a" if i % 2 else None, 1) for i in range(10)])
+    for search in ({}, {"rows_known": 10}):
+        ends = find_boundaries(rows, by_position("id"), 3, group="source", **search)
+        assert list(ends) == ["a"] and ids(keep(rows, ends, "source")) == [1, 3, 5]
+
+
 def test_no_rows_no_boundary(spark):
     rows = table(spark, [(1, "a", 1)]).where("id > 1")
     ends = find_boundaries(rows, by_position("id"), 5)
