@@ -39,6 +39,7 @@ SHARD = 100
 PAIR = ("conv_id", "turn")
 DAY = date(2024, 5, 6)
 PAD = "\u00a0\t\u3000"
+_stages: list[Stage] = []
 SHARD_SCHEMA = "position long, text string, source string, shard long"
 
 
@@ -73,7 +74,10 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pairs as instructions, with the conversation's system turn as context."""
+    """The pairs as instructions, with the conversation's system turn as context.
+
+    A conversation that holds most pairs is split by the adaptive skew join.
+    """
     turns = open_source(spark, Source("conversations", f"{sf_dir}/conversations.parquet"))
     context = turns.where("role = 'system'").select("conv_id", F.col("text").alias("context"))
     return (
@@ -109,12 +113,21 @@ def public_vocabulary() -> Vocabulary:
 
 
 def staged(spark: SparkSession) -> Stage:
-    """Stage folder of one query; its result is read lazily, so it goes when the session's program ends."""
+    """Stage folder of one query. Its result is read lazily, so the folder stays until ``release``."""
     stage = Stage(spark)
-    atexit.register(lambda: spark.sparkContext._jsc and stage.close())
+    _stages.append(stage)
     return stage
 
 
+@atexit.register
+def release() -> None:
+    """Remove the stage folders of all queries, as long as their session lives."""
+    while _stages:
+        stage = _stages.pop()
+        if stage.spark.sparkContext._jsc is not None:
+            stage.close()
+
+
 def half_of(rows: DataFrame) -> int:
     return rows.agg(F.coalesce(F.sum("token_count"), F.lit(0))).first()[0] // 2
 

@@ -21,6 +21,9 @@ BUCKET_BITS = 12
 MOST_BUCKET_BITS = 16
 WINDOW_ROWS = 500_000
 
+# Columns of the search; ids keep their names beside them.
+GROUP, WEIGHT = "_cut_group", "_cut_weight"
+
 LimitOf = Callable[[Column], Column]
 
 
@@ -92,14 +95,16 @@ def find_boundaries(
     So the row that reaches the limit is kept. ``weight`` names a column of non-negative longs, 1 per row
     if None. ``limit`` is one number, a number per group, or an expression of the group's total weight.
     ``group`` names a column with few values (the sources of a mixture): one boundary per value returns to
-    the driver, and rows without a group are in none. Without it the only key of the result is "". Stage an expensive weight first: the rows
-    are read twice or three times, on the narrow columns of this search only. ``span`` and ``rows_known``
-    (first and last position, number of rows) save a job each: few rows are ordered without a search.
+    the driver, and rows without a group are in none. Without it the only key of the result is "".
+
+    Stage an expensive weight first: the rows are read twice or three times, on the narrow columns of this
+    search only. ``span`` and ``rows_known`` (first and last position, number of rows) save a job each: few
+    rows are ordered without a search.
     """
     narrow = (rows.where(F.col(group).isNotNull()) if group else rows).select(
-        (F.col(group).cast("string") if group else F.lit("")).alias("grp"),
+        (F.col(group).cast("string") if group else F.lit("")).alias(GROUP),
         *[F.col(c) for c in order.ids],
-        (F.col(weight).cast("long") if weight else F.lit(1).cast("long")).alias("w"),
+        (F.col(weight).cast("long") if weight else F.lit(1).cast("long")).alias(WEIGHT),
     )
     if rows_known is not None and rows_known <= window_rows:
         return _ordered_boundaries(narrow, order, _limit_column(limit))
@@ -137,8 +142,6 @@ def inside(boundaries: Mapping[str, Boundary], group: str | None = None) -> Colu
 
 def _lookup(group: str, values: Mapping[str, Column]) -> Column:
     """The value of the row's group from a literal map; null for other groups."""
-    if list(values) == [""]:
-        return values[""]
     pairs = [item for g, v in values.items() for item in (F.lit(g), v)]
     return F.try_element_at(F.create_map(*pairs), F.col(group))
 
@@ -148,17 +151,17 @@ def _limit_column(limit: int | Mapping[str, int] | LimitOf) -> Column:
         return limit(F.col("total_weight"))
     if isinstance(limit, Mapping):
         limits = {g: F.lit(v).cast("long") for g, v in limit.items()}
-        return F.coalesce(_lookup("grp", limits), F.lit(0)) if limits else F.lit(0).cast("long")
+        return F.coalesce(_lookup(GROUP, limits), F.lit(0)) if limits else F.lit(0).cast("long")
     return F.lit(limit).cast("long")
 
 
 def _in_buckets(order: Order, searches: Mapping[str, _Search]) -> Column:
     """Rows in the bucket that their group's search has come to."""
     if order.seeded:
-        return order.hash_text().startswith(_lookup("grp", {g: F.lit(s.bucket) for g, s in searches.items()}))
+        return order.hash_text().startswith(_lookup(GROUP, {g: F.lit(s.bucket) for g, s in searches.items()}))
     return F.col(order.ids[0]).between(
-        _lookup("grp", {g: F.lit(s.first) for g, s in searches.items()}),
-        _lookup("grp", {g: F.lit(s.last) for g, s in searches.items()}),
+        _lookup(GROUP, {g: F.lit(s.first) for g, s in searches.items()}),
+        _lookup(GROUP, {g: F.lit(s.last) for g, s in searches.items()}),
     )
 
 
@@ -177,10 +180,10 @@ def _bucket_bits(rows_known: int | None, window_rows: int) -> int:
 
 def _histogram(narrow: DataFrame, bucket: Column) -> DataFrame:
     """Weight and rows per bucket, with the running totals before each bucket and those of the group."""
-    buckets = narrow.groupBy("grp", bucket.alias("bucket")).agg(
-        F.sum("w").alias("bucket_weight"), F.count("*").alias("bucket_rows")
+    buckets = narrow.groupBy(GROUP, bucket.alias("bucket")).agg(
+        F.sum(WEIGHT).alias("bucket_weight"), F.count("*").alias("bucket_rows")
     )
-    of_group = Window.partitionBy("grp")
+    of_group = Window.partitionBy(GROUP)
     earlier = of_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     return buckets.select(
         "*",
@@ -209,9 +212,9 @@ def _search(
     found, searches = {}, {}
     for r in per_group.collect():
         if r.at is None:
-            found[r.grp] = _all_or_nothing(order, r)
+            found[r[GROUP]] = _all_or_nothing(order, r)
         else:
-            searches[r.grp] = _Search(
+            searches[r[GROUP]] = _Search(
                 r.limit, depth, r.at.bucket, r.at.before_weight, r.at.before_rows, r.at.bucket_rows,
                 r.total_rows, r.total_weight,
             )
@@ -221,7 +224,7 @@ def _search(
 def _per_group(rows: DataFrame, at: Column) -> DataFrame:
     """One row per group: its limit and totals, and the ``at`` of the one row where that is set."""
     totals = [F.max(c).alias(c) for c in ("limit", "total_rows", "total_weight")]
-    return rows.groupBy("grp").agg(*totals, F.max(at).alias("at"))
+    return rows.groupBy(GROUP).agg(*totals, F.max(at).alias("at"))
 
 
 def _all_or_nothing(order: Order, r: Row) -> Boundary:
@@ -238,11 +241,11 @@ def _narrow_down(
     depth, bucket = buckets
     rows = narrow.where(_in_buckets(order, wide))
     left = _limit_column({g: s.left for g, s in wide.items()})
-    at = _histogram(rows, bucket).select("grp", _crossing(left).alias("at")).where("at is not null")
+    at = _histogram(rows, bucket).select(GROUP, _crossing(left).alias("at")).where("at is not null")
     closer = {}
     for r in at.collect():
-        s = wide[r.grp]
-        closer[r.grp] = _Search(
+        s = wide[r[GROUP]]
+        closer[r[GROUP]] = _Search(
             s.limit, depth, r.at.bucket, s.before_weight + r.at.before_weight,
             s.before_rows + r.at.before_rows, r.at.bucket_rows, s.total_rows, s.total_weight,
         )
@@ -251,20 +254,20 @@ def _narrow_down(
 
 def _ordered(rows: DataFrame, order: Order, limit: Column) -> list[Row]:
     """Order the rows of each group (a bounded number) and find the row that reaches the limit."""
-    of_group = Window.partitionBy("grp")
+    of_group = Window.partitionBy(GROUP)
     in_order = of_group.orderBy(*order.keys())
     running = in_order.rowsBetween(Window.unboundedPreceding, 0)
     ordered = rows.select(
-        "grp",
-        "w",
+        GROUP,
+        WEIGHT,
         F.struct(*[k.alias(f"k{i}") for i, k in enumerate(order.keys())]).alias("keys"),
         F.row_number().over(in_order).alias("rank"),
-        F.sum("w").over(running).alias("weight"),
+        F.sum(WEIGHT).over(running).alias("weight"),
         (order.key() == F.lead(order.key()).over(in_order)).alias("tied"),
-        F.sum("w").over(of_group).alias("total_weight"),
+        F.sum(WEIGHT).over(of_group).alias("total_weight"),
         F.count("*").over(of_group).alias("total_rows"),
     ).withColumn("limit", limit)
-    reached = (F.col("weight") >= F.col("limit")) & (F.col("weight") - F.col("w") < F.col("limit"))
+    reached = (F.col("weight") >= F.col("limit")) & (F.col("weight") - F.col(WEIGHT) < F.col("limit"))
     return _per_group(ordered, F.when(reached, F.struct("rank", "weight", "tied", "keys"))).collect()
 
 
@@ -279,9 +282,9 @@ def _ordered_boundaries(narrow: DataFrame, order: Order, limit: Column) -> dict[
     found = {}
     for r in _ordered(narrow, order, limit):
         if r.at is None:
-            found[r.grp] = _all_or_nothing(order, r)
+            found[r[GROUP]] = _all_or_nothing(order, r)
         else:
-            found[r.grp] = Boundary(
+            found[r[GROUP]] = Boundary(
                 order, _last_row(order, r), False, r.at["rank"], r.at.weight, r.total_rows, r.total_weight
             )
     return found
@@ -295,8 +298,8 @@ def _bucket_boundaries(
         return {}
     found, left = {}, _limit_column({g: s.left for g, s in searches.items()})
     for r in _ordered(narrow.where(_in_buckets(order, searches)), order, left):
-        s = searches[r.grp]
-        found[r.grp] = Boundary(
+        s = searches[r[GROUP]]
+        found[r[GROUP]] = Boundary(
             order, _last_row(order, r), False, s.before_rows + r.at["rank"], s.before_weight + r.at.weight,
             s.total_rows, s.total_weight,
         )

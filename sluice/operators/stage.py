@@ -11,9 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from sluice.sources.tables import delete_path
+from sluice.sources.tables import delete_path, planned_splits
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+FEW_SPLITS = 16
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -60,10 +61,12 @@ class Stage:
         """Write ``rows``; their number and the ``measures`` are collected by the same pass.
 
         ``file_rows`` bounds the rows of a file; 0 leaves it to the tasks. ``narrow`` rows are much smaller
-        than what they are read from: they are rebalanced, or each scan task would leave a tiny file.
+        than what they are read from: unless that is small, they are rebalanced, or each of many scan tasks
+        would leave a tiny file.
         """
         seen, path = Observation(), f"{self.path}/{name}"
-        rows = rows.hint("rebalance") if narrow else rows
+        if narrow and planned_splits(rows) > FEW_SPLITS:
+            rows = rows.hint("rebalance")
         observed = rows.observe(seen, F.count("*").alias("rows"), *measures)
         observed.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
         figures = seen.get

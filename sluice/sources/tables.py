@@ -115,11 +115,14 @@ def spread(rows: DataFrame) -> DataFrame:
 
     For work that costs much per row, on input of fewer splits than cores. ``rows`` must be a plain scan.
     """
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    scan_bytes = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return rows.repartition(cores) if scan_bytes < cores * split_bytes else rows
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if planned_splits(rows) < cores else rows
+
+
+def planned_splits(rows: DataFrame) -> float:
+    """Size of the rows in scan splits, as the optimizer estimates it; exact for a plain scan, no job runs."""
+    split_bytes = rows.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() / split_bytes
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:

@@ -77,6 +77,19 @@ def test_small_scans_spread_and_large_ones_do_not(spark, sf_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_narrow_rows_of_many_splits_leave_few_files(spark, stage):
+    rows = spark.range(0, 20_000, numPartitions=40)
+    files = {}
+    for split_bytes in ("1g", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        try:
+            assert stage.write(rows, split_bytes, narrow=True).count == 20_000
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        files[split_bytes] = len(spark.read.parquet(f"{stage.path}/{split_bytes}").inputFiles())
+    assert files["1g"] == 40 and files["1k"] < 10
+
+
 def test_stage_lives_in_the_checkpoint_folder_and_goes(spark):
     with pytest.raises(RuntimeError), Stage(spark) as stage:
         assert stage.path.startswith(checkpoint_root(spark))
