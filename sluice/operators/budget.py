@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluice.functions.order import by_position
 from sluice.operators.cut import Boundary, find_boundaries
@@ -18,6 +18,7 @@ from sluice.operators.stage import Stage
 PROBE_POSITIONS = 1_000_000
 PROBE_FRACTION = 4096
 HEADROOM = 1.25
+WEIGHT = "weight"
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,7 @@ def position_span(rows: DataFrame, position: str) -> tuple[int, int] | None:
 def stage_prefix(
     rows: DataFrame,
     position: str,
-    weight: str,
+    weight: Column,
     target: int,
     stage: Stage,
     name: str,
@@ -59,20 +60,22 @@ def stage_prefix(
 ) -> tuple[DataFrame, int, tuple[int, int]]:
     """(position, weight) of a prefix of the rows that holds at least ``target``, or of all rows.
 
-    Returns the staged pairs, their number and the range of positions read.
+    Only rows in the range are weighed, each once. Returns the staged pairs, their number and the range of
+    positions read.
     """
     low, high = span
-    schema = T.StructType([T.StructField(position, T.LongType()), T.StructField(weight, T.LongType())])
-    pairs = rows.select(F.col(position).cast("long"), F.col(weight).cast("long"))
+    schema = T.StructType([T.StructField(position, T.LongType()), T.StructField(WEIGHT, T.LongType())])
     width = probe or max(PROBE_POSITIONS, (high - low) // PROBE_FRACTION)
     start, reached, count, parts = low, 0, 0, []
     while start <= high and (reached < target or not parts):
         end = min(high, start + width - 1)
         parts.append(f"{name}/{len(parts)}")
         part = stage.write(
-            pairs.where(F.col(position).between(start, end)),
+            rows.where(F.col(position).between(start, end)).select(
+                F.col(position).cast("long"), weight.cast("long").alias(WEIGHT)
+            ),
             parts[-1],
-            [F.coalesce(F.sum(weight), F.lit(0)).alias("weight")],
+            [F.coalesce(F.sum(WEIGHT), F.lit(0)).alias("weight")],
             narrow=True,
         )
         count += part.count
@@ -87,7 +90,7 @@ def coupled_budgets(
     sources: Sequence[BudgetSource],
     total: int,
     position: str,
-    weight: str,
+    weight: Column,
     stage: Stage,
     **search,
 ) -> dict[str, BudgetCut]:
@@ -110,7 +113,7 @@ def coupled_budgets(
             source.rows, position, weight, target, stage, f"weights/{source.name}", span
         )
         boundary = find_boundaries(
-            pairs, order, target, weight=weight, span=span, rows_known=count, **search
+            pairs, order, target, weight=WEIGHT, span=span, rows_known=count, **search
         ).get("")
         if boundary is not None:
             found[source.name] = BudgetCut(boundary, pairs)

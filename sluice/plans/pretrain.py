@@ -5,6 +5,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from sluice.functions.bpe import Vocabulary, token_count
 from sluice.functions.order import shuffled
 from sluice.functions.text import estimated_tokens, long_enough, non_blank, strip
 from sluice.operators import mixture
@@ -101,9 +102,8 @@ def pretrain_by_samples(
 
 
 def accepted_text(rows: DataFrame, source: Source, position: str) -> DataFrame:
-    """(position, text, source, token_count) of the rows that pass the source's predicate and are long enough."""
-    long_texts = tagged_text(rows, source, position).where(long_enough(F.col("text")))
-    return long_texts.withColumn("token_count", estimated_tokens(F.col("text")))
+    """(position, text, source) of the rows that pass the source's predicate and are long enough."""
+    return tagged_text(rows, source, position).where(long_enough(F.col("text")))
 
 
 def pretrain_by_tokens(
@@ -114,17 +114,21 @@ def pretrain_by_tokens(
     sources: Sequence[Source] = BUDGET_SOURCES,
     seed: int = SEED,
     val_ratio: float = VAL_RATIO,
+    vocabulary: Vocabulary | None = None,
 ) -> Corpus:
     """Sources in their order, each read by position up to its token budget, then split.
 
-    ``inputs`` has the rows of each source by its name. Reading stops where a budget is met.
+    ``inputs`` has the rows of each source by its name. Reading stops where a budget is met. Budgets are in
+    estimated tokens, or in exact ones of a ``vocabulary``.
     """
+    text = F.col("text")
+    weight = token_count(text, vocabulary) if vocabulary else estimated_tokens(text)
     targets = mixture.source_targets(total_tokens, {s.name: s.ratio for s in sources})
     mixed = [
         BudgetSource(s.name, inputs[s.name], accepted_text(inputs[s.name], s, position), targets[s.name])
         for s in sources
     ]
-    cuts = coupled_budgets(mixed, total_tokens, position, "token_count", stage)
+    cuts = coupled_budgets(mixed, total_tokens, position, weight, stage)
     ends = {name: cut.boundary for name, cut in cuts.items()}
     count = sum(end.rows for end in ends.values())
     require_rows(count)

@@ -32,7 +32,7 @@ def walk(mixture, total):
 def cut(spark, mixture, total, stage, **search):
     rows = [source(spark, weights) for weights, _ in mixture]
     sources = [BudgetSource(f"s{i}", r, r, t) for i, (r, (_, t)) in enumerate(zip(rows, mixture))]
-    cuts = coupled_budgets(sources, total, "pos", "tokens", stage, **search)
+    cuts = coupled_budgets(sources, total, "pos", F.col("tokens"), stage, **search)
     taken = take_budgets(sources, cuts, ["pos", "tokens"]).groupBy("source_order").count().collect()
     counts = {r["source_order"]: r["count"] for r in taken}
     assert {name: c.boundary.rows for name, c in cuts.items() if c.boundary.rows} == {
@@ -70,16 +70,16 @@ def test_random_mixtures_equal_a_walk(spark, stage):
 
 def test_reading_stops_near_the_budget(spark, stage):
     rows = source(spark, [2] * 1000)
-    pairs, count, (low, high) = stage_prefix(rows, "pos", "tokens", 300, stage, "p", (0, 999), probe=20)
+    pairs, count, (low, high) = stage_prefix(rows, "pos", F.col("tokens"), 300, stage, "p", (0, 999), probe=20)
     assert low == 0 and 149 <= high < 400
-    assert pairs.count() == count == high + 1 and pairs.agg(F.sum("tokens")).first()[0] >= 300
+    assert pairs.count() == count == high + 1 and pairs.agg(F.sum("weight")).first()[0] >= 300
 
 
 def test_reading_goes_on_through_empty_ranges(spark, stage):
     rows = source(spark, [1] * 500).where("pos < 2 or pos > 480")
-    pairs, _, span = stage_prefix(rows, "pos", "tokens", 10, stage, "p", (0, 499), probe=5)
+    pairs, _, span = stage_prefix(rows, "pos", F.col("tokens"), 10, stage, "p", (0, 499), probe=5)
     assert pairs.count() >= 10 and span[1] >= 488
-    everything, count, span = stage_prefix(rows, "pos", "tokens", 10**6, stage, "q", (0, 499), probe=5)
+    everything, count, span = stage_prefix(rows, "pos", F.col("tokens"), 10**6, stage, "q", (0, 499), probe=5)
     assert everything.count() == rows.count() == count and span == (0, 499)
 
 
@@ -89,5 +89,6 @@ def test_the_range_read_reaches_the_scan(spark, stage, sf_dir):
     )
     plan = physical_plan(rows.where(F.col("doc_id").between(0, 9)).hint("rebalance"))
     assert "GreaterThanOrEqual(doc_id,0)" in plan and "LessThanOrEqual(doc_id,9)" in plan
-    pairs, count, _ = stage_prefix(rows, "doc_id", "tokens", 500, stage, "p", position_span(rows, "doc_id"), probe=10)
+    span = position_span(rows, "doc_id")
+    pairs, count, _ = stage_prefix(rows, "doc_id", F.col("tokens"), 500, stage, "p", span, probe=10)
     assert count == pairs.count() < rows.count()

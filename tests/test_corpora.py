@@ -133,3 +133,14 @@ def test_plans_move_no_text_and_count_once(spark, stage, sf_dir):
     )
     plan = physical_plan(instruct_corpus(source, ("id",), BYTES, stage, target_rows=50).rows)
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan and "Join" not in plan
+
+
+def test_exact_budgets_weigh_only_the_range_read(spark, stage):
+    text = spark.range(40).withColumn("text", F.concat(F.lit("é" * 50), "id"))
+    web, math = BUDGET_SOURCES
+    inputs = {web.name: text, math.name: text.where("id < 1")}
+    corpus = pretrain_by_tokens(inputs, "id", stage, 1000, val_ratio=0.1, vocabulary=BYTES)
+    kept = [r["text"] for r in corpus.rows.where(F.col("source") == web.name).orderBy("id").collect()]
+    sizes = [len(t.encode()) for t in kept]
+    assert sum(sizes[:-1]) < 990 <= sum(sizes)
+    assert "ArrowEvalPython" not in physical_plan(corpus.rows)

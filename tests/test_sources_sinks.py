@@ -172,3 +172,8 @@ def test_preview_takes_one_row_without_sorting_all(spark):
 def test_many_rows_get_more_partitions(spark):
     assert partitions_for(spark, None) is None and partitions_for(spark, 10**6) is None
     assert partitions_for(spark, 10**9) == 5000
+
+
+def test_stage_files_are_bounded(spark, stage):
+    assert stage.write(spark.range(25).coalesce(1), "t", file_rows=10).count == 25
+    assert len(spark.read.parquet(f"{stage.path}/t").inputFiles()) == 3

@@ -96,3 +96,10 @@ def test_resumed_equals_one_run(spark, folder):
     everything = [tuple(r) for r in spark.read.schema(SCHEMA).parquet(str(folder / "in")).collect()]
     kept = streams.read_batches(spark, out, rows.schema).collect()
     assert sorted(r["pos"] for r in kept) == walk(everything, targets)
+
+
+def test_json_lines_arrive_too(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 2), (2, "b", 3)], SCHEMA).write.json(str(tmp_path / "in"))
+    rows = streams.arriving(spark, str(tmp_path / "in"), SCHEMA, file_format="json", pattern="*.json")
+    streams.ingest(rows, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
