@@ -89,7 +89,8 @@ def _encoder_factory(vocabulary: Vocabulary):
 def token_count(text: Column, vocabulary: Vocabulary) -> Column:
     """Exact number of tokens; null for null.
 
-    Marked non-deterministic so that a filter on the count is not pushed below it and evaluated twice.
+    Marked non-deterministic so that a filter on the count is not pushed below it and evaluated twice; so
+    filter first what can be filtered, and give the count a column before aggregating it.
     """
     encoder = _encoder_factory(vocabulary)
 

@@ -60,6 +60,7 @@ class Stage:
     ) -> "Staged":
         """Write ``rows``; their number and the ``measures`` are collected by the same pass.
 
+        They are counted in the writing stage itself, where Spark applies each task's update once.
         ``file_rows`` bounds the rows of a file; 0 leaves it to the tasks. ``narrow`` rows are much smaller
         than what they are read from: unless that is small, they are rebalanced, or each of many scan tasks
         would leave a tiny file.

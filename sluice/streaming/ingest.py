@@ -75,6 +75,8 @@ def ingest_budgeted(
 ) -> StreamingQuery:
     """Per source, accept arriving rows until the tokens accepted so far reach the source's target.
 
+    Sources without a target are left out.
+
     Rows of a batch are taken in position order, earlier batches before later ones. What a source has
     taken is read from the progress of earlier batches, and the batch is cut by the distributed search of
     ``find_boundaries``: a source that makes up most of the stream is not gathered into one task. The row

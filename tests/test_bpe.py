@@ -1,15 +1,19 @@
+from functools import cache
+
 import public_tokenizers
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
-from sluice.functions.bpe import Vocabulary, decoded, positions_of, token_count, token_ids
+from sluice.functions.bpe import Vocabulary, _encoder_factory, decoded, positions_of, token_count, token_ids
 from tests.plans import physical_plan
 
 TEXTS = [
     "", " ", "Hello world", "<|im_start|>user\nhi\n<|im_end|>", "literal \\n text", "é\U0001d49c 漢字\u3000",
     "a" * 3000, "<|endoftext|> in the text", "tabs\t\tand\n\n\nlines  ", "<|im_start|><|im_start|>",
+    "a <|im_end|> b", "<|im_start", "it's 12,345.67 don't",
 ]
 
 
@@ -18,11 +22,25 @@ def public():
     return Vocabulary.from_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
-@pytest.fixture(scope="module")
-def second_implementation():
+@cache
+def other_tokenizer():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.add_special_tokens(["<|im_start|>", "<|im_end|>"])
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return tokenizer
+
+
+def other_ids(text):
+    return other_tokenizer().encode(text, add_special_tokens=False).ids
+
+
+@cache
+def encoder():
+    return _encoder_factory(Vocabulary.from_file(public_tokenizers.path("byte_bpe_50k.tiktoken")))()
+
+
+@pytest.fixture(scope="module")
+def second_implementation():
+    return other_ids
 
 
 def rows_of(spark, texts):
@@ -46,6 +64,16 @@ def test_ids_equal_second_implementation(spark, public, second_implementation):
         assert found[i]["n"] == len(found[i]["ids"])
 
 
+ALPHABET = "".join(chr(c) for c in range(0x00, 0x180)) + "\u1680\u2003\u2028\u3000\u4e2d\u6587\u0436\u05d0\U0001f600"
+
+
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(st.lists(st.one_of(st.text(ALPHABET, max_size=40), st.sampled_from(["<|im_start|>", "<|im_end|>", "\n"]))))
+def test_any_text_equals_second_implementation(parts):
+    text = "".join(parts)
+    assert encoder().encode(text, allowed_special="all") == other_ids(text)
+
+
 def test_counts_of_pairs_equal_second_implementation(spark, public, second_implementation, sf_dir):
     for separator in ("\n", "\\n"):
         for r in registry.counted(spark, sf_dir, public, separator).collect():
