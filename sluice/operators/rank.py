@@ -1,13 +1,20 @@
-"""Dense global positions without a single-task window."""
+"""Dense global positions without a single-task window.
+
+Rows are brought together in parts that follow each other in the order, numbered inside their part, and
+staged; the sizes of the parts, one number for each, give the offsets.
+"""
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from sluice.functions.order import Order
 from sluice.operators.stage import Stage
 
 INDEX_BITS = 33
 ROWS_PER_PARTITION = 200_000
+# 16^4 parts, and 16^5 for more partitions than those would fill evenly; an offset takes 16 bytes.
+PART_DIGITS, MANY_PARTITIONS = 4, 8192
 
 
 def partitions_for(spark: SparkSession, rows_known: int | None) -> int | None:
@@ -21,26 +28,41 @@ def ranked(
 ) -> tuple[DataFrame, int]:
     """``rows`` with a column ``name``: their 0-based place in the order of ``keys``; and the number of rows.
 
-    The keys are unique, so Spark's range partitioning balances whatever their spread. Each sorted
-    partition numbers its own rows and is staged; the sizes of the partitions, one number for each of the
-    ``partitions`` (by default ``spark.sql.shuffle.partitions``), give the offsets.
+    The keys are unique, so Spark's range partitioning balances whatever their spread. It samples the keys
+    first, which evaluates the rows twice: stage expensive ones.
     """
+    in_order = rows.repartitionByRange(*([partitions] if partitions else []), *keys)
+    # The upper bits of a place are those of the partition.
+    return _placed(in_order.sortWithinPartitions(*keys), F.shiftright("_place", INDEX_BITS), stage, name)
+
+
+def ranked_by_hash(
+    rows: DataFrame, order: Order, stage: Stage, name: str, partitions: int | None = None
+) -> tuple[DataFrame, int]:
+    """``ranked`` for a seeded order, whose hashes lie evenly: nothing is sampled, the rows are evaluated once.
+
+    A part is the rows whose hashes begin alike; sorted by the hash they follow each other in a partition.
+    """
+    digits = PART_DIGITS + ((partitions or 0) > MANY_PARTITIONS)
+    part = F.substring(order.hash_text(), 1, digits)
+    together = rows.repartition(*([partitions] if partitions else []), part)
+    return _placed(together.sortWithinPartitions(*order.keys()), part, stage, name)
+
+
+def _placed(in_parts: DataFrame, part: Column, stage: Stage, name: str) -> tuple[DataFrame, int]:
     # monotonically_increasing_id holds the partition in its upper bits and the row's index below them.
-    numbered = (
-        rows.repartitionByRange(*([partitions] if partitions else []), *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_place", F.monotonically_increasing_id())
+    staged = stage.write(in_parts.withColumn("_place", F.monotonically_increasing_id()), name)
+    sizes = staged.rows.groupBy(part.alias("_part")).agg(
+        F.count("*").alias("_size"), F.min("_place").alias("_first")
     )
-    staged = stage.write(numbered, name)
-    part = F.shiftright("_place", INDEX_BITS)
-    sizes = staged.rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
     earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    index = F.col("_place").bitwiseAND(F.lit((1 << INDEX_BITS) - 1))
+    offsets = sizes.select(
+        "_part", (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset")
+    )
     placed = (
         staged.rows.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + index)
+        .withColumn(name, F.col("_place") + F.col("_offset"))
         .drop("_part", "_place", "_offset")
     )
     return placed, staged.count

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluice.functions.order import Order, shuffled
 from sluice.operators.cut import Boundary, find_boundaries, inside, share_of_total
-from sluice.operators.rank import ranked
+from sluice.operators.rank import ranked_by_hash
 from sluice.operators.stage import Stage
 
 # Fixed value: the permutation split draws from the run's seed plus this.
@@ -65,10 +65,9 @@ def permuted_split(
 ) -> DataFrame:
     """``rows`` in permuted order: a ``permuted`` rank from 0 and the ``split`` it falls into.
 
-    Sorting the rows moves their text once, by a range shuffle; they are staged in that order.
+    Ranking the rows moves their text once; they are staged on the way.
     """
-    order = shuffled(seed, *ids)
-    in_order, total = ranked(rows, order.keys(), stage, "permuted", partitions)
+    in_order, total = ranked_by_hash(rows, shuffled(seed, *ids), stage, "permuted", partitions)
     train, _ = permutation_sizes(total, val_ratio)
     return in_order.withColumn(
         "split", F.when(F.col("permuted") < train, F.lit(names[0])).otherwise(F.lit(names[1]))

@@ -14,7 +14,10 @@ from sluice.operators.stage import Stage, plain
 
 @dataclass
 class Corpus:
-    """Rows with a ``split`` column, the figures known before writing, and what to measure on writing."""
+    """Rows with a ``split`` column, the figures known before writing, and what to measure on writing.
+
+    ``tokens`` names the token count column, ``row_count`` is the number of rows as the plan knows it.
+    """
 
     rows: DataFrame
     names: tuple[str, str]
@@ -55,13 +58,13 @@ class Corpus:
     def save_shards(
         self, path: str, keys: Sequence[Column], stage: Stage, shard_rows: int = sinks.SHARD_ROWS
     ) -> None:
-        """Write the rows as JSON-lines shards of exact size, in the order of ``keys``."""
-        shards = sinks.with_shards(self.rows, keys, stage, shard_rows, self.partitions())
-        sinks.write_shards(shards, path)
+        """Write the rows as JSON-lines shards of exact size, in the order of ``keys``.
 
-    def partitions(self) -> int | None:
-        """Partitions for moving all rows: more than the session's if the rows are known to need more."""
-        return partitions_for(self.rows.sparkSession, self.row_count)
+        The rows are staged before: ordering them evaluates them twice.
+        """
+        staged = stage.write(self.rows, "unordered")
+        partitions = partitions_for(self.rows.sparkSession, staged.count)
+        sinks.write_shards(sinks.with_shards(staged.rows, keys, stage, shard_rows, partitions), path)
 
     def read(self, path: str, split: str | None = None) -> DataFrame:
         return sinks.read_splits(self.rows.sparkSession, path, plain(self.rows.schema), split)

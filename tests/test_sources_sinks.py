@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sluice.functions.order import shuffled
-from sluice.operators import sinks
+from sluice.operators import rank, sinks
 from sluice.operators.rank import partitions_for, ranked
 from sluice.operators.stage import Stage, checkpoint_root
 from sluice.sources.tables import (
@@ -177,3 +177,13 @@ def test_many_rows_get_more_partitions(spark):
 def test_stage_files_are_bounded(spark, stage):
     assert stage.write(spark.range(25).coalesce(1), "t", file_rows=10).count == 25
     assert len(spark.read.parquet(f"{stage.path}/t").inputFiles()) == 3
+
+
+@pytest.mark.parametrize("many", [8192, 1])
+def test_hash_ranks_are_dense(spark, stage, many, monkeypatch):
+    monkeypatch.setattr(rank, "MANY_PARTITIONS", many)
+    order = shuffled(3, "id")
+    placed, total = rank.ranked_by_hash(spark.range(500), order, stage, "place", 6)
+    found = placed.withColumn("hash", order.hash_text()).orderBy("place").collect()
+    assert total == 500 and [r["place"] for r in found] == list(range(500))
+    assert [r["hash"] for r in found] == sorted(r["hash"] for r in found)

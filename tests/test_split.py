@@ -44,8 +44,11 @@ def test_take_skip_split(spark, partitions):
     assert members(rows, "train") == sorted(order[6:])
 
 
-def test_permuted_split_carries_the_permutation(spark, stage):
-    rows = split.permuted_split(rows_of(spark, 60), "id", val_ratio=0.1, seed=7, stage=stage)
+@pytest.mark.parametrize("partitions", [None, 1, 13])
+def test_permuted_split_carries_the_permutation(spark, stage, partitions):
+    rows = split.permuted_split(
+        rows_of(spark, 60), "id", val_ratio=0.1, seed=7, stage=stage, partitions=partitions
+    )
     assert [r["id"] for r in rows.orderBy("permuted").collect()] == hashed(7, 60)
     train = split.permutation_sizes(60, 0.1)[0]
     assert {r["split"] for r in rows.where(F.col("permuted") < train).collect()} == {"train"}
