@@ -21,6 +21,11 @@ from sluice.sources.tables import Source, tagged_text
 # The source labels and shares of the mixtures, validation share, seed and token budget.
 PRIMARY, SECONDARY = "fineweb-edu", "open-web-math"
 SECONDARY_SHARE = 0.01
+SUBSETS = ("sample-10BT", "sample-100BT", "sample-350BT", "full")
+SAMPLE_SOURCES = (
+    Source(PRIMARY, path=PRIMARY, subset=SUBSETS[0], split="train"),
+    Source(SECONDARY, path=SECONDARY, split="train"),
+)
 BUDGET_SOURCES = (
     Source(
         "fineweb_edu",
@@ -51,12 +56,14 @@ def pretrain_by_samples(
     seed: int = SEED,
     val_ratio: float = VAL_RATIO,
     labels: tuple[str, str] = (PRIMARY, SECONDARY),
+    subset: str = SUBSETS[0],
     name_prefix: str = "pretrain",
     day: date | None = None,
 ) -> Corpus:
     """Two sources cut to the samples that their token budgets plan for, then split by a permutation.
 
     Both sources have ``ids`` and ``text``. Each has its own seed, so that equal ids are drawn apart.
+    ``subset`` is recorded: the one that the primary source was opened with.
     """
     total = mixture.preset_tokens(size) if total_tokens is None else total_tokens
     budgets = mixture.two_source_budget(total, secondary_share, with_secondary)
@@ -89,13 +96,14 @@ def pretrain_by_samples(
         "math_ratio_of_pretrain": share,
         "samples_per_source": samples,
         "val_split": val_ratio,
+        "subset": subset,
         "seed": seed,
         "name": budget_name(name_prefix, size, total, sum(samples.values()), day or date.today()),
     }
     types = (
         "model_size string, total_tokens long, token_ratios map<string,double>, include_math boolean, "
-        "math_ratio_of_pretrain double, samples_per_source map<string,long>, val_split double, seed long, "
-        "name string"
+        "math_ratio_of_pretrain double, samples_per_source map<string,long>, val_split double, "
+        "subset string, seed long, name string"
     )
     rows = mixed.withColumn("split", split_column(train_end, *names))
     return Corpus(rows, names, figures, types, row_count=sum(samples.values()))

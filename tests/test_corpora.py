@@ -7,8 +7,8 @@ import __spark_entry__ as registry
 from sluice.functions.bpe import Vocabulary
 from sluice.operators import sinks
 from sluice.plans.instruct import capped_instruct_corpus, instruct_corpus
-from sluice.plans.pretrain import BUDGET_SOURCES, pretrain_by_samples, pretrain_by_tokens
-from sluice.sources.tables import Source
+from sluice.plans.pretrain import BUDGET_SOURCES, SAMPLE_SOURCES, pretrain_by_samples, pretrain_by_tokens
+from sluice.sources.tables import Source, open_source
 from tests.plans import physical_plan
 
 BYTES = Vocabulary.bytes_only()
@@ -87,7 +87,17 @@ def test_saving_a_mixture_keeps_its_maps(spark, stage, tmp_path):
     assert (record["pretrain_train_samples"], record["pretrain_val_samples"]) == (15, 2)
     stored = sinks.read_metadata(spark, corpus.metadata_schema(), str(tmp_path)).first()
     assert stored["token_ratios"] == {"fineweb-edu": 0.6, "open-web-math": 0.4}
-    assert stored["name"].startswith("pretrain-tiny-0.0Mt-17pt-")
+    assert stored["name"].startswith("pretrain-tiny-0.0Mt-17pt-") and stored["subset"] == "sample-10BT"
+
+
+def test_sample_sources_open_by_subset(spark, stage):
+    primary, _ = (replace(s, path=f"{stage.path}/{s.path}") for s in SAMPLE_SOURCES)
+    for subset in ("sample-10BT", "full"):
+        rows = spark.range(2).select("id", F.lit(subset).alias("text"))
+        rows.write.parquet(primary.with_subset(subset).location())
+    for chosen, expected in ((None, "sample-10BT"), ("full", "full")):
+        rows = open_source(spark, primary.with_subset(chosen), "id long, text string")
+        assert {r["text"] for r in rows.collect()} == {expected}
 
 
 def test_without_the_secondary_source(spark, stage):
