@@ -35,6 +35,15 @@ from sluice.sources.tables import (
 )
 from sluice.streaming import ingest as streams
 
+# The language-model operators can be taken away: the other queries do without them.
+try:
+    import corpus_pipeline
+    from sluice.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "sluice.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 PAIR = ("conv_id", "turn")
 DAY = date(2024, 5, 6)
 SHARD_SCHEMA = "position long, text string, source string, shard long"
@@ -570,6 +579,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return reference_queries()
+    return reference_queries() | llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "min_length_english": min_length_english,
         "nonblank_stripped": nonblank_stripped,
@@ -629,4 +644,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for every query that SQL can express; the others are compared in the tests."""
-    return query_sql.oracle_sql()
+    if llm_queries is None:
+        return query_sql.oracle_sql()
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return query_sql.oracle_sql() | llm_queries.ORACLES | whole

