@@ -2,15 +2,27 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import simhash
+from sluice.llm import decontaminate, repeats, simhash
 from sluice.llm.common import query_stage, table
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), query_stage(spark))
+    return decontaminate.figures(found)
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return repeats.removal_digests(docs, repeats.repeated_spans(docs, query_stage(spark)))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), query_stage(spark))
 
 
 QUERIES = {
+    "op6_decontamination": op6_decontamination,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
 

@@ -1,0 +1,88 @@
+"""Removed bytes against brute force over all windows."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sluice.llm import repeats as R
+
+
+def plain(texts):
+    raws = [(t or "").encode() for t in texts]
+    seen = Counter(r[i : i + 200] for r in raws for i in range(len(r) - 199))
+    out = []
+    for r in raws:
+        gone = np.zeros(len(r) + 1, bool)
+        for i in range(len(r) - 199):
+            if seen[r[i : i + 200]] > 1:
+                gone[i : i + 200] = True
+        gone = gone[: len(r)]
+        spans = int(np.sum(np.diff(np.r_[0, gone.astype(np.int8)]) == 1))
+        kept = bytes(b for b, g in zip(r, gone) if not g)
+        out.append((len(r), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def corpus(seed, n=60):
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnop é\n"))
+    prose = lambda k: "".join(rng.choice(letters, k))
+    passages = [prose(int(k)) for k in (150, 199, 200, 201, 230, 400, 900)]
+    texts = [None, "", "x", "ab" * 700, "ab" * 300 + "c", "z" * 199, "y" * 200, "y" * 201, prose(5000)]
+    for _ in range(n):
+        text = prose(int(rng.integers(0, 500)))
+        for _ in range(int(rng.integers(0, 4))):
+            p = passages[int(rng.integers(len(passages)))]
+            if rng.random() < 0.3:
+                p = p[int(rng.integers(0, 60)) : len(p) - int(rng.integers(0, 60))]
+            text += p + prose(int(rng.integers(0, 30)))
+        texts.append(text)
+    base = prose(1500)
+    for _ in range(8):  # near copies
+        at = int(rng.integers(0, 1500))
+        texts.append(base[:at] + "#" + base[at + 1 :])
+    return texts + [base, base, texts[15], texts[20] + "!"]
+
+
+@pytest.mark.parametrize("seed,group_rows", [(1, R.GROUP_ROWS), (2, 2), (3, R.GROUP_ROWS)])
+def test_against_windows(spark, stage, seed, group_rows, monkeypatch):
+    texts = corpus(seed)
+    rows = [(i if i != 12 else None, t, 7) for i, t in enumerate(texts)]
+    rows += [rows[13], rows[14]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans int").repartition(5)
+    spans = R.repeated_spans(docs, stage, group_rows=group_rows)
+    found = R.removal_digests(docs, spans).collect()
+    expected = [(r[0], *e) for r, e in zip(rows, plain([r[1] for r in rows]))]
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+
+
+def test_pieces(monkeypatch):
+    rng = np.random.default_rng(1)
+    raw = rng.integers(97, 100, 3000).astype(np.uint8)
+    key, first, n, ahead = R.runs_of(raw)
+    assert n.sum() == len(raw) - 199 and first[0] == 0
+    assert ((ahead - n + 1 >= 0) & (ahead <= R.LENGTH - R.SEED)).all()
+
+
+def test_long_text_in_pieces(spark, stage):
+    rng = np.random.default_rng(4)
+    text = "".join(rng.choice(list("abcdef "), R.PIECE + 5000))
+    rows = [(1, text), (2, text[R.PIECE - 300 : R.PIECE + 300]), (3, "q" + text[100:400])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: tuple(r)[1:4] for r in R.removal_digests(docs, R.repeated_spans(docs, stage)).collect()}
+    assert found == {1: (len(text), 900, 2), 2: (600, 600, 1), 3: (301, 300, 1)}
+
+
+def test_rows_stay_valid(spark, stage):
+    text = "é" * 7 + "".join(chr(0xE0 + i % 23) + str(i) for i in range(120))
+    docs = spark.createDataFrame([(1, "a" + text, "x"), (2, "bb" + text, None), (3, None, "y")], "doc_id long, text string, row string")
+    kept = {r["doc_id"]: tuple(r) for r in R.without_repeats(docs, R.repeated_spans(docs, stage)).collect()}
+    assert kept == {1: (1, "a", "x"), 2: (2, "bb", None), 3: (3, None, "y")}
+
+
+def test_empty(spark, stage):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    spans = R.repeated_spans(docs, stage)
+    assert R.removal_digests(docs, spans).collect() == [] and R.without_repeats(docs, spans).collect() == []
