@@ -2,10 +2,16 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, repeats, simhash
+from sluice.llm import decontaminate, quality_rules, repeats, simhash
+from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = query_stage(spark).write(quality_rules.ledger(table(spark, sf_dir, "documents")), "ledger")
+    return quality_rules.judged(ledger.rows)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), query_stage(spark))
     return decontaminate.figures(found)
@@ -21,9 +27,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
-
-ORACLES: dict[str, str] = {}
