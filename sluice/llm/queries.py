@@ -2,11 +2,21 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, quality_rules, repeats, simhash
+from sluice.llm import decontaminate, packing, quality_rules, repeats, simhash
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
 
+def token_vocabulary() -> str:
+    import public_tokenizers
+
+    return packing.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), token_vocabulary(), query_stage(spark))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = query_stage(spark).write(quality_rules.ledger(table(spark, sf_dir, "documents")), "ledger")
     return quality_rules.judged(ledger.rows)
@@ -27,6 +37,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op8_suffix_dedup": op8_suffix_dedup,

@@ -1,0 +1,137 @@
+"""Ids against whole-text encoding, packings against their rules and bounds."""
+
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from sluice.llm import packing as P
+from sluice.llm.queries import token_vocabulary
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return P.Encoder(token_vocabulary())
+
+
+def plain_ids(encoder, text):
+    return encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "a", "don't", "Ünï", "12", "!?", " ", "\x1c", " ", "<|endoftext|>", "'s", "漢字", "\U0001F600", "\t"]), max_size=14))
+def test_ids(encoder, parts):
+    text = "".join(parts)
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(encoder, text)
+
+
+def test_long_runs(encoder):
+    for text in (" " * 300_000 + "x", "\n" * 300_000, "ab" * 50_000):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(encoder, text)
+
+
+def test_memory_is_bounded(encoder, monkeypatch):
+    monkeypatch.setattr(P, "REMEMBERED", 10)
+    text = " ".join(f"w{i}" for i in range(8)) + " w1 w2"
+    for k in range(5):
+        own = text.replace("w", "abcde"[k])
+        assert np.frombuffer(encoder.encode(own), "<u4").tolist() == plain_ids(encoder, own)
+    assert len(encoder.known) <= 20
+
+
+def fewest(lengths, limit):
+    """By trying all."""
+    best = len(lengths)
+
+    def place(rest, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if not rest:
+            best = len(rooms)
+            return
+        for i, room in enumerate(rooms):
+            if room >= rest[0] and room not in rooms[:i]:
+                place(rest[1:], [*rooms[:i], room - rest[0], *rooms[i + 1 :]])
+        place(rest[1:], [*rooms, limit - rest[0]])
+
+    place(sorted(lengths, reverse=True), [])
+    return best
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.integers(1, 24), min_size=1, max_size=9))
+def test_bound_and_best_fit(lengths):
+    lengths = np.array(lengths)
+    place, offset, room = P.best_fit(lengths, 24)
+    optimum = fewest(lengths.tolist(), 24)
+    assert P.lower_bound(lengths, 24) <= optimum <= len(room)
+    for sequence in range(len(room)):
+        own = sorted(zip(offset[place == sequence].tolist(), lengths[place == sequence].tolist()))
+        at = 0
+        for start, length in own:
+            assert start == at
+            at += length
+        assert at == 24 - room[sequence] <= 24
+
+
+def test_bound_beats_the_sum():
+    assert P.lower_bound(np.array([13] * 10), 24) == 10  # no two fit together
+    assert P.lower_bound(np.array([9] * 6), 24) == 3
+
+
+def check(rows, encoder, texts, limit):
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    for doc, text in texts.items():
+        ids = np.array([*plain_ids(encoder, text or ""), 2], "<u4")
+        own = sorted(by_doc.pop(doc), key=lambda r: r["piece"])
+        assert [r["piece"] for r in own] == list(range(len(own))) and sum(r["length"] for r in own) == len(ids)
+        at = 0
+        for r in own:
+            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            assert r["length"] == limit or r["piece"] == 0
+            at += r["length"]
+    assert not by_doc
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= limit
+    return len(sequences)
+
+
+@pytest.mark.parametrize("partition_rows", [40, P.PARTITION_ROWS])
+def test_documents(spark, stage, encoder, partition_rows):
+    rng = np.random.default_rng(2)
+    texts = {i: " ".join(rng.choice(["ab", "Cd", "é", "xyz "], int(rng.integers(0, 150)))) for i in range(400)}
+    texts |= {900: None, 901: "", 902: "word " * 1000}
+    docs = spark.createDataFrame([(i, t, 1) for i, t in texts.items()], "doc_id long, text string, offset int")
+    vocabulary = token_vocabulary()
+    out = P.pack_documents(docs, vocabulary, stage, limit=128, partition_rows=partition_rows)
+    rows = out.collect()
+    used = check(rows, encoder, texts, 128)
+    lengths = np.array([r["length"] for r in rows])
+    bound = P.lower_bound(lengths[lengths < 128], 128) + int((lengths == 128).sum())
+    assert bound <= used <= bound + (2 if partition_rows > 1000 else 8)
+    whole = {r["sequence_id"]: r["ids"] for r in P.sequences(docs, out, vocabulary, limit=128).collect()}
+    for r in rows:
+        own = np.array(whole[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]], "<u4")
+        assert zlib.crc32(own.tobytes()) == r["ids_crc32"]
+
+
+def test_repeated_rows_and_null_ids(spark, stage):
+    docs = spark.createDataFrame([(1, "a b")] * 3 + [(None, "c")], "doc_id long, text string")
+    rows = P.pack_documents(docs, token_vocabulary(), stage).collect()
+    assert len(rows) == 4 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 4
+
+
+def test_empty(spark, stage):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert P.pack_documents(docs, token_vocabulary(), stage).collect() == []
