@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, packing, quality_rules, repeats, simhash
+from sluice.llm import decontaminate, packing, quality_rules, repeats, simhash, warc
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
@@ -17,6 +17,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), token_vocabulary(), query_stage(spark))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), query_stage(spark))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = query_stage(spark).write(quality_rules.ledger(table(spark, sf_dir, "documents")), "ledger")
     return quality_rules.judged(ledger.rows)
@@ -38,6 +42,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op8_suffix_dedup": op8_suffix_dedup,

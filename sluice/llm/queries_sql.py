@@ -59,7 +59,16 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coale
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+WARC = """
+WITH p AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM (SELECT page_id, coalesce(html, '') AS h FROM pages)),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 ORACLES = {
+    "op2_warc": WARC,
     "op4_quality_rules": QUALITY_RULES,
     "op6_decontamination": DECONTAMINATION,
 }
