@@ -1,8 +1,8 @@
 """The queries of this package, with production parameters over whole tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import decontaminate, packing, quality_rules, repeats, simhash, warc
+from sluice.llm import decontaminate, hilbert, packing, quality_rules, repeats, simhash, warc
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
@@ -36,6 +36,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal_digests(docs, repeats.repeated_spans(docs, query_stage(spark)))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.shards(table(spark, sf_dir, "documents"), query_stage(spark))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve"
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), query_stage(spark))
 
@@ -46,5 +53,6 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
 }
