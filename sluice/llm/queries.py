@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import decontaminate, hilbert, packing, quality_rules, repeats, simhash, warc
+from sluice.llm import decontaminate, hilbert, html_text, packing, quality_rules, repeats, simhash, warc
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
@@ -31,6 +31,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.figures(found)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return repeats.removal_digests(docs, repeats.repeated_spans(docs, query_stage(spark)))
@@ -52,6 +56,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op7_html_extraction": op7_html_extraction,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
