@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import decontaminate, hilbert, html_text, packing, quality_rules, repeats, simhash, warc
+from sluice.llm import decontaminate, hilbert, html_text, packing, quality_model, quality_rules, repeats, simhash, warc
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
@@ -26,6 +26,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(ledger.rows)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), query_stage(spark))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), query_stage(spark))
     return decontaminate.figures(found)
@@ -55,6 +59,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
     "op4_quality_rules": op4_quality_rules,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
     "op7_html_extraction": op7_html_extraction,
     "op8_suffix_dedup": op8_suffix_dedup,
