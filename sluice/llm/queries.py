@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import decontaminate, hilbert, html_text, packing, quality_model, quality_rules, repeats, simhash, warc
+from sluice.llm import decontaminate, hilbert, html_text, licenses, packing, quality_model, quality_rules, repeats, simhash, warc
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
@@ -21,6 +21,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), query_stage(spark))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"), licenses.known(spark))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = query_stage(spark).write(quality_rules.ledger(table(spark, sf_dir, "documents")), "ledger")
     return quality_rules.judged(ledger.rows)
@@ -58,6 +62,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
+    "op3_license_scan": op3_license_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,

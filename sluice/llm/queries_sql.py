@@ -1,5 +1,7 @@
 """SQL for the queries that SQL can express, over the whole tables."""
 
+from sluice.llm import licenses
+
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 QUALITY_RULES = """
@@ -67,7 +69,35 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+_quoted = lambda text: "'" + text.replace("'", "''") + "'"
+_spelled = ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in licenses.SPELLINGS.items())
+
+
+def _canonical(text: str) -> str:
+    """SQL of the canonical form, without the shortcuts that the query takes."""
+    kept = f"regexp_replace({text}, '(?im)^[^\\p{{L}}\\p{{N}}\\n©]*(?:copyright|©|\\(c\\))[^\\n]*$', '', 'g')"
+    words = f"string_split(trim(regexp_replace(lower({kept}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+    return f"array_to_string(list_transform({words}, lambda w: coalesce(MAP {{{_spelled}}}[w], w)), ' ')"
+
+
+LICENSES = f"""
+WITH k AS (
+  SELECT {_canonical("t")} AS c, whole, min(i) AS license_id
+  FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)}, {w})" for w, rows in ((True, licenses.TEXTS.items()), (False, licenses.notices())) for i, t in rows)}) AS v(i, t, whole)
+  GROUP BY 1, 2
+), d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+u AS (SELECT r, {_canonical("t")} AS c, true AS whole FROM d
+  UNION ALL SELECT r, {_canonical("l")}, false FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)),
+f AS (
+  SELECT r, max(CASE WHEN u.whole THEN license_id END) AS license_id, count(CASE WHEN NOT u.whole THEN 1 END) AS n_notices,
+    string_agg(DISTINCT CASE WHEN NOT u.whole THEN license_id END, ',' ORDER BY CASE WHEN NOT u.whole THEN license_id END) AS notices
+  FROM u JOIN k ON u.c = k.c AND u.whole = k.whole WHERE u.c <> '' GROUP BY r
+)
+SELECT doc_id, license_id, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices FROM d LEFT JOIN f USING (r)
+"""
+
 ORACLES = {
+    "op3_license_scan": LICENSES,
     "op2_warc": WARC,
     "op4_quality_rules": QUALITY_RULES,
     "op6_decontamination": DECONTAMINATION,

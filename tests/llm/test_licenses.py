@@ -1,0 +1,55 @@
+"""Canonical forms and lookups case by case."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from sluice.llm import licenses as L
+
+
+def test_every_known_text_has_a_stem(spark):
+    for text in [*L.TEXTS.values(), *(t for _, t in L.notices())]:
+        assert re.search("|".join(L.STEMS), text.lower())
+    digests = L.known(spark).groupBy("digest", "whole").count().where("count > 1")
+    assert digests.collect() == []
+
+
+def forms(spark, texts):
+    return [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(L.canonical(F.col("t"))).collect()]
+
+
+def test_canonical(spark):
+    found = forms(spark, ["A--B,  c\n\n(c) 2020 Me\n Copyright X\nd", "The Licence Owner's\tORGANISATION", "...", "", "© all", "a © b", "ÄÖ é1"])
+    assert found == ["a b c d", "the license holder s organization", "", "", "", "a b", "äö é1"]
+
+
+def test_scan(spark):
+    mit = L.TEXTS["MIT"]
+    changed = "Copyright (c) 2019 A. Person\n\n" + mit.replace("\n", " ").replace('"', "''").upper() + "\n"
+    rows = [
+        (1, mit), (2, changed), (3, mit + " more"), (4, None), (5, ""), (6, "..."),
+        (7, "text\nLicenced under the Apache Licence, Version 2.0.\nReleased under the MIT License\nreleased under MIT"),
+        (8, "This work is licensed under the GNU General Public License, version 3."), (9, "x\nAll rights reserved.\n(C) me"),
+        (10, "SPDX-License-Identifier: BSD-3-Clause"), (11, "Licensed under CC BY-NC 4.0."), (1, mit), (None, "all rights reserved"),
+        (12, "we are under the table, by permission"),
+    ]
+    docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, license_id int").repartition(3)
+    found = sorted((tuple(r) for r in L.scanned(docs, L.known(spark)).collect()), key=repr)
+    expected = {
+        1: ("MIT", "", 0), 2: ("MIT", "", 0), 7: (None, "Apache-2.0,MIT", 3), 8: (None, "GPL-3.0", 1), 9: (None, "all-rights-reserved", 1),
+        10: (None, "BSD-3-Clause", 1), 11: (None, "CC-BY-NC-4.0", 1), None: (None, "all-rights-reserved", 1),
+    }
+    assert found == sorted(((i, *expected.get(i, (None, "", 0))) for i, _ in rows), key=repr)
+
+
+def test_own_texts_and_empty(spark):
+    docs = spark.createDataFrame([(1, "Under my licence!")], "doc_id long, text string")
+    known = L.known(spark, {"own": "under my license"})
+    assert [r["license_id"] for r in L.scanned(docs, known).collect()] == ["own"]
+    assert L.scanned(docs.limit(0), known).collect() == []
+
+
+def test_native(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    plan = L.scanned(docs, L.known(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
