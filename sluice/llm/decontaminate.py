@@ -22,7 +22,7 @@ from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.llm.common import per_text, text_key
 from sluice.operators.stage import Stage
@@ -133,6 +133,11 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int)
         yield [tuple(r) for r in own.collect()]
 
 
+def _scan(docs: DataFrame, items: list[tuple[str | None, str]], window: int) -> Callable[[Column], Column]:
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(items))
+    return per_text(lambda: scanner(pickle.loads(shared.value), window), _KIND, SCHEMA)
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -149,13 +154,10 @@ def contamination(
     ``words`` are the hit runs as word numbers, ``spans`` the same as characters of the text, ``items`` the ids of
     items with occurring windows, sorted as strings.
     """
-    spark, scans = docs.sparkSession, []
+    scans = []
     for items in _parts(benchmark, item_col, item_text_col, part_bytes):
-        shared = spark.sparkContext.broadcast(pickle.dumps(items))
-        scan = per_text(lambda shared=shared: scanner(pickle.loads(shared.value), window), _KIND, SCHEMA)
-        scans.append(
-            docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"), scan(F.col(text_col)).alias("s")).select("id", "text_key", "s.*")
-        )
+        hits = _scan(docs, items, window)(F.col(text_col)).alias("s")
+        scans.append(docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"), hits).select("id", "text_key", "s.*"))
     found = scans[0]
     if len(scans) > 1:
         found = _combined([stage.write(scan, f"scan-{i}").rows for i, scan in enumerate(scans)])
@@ -196,10 +198,31 @@ def _longer(a, b):
     return F.struct(*parts)
 
 
+def hit_words(runs: Column) -> Column:
+    return F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, stage: Stage, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", window: int = WINDOW, part_bytes: int = PART_BYTES, share: int = SHARE,
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated. With one automaton rows are judged where they are read; with
+    several, the ids of contaminated ones are joined."""
+    parts = list(_parts(benchmark, item_col, item_text_col, part_bytes))
+    if len(parts) == 1:
+        rows = docs.select(F.struct("*").alias("_row"), _scan(docs, parts[0], window)(F.col(text_col)).alias("_s"))
+        hit = hit_words(F.col("_s.words"))
+        return rows.where((hit == 0) | (share * hit < F.col("_s.n_words"))).select("_row.*")
+    found = contamination(docs, benchmark, stage, id_col, text_col, item_col, item_text_col, window, part_bytes)
+    bad = found.withColumn("hit", hit_words(F.col("words"))).where((F.col("hit") > 0) & (share * F.col("hit") >= F.col("n_words")))
+    bad = stage.write(bad.select(F.col(id_col).alias("_i"), F.col("text_key").alias("_k")).distinct(), "contaminated", narrow=True).rows
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_key"))
+    return rows.join(bad, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left_anti").select("_row.*")
+
+
 def figures(found: DataFrame, id_col: str = "doc_id", share: int = SHARE) -> DataFrame:
     """Numbers and the verdict: contaminated if at least one in ``share`` words is hit."""
-    hit = F.aggregate("words", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
-    return found.withColumn("n_hit", hit).select(
+    return found.withColumn("n_hit", hit_words(F.col("words"))).select(
         id_col,
         "n_words",
         "n_hit",

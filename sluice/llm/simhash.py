@@ -24,9 +24,9 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sluice.llm.common import per_text
+from sluice.llm.common import per_text, text_key
 from sluice.operators.stage import Stage
 
 BITS = 64
@@ -270,10 +270,36 @@ def near_duplicates(
     return rows.join(classes, "fingerprint").select(id_col, hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-def node_classes(rows: DataFrame, id_col: str, stage: Stage, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(fingerprint, component_id) of staged (id, fingerprint) rows."""
+def node_roots(rows: DataFrame, id_col: str, stage: Stage, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(fp, least_id, root) of the distinct fingerprints of staged (id, fingerprint) rows."""
     nodes = stage.write(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("least_id")), "nodes")
     roots = components(links(nodes.rows.select("fp"), nodes.count, stage, shard_rows=shard_rows), stage)
-    rooted = nodes.rows.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+    return nodes.rows.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def node_classes(rows: DataFrame, id_col: str, stage: Stage, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(fingerprint, component_id) of staged (id, fingerprint) rows."""
+    rooted = node_roots(rows, id_col, stage, shard_rows)
     smallest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return rooted.join(smallest, "root").select(F.col("fp").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_col: str = "text", words_in_shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs`` that stand for their class: of each, the row with the smallest id, one of equal ones.
+
+    What stays is decided on narrow rows, with partial aggregation; texts move once, to meet the decisions.
+    """
+    narrow = docs.select(id_col, text_col).withColumn("key", text_key(F.col(text_col)))
+    fingerprint = per_text(lambda: lambda text: simhash(text, words_in_shingle), pa.int64(), "long")
+    narrow = narrow.select(F.col(id_col).alias("id"), "key", fingerprint(F.col(text_col)).alias("fingerprint"))
+    rows = stage.write(narrow, "fingerprints", narrow=True).rows
+    roots = node_roots(rows, "id", stage).select(F.col("fp").alias("fingerprint"), "root")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first")
+    kept = rows.join(roots, "fingerprint").groupBy("root").agg(first).select(_name(F.col("first.id")).alias("_id"), F.col("first.key").alias("_key"))
+    whole = docs.select(F.struct("*").alias("_row"), _name(F.col(id_col)).alias("_id"), text_key(F.col(text_col)).alias("_key"))
+    turn = F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.lit(0)))
+    return whole.join(kept, ["_id", "_key"]).withColumn("_turn", turn).where("_turn = 1").select("_row.*")
+
+
+def _name(id_: Column) -> Column:
+    return F.coalesce(id_.cast("string"), F.lit(""))
