@@ -7,7 +7,8 @@ the ids it does not need: a count never turns them into Python lists.
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -18,10 +19,16 @@ from sluice.functions.text import TURN_END, TURN_START
 
 # The public 50,257-entry vocabulary splits text by this pattern
 # and names its end-of-text token so.
+# The branch for blanks at the end of a text is its own and changes no token: without it, a long run of
+# them exhausts the matcher.
 SPLIT_PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s++$|\s+(?!\S)|\s+"
 )
 END_OF_TEXT = "<|endoftext|>"
+# Fixed value: the blanks of that pattern.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# A longer run of blanks before other text exhausts the matcher too, so the text is cut there.
+LONG_RUN = 10_000
 
 
 @dataclass(frozen=True)
@@ -63,6 +70,18 @@ class Vocabulary:
         return spark.createDataFrame(rows, "token string, id int")
 
 
+def segments(text: str, specials: Iterable[str] = ()) -> list[str]:
+    """The text, cut before the last blank of each long run that other text follows.
+
+    The pattern cuts there as well: all but the last blank of a run are one match, and the last one begins
+    the next. So the segments' tokens are those of the text. A run before a special token ends there.
+    """
+    other = "".join(f"(?!{re.escape(s)})" for s in specials)
+    runs = re.finditer(f"[{BLANKS}]{{{LONG_RUN},}}+{other}(?=[^{BLANKS}])", text)
+    cuts = [0, *(m.end() - 1 for m in runs), len(text)]
+    return [text[a:b] for a, b in zip(cuts, cuts[1:])] if len(cuts) > 2 else [text]
+
+
 def _encoder_factory(vocabulary: Vocabulary):
     """A function that builds or finds the encoder; it is shipped whole to the workers."""
     lines, specials = vocabulary.rank_lines, vocabulary.special_ids()
@@ -92,30 +111,32 @@ def token_count(text: Column, vocabulary: Vocabulary) -> Column:
     Marked non-deterministic so that a filter on the count is not pushed below it and evaluated twice; so
     filter first what can be filtered, and give the count a column before aggregating it.
     """
-    encoder = _encoder_factory(vocabulary)
+    encoder, specials = _encoder_factory(vocabulary), vocabulary.specials
 
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder().encode_to_numpy
+
+        def size(text: str) -> int:
+            return sum(encode(part, allowed_special="all").size for part in segments(text, specials))
+
         for batch in batches:
-            yield pa.array(
-                [None if s is None else encode(s, allowed_special="all").size for s in batch.to_pylist()],
-                pa.int64(),
-            )
+            yield pa.array([None if s is None else size(s) for s in batch.to_pylist()], pa.int64())
 
     return arrow_udf(count, T.LongType()).asNondeterministic()(text)
 
 
 def token_ids(text: Column, vocabulary: Vocabulary) -> Column:
     """Token ids in order; null for null."""
-    encoder = _encoder_factory(vocabulary)
+    encoder, specials = _encoder_factory(vocabulary), vocabulary.specials
 
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder().encode
+
+        def all_ids(text: str) -> list[int]:
+            return [i for part in segments(text, specials) for i in encode(part, allowed_special="all")]
+
         for batch in batches:
-            yield pa.array(
-                [None if s is None else encode(s, allowed_special="all") for s in batch.to_pylist()],
-                pa.list_(pa.int32()),
-            )
+            yield pa.array([None if s is None else all_ids(s) for s in batch.to_pylist()], pa.list_(pa.int32()))
 
     return arrow_udf(ids, T.ArrayType(T.IntegerType())).asNondeterministic()(text)
 

@@ -44,8 +44,13 @@ class BudgetSource:
 
 
 def position_span(rows: DataFrame, position: str) -> tuple[int, int] | None:
-    """First and last position; give it the unfiltered scan, so that only this column is read."""
-    low, high = rows.agg(F.min(position), F.max(position)).first()
+    """First and last position; give it the unfiltered scan, so that only this column is read.
+
+    A row without a position is refused: it would be written, but not counted.
+    """
+    low, high, without = rows.agg(F.min(position), F.max(position), F.count_if(F.col(position).isNull())).first()
+    if without:
+        raise ValueError(f"{without} rows have no {position}")
     return None if low is None else (low, high)
 
 

@@ -20,6 +20,8 @@ from sluice.functions.order import Order
 BUCKET_BITS = 12
 MOST_BUCKET_BITS = 16
 WINDOW_ROWS = 500_000
+# Boundaries return to the driver and go into the filter as literals, so groups must be few.
+MAX_GROUPS = 10_000
 
 # Columns of the search; ids keep their names beside them.
 GROUP, WEIGHT = "_cut_group", "_cut_weight"
@@ -95,7 +97,8 @@ def find_boundaries(
     So the row that reaches the limit is kept. ``weight`` names a column of non-negative longs, 1 per row
     if None. ``limit`` is one number, a number per group, or an expression of the group's total weight.
     ``group`` names a column with few values (the sources of a mixture): one boundary per value returns to
-    the driver, and rows without a group are in none. Without it the only key of the result is "".
+    the driver, and rows without a group are in none. Without it the only key of the result is "". More than
+    ``MAX_GROUPS`` groups are refused, and so is a row without a place in the order: its id is null.
 
     Stage an expensive weight first: the rows are read twice or three times, on the narrow columns of this
     search only. ``span`` and ``rows_known`` (first and last position, number of rows) save a job each: few
@@ -106,11 +109,13 @@ def find_boundaries(
         *[F.col(c) for c in order.ids],
         (F.col(weight).cast("long") if weight else F.lit(1).cast("long")).alias(WEIGHT),
     )
+    # Only the first look at the rows checks them: later ones push the range of a bucket to the scan.
+    checked = narrow.withColumns({c: _present(c) for c in order.ids})
     if rows_known is not None and rows_known <= window_rows:
-        return _ordered_boundaries(narrow, order, _limit_column(limit))
+        return _ordered_boundaries(checked, order, _limit_column(limit))
     bucket_bits = bucket_bits or _bucket_bits(rows_known, window_rows)
     depths = order.buckets(_span(narrow, order, span), bucket_bits)
-    found, searches = _search(narrow, order, next(depths), _limit_column(limit))
+    found, searches = _search(checked, order, next(depths), _limit_column(limit))
     while wide := {g: s for g, s in searches.items() if s.bucket_rows > window_rows}:
         finer = next(depths, None)
         if finer is None:
@@ -119,6 +124,19 @@ def find_boundaries(
     return found | _bucket_boundaries(narrow, order, searches)
 
 
+def _present(column: str) -> Column:
+    """The column, refusing nulls: such a row would be kept or dropped, but not counted."""
+    return F.coalesce(F.col(column), F.raise_error(F.lit(f"the order has a row without {column}")))
+
+
+def _few(per_group: DataFrame) -> list[Row]:
+    """One row per group, if the groups are few."""
+    rows = per_group.limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"a cut by group takes at most {MAX_GROUPS} groups")
+    return rows
+
+
 def keep(rows: DataFrame, boundaries: Mapping[str, Boundary], group: str | None = None) -> DataFrame:
     """The rows inside their group's boundary; groups without one are dropped."""
     return rows.where(inside(boundaries, group))
@@ -210,7 +228,7 @@ def _search(
     depth, bucket = buckets
     per_group = _per_group(_histogram(narrow, bucket).withColumn("limit", limit), _crossing(F.col("limit")))
     found, searches = {}, {}
-    for r in per_group.collect():
+    for r in _few(per_group):
         if r.at is None:
             found[r[GROUP]] = _all_or_nothing(order, r)
         else:
@@ -268,7 +286,7 @@ def _ordered(rows: DataFrame, order: Order, limit: Column) -> list[Row]:
         F.count("*").over(of_group).alias("total_rows"),
     ).withColumn("limit", limit)
     reached = (F.col("weight") >= F.col("limit")) & (F.col("weight") - F.col(WEIGHT) < F.col("limit"))
-    return _per_group(ordered, F.when(reached, F.struct("rank", "weight", "tied", "keys"))).collect()
+    return _few(_per_group(ordered, F.when(reached, F.struct("rank", "weight", "tied", "keys"))))
 
 
 def _last_row(order: Order, r: Row) -> tuple:

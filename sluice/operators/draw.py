@@ -9,9 +9,13 @@ from sluice.operators.cut import find_boundaries, keep
 from sluice.operators.stage import Stage, plain
 
 # A draw of few rows stages the rows of twice the share of the order that would hold them if every row
-# were usable; a draw of more than a quarter of the source stages ids only.
+# were usable; a draw that needs more than a quarter of the source stages ids only.
 HEADROOM = 2
 FEW = 0.25
+# The smallest share probed, well above what an order can still tell apart, and the growth after a probe
+# without any usable row.
+LEAST_SHARE = 2.0**-28
+GROWTH = 16
 
 
 @dataclass(frozen=True)
@@ -29,29 +33,32 @@ def draw(
     """The first ``n`` usable rows of the seeded order, or all of them.
 
     A small part of a source of ``source_rows`` is read from it once: the beginning of the order is
-    staged, and more of it if too few rows there were usable. Of a large part the ids are staged, and the
-    rows are read again where they lie.
+    staged, without a shuffle, and more of it if too few rows there were usable. Once a large part is
+    needed, ids are staged instead, and the rows are read again where they lie.
     """
     order = shuffled(seed, *ids)
-    share = min(1.0, HEADROOM * n / source_rows) if source_rows else 1.0
-    if share > FEW:
-        staged = stage.write(usable.select(*ids), name, narrow=True)
+    beginning = _beginning(usable, ids, n, seed, source_rows, stage, name)
+    if beginning is None:
+        staged = stage.write(usable.select(*ids), f"{name}-ids", narrow=True)
         all_ids, rows, count = staged.rows, usable, staged.count
     else:
-        rows, count = _beginning(usable, ids, n, seed, share, stage, name)
+        rows, count = beginning
         all_ids = rows.select(*ids)
     ends = find_boundaries(all_ids, order, n, rows_known=count)
     return Drawn(keep(rows, ends), keep(all_ids, ends), ends[""].rows if ends else 0)
 
 
 def _beginning(
-    usable: DataFrame, ids: tuple[str, ...], n: int, seed: int, share: float, stage: Stage, name: str
-) -> tuple[DataFrame, int]:
-    """At least ``n`` usable rows from the beginning of the order, or all of them, and their number."""
+    usable: DataFrame, ids: tuple[str, ...], n: int, seed: int, source_rows: int, stage: Stage, name: str
+) -> tuple[DataFrame, int] | None:
+    """At least ``n`` usable rows from the beginning of the order and their number; None if that is a large part."""
     order, parts, count, start = shuffled(seed, *ids), [], 0, 0.0
-    while True:
+    end = max(LEAST_SHARE, HEADROOM * n / source_rows) if source_rows else 1.0
+    while end <= FEW:
         parts.append(f"{name}/{len(parts)}")
-        count += stage.write(usable.where(order.share(start, share)), parts[-1], narrow=True).count
-        if count >= n or share >= 1.0:
+        count += stage.write(usable.where(order.share(start, end)), parts[-1]).count
+        if count >= n:
             return stage.read(plain(usable.schema), *parts), count
-        start, share = share, min(1.0, HEADROOM * share * n / count if count else 1.0)
+        # By the density found, but never more than so many times the share that has been looked at.
+        start, end = end, end * min(GROWTH, HEADROOM * n / count if count else GROWTH)
+    return None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
-from sluice.functions.bpe import Vocabulary, _encoder_factory, decoded, positions_of, token_count, token_ids
+from sluice.functions.bpe import Vocabulary, _encoder_factory, decoded, positions_of, segments, token_count, token_ids
 from tests.plans import physical_plan
 
 TEXTS = [
@@ -74,6 +74,23 @@ def test_any_text_equals_second_implementation(parts):
     assert encoder().encode(text, allowed_special="all") == other_ids(text)
 
 
+LONG = [" " * 2_000_000, "\n" * 2_000_000 + "x", "a" + " \n" * 1_000_000 + " b  ", "\u3000" * 20_001 + "c" + "\t" * 20_000]
+
+
+@pytest.mark.parametrize("run", [9_999, 10_000, 10_001, 30_000])
+@pytest.mark.parametrize("blank", [" ", "\n", " \n", "\u00a0", "\x1c"])
+@pytest.mark.parametrize("after", ["", "x", " y", "<|im_end|>", "'s"])
+def test_long_runs_of_blanks_equal_second_implementation(run, blank, after):
+    text = "a" + blank * run + after
+    assert [i for s in segments(text, Vocabulary.bytes_only().specials) for i in encoder().encode(s, allowed_special="all")] == other_ids(text)
+
+
+def test_a_junk_row_leaves_the_others_counted(spark, public):
+    rows = rows_of(spark, ["one", *LONG, "two words"]).coalesce(1)
+    found = [r["n"] for r in rows.select("i", token_count(F.col("text"), public).alias("n")).orderBy("i").collect()]
+    assert found[0] == 1 and found[-1] == 2 and found[1] == 2_000_000 and all(n > 0 for n in found)
+
+
 def test_counts_of_pairs_equal_second_implementation(spark, public, second_implementation, sf_dir):
     for separator in ("\n", "\\n"):
         for r in registry.counted(spark, sf_dir, public, separator).collect():

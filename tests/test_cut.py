@@ -136,3 +136,23 @@ def test_cutting_shuffles_no_text(spark, sf_dir):
     ends = find_boundaries(rows, by_position("doc_id"), 5, group="source")
     for kept in (keep(rows, ends, "source"), rows.where(inside(find_boundaries(rows, shuffled(1, "doc_id"), 50)))):
         assert "Exchange" not in physical_plan(kept)
+
+
+@pytest.mark.parametrize("known", [None, 4])
+@pytest.mark.parametrize("order", [by_position("i"), shuffled(1, "i")])
+@pytest.mark.parametrize("limit", [2, 100])
+def test_rows_without_a_place_are_refused(spark, known, order, limit):
+    rows = spark.createDataFrame([(1,), (2,), (None,), (4,)], "i long")
+    with pytest.raises(Exception, match="row without i"):
+        find_boundaries(rows, order, limit, rows_known=known, window_rows=2 if known is None else 500)
+
+
+def test_many_groups_are_refused(spark, monkeypatch):
+    from sluice.operators import cut
+
+    monkeypatch.setattr(cut, "MAX_GROUPS", 5)
+    rows = spark.range(30).withColumn("g", (F.col("id") % 6).cast("string"))
+    for known in (None, 30):
+        with pytest.raises(ValueError, match="at most 5 groups"):
+            find_boundaries(rows, by_position("id"), 2, group="g", rows_known=known)
+    assert len(find_boundaries(rows.where("g < 5"), by_position("id"), 2, group="g")) == 5

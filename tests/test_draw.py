@@ -29,6 +29,36 @@ def test_a_small_draw_does_not_read_the_source_again(spark, stage):
     assert 20 <= staged < 100
 
 
+@pytest.mark.parametrize(("n", "every"), [(1, 1), (1, 50), (3, 100)])
+def test_a_rare_draw_stages_few_rows(spark, stage, n, every):
+    source = spark.range(20_000).withColumn("text", F.lit("t"))
+    for seed in range(8):
+        name = f"d-{n}-{every}-{seed}"
+        drawn = drawing.draw(source.where(F.col("id") % every == 0), ("id",), n, seed, 20_000, stage, name)
+        order = sorted(range(0, 20_000, every), key=lambda i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest())
+        assert sorted(r["id"] for r in drawn.rows.collect()) == sorted(order[:n])
+        assert spark.read.option("recursiveFileLookup", True).parquet(f"{stage.path}/{name}").count() <= 200
+
+
+def test_a_share_below_all_hashes_grows(spark, stage):
+    drawn = drawing.draw(spark.range(300), ("id",), 1, 1, 10**12, stage, "d")
+    assert drawn.count == 1
+
+
+def test_staged_text_is_not_shuffled(spark, stage, monkeypatch):
+    plans, write = [], type(stage).write
+
+    def seen(self, rows, *rest, **options):
+        plans.append((rows.columns, options.get("narrow", False)))
+        return write(self, rows, *rest, **options)
+
+    monkeypatch.setattr(type(stage), "write", seen)
+    rows = spark.range(500).withColumn("text", F.lit("t"))
+    drawing.draw(rows, ("id",), 10, 1, 500, stage, "few")
+    drawing.draw(rows, ("id",), 400, 1, 500, stage, "most")
+    assert {(tuple(columns), narrow) for columns, narrow in plans} == {(("id", "text"), False), (("id",), True)}
+
+
 def test_no_rows(spark, stage):
     drawn = drawing.draw(spark.range(0), ("id",), 20, 1, 0, stage, "d")
     assert drawn.count == 0 and drawn.rows.count() == 0
