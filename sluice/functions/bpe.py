@@ -77,7 +77,7 @@ def segments(text: str, specials: Iterable[str] = ()) -> list[str]:
     the next. So the segments' tokens are those of the text. A run before a special token ends there.
     """
     other = "".join(f"(?!{re.escape(s)})" for s in specials)
-    runs = re.finditer(f"[{BLANKS}]{{{LONG_RUN},}}+{other}(?=[^{BLANKS}])", text)
+    runs = re.finditer(f"(?<![{BLANKS}])[{BLANKS}]{{{LONG_RUN},}}+{other}(?=[^{BLANKS}])", text)
     cuts = [0, *(m.end() - 1 for m in runs), len(text)]
     return [text[a:b] for a, b in zip(cuts, cuts[1:])] if len(cuts) > 2 else [text]
 
