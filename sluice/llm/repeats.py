@@ -221,7 +221,8 @@ def repeated_spans(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_c
     texts = keyed(docs, id_col, text_col)
     kind = texts.schema["id"].dataType.simpleString()
     runs = text_runs(texts)
-    shared = runs.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    # Written, so that the join is one of two plain shuffles, whose hot keys Spark splits.
+    shared = stage.write(runs.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "keys", narrow=True).rows
     runs = stage.write(runs.join(shared, "key"), "runs", narrow=True).rows
 
     least = F.min(F.struct("id", "text_key", "start", "n", "ahead")).alias("r")
@@ -230,7 +231,8 @@ def repeated_spans(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_c
     inside = runs.join(whole, ["key", "ctx"]).select("id", "text_key", F.col("start").alias("first"), (F.col("start") + F.col("n") + LENGTH - 1).alias("end"))
 
     mixed = classes.groupBy("key").agg(F.count("*").alias("c"), F.min("copies").alias("m")).where("c > 1 AND m = 1")
-    ends = classes.join(mixed.select("key", (F.col("c") > group_rows).alias("hot")), "key")
+    mixed = stage.write(mixed.select("key", (F.col("c") > group_rows).alias("hot")), "mixed", narrow=True).rows
+    ends = classes.join(mixed, "key")
     wanted = ends.groupBy("r.id", "r.text_key").agg(F.collect_list(F.struct("key", "copies", "r.start", "r.n", "r.ahead", "hot")).alias("wanted"))
     of_text = texts.join(
         wanted.select(F.col("id").alias("i"), F.col("text_key").alias("k"), "wanted"),
