@@ -24,14 +24,15 @@ from sluice.functions.bpe import Vocabulary, decoded, positions_of, token_count,
 from sluice.functions.order import by_position, shuffled
 from sluice.operators import mixture, sinks, split, stats
 from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
-from sluice.operators.cut import find_boundaries, keep, share_of_total
+from sluice.operators.cut import find_boundaries, inside, keep, share_of_total
 from sluice.operators.draw import draw
 from sluice.operators.stage import Stage
 from sluice.plans.inspection import first_row_report
 from sluice.plans.instruct import MAX_TOKENS, VAL_RATIO, capped_instruct_corpus, instruct_corpus
 from sluice.plans.pretrain import pretrain_by_samples, pretrain_by_tokens
+from sluice.plans.resumable import take_by_tokens, taken_corpus
 from sluice.sources.tables import (
-    Source, conform, is_folder, open_source, optional, read_shards, read_string_fields, spread, tagged_text,
+    Source, conform, open_source, open_sources, optional, read_shards, read_string_fields, spread, tagged_text,
 )
 from sluice.streaming import ingest as streams
 
@@ -45,6 +46,7 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = llm_queries = None
 
 PAIR = ("conv_id", "turn")
+MERGES = (b"an", b"on", b"ion")
 DAY = date(2024, 5, 6)
 SHARD_SCHEMA = "position long, text string, source string, shard long"
 
@@ -205,12 +207,22 @@ def token_estimate_overall(spark, sf_dir):
     return stats.source_totals_with_overall(estimated(spark, sf_dir), F.col("token_count"))
 
 
+def by_conversation(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("conv_id").agg(
+        F.count("*").alias("samples"), F.sum("tokencount").alias("tokens"), F.max("tokencount").alias("longest")
+    )
+
+
 def bpe_count_bytes(spark, sf_dir):
-    return counted(spark, sf_dir, Vocabulary.bytes_only()).select(*PAIR, "tokencount")
+    return by_conversation(counted(spark, sf_dir, Vocabulary.bytes_only()))
+
+
+def bpe_count_merges(spark, sf_dir):
+    return by_conversation(counted(spark, sf_dir, Vocabulary.with_merges(*MERGES)))
 
 
 def bpe_count_50k(spark, sf_dir):
-    return counted(spark, sf_dir, public_vocabulary()).select(*PAIR, "tokencount")
+    return by_conversation(counted(spark, sf_dir, public_vocabulary()))
 
 
 def bpe_documents_50k(spark, sf_dir):
@@ -225,15 +237,18 @@ def token_ids_head(spark, sf_dir):
     ids = formatted(spark, sf_dir).select(
         *PAIR, token_ids(F.col("formattedconversation"), vocabulary).alias("ids")
     )
-    return ids.select(*PAIR, F.slice("ids", 1, 50).alias("head")).withColumn(
-        "text", decoded(F.col("head"), vocabulary)
-    )
+    heads = ids.groupBy(F.slice("ids", 1, 50).alias("head")).agg(F.count("*").alias("samples"))
+    return heads.withColumn("text", decoded(F.col("head"), vocabulary))
 
 
 def decode_roundtrip(spark, sf_dir):
     vocabulary = public_vocabulary()
-    rows = spread(documents(spark, sf_dir)).select("doc_id", token_ids(F.col("text"), vocabulary).alias("ids"))
-    return rows.select("doc_id", decoded(F.col("ids"), vocabulary).alias("text"))
+    rows = spread(documents(spark, sf_dir)).select("source", "text", token_ids(F.col("text"), vocabulary).alias("ids"))
+    back = rows.select("source", "text", decoded(F.col("ids"), vocabulary).alias("back"))
+    return back.groupBy("source").agg(
+        F.count("*").alias("samples"), F.count_if(F.col("back") == F.col("text")).alias("same"),
+        F.sum(F.length("back")).alias("n_chars"),
+    )
 
 
 def sample_inspection(spark, sf_dir):
@@ -287,15 +302,14 @@ def retention(spark, sf_dir):
 
 
 def first_n_seeded(spark, sf_dir):
-    usable = documents(spark, sf_dir).where(tx.non_blank(F.col("text")))
+    usable = documents(spark, sf_dir).where(tx.non_blank(F.col("text"))).select("doc_id", "source")
+    ids = staged(spark).write(usable, "ids", narrow=True).rows
     drawn = []
     for offset, condition in enumerate(("source <> 'src0'", "source = 'src0'")):
-        ids = staged(spark).write(usable.where(condition).select("doc_id"), "ids", narrow=True)
-        ends = find_boundaries(
-            ids.rows, shuffled(SEED + offset, "doc_id"), share_of_total(0.3), rows_known=ids.count
-        )
-        drawn.append(keep(usable.where(condition), ends).select("doc_id", "source"))
-    return drawn[0].unionByName(drawn[1])
+        own = ids.where(condition)
+        ends = find_boundaries(own, shuffled(SEED + offset, "doc_id"), share_of_total(0.3))
+        drawn.append(F.expr(condition) & inside(ends))
+    return usable.where(drawn[0] | drawn[1])
 
 
 def drawn_sample(spark, sf_dir):
@@ -363,12 +377,22 @@ def mixture_share(spark, sf_dir):
 
 
 def progress_record(spark, sf_dir):
-    record = stats.progress_record(token_estimate_by_source(spark, sf_dir))
-    return record.select(
-        "total_tokens",
-        F.to_json("tokens_per_source").alias("tokens_per_source"),
-        F.to_json("examples_per_source").alias("examples_per_source"),
-        "examples_collected",
+    """The nested record of all documents, written and read back."""
+    totals = {r["source"]: r for r in stats.progress_record(token_estimate_by_source(spark, sf_dir)).select(
+        F.explode(F.map_entries("tokens_per_source")).alias("e"), "examples_per_source"
+    ).select("e.key", "e.value", F.col("examples_per_source")[F.col("e.key")].alias("samples")).toDF("source", "tokens", "samples").collect()}
+    path, names = staged(spark).path, sorted(totals)
+    sinks.write_progress(spark, {n: totals[n]["tokens"] for n in names}, {n: totals[n]["samples"] for n in names}, path, 0)
+
+    def by_name(field):
+        return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(f"progress.{field}")))).alias(field)
+
+    return sinks.read_progress(spark, path).select(
+        "progress.total_tokens",
+        by_name("tokens_per_source"),
+        by_name("examples_per_source"),
+        "progress.examples_collected",
+        (F.col("timestamp") > 1e9).alias("has_time"),
     )
 
 
@@ -400,6 +424,44 @@ def split_sizes(spark, sf_dir):
     )
 
 
+def split_extremes(spark, sf_dir):
+    """Splits with an empty side, written and read back."""
+    rows, sizes = documents(spark, sf_dir).select("doc_id"), []
+    for ratio in (0.0, 1.0):
+        path = staged(spark).path
+        divided = split.permutation_split(rows, "doc_id", val_ratio=ratio, seed=SEED)
+        sinks.write_splits(divided, path)
+        for name in ("train", "val"):
+            back = sinks.read_splits(spark, path, divided.schema, name)
+            sizes.append(back.agg(F.lit(ratio).alias("ratio"), F.lit(name).alias("split"), F.count("*").alias("samples")))
+    return sizes[0].unionByName(sizes[1]).unionByName(sizes[2]).unionByName(sizes[3])
+
+
+# Sources
+
+
+def subset_source(spark, sf_dir):
+    """The registered subset of a source and another one, each opened by its folder."""
+    path = f"{staged(spark).path}/web"
+    rows = documents(spark, sf_dir)
+    for subset in ("en", "fr"):
+        rows.where(F.col("lang") == subset).drop("lang").write.parquet(f"{path}/{subset}/train")
+    web = Source("web", path, subset="en", split="train")
+    chosen = [open_source(spark, s).withColumn("subset", F.lit(s.subset)) for s in (web, web.with_subset("fr"))]
+    return chosen[0].unionByName(chosen[1]).select("doc_id", "source", "subset")
+
+
+def missing_source(spark, sf_dir):
+    """A mixture of which one source cannot be opened: it has no rows."""
+    sources = [Source("present", f"{sf_dir}/documents.parquet"), Source("missing", f"{sf_dir}/no-such-table.parquet")]
+    opened = open_sources(spark, sources, documents(spark, sf_dir).schema, on_missing="empty")
+    counted_rows = [
+        rows.agg(F.lit(name).alias("source"), F.count("*").alias("samples"), F.count("text").alias("texts"))
+        for name, rows in opened.items()
+    ]
+    return counted_rows[0].unionByName(counted_rows[1])
+
+
 # Outputs
 
 
@@ -412,9 +474,10 @@ def sharded(spark, sf_dir, stage):
 def shard_counts(spark, sf_dir):
     stage = staged(spark)
     sinks.write_shards(sharded(spark, sf_dir, stage), f"{stage.path}/shards")
-    shards = read_shards(spark, f"{stage.path}/shards", SHARD_SCHEMA)
+    shards = read_shards(spark, f"{stage.path}/shards", SHARD_SCHEMA).withColumn("file", F.input_file_name())
     return shards.groupBy("shard").agg(
-        F.count("*").alias("samples"), F.min("position").alias("first"), F.max("position").alias("last")
+        F.count("*").alias("samples"), F.min("position").alias("first"), F.max("position").alias("last"),
+        F.count_distinct("file").alias("files"),
     )
 
 
@@ -439,8 +502,8 @@ def bounded_files(spark, sf_dir):
 def split_roundtrip(spark, sf_dir):
     stage = staged(spark)
     rows = split_permutation(spark, sf_dir)
-    sinks.write_splits(rows, stage.path)
-    return sinks.read_splits(spark, stage.path, rows.schema, "val")
+    sinks.write_splits(rows, stage.path, small=["val"])
+    return sinks.read_splits(spark, stage.path, rows.schema)
 
 
 def chunk_roundtrip(spark, sf_dir):
@@ -451,11 +514,13 @@ def chunk_roundtrip(spark, sf_dir):
 def _instruct(spark, sf_dir, vocabulary):
     stage = staged(spark)
     source = stage.write(pairs(spark, sf_dir), "pairs")
-    return instruct_corpus(spread(source.rows), PAIR, vocabulary, stage, target_rows=source.count * 3 // 4)
+    return instruct_corpus(
+        spread(source.rows), PAIR, vocabulary, stage, target_rows=source.count * 3 // 4, input_rows=source.count
+    )
 
 
 def run_metadata(spark, sf_dir):
-    corpus, path = _instruct(spark, sf_dir, Vocabulary.bytes_only()), staged(spark).path
+    corpus, path = _instruct(spark, sf_dir, Vocabulary.with_merges(*MERGES)), staged(spark).path
     corpus.save(path)
     return sinks.read_metadata(spark, corpus.metadata_schema(), path).drop("created", "location", "format_version")
 
@@ -478,8 +543,9 @@ def marker_sidecar(spark, sf_dir):
     found = per_row.agg(*[F.coalesce(F.sum(f"`{t}`"), F.lit(0)).alias(t) for t in marks]).unpivot(
         [], list(marks), "token", "occurrences"
     )
-    markers = vocabulary.marker_table(spark).select("token", F.col("id").cast("long").alias("id"))
-    return markers.join(found, "token")
+    path = staged(spark).path
+    sinks.write_markers(vocabulary.marker_table(spark), path)
+    return sinks.read_markers(spark, path).join(found, "token")
 
 
 def corpus_name(spark, sf_dir):
@@ -494,46 +560,55 @@ def corpus_name(spark, sf_dir):
 # Streams
 
 
-def _documents_stream(spark, sf_dir):
-    schema, path = documents(spark, sf_dir).schema, f"{sf_dir}/documents.parquet"
-    if is_folder(spark, path):
-        rows = streams.arriving(spark, path, schema)
-    else:
-        rows = streams.arriving(spark, sf_dir, schema, pattern="documents.parquet")
-    return rows.select("doc_id", "source", tx.estimated_tokens(F.col("text")).alias("token_count"), "text")
+def _arrivals(spark, sf_dir, take):
+    """Let the documents arrive in two lots of several files, by position, and take what has arrived after each,
+    and once more; ``take`` is given the stream."""
+    stage = staged(spark)
+    rows = estimated(spark, sf_dir).join(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    half = rows.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    for lot in (F.col("doc_id") <= half, F.col("doc_id") > half, None):
+        if lot is not None:
+            rows.where(lot).repartition(3).write.mode("append").parquet(f"{stage.path}/in")
+        take(streams.arriving(spark, f"{stage.path}/in", rows.schema), stage.path)
+    return rows.schema, stage.path
 
 
 def ingest_resumed(spark, sf_dir):
-    path = staged(spark).path
-    rows = _documents_stream(spark, sf_dir).where(tx.long_enough(F.col("text")))
-    for _ in range(2):
-        streams.ingest(rows, f"{path}/out", f"{path}/checkpoint")
-    return spark.read.schema(rows.schema).parquet(f"{path}/out").select("doc_id", "source", "token_count")
+    def take(rows, path):
+        streams.ingest(rows.where(tx.long_enough(F.col("text"))), f"{path}/out", f"{path}/checkpoint")
+
+    schema, path = _arrivals(spark, sf_dir, take)
+    return spark.read.schema(schema).parquet(f"{path}/out").select("doc_id", "source", "token_count")
 
 
 def progress_by_batch(spark, sf_dir):
-    path = staged(spark).path
-    rows = _documents_stream(spark, sf_dir)
-    streams.ingest_with_progress(rows, "token_count", f"{path}/out", f"{path}/progress", f"{path}/checkpoint")
+    def take(rows, path):
+        streams.ingest_with_progress(rows, "token_count", f"{path}/out", f"{path}/progress", f"{path}/checkpoint")
+
+    _, path = _arrivals(spark, sf_dir, take)
     progress = streams.read_progress(spark, f"{path}/progress")
-    return progress.groupBy("source").agg(F.sum("samples").alias("samples"), F.sum("tokens").alias("tokens"))
+    return progress.groupBy("source").agg(
+        F.sum("samples").alias("samples"), F.sum("tokens").alias("tokens"), F.max("batch_id").alias("last_batch")
+    )
 
 
 def stream_budget(spark, sf_dir):
-    path = staged(spark).path
-    rows = _documents_stream(spark, sf_dir)
     totals = {r["source"]: r["tokens"] // 2 for r in token_estimate_by_source(spark, sf_dir).collect()}
-    streams.ingest_budgeted(
-        rows, "doc_id", "token_count", totals, f"{path}/out", f"{path}/progress", f"{path}/checkpoint"
-    )
-    return streams.read_batches(spark, f"{path}/out", rows.schema).select("doc_id", "source", "token_count")
+
+    def take(rows, path):
+        streams.ingest_budgeted(
+            rows, "doc_id", "token_count", totals, f"{path}/out", f"{path}/progress", f"{path}/checkpoint"
+        )
+
+    schema, path = _arrivals(spark, sf_dir, take)
+    return streams.read_batches(spark, f"{path}/out", schema).select("doc_id", "source", "token_count")
 
 
 # Whole corpora
 
 
 def instruct(spark, sf_dir):
-    return _instruct(spark, sf_dir, Vocabulary.bytes_only()).rows
+    return _instruct(spark, sf_dir, Vocabulary.with_merges(*MERGES)).rows
 
 
 def instruct_50k(spark, sf_dir):
@@ -541,7 +616,8 @@ def instruct_50k(spark, sf_dir):
 
 
 def instruct_capped(spark, sf_dir):
-    return capped_instruct_corpus(instructions(spark, sf_dir), PAIR, Vocabulary.bytes_only(), staged(spark)).rows
+    vocabulary = Vocabulary.with_merges(*MERGES)
+    return capped_instruct_corpus(instructions(spark, sf_dir), PAIR, vocabulary, staged(spark)).rows
 
 
 def instruct_capped_50k(spark, sf_dir):
@@ -551,8 +627,10 @@ def instruct_capped_50k(spark, sf_dir):
 def by_samples(spark, sf_dir):
     rows = documents(spark, sf_dir)
     web, math = rows.where("source <> 'src0'"), rows.where("source = 'src0'")
-    total = 200 * rows.count()
-    return pretrain_by_samples(web, math, ("doc_id",), staged(spark), total_tokens=total).rows
+    counts = rows.agg(F.count_if(F.col("source") != "src0"), F.count_if(F.col("source") == "src0")).first()
+    return pretrain_by_samples(
+        web, math, ("doc_id",), staged(spark), total_tokens=200 * sum(counts), input_rows=tuple(counts)
+    ).rows
 
 
 def by_tokens(spark, sf_dir):
@@ -562,6 +640,16 @@ def by_tokens(spark, sf_dir):
     return corpus.rows.select("doc_id", "text", "source", "split")
 
 
+def resumed(spark, sf_dir):
+    """``by_tokens`` in steps, stopped after two of them and taken up again."""
+    inputs, path = mixture_inputs(spark, sf_dir), staged(spark).path
+    figures = estimated(spark, sf_dir).agg(F.sum("token_count"), F.max("doc_id")).first()
+    total, positions = figures[0] // 2, max(1, figures[1] // 5)
+    for max_steps in (2, None):
+        take_by_tokens(inputs, "doc_id", path, total, step_positions=positions, max_steps=max_steps)
+    return taken_corpus(spark, path, "doc_id", staged(spark), total).rows.select("doc_id", "text", "source", "split")
+
+
 def by_exact_tokens(spark, sf_dir):
     inputs = mixture_inputs(spark, sf_dir)
     total = documents(spark, sf_dir).agg(F.sum(F.octet_length("text"))).first()[0] // 2
@@ -596,6 +684,7 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "token_estimate_by_source": token_estimate_by_source,
         "token_estimate_overall": token_estimate_overall,
         "bpe_count_bytes": bpe_count_bytes,
+        "bpe_count_merges": bpe_count_merges,
         "bpe_count_50k": bpe_count_50k,
         "bpe_documents_50k": bpe_documents_50k,
         "token_ids_head": token_ids_head,
@@ -620,6 +709,9 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_permuted_order": split_permuted_order,
         "split_take_skip": split_take_skip,
         "split_sizes": split_sizes,
+        "split_extremes": split_extremes,
+        "subset_source": subset_source,
+        "missing_source": missing_source,
         "shard_counts": shard_counts,
         "shard_roundtrip": shard_roundtrip,
         "bounded_files": bounded_files,
@@ -639,6 +731,7 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pretrain_by_samples": by_samples,
         "pretrain_by_tokens": by_tokens,
         "pretrain_by_exact_tokens": by_exact_tokens,
+        "pretrain_resumed": resumed,
     }
 
 

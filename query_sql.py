@@ -1,7 +1,6 @@
 """The SQL that each registered query must agree with, over the same tables, for another engine."""
 
 from sluice.functions import text as tx
-from sluice.operators import mixture
 from sluice.plans.instruct import VAL_RATIO
 from sluice.plans.pretrain import BUDGET_SOURCES
 
@@ -46,6 +45,9 @@ def _sql_parts() -> dict[str, str]:
         parts[f"bytes_{name}"] = (
             f"SELECT *, strlen(formattedconversation) - {marker_bytes} + 4 AS tokencount FROM chat_{name}"
         )
+        # The merges an, on, ion, in this order: each replaced by one byte that the text does not have.
+        merged = "replace(replace(replace(formattedconversation, 'an', chr(1)), 'on', chr(2)), 'i' || chr(2), chr(3))"
+        parts[f"merged_{name}"] = f"SELECT *, strlen({merged}) - {marker_bytes} + 4 AS tokencount FROM chat_{name}"
     return parts
 
 
@@ -60,6 +62,10 @@ def _share(total: str, share: float) -> str:
 
 def oracle_sql() -> dict[str, str]:
     newline, literal = ("pairs", "chat_newline", "bytes_newline"), ("pairs", "chat_literal", "bytes_literal")
+    merged_newline, merged_literal = (*newline[:2], "merged_newline"), (*literal[:2], "merged_literal")
+    per_conversation = (
+        "SELECT conv_id, count(*) AS samples, sum(tokencount)::BIGINT AS tokens, max(tokencount) AS longest FROM {} GROUP BY 1"
+    )
     stats_of = (
         "count(*) AS samples, coalesce(sum(tokencount), 0)::BIGINT AS total_tokens, "
         "coalesce(avg(tokencount), 0.0) AS mean_tokens, min(tokencount) AS min_tokens, max(tokencount) AS max_tokens"
@@ -97,7 +103,7 @@ def oracle_sql() -> dict[str, str]:
     estimated = f"estimated AS ({_sql_parts()['estimated']})"
     plan_rows = " UNION ALL ".join(
         f"SELECT '{name}' AS source, CAST({ratio!r} AS DOUBLE) AS planned_share, "
-        f"{mixture.source_targets(mixture.preset_tokens('tiny'), BUDGET_RATIOS)[name]}::BIGINT AS planned_tokens"
+        f"{_share('5000000', ratio)} AS planned_tokens"
         for name, ratio in BUDGET_RATIOS.items()
     )
     instruct_kept = (
@@ -106,8 +112,9 @@ def oracle_sql() -> dict[str, str]:
         "kept AS (SELECT * FROM drawn WHERE rn <= all_rows * 3 // 4), "
         "divided AS (SELECT *, row_number() OVER (ORDER BY md5('52:' || conv_id || ':' || turn), conv_id, turn) AS place, "
         "count(*) OVER () AS n FROM kept)"
-    ).format(base="bytes_newline")
-    instruct_sql = _sql("", *newline).rstrip() + f", {instruct_kept} "
+    )
+    instruct_sql = _sql("", *newline).rstrip() + f", {instruct_kept.format(base='bytes_newline')} "
+    merged_sql = _sql("", *merged_newline).rstrip() + f", {instruct_kept.format(base='merged_newline')} "
     mixed_by_tokens = (
         f"{coupled.format(condition=english_web, whole='estimated')}, divided AS (SELECT *, row_number() OVER (ORDER BY "
         "md5('42:' || source || ':' || doc_id), source, doc_id) AS place, count(*) OVER () AS n FROM kept) "
@@ -148,8 +155,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "token_estimate_by_source": _sql(f"SELECT {by_source} FROM estimated GROUP BY source", "estimated"),
         "token_estimate_overall": _sql(f"SELECT {by_source} FROM estimated GROUP BY ROLLUP (source)", "estimated"),
-        "bpe_count_bytes": _sql("SELECT conv_id, turn, tokencount FROM bytes_newline", *newline),
-        "decode_roundtrip": "SELECT doc_id, text FROM documents",
+        "bpe_count_bytes": _sql(per_conversation.format("bytes_newline"), *newline),
+        "bpe_count_merges": _sql(per_conversation.format("merged_newline"), *merged_newline),
+        "decode_roundtrip": (
+            "SELECT source, count(*) AS samples, count(*) AS same, sum(length(text))::BIGINT AS n_chars FROM documents GROUP BY 1"
+        ),
         "marker_positions": _sql(
             f"SELECT conv_id, turn, '0,' || (9 + p) AS starts, (7 + p) || ',' || (21 + p + t) AS ends FROM "
             f"(SELECT conv_id, turn, strlen({_trim('prompt')}) AS p, strlen({_trim('text')}) AS t FROM pairs)", "pairs",
@@ -208,7 +218,7 @@ def oracle_sql() -> dict[str, str]:
         "progress_record": _sql(
             "SELECT sum(tokens)::BIGINT AS total_tokens, '{' || string_agg('\"' || source || '\":' || tokens, ',' ORDER BY source) "
             "|| '}' AS tokens_per_source, '{' || string_agg('\"' || source || '\":' || samples, ',' ORDER BY source) || '}' "
-            f"AS examples_per_source, sum(samples)::BIGINT AS examples_collected FROM (SELECT {by_source} FROM estimated "
+            f"AS examples_per_source, sum(samples)::BIGINT AS examples_collected, true AS has_time FROM (SELECT {by_source} FROM estimated "
             "GROUP BY source)", "estimated",
         ),
         "split_permutation": (
@@ -229,18 +239,27 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'val', n - train, 'permutation' FROM a UNION ALL SELECT 'validation', val, 'take_skip' FROM a "
             "UNION ALL SELECT 'train', n - val, 'take_skip' FROM a"
         ),
+        "split_extremes": (
+            "SELECT CAST(ratio AS DOUBLE) AS ratio, split, CASE WHEN (ratio = 0) = (split = 'train') THEN n ELSE 0 END AS samples "
+            "FROM (SELECT count(*) AS n FROM documents), (VALUES (0, 'train'), (0, 'val'), (1, 'train'), (1, 'val')) AS s(ratio, split)"
+        ),
+        "subset_source": "SELECT doc_id, source, lang AS subset FROM documents WHERE lang IN ('en', 'fr')",
+        "missing_source": (
+            "SELECT 'present' AS source, count(*) AS samples, count(text) AS texts FROM documents UNION ALL SELECT 'missing', 0, 0"
+        ),
         "shard_counts": (
-            f"SELECT position // {SHARD} AS shard, count(*) AS samples, min(position) AS first, max(position) AS last "
+            f"SELECT position // {SHARD} AS shard, count(*) AS samples, min(position) AS first, max(position) AS last, 1 AS files "
             f"FROM ({shards}) GROUP BY 1"
         ),
         "shard_roundtrip": f"SELECT position, text, source, position // {SHARD} AS shard FROM ({shards})",
         "bounded_files": "SELECT count(*) AS samples, true AS within_limit FROM documents",
         "split_roundtrip": (
-            f"SELECT doc_id, source, 'val' AS split FROM ({shuffled_docs.format(seed=52)}) WHERE rn > {train_size}"
+            f"SELECT doc_id, source, CASE WHEN rn <= {train_size} THEN 'train' ELSE 'val' END AS split "
+            f"FROM ({shuffled_docs.format(seed=52)})"
         ),
         "chunk_roundtrip": _sql(f"SELECT {by_source} FROM estimated GROUP BY source", "estimated"),
         "run_metadata": (
-            f"{instruct_sql} SELECT max(all_rows) * 3 // 4 AS target_rows, CAST({VAL_RATIO!r} AS DOUBLE) AS val_split, "
+            f"{merged_sql} SELECT max(all_rows) * 3 // 4 AS target_rows, CAST({VAL_RATIO!r} AS DOUBLE) AS val_split, "
             f"42::BIGINT AS seed, count_if(place <= {train_size})::BIGINT AS train_samples, "
             f"count_if(place > {train_size})::BIGINT AS val_samples, count(*) AS total_samples, "
             "sum(tokencount)::BIGINT AS total_tokens, CAST(sum(tokencount) AS DOUBLE) / count(*) AS mean_tokens_per_sample "
@@ -262,12 +281,15 @@ def oracle_sql() -> dict[str, str]:
         "ingest_resumed": _sql(
             "SELECT doc_id, source, token_count FROM estimated WHERE length(text) >= 50", "estimated"
         ),
-        "progress_by_batch": _sql(f"SELECT {by_source} FROM estimated GROUP BY source", "estimated"),
+        "progress_by_batch": _sql(
+            f"SELECT {by_source}, CASE WHEN max(doc_id) > (SELECT median FROM middle) THEN 1 ELSE 0 END AS last_batch "
+            "FROM estimated GROUP BY source", "estimated",
+        ).replace("WITH ", "WITH middle AS (SELECT quantile_disc(doc_id, 0.5) AS median FROM documents), ", 1),
         "stream_budget": _sql(
             f"SELECT doc_id, source, token_count FROM ({half_budget} total // 2)", "estimated"
         ),
         "instruct_corpus": (
-            f"{instruct_sql} SELECT conv_id, turn, {_trim('prompt')} AS prompt, {_trim('text')} AS text, "
+            f"{merged_sql} SELECT conv_id, turn, {_trim('prompt')} AS prompt, {_trim('text')} AS text, "
             f"formattedconversation, tokencount, CASE WHEN place <= {train_size} THEN 'train' ELSE 'val' END AS split "
             "FROM divided"
         ),
@@ -277,14 +299,15 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT b.conv_id, b.turn, prompt AS instruction, s.text AS context, b.text AS response, "
             "CAST(NULL AS VARCHAR) AS category, formattedconversation, tokencount, row_number() OVER (ORDER BY "
             "md5('42:' || b.conv_id || ':' || b.turn), b.conv_id, b.turn) AS place, count(*) OVER () AS n "
-            "FROM bytes_literal b LEFT JOIN (SELECT conv_id, text FROM conversations WHERE role = 'system') s "
-            "ON s.conv_id = b.conv_id WHERE tokencount < 508)", *literal,
+            "FROM merged_literal b LEFT JOIN (SELECT conv_id, text FROM conversations WHERE role = 'system') s "
+            "ON s.conv_id = b.conv_id WHERE tokencount < 508)", *merged_literal,
         ),
         "pretrain_by_samples": (
             f"WITH {samples_plan} SELECT doc_id, {_trim('text')} AS text, source, "
             f"CASE WHEN place <= {train_size} THEN 'pretrain_train' ELSE 'pretrain_val' END AS split FROM divided"
         ),
         "pretrain_by_tokens": f"WITH {estimated}, {mixed_by_tokens}",
+        "pretrain_resumed": f"WITH {estimated}, {mixed_by_tokens}",
         "pretrain_by_exact_tokens": (
             "WITH estimated AS (SELECT doc_id, text, source, lang, strlen(text)::BIGINT AS token_count FROM documents), "
             f"{mixed_by_tokens}"

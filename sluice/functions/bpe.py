@@ -51,6 +51,12 @@ class Vocabulary:
         """No merges: every byte is one token, every marker is one token."""
         return cls(b"\n".join(base64.b64encode(bytes([i])) + b" %d" % i for i in range(256)))
 
+    @classmethod
+    def with_merges(cls, *merges: bytes) -> "Vocabulary":
+        """The single bytes and, in this order, what pairs of earlier tokens merge to."""
+        ranks = [*cls.bytes_only().rank_lines.splitlines()]
+        return cls(b"\n".join([*ranks, *(base64.b64encode(m) + b" %d" % (256 + i) for i, m in enumerate(merges))]))
+
     @property
     def base_size(self) -> int:
         return sum(1 for line in self.rank_lines.splitlines() if line.strip())

@@ -1,32 +1,53 @@
 """Outputs: split tables, JSON-lines shards of exact size, metadata records and names."""
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from sluice.operators.rank import ranked
-from sluice.operators.stage import Stage
+from sluice.operators.rank import ranked, width
+from sluice.operators.stage import Stage, plain
+from sluice.sources.tables import delete_path, is_folder
 
 # Fixed value: rows per JSON-lines shard.
 SHARD_ROWS = 100_000
 
-DATA_FOLDER, METADATA_FOLDER, MARKER_FOLDER = "data", "metadata", "markers"
+DATA_FOLDER, METADATA_FOLDER, MARKER_FOLDER, PROGRESS_FOLDER = "data", "metadata", "markers", "progress"
+# The fields of a progress record.
+PROGRESS_SCHEMA = (
+    "progress struct<total_tokens: long, tokens_per_source: map<string,long>, examples_per_source: map<string,long>, "
+    "examples_collected: long>, timestamp double"
+)
+RESUME_FIELD = "next_positions map<string,long>"
 
 
-def write_splits(rows: DataFrame, path: str, measures: Sequence[Column] = ()) -> dict:
+def write_splits(rows: DataFrame, path: str, measures: Sequence[Column] = (), small: Sequence[str] = ()) -> dict:
     """Write all splits together, one folder per split, so that reading one split prunes the others.
 
-    Returns the ``measures``, collected by the writing pass itself, with the seconds it took.
+    Every task leaves a file per split. Those of the ``small`` splits are tiny, so these splits are read
+    back and written again as few files; the others are not shuffled. Returns the ``measures``, collected by
+    the writing pass itself, with the seconds it took.
     """
-    seen = Observation()
+    seen, data = Observation(), f"{path}/{DATA_FOLDER}"
     started = time.monotonic()
     observed = rows.observe(seen, F.count("*").alias("rows_written"), *measures)
-    observed.write.mode("overwrite").partitionBy("split").parquet(f"{path}/{DATA_FOLDER}")
+    observed.write.mode("overwrite").partitionBy("split").parquet(data)
+    if small:
+        _gather(rows.sparkSession, data, f"{path}/_{DATA_FOLDER}", plain(rows.schema), small)
     return {**seen.get, "seconds": time.monotonic() - started}
 
 
+def _gather(spark, data: str, aside: str, schema: T.StructType, splits: Sequence[str]) -> None:
+    """The splits as few files, by way of a folder beside the data."""
+    rows = spark.read.schema(schema).parquet(data).where(F.col("split").isin(*splits))
+    rows.hint("rebalance").write.mode("overwrite").parquet(aside)
+    gathered = spark.read.schema(schema).parquet(aside)
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("split")
+    writer.parquet(data)
+    delete_path(spark, aside)
+
+
 def read_splits(spark, path: str, schema: T.StructType, split: str | None = None) -> DataFrame:
     """Rows of all splits or of one; an empty split has the same schema."""
     rows = spark.read.schema(schema).parquet(f"{path}/{DATA_FOLDER}")
@@ -39,18 +60,24 @@ def with_shards(
     stage: Stage,
     shard_rows: int = SHARD_ROWS,
     partitions: int | None = None,
+    rows_known: int | None = None,
 ) -> DataFrame:
     """``rows`` with their global ``position`` in the order of ``keys`` and the ``shard`` it falls into.
 
     Every shard has exactly ``shard_rows`` rows, the last one the remainder.
     """
-    placed, _ = ranked(rows, keys, stage, "position", partitions)
+    placed, _ = ranked(rows, keys, stage, "position", partitions, rows_known)
     return placed.withColumn("shard", F.floor(F.col("position") / shard_rows))
 
 
-def write_shards(rows: DataFrame, path: str) -> None:
-    """JSON lines, one folder per shard; nulls are written, non-ASCII text stays readable."""
-    rows.write.mode("overwrite").option("ignoreNullFields", False).partitionBy("shard").json(path)
+def write_shards(rows: DataFrame, path: str, partitions: int | None = None) -> None:
+    """JSON lines, one file per shard, in the order of ``position``; nulls are written, non-ASCII text stays readable.
+
+    A shard's rows meet in one task, which holds few shards at a time: they are sorted by it.
+    """
+    partitions = partitions or width(rows)
+    together = rows.repartition(*([partitions] if partitions else []), "shard").sortWithinPartitions("shard", "position")
+    together.write.mode("overwrite").option("ignoreNullFields", False).partitionBy("shard").json(path)
 
 
 def write_bounded_files(rows: DataFrame, path: str, file_rows: int = SHARD_ROWS) -> None:
@@ -68,10 +95,38 @@ def write_metadata(spark, figures: dict, schema: T.StructType | str, path: str)
     )
 
 
+def read_markers(spark, path: str) -> DataFrame:
+    return spark.read.schema("token string, id long").json(f"{path}/{MARKER_FOLDER}")
+
+
 def read_metadata(spark, schema: T.StructType | str, path: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{path}/{METADATA_FOLDER}")
 
 
+def write_progress(
+    spark,
+    tokens: Mapping[str, int],
+    examples: Mapping[str, int],
+    path: str,
+    step: int,
+    next_positions: Mapping[str, int] | None = None,
+) -> None:
+    """The totals so far, with the time, as the record of one step; written again if the step is run again."""
+    progress = (sum(tokens.values()), dict(tokens), dict(examples), sum(examples.values()))
+    rows = [(progress, time.time(), dict(next_positions or {}))]
+    record = spark.createDataFrame(rows, f"{PROGRESS_SCHEMA}, {RESUME_FIELD}")
+    record.coalesce(1).write.mode("overwrite").json(f"{path}/{PROGRESS_FOLDER}/step={step}")
+
+
+def read_progress(spark, path: str) -> DataFrame:
+    """The records of all steps with their ``step``; none before the first."""
+    folder = f"{path}/{PROGRESS_FOLDER}"
+    schema = f"{PROGRESS_SCHEMA}, {RESUME_FIELD}, step long"
+    if not is_folder(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(folder)
+
+
 def write_markers(markers: DataFrame, path: str) -> None:
     """(token, id) of the markers beside the data."""
     markers.coalesce(1).write.mode("overwrite").json(f"{path}/{MARKER_FOLDER}")

@@ -46,11 +46,20 @@ def split_column(boundary: Boundary | None, first: str, rest: str):
 
 
 def permutation_split(
-    rows: DataFrame, *ids: str, val_ratio: float, seed: int, names: tuple[str, str] = ("train", "val")
+    rows: DataFrame,
+    *ids: str,
+    val_ratio: float,
+    seed: int,
+    names: tuple[str, str] = ("train", "val"),
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """``rows`` with a ``split`` column; whatever columns give the input order are kept."""
+    """``rows`` with a ``split`` column; whatever columns give the input order are kept.
+
+    The search reads the ids up to three times. With a ``stage`` they are written once: for ids that are
+    expensive, or not the same on every evaluation.
+    """
     order = shuffled(seed + SPLIT_SEED_OFFSET, *ids)
-    boundary = permutation_boundary(rows.select(*ids), order, val_ratio)
+    boundary = permutation_boundary(*_searched(rows, ids, stage, order, val_ratio))
     return rows.withColumn("split", split_column(boundary, *names))
 
 
@@ -62,24 +71,38 @@ def permuted_split(
     stage: Stage,
     names: tuple[str, str] = ("train", "val"),
     partitions: int | None = None,
+    rows_known: int | None = None,
 ) -> DataFrame:
     """``rows`` in permuted order: a ``permuted`` rank from 0 and the ``split`` it falls into.
 
-    Ranking the rows moves their text once; they are staged on the way.
+    Ranking the rows moves their text once; they are staged on the way. ``rows_known``, an upper bound of
+    their number, sets the width of that shuffle.
     """
-    in_order, total = ranked_by_hash(rows, shuffled(seed, *ids), stage, "permuted", partitions)
+    in_order, total = ranked_by_hash(rows, shuffled(seed, *ids), stage, "permuted", partitions, rows_known)
     train, _ = permutation_sizes(total, val_ratio)
     return in_order.withColumn(
         "split", F.when(F.col("permuted") < train, F.lit(names[0])).otherwise(F.lit(names[1]))
     )
 
 
+def _searched(rows: DataFrame, ids: tuple[str, ...], stage: Stage | None, order: Order, val_ratio: float) -> tuple:
+    if stage is None:
+        return rows.select(*ids), order, val_ratio
+    staged = stage.write(rows.select(*ids), f"split-{order.seed}", narrow=True)
+    return staged.rows, order, val_ratio, staged.count
+
+
 def take_skip_split(
-    rows: DataFrame, *ids: str, val_ratio: float, seed: int, names: tuple[str, str] = ("train", "validation")
+    rows: DataFrame,
+    *ids: str,
+    val_ratio: float,
+    seed: int,
+    names: tuple[str, str] = ("train", "validation"),
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """The first part of the seeded order is the validation set, the rest is the train set."""
+    """The first part of the seeded order is the validation set, the rest is the train set; ``stage`` as above."""
     order = shuffled(seed, *ids)
-    boundary = take_skip_boundary(rows.select(*ids), order, val_ratio)
+    boundary = take_skip_boundary(*_searched(rows, ids, stage, order, val_ratio))
     return rows.withColumn("split", split_column(boundary, names[1], names[0]))
 
 

@@ -40,7 +40,7 @@ class Corpus:
         ]
         if self.tokens:
             measures.append(F.coalesce(F.sum(self.tokens), F.lit(0)).alias("total_tokens"))
-        seen = sinks.write_splits(self.rows, path, measures)
+        seen = sinks.write_splits(self.rows, path, measures, small=self.names[1:])
         rows = seen["rows_written"]
         record = dict(self.figures)
         record |= {f"{name}_samples": seen[f"{name}_samples"] for name in self.names}
@@ -64,7 +64,7 @@ class Corpus:
         """
         staged = stage.write(self.rows, "unordered")
         partitions = partitions_for(self.rows.sparkSession, staged.count)
-        sinks.write_shards(sinks.with_shards(staged.rows, keys, stage, shard_rows, partitions), path)
+        sinks.write_shards(sinks.with_shards(staged.rows, keys, stage, shard_rows, partitions), path, partitions)
 
     def read(self, path: str, split: str | None = None) -> DataFrame:
         return sinks.read_splits(self.rows.sparkSession, path, plain(self.rows.schema), split)

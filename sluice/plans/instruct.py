@@ -1,23 +1,23 @@
 """Chat-formatted instruct corpora with exact token counts."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from sluice.functions.bpe import Vocabulary, token_count
 from sluice.functions.order import shuffled
 from sluice.functions.text import chat, non_empty, or_empty, strip
 from sluice.operators.draw import draw
-from sluice.operators.rank import partitions_for
 from sluice.operators.sinks import thousands_name
 from sluice.operators.split import SPLIT_SEED_OFFSET, permutation_boundary, permuted_split, split_column
 from sluice.operators.stage import Stage
 from sluice.operators.stats import require_rows, retention_measures, token_measures
 from sluice.plans.corpus import Corpus
 
-# Sequence cap, validation share, seed and target rows.
+# Sequence cap, validation share, seed, target rows and the formats' names.
 MAX_TOKENS = 508
 VAL_RATIO = 0.02
 SEED = 42
 TARGET_ROWS = 1_000_000
+PAIRS_FORMAT, CAPPED_FORMAT = "v2_streaming", "v1_instruct"
 
 
 def instruct_corpus(
@@ -28,13 +28,16 @@ def instruct_corpus(
     target_rows: int = TARGET_ROWS,
     seed: int = SEED,
     val_ratio: float = VAL_RATIO,
+    input_rows: int | None = None,
 ) -> Corpus:
     """The first ``target_rows`` usable (prompt, text) pairs of a seeded order, formatted, counted and split.
 
-    Only rows that are kept are formatted and counted, each once.
+    Only rows that are kept are formatted and counted, each once. ``input_rows``, the number of pairs, is
+    counted if it is not given, which evaluates a join once more.
     """
     usable = pairs.where(non_empty(F.col("prompt"), F.col("text"))).select(*ids, "prompt", "text")
-    drawn = draw(usable, ids, target_rows, seed, pairs.count(), stage, "instruct")
+    source_rows = pairs.count() if input_rows is None else input_rows
+    drawn = draw(usable, ids, target_rows, seed, source_rows, stage, "instruct")
     require_rows(drawn.count)
     train_end = permutation_boundary(
         drawn.ids, shuffled(seed + SPLIT_SEED_OFFSET, *ids), val_ratio, drawn.count
@@ -45,7 +48,7 @@ def instruct_corpus(
         .withColumn("tokencount", token_count(F.col("formattedconversation"), vocabulary))
         .withColumn("split", split_column(train_end, "train", "val"))
     )
-    figures = {"target_rows": target_rows, "val_split": val_ratio, "seed": seed, "format_version": "v2_streaming"}
+    figures = {"target_rows": target_rows, "val_split": val_ratio, "seed": seed, "format_version": PAIRS_FORMAT}
     types = "target_rows long, val_split double, seed long, format_version string"
     return Corpus(rows, ("train", "val"), figures, types, vocabulary, "tokencount", drawn.count)
 
@@ -60,12 +63,14 @@ def capped_instruct_corpus(
     val_ratio: float = VAL_RATIO,
     separator: str = "\\n",
     name_prefix: str = "instruct",
+    input_rows: int | None = None,
 ) -> Corpus:
     """Instructions whose formatted text has fewer than ``max_tokens`` tokens, in permuted order.
 
     All input columns stay. The turns are joined by a backslash and the letter n, not by a line break.
-    The counted rows are staged, as the size of the split depends on how many pass the cap; the same pass
-    observes the statistics.
+    The rows under the cap are staged where they are ranked, as the size of the split depends on their
+    number; the same pass observes the statistics of all. ``input_rows``, at least the number of
+    instructions, sets the width of the shuffle that ranks them.
     """
     formatted = chat(
         strip(or_empty(F.col("instruction"))), strip(or_empty(F.col("response"))), separator
@@ -75,14 +80,14 @@ def capped_instruct_corpus(
     )
     under = F.col("tokencount") < max_tokens
     measures = retention_measures(under) + token_measures(F.when(under, F.col("tokencount")))
-    counted = stage.write(counted, "counted", measures)
-    stats = counted.figures
-    require_rows(stats["filtered_rows"], "rows remaining after filtering")
-    count = stats["filtered_rows"]
+    seen = Observation()
     rows = permuted_split(
-        counted.rows.where(under), *ids, val_ratio=val_ratio, seed=seed, stage=stage,
-        partitions=partitions_for(instructions.sparkSession, count),
+        counted.observe(seen, *measures).where(under), *ids, val_ratio=val_ratio, seed=seed, stage=stage,
+        rows_known=input_rows,
     )
+    require_rows(len(rows.take(1)), "rows remaining after filtering")  # without rows nothing may be observed
+    stats = seen.get
+    count = stats["filtered_rows"]
     figures = {
         "original_rows": stats["original_rows"],
         "filtered_rows": count,
@@ -92,7 +97,7 @@ def capped_instruct_corpus(
         "max_seq_len_filter": max_tokens,
         "val_split": val_ratio,
         "seed": seed,
-        "format_version": "v1_instruct",
+        "format_version": CAPPED_FORMAT,
         "name": thousands_name(name_prefix, stats["samples"], stats["total_tokens"]),
     }
     types = (

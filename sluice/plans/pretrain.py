@@ -18,7 +18,8 @@ from sluice.operators.stats import require_rows
 from sluice.plans.corpus import Corpus
 from sluice.sources.tables import Source, tagged_text
 
-# The source labels and shares of the mixtures, validation share, seed and token budget.
+# The source labels and shares of the mixtures, validation share, seed and token budget, and
+# the fields of a record that tell the second source's share.
 PRIMARY, SECONDARY = "fineweb-edu", "open-web-math"
 SECONDARY_SHARE = 0.01
 SUBSETS = ("sample-10BT", "sample-100BT", "sample-350BT", "full")
@@ -42,6 +43,7 @@ VAL_RATIO = 0.02
 SEED = 42
 TARGET_TOKENS = 3_000_000_000
 SIZE = "tiny"
+WITH_SECONDARY_FIELD, SHARE_FIELD = "include_math", "math_ratio_of_pretrain"
 
 
 def pretrain_by_samples(
@@ -59,11 +61,13 @@ def pretrain_by_samples(
     subset: str = SUBSETS[0],
     name_prefix: str = "pretrain",
     day: date | None = None,
+    input_rows: tuple[int, int] | None = None,
 ) -> Corpus:
     """Two sources cut to the samples that their token budgets plan for, then split by a permutation.
 
     Both sources have ``ids`` and ``text``. Each has its own seed, so that equal ids are drawn apart.
-    ``subset`` is recorded: the one that the primary source was opened with.
+    ``subset`` is recorded: the one that the primary source was opened with. ``input_rows``, the numbers of
+    rows of the sources, are counted if they are not given.
     """
     total = mixture.preset_tokens(size) if total_tokens is None else total_tokens
     budgets = mixture.two_source_budget(total, secondary_share, with_secondary)
@@ -77,7 +81,8 @@ def pretrain_by_samples(
         if planned == 0:
             continue
         usable = rows.where(non_blank(F.col("text"))).select(*ids, "text")
-        sample = draw(usable, ids, planned, seed + offset, rows.count(), stage, f"samples/{offset}")
+        source_rows = input_rows[offset] if input_rows else rows.count()
+        sample = draw(usable, ids, planned, seed + offset, source_rows, stage, f"samples/{offset}")
         samples[label] = sample.count
         drawn.append(sample.rows.select(*ids, strip(F.col("text")).alias("text"), F.lit(label).alias("source")))
         drawn_ids.append(sample.ids.withColumn("source", F.lit(label)))
@@ -92,8 +97,8 @@ def pretrain_by_samples(
         "model_size": size,
         "total_tokens": total,
         "token_ratios": {labels[0]: 1.0 - share, labels[1]: share},
-        "include_math": with_secondary,
-        "math_ratio_of_pretrain": share,
+        WITH_SECONDARY_FIELD: with_secondary,
+        SHARE_FIELD: share,
         "samples_per_source": samples,
         "val_split": val_ratio,
         "subset": subset,
@@ -101,8 +106,8 @@ def pretrain_by_samples(
         "name": budget_name(name_prefix, size, total, sum(samples.values()), day or date.today()),
     }
     types = (
-        "model_size string, total_tokens long, token_ratios map<string,double>, include_math boolean, "
-        "math_ratio_of_pretrain double, samples_per_source map<string,long>, val_split double, "
+        f"model_size string, total_tokens long, token_ratios map<string,double>, {WITH_SECONDARY_FIELD} boolean, "
+        f"{SHARE_FIELD} double, samples_per_source map<string,long>, val_split double, "
         "subset string, seed long, name string"
     )
     rows = mixed.withColumn("split", split_column(train_end, *names))

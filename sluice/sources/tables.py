@@ -125,6 +125,14 @@ def planned_splits(rows: DataFrame) -> float:
     return rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() / split_bytes
 
 
+def single_source_splits(rows: DataFrame) -> int | None:
+    """``planned_splits`` of rows that are read from the files of one source; None where the size is a guess."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    if leaves.size() != 1 or leaves.head().getClass().getSimpleName() != "LogicalRelation":
+        return None
+    return int(planned_splits(rows)) + 1
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -17,6 +17,8 @@ from sluice.operators.stats import source_totals
 from sluice.sources.tables import is_folder, table
 
 PROGRESS_SCHEMA = "source string, samples long, tokens long, batch_id long"
+# What each source has taken up to and with a batch: only the latest batch before one is read.
+TOTALS_SCHEMA = "source string, samples long, tokens long, total_samples long, total_tokens long"
 
 
 def arriving(
@@ -88,7 +90,7 @@ def ingest_budgeted(
     def store(batch: DataFrame, batch_id: int) -> None:
         before = progress_totals(spark, progress, batch_id)
         left = {
-            source: target - before[source] if source in before else max(1, target)
+            source: target - before[source][1] if source in before else max(1, target)
             for source, target in targets.items()
         }
         open_sources = [source for source, tokens_left in left.items() if tokens_left > 0]
@@ -99,10 +101,14 @@ def ingest_budgeted(
                 weights.rows, by_position(position), left, weight=tokens, group="source", rows_known=weights.count
             )
             keep(wanted, ends, "source").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        taken = [(source, end.rows, end.weight) for source, end in ends.items()]
-        spark.createDataFrame(taken, "source string, samples long, tokens long").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{progress}/batch_id={batch_id}")
+        record = []
+        for source in {**before, **ends}:
+            samples, tokens_taken = (ends[source].rows, ends[source].weight) if source in ends else (0, 0)
+            earlier = before.get(source, (0, 0))
+            record.append((source, samples, tokens_taken, earlier[0] + samples, earlier[1] + tokens_taken))
+        spark.createDataFrame(record, TOTALS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            f"{progress}/batch_id={batch_id}"
+        )
 
     return _run(rows, store, checkpoint)
 
@@ -120,10 +126,18 @@ def read_progress(spark: SparkSession, progress: str) -> DataFrame:
     return spark.read.schema(PROGRESS_SCHEMA).parquet(progress)
 
 
-def progress_totals(spark: SparkSession, progress: str, before_batch: int) -> dict[str, int]:
-    """Tokens per source of the batches before one; a few rows, as many as there are sources."""
-    earlier = read_progress(spark, progress).where(F.col("batch_id") < before_batch)
-    return {r["source"]: r["t"] for r in earlier.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}
+def progress_totals(spark: SparkSession, progress: str, before_batch: int) -> dict[str, tuple[int, int]]:
+    """(samples, tokens) per source up to a batch, from the record of the last one before it.
+
+    A few rows, as many as there are targets. A batch without a record, interrupted before it wrote one, is
+    run again before a later one starts.
+    """
+    for batch in range(before_batch - 1, -1, -1):
+        path = f"{progress}/batch_id={batch}"
+        if is_folder(spark, path):
+            rows = spark.read.schema(TOTALS_SCHEMA).parquet(path).collect()
+            return {r["source"]: (r["total_samples"], r["total_tokens"]) for r in rows}
+    return {}
 
 
 def _run(rows: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:

@@ -187,3 +187,22 @@ def test_hash_ranks_are_dense(spark, stage, many, monkeypatch):
     found = placed.withColumn("hash", order.hash_text()).orderBy("place").collect()
     assert total == 500 and [r["place"] for r in found] == list(range(500))
     assert [r["hash"] for r in found] == sorted(r["hash"] for r in found)
+
+
+def test_small_splits_are_few_files(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 20).withColumn("split", F.when(F.col("id") % 10 == 0, "val").otherwise("train"))
+    assert "Exchange" not in physical_plan(rows)
+    seen = sinks.write_splits(rows, str(tmp_path), [F.sum("id").alias("sum")], small=["val"])
+    files = {s: len(list((tmp_path / "data" / f"split={s}").glob("*.parquet"))) for s in ("train", "val")}
+    assert files["val"] == 1 and files["train"] == 20 and (seen["rows_written"], seen["sum"]) == (400, 79_800)
+    back = sinks.read_splits(spark, str(tmp_path), rows.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    assert sorted(os.listdir(tmp_path)) == ["data"]
+
+
+def test_moves_are_as_wide_as_the_source(spark, stage, monkeypatch):
+    rows = stage.write(spark.range(1000), "t").rows
+    assert rank.width(rows) is None and rank.width(rows, 10**9) == 5000
+    monkeypatch.setattr("sluice.sources.tables.planned_splits", lambda _: 700.5)
+    assert rank.width(rows.where("id > 3")) == 701
+    assert rank.width(rows.join(rows, "id")) is None and rank.width(spark.createDataFrame([(1,)], "id long")) is None
