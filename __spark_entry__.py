@@ -564,7 +564,9 @@ def _arrivals(spark, sf_dir, take):
     """Let the documents arrive in two lots of several files, by position, and take what has arrived after each,
     and once more; ``take`` is given the stream."""
     stage = staged(spark)
-    rows = estimated(spark, sf_dir).join(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    rows = documents(spark, sf_dir).select(
+        "doc_id", "source", tx.estimated_tokens(F.col("text")).alias("token_count"), "text"
+    )
     half = rows.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
     for lot in (F.col("doc_id") <= half, F.col("doc_id") > half, None):
         if lot is not None:
