@@ -106,7 +106,9 @@ def measured(docs: DataFrame, text_col: str = "text", carry: Sequence[str] = ("d
     pairs = F.array_sort(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     rows = rows.withColumn("_pairs", F.when(repeats, pairs))
     rows = rows.withColumn("n_repeat_words", F.coalesce(_repeated_words(), F.lit(0).cast("long")))
-    return rows.select("_row.*", *MEASURES)
+    # Through an array of one: a filter on the measurements would otherwise be put below them and repeat them all.
+    once = F.inline(F.array(F.struct("_row", *MEASURES)))
+    return rows.select(once).select("_row.*", *MEASURES)
 
 
 def failures() -> Column:
