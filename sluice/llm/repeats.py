@@ -247,7 +247,8 @@ def repeated_spans(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_c
     often = windows.groupBy("d1", "d2").agg(F.sum("copies").alias("c")).where("c > 1").select("d1", "d2")
     counted = windows.where("copies = 1").join(often, ["d1", "d2"]).select("id", "text_key", "first", (F.col("first") + LENGTH).alias("end"))
     spans = inside.unionByName(sorted_).unionByName(counted)
-    return spans.groupBy("id", "text_key").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    # A set, as rows repeated with their id have the same spans; those of one text are no more than its runs.
+    return spans.groupBy("id", "text_key").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
