@@ -1,5 +1,6 @@
 """Ids against whole-text encoding, packings against their rules and bounds."""
 
+import json
 import zlib
 
 import numpy as np
@@ -19,8 +20,8 @@ def plain_ids(encoder, text):
     return encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
-@settings(deadline=None, max_examples=200)
-@given(st.lists(st.sampled_from([" ", "  ", "\n", "a", "don't", "Ünï", "12", "!?", " ", "\x1c", " ", "<|endoftext|>", "'s", "漢字", "\U0001F600", "\t"]), max_size=14))
+@settings(deadline=None, max_examples=500)
+@given(st.lists(st.sampled_from([" ", " ", " ", "..", "  ", "\n", "a", "don't", "Ünï", "12", "!?", " ", "\x1c", " ", "<|endoftext|>", "'s", "漢字", "\U0001F600", "\t", ".", ",", "\0", "x²", "Ab", "½"]), max_size=16))
 def test_ids(encoder, parts):
     text = "".join(parts)
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(encoder, text)
@@ -31,13 +32,29 @@ def test_long_runs(encoder):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(encoder, text)
 
 
-def test_memory_is_bounded(encoder, monkeypatch):
+def test_memory_is_bounded(monkeypatch):
+    encoder = P.Encoder(token_vocabulary())
     monkeypatch.setattr(P, "REMEMBERED", 10)
     text = " ".join(f"w{i}" for i in range(8)) + " w1 w2"
     for k in range(5):
         own = text.replace("w", "abcde"[k])
         assert np.frombuffer(encoder.encode(own), "<u4").tolist() == plain_ids(encoder, own)
-    assert len(encoder.known) <= 20
+        assert len(encoder.known) <= 20 and len(encoder.older) <= 30
+
+
+def test_ranks_follow_the_merges():
+    model = json.loads(token_vocabulary())
+    assert len(P.merge_ranks(model)) == 50256
+    model["model"]["merges"] = model["model"]["merges"][1:] + model["model"]["merges"][:1]
+    assert P.merge_ranks(model) is None
+
+
+def test_a_vocabulary_without_ranks_is_encoded_whole(encoder):
+    model = json.loads(token_vocabulary())
+    model["pre_tokenizer"]["add_prefix_space"] = True
+    other = P.Encoder(json.dumps(model))
+    assert other.words is None and encoder.words is not None
+    assert np.frombuffer(other.encode("a b"), "<u4").tolist() == plain_ids(other, "a b")
 
 
 def fewest(lengths, limit):
