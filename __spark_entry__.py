@@ -303,11 +303,15 @@ def retention(spark, sf_dir):
 
 def first_n_seeded(spark, sf_dir):
     usable = documents(spark, sf_dir).where(tx.non_blank(F.col("text"))).select("doc_id", "source")
-    ids = staged(spark).write(usable, "ids", narrow=True).rows
+    conditions = ("source <> 'src0'", "source = 'src0'")
+    counts = [F.count_if(F.expr(c)).alias(f"rows_{i}") for i, c in enumerate(conditions)]
+    ids = staged(spark).write(usable, "ids", counts, narrow=True)
     drawn = []
-    for offset, condition in enumerate(("source <> 'src0'", "source = 'src0'")):
-        own = ids.where(condition)
-        ends = find_boundaries(own, shuffled(SEED + offset, "doc_id"), share_of_total(0.3))
+    for i, condition in enumerate(conditions):
+        ends = find_boundaries(
+            ids.rows.where(condition), shuffled(SEED + i, "doc_id"), share_of_total(0.3),
+            rows_known=ids.figures[f"rows_{i}"],
+        )
         drawn.append(F.expr(condition) & inside(ends))
     return usable.where(drawn[0] | drawn[1])
 
