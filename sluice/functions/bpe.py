@@ -82,6 +82,8 @@ def segments(text: str, specials: Iterable[str] = ()) -> list[str]:
     The pattern cuts there as well: all but the last blank of a run are one match, and the last one begins
     the next. So the segments' tokens are those of the text. A run before a special token ends there.
     """
+    if len(text) <= LONG_RUN:
+        return [text]
     other = "".join(f"(?!{re.escape(s)})" for s in specials)
     runs = re.finditer(f"(?<![{BLANKS}])[{BLANKS}]{{{LONG_RUN},}}+{other}(?=[^{BLANKS}])", text)
     cuts = [0, *(m.end() - 1 for m in runs), len(text)]
