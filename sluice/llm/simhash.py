@@ -5,7 +5,8 @@
    agree in some choice of ``agree`` out of ``blocks`` blocks of bits, so each such choice is a table and its bits a
    shard. A shard of more than ``shard_rows`` nodes is partitioned by Hamming distance to a vantage point of its
    own, in shells; a node near the inner boundary of its shell is also a query of the next shell inwards, as the
-   triangle bound demands. That is repeated with further vantage points.
+   triangle bound demands, and one that is only a query also of the next shell outwards. That is repeated with
+   further vantage points.
 3. Within a shard a vantage-point tree finds all pairs within the radius, and a spanning forest of them leaves it:
    never all pairs of a group.
 4. ``components`` joins the links to classes by the large-star and small-star rounds, staged round by round.
@@ -199,7 +200,8 @@ def _split(rows: DataFrame, shard_rows: int) -> DataFrame:
     """Large shards by Hamming distance to the shard's vantage point, in shells; small ones as they are.
 
     Two nodes within the radius lie in one shell or in neighbouring ones; the outer of them is then within the
-    radius of the boundary, and goes to the inner shell as a query.
+    radius of the boundary, and goes to the inner shell as a query. If the inner one is a query already, which queries
+    do not find, it also goes to the outer shell, where the other is at home.
     """
     shard = ["choice", "part", "shells"]
     large = rows.groupBy(*shard).agg(F.sum("home").alias("_n"), F.max(F.struct(F.xxhash64("fp"), "fp"))["fp"].alias("_v"))
@@ -207,11 +209,13 @@ def _split(rows: DataFrame, shard_rows: int) -> DataFrame:
     away = F.bit_count(F.col("fp").bitwiseXOR(F.col("_v")))
     shell = F.floor(away / SHELL).cast("int")
     inwards = (away % SHELL < RADIUS) & (shell > 0)
+    outwards = (away % SHELL >= SHELL - RADIUS) & (F.col("home") == 0)
     places = F.when(F.col("_v").isNull(), F.array(F.struct(F.lit(0).alias("s"), F.col("home").alias("h")))).otherwise(
         F.filter(
             F.array(
                 F.struct((shell + 1).alias("s"), F.col("home").alias("h")),
                 F.when(inwards, F.struct(shell.alias("s"), F.lit(0).alias("h"))),
+                F.when(outwards, F.struct((shell + 2).alias("s"), F.lit(0).alias("h"))),
             ),
             lambda p: p.isNotNull(),
         )

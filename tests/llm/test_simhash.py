@@ -81,6 +81,22 @@ def test_classes(spark, stage, shard_rows):
     assert [found[p] for p in signed] == [1000 + r for r in plain_classes(points)]
 
 
+@pytest.mark.parametrize("splits", [2, 3])
+def test_hot_block_split_again(spark, stage, monkeypatch, splits):
+    monkeypatch.setattr(S, "SPLITS", splits)
+    rng = np.random.default_rng(8)
+    masks = [m % U64 for m in S.block_masks(5, 1)]
+    pairs = []
+    for base in rng.integers(0, U64, 2000, dtype=np.uint64).tolist():
+        base &= ~masks[0]
+        flips = [1 << int(rng.choice([b for b in range(64) if m >> b & 1])) for m in masks[1:]]
+        pairs.append((base, base ^ sum(flips)))
+    signed = [[p - U64 if p >> 63 else p for p in pair] for pair in pairs]
+    nodes = spark.createDataFrame([(p,) for p in {p for pair in signed for p in pair}], "fp long")
+    found = {frozenset(r) for r in S.links(nodes, nodes.count(), stage, shard_rows=64).collect()}
+    assert {frozenset(pair) for pair in signed} <= found
+
+
 def test_finer_tables_agree(spark, stage):
     points = chained(np.random.default_rng(6), 400)
     nodes = spark.createDataFrame([(p - U64 if p >> 63 else p,) for p in set(points)], "fp long")
