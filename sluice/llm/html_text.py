@@ -2,10 +2,11 @@
 
 Markup is stripped to lines, one for each block element's text. A line's length counts as zero if markup says that it
 is no article text (menus, page headers and footers, sidebars, notices, adverts, forms, reader comments), or if it is
-mostly links; if the page has an article or main element, so do lines outside of it. Lengths are summed over windows of
-``WINDOW`` lines. Text begins where these sums surge from zero and ends where they dive to zero again; stretches with a
-window of at least ``SURGE`` characters are article text, or the largest stretch if none reaches that. Kept are the
-lines from the first to the last of a stretch, without those that markup rules out.
+mostly links. If the page has an article or main element, its lines are the text, all but those that markup rules out.
+Otherwise lengths are summed over windows of ``WINDOW`` lines. Text begins where these sums surge from zero and ends
+where they dive to zero again; stretches with a window of at least ``SURGE`` characters are article text, or the largest
+stretch if none reaches that. Kept are the lines from the first to the last of a stretch, without those that markup
+rules out.
 
 Cases: a null or empty page, or one without text, gives an empty text; unclosed elements and tags at the end of a page
 end with it; repeated rows each return a row; an empty table gives an empty one; other columns are ignored.
@@ -182,18 +183,16 @@ def stretches(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> l
 
 def main_text(page: str) -> str:
     lines = lines_of(page)
-    article = any(line.inside and not line.ruled_out for line in lines)
+    if any(line.inside and not line.ruled_out for line in lines):
+        return " ".join(line.text for line in lines if line.inside and not line.ruled_out)
 
     def length(line: Line) -> int:
-        if line.ruled_out or article and not line.inside:
-            return 0
-        if not line.inside and (line.link_share >= LINK_SHARE or _RIGHTS.fullmatch(line.text)):
+        if line.ruled_out or line.link_share >= LINK_SHARE or _RIGHTS.fullmatch(line.text):
             return 0
         return len(line.text)
 
     lengths = [length(line) for line in lines]
-    kept = [lines[i].text for a, b in stretches(lengths) for i in range(a, b) if lengths[i] or not article and not lines[i].ruled_out]
-    return " ".join(kept)
+    return " ".join(lines[i].text for a, b in stretches(lengths) for i in range(a, b) if not lines[i].ruled_out)
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

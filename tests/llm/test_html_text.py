@@ -37,6 +37,17 @@ def test_cases(page):
     assert H.main_text(page) == CASES[page]
 
 
+ARTICLES = {
+    "<article><h1>Short title</h1><aside><p>a<p>b<p>c<p>d</aside><p>" + WORDS + "</p><form><p>a<p>b<p>c</form><h2>End</h2><p>Bye.</p></article>": "Short title " + WORDS + "End Bye.",
+    "<article><h1>T</h1>" + "<div class=share>share</div>" * 4 + "<p>" + WORDS + "</article>": "T " + WORDS.strip(),
+}
+
+
+@pytest.mark.parametrize("page", ARTICLES)
+def test_whole_articles(page):
+    assert H.main_text(page) == ARTICLES[page]
+
+
 def test_stretches():
     assert H.stretches([0, 50, 50, 0, 0, 0, 0, 10, 0]) == [(1, 3)]
     assert H.stretches([0, 5, 0, 0, 0, 9]) == [(5, 6)]
