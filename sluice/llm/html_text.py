@@ -8,6 +8,9 @@ where they dive to zero again; stretches with a window of at least ``SURGE`` cha
 stretch if none reaches that. Kept are the lines from the first to the last of a stretch, without those that markup
 rules out.
 
+Markup rules out by element, role, or words of a class or id. An id inside an article does so only as a whole, and one
+of a heading never, as ids are made of headings. Formulas are text, their annotations are not.
+
 Cases: a null or empty page, or one without text, gives an empty text; unclosed elements and tags at the end of a page
 end with it; repeated rows each return a row; an empty table gives an empty one; other columns are ignored.
 """
@@ -32,7 +35,9 @@ BLOCKS = frozenset(
     "tbody td template tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template svg math iframe object noframes xmp".split())
+RAW = frozenset("script style title textarea noscript template svg iframe object noframes xmp annotation annotation-xml".split())
+ANNOTATIONS = frozenset("annotation annotation-xml".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog select button fieldset search dir frameset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
@@ -48,7 +53,7 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]++)))?""")
 _RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved).{0,120}", re.I | re.S)
 
 
@@ -66,7 +71,7 @@ class _Line:
     linked: int = 0
 
 
-def _marked(attributes: str, inside: bool) -> bool:
+def _marked(element: str, attributes: str, inside: bool) -> bool:
     """Whether an element's attributes say that it is no article text."""
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
@@ -78,8 +83,8 @@ def _marked(attributes: str, inside: bool) -> bool:
         elif name == "role":
             if value in ROLES and not (inside and value == "banner"):
                 return True
-        else:
-            words = set(re.split(r"[^a-z0-9]+", value))
+        elif name == "class" or name == "id" and element not in HEADINGS:
+            words = {value.strip()} if name == "id" and inside else set(re.split(r"[^a-z0-9]+", value))
             if words & NAMES and not words & CONTENT - {"body", "text"}:
                 return True
     return False
@@ -143,7 +148,7 @@ def lines_of(page: str) -> list[Line]:
         if closing:
             close({name}, frozenset())
             continue
-        if name in RAW:
+        if name in RAW and not (name in ANNOTATIONS and attributes.endswith("/")):
             raw_end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = raw_end.end() if raw_end else end
             continue
@@ -155,7 +160,7 @@ def lines_of(page: str) -> list[Line]:
             close(CLOSED_BY[name], frozenset({"ul", "ol", "dl", "table", "select", "tbody", "thead", "tfoot"}))
         above = stack[-1] if stack else body
         inside = above.inside or name in ("article", "main")
-        ruled_out = above.ruled_out or name in OUTSIDE or name == "header" and not above.inside or bool(attributes) and name not in ("html", "body", "article", "main") and _marked(attributes, above.inside)
+        ruled_out = above.ruled_out or name in OUTSIDE or name == "header" and not above.inside or bool(attributes) and name not in ("html", "body", "article", "main") and _marked(name, attributes, above.inside)
         stack.append(_Element(name, ruled_out, inside, above.link or name == "a"))
     flush()
     return out

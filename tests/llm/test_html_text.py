@@ -40,6 +40,11 @@ def test_cases(page):
 ARTICLES = {
     "<article><h1>Short title</h1><aside><p>a<p>b<p>c<p>d</aside><p>" + WORDS + "</p><form><p>a<p>b<p>c</form><h2>End</h2><p>Bye.</p></article>": "Short title " + WORDS + "End Bye.",
     "<article><h1>T</h1>" + "<div class=share>share</div>" * 4 + "<p>" + WORDS + "</article>": "T " + WORDS.strip(),
+    '<p title="The hidden valley">a</p><section data-overflow="hidden">b</section><div data-hidden="false">c</div><p data-id="ad-3" title=\'x id="ad"\'>d</p>': "a b c d",
+    "<article><h2 id=related-work>a</h2><section id='search-algorithms'><p>b</section><div id=social-history>c</div></article>": "a b c",
+    "<article><p>a</p><div id=comments>b</div><div class=related-posts>c</div><div role=search>d</div><p HIDDEN>e</p></article>": "a",
+    "<h2 id=related-work>a</h2><p id='x' class='y' style='display:none'>b<p aria-hidden = \"true\">c": "a",
+    "<p>Let <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding=tex>x=2</annotation><annotation-xml/></semantics></math> hold": "Let x=2 hold",
 }
 
 
