@@ -1,8 +1,12 @@
 """Licence scans by canonical digests: whole texts, and single lines as notices, hash-joined to known licences.
 
-Texts are made canonical before they are compared: lower case, lines of copyright gone, punctuation as one space,
-equivalent spellings as one. Two texts with one canonical form are one licence, whatever their layout. Their SHA-256
-is joined to the digests of the known texts, which are a fixed table of some thousand rows and so are broadcast.
+Texts are made canonical before they are compared: lower case, statements of copyright gone, punctuation as one space,
+equivalent spellings as one. Two texts with one canonical form are one licence, whatever their layout. In a whole text
+lines that only reserve all rights go too, and the licence's title may stand above its text. Their SHA-256 is joined to
+the digests of the known texts, which are a fixed table of some thousand rows and so are broadcast.
+
+A line is a statement of copyright if the word or (c) begins it and a sign, year or owner follows, not if a sentence
+goes on there. Long licences are known by the digest of their whole text, in its published wording only.
 
 Every known text has a word that begins with a stem of ``STEMS``; a line without any cannot match, and is not made
 canonical. Only built-in functions run, the known table included.
@@ -11,6 +15,7 @@ Cases: a null or empty text, or one of punctuation, matches nothing; repeated ro
 an empty table gives an empty one; other columns are ignored.
 """
 
+import re
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -49,6 +54,23 @@ conditions are met:
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
 documentation and/or other materials provided with the distribution.
 
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission.
+
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
 THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
 CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
@@ -76,6 +98,56 @@ Unless required by applicable law or agreed to in writing, software distributed
 WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations
 under the License.""",
 }
+# Digests of the whole texts of long licences, without and with the instructions below their terms.
+DIGESTS: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": (
+        "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b",
+        "6aa661403864282a4d084f1551e8149a5f1a7b5e8b05b6db8e1a8a28d0badc64",
+        "f70a2718f78121f2da77cd6afbffffbd668d7c1fd36c85a3ef121e83cb5f48fe",
+    ),
+    "BSL-1.0": (
+        "5fcf89bde8c0c2deb999f4cc626e1aebf90e80fdc5cd334dae008152ef4a1ded",
+    ),
+    "CC0-1.0": (
+        "de4b88a2c819a4661af54f735069ed878216da8b4992b919b84afa18cfc0e54c",
+    ),
+    "GPL-2.0": (
+        "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+        "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808",
+        "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
+    ),
+    "GPL-3.0": (
+        "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68",
+        "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191",
+        "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636",
+    ),
+    "LGPL-2.1": (
+        "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891",
+        "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df",
+        "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4",
+    ),
+    "LGPL-3.0": (
+        "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    ),
+    "MPL-2.0": (
+        "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",
+    ),
+    "Unlicense": (
+        "7a4d92cdb11d254973a073803be1148a5402f1b2ca67808cdb3ef78b596102cd",
+    ),
+}
+# Titles above the texts.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)", "0BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", "BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": (
+        "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD License",
+        "BSD-3-Clause",
+    ),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib"),
+}
 # How licences are named in notices, in canonical form.
 NAMES = {
     "MIT": ("the mit license", "mit license", "mit"),
@@ -110,7 +182,20 @@ SPELLINGS = {
     "wilful": "willful",
 }
 STEMS = ("licen", "permission", "redistribution", "reserved", "under")
-COPYRIGHT_LINE = "(?im)^[^\\p{L}\\p{N}\\n©]*(?:copyright|©|\\(c\\))[^\\n]*$"
+# Words that go on with a sentence after "copyright".
+GOES_ON = (
+    "notices? holders? owners? licen[cs]es? licensors? laws? statements? permissions? interests? protections? treat(?:y|ies) disclaimers? rights? "
+    "lines? infringements? patent trademark also and or on in of for to is are as that which with"
+).replace(" ", "|")
+_YEAR = "[^\\n]*\\b(?:19|20)\\d\\d\\b"
+_OWNER = "(?-i:\\p{Lu})\\S*(?:[ \\t]+(?:and|of|the|de|von|&|(?-i:\\p{Lu})\\S*|<\\S+>))*[ \\t]*$"
+COPYRIGHT_LINE = (
+    "(?im)^[^\\p{L}\\p{N}\\n©]*(?:©"
+    f"|copyrights?(?![\\p{{L}}\\p{{N}}])[ \\t:,.-]*(?:\\(c\\)|©|&copy;|\\p{{N}}|[\\[{{<]|by\\b|(?!(?:{GOES_ON})\\b)(?:(?-i:\\p{{Lu}})|{_YEAR}))"
+    f"|\\(c\\)[ \\t]*(?:copyright\\b|©|\\p{{N}}|[\\[{{<]|{_YEAR}|[^\\s.]+[ \\t]*$|{_OWNER})"
+    ")[^\\n]*$"
+)
+RESERVED_LINE = f"(?im)^[^\\p{{L}}\\p{{N}}\\n]*{RESERVED}[^\\p{{L}}\\p{{N}}\\n]*$"
 
 
 def _words(text: Column) -> Column:
@@ -124,9 +209,15 @@ def canonical(text: Column) -> Column:
     return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(spelled, w), w)), " ")
 
 
-def digest(text: Column) -> Column:
+def digest(text: Column, whole: Column) -> Column:
     """SHA-256 of the canonical form, null if it is empty."""
-    return F.sha2(F.nullif(canonical(text), F.lit("")), 256)
+    return F.sha2(F.nullif(canonical(F.when(whole, F.regexp_replace(text, RESERVED_LINE, "")).otherwise(text)), F.lit("")), 256)
+
+
+def layouts() -> list[tuple[str, str]]:
+    """(licence, text) of the whole texts as they are set: with and without a title, and with bullets for numbers."""
+    out = [(i, f"{title}\n{t}") for i, t in TEXTS.items() for title in ("", *TITLES.get(i, ()))]
+    return out + [(i, re.sub(r"(?m)^\d\. ", "* ", t)) for i, t in out if i.startswith("BSD")]
 
 
 def notices() -> list[tuple[str, str]]:
@@ -138,9 +229,13 @@ def notices() -> list[tuple[str, str]]:
 
 def known(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
     """(digest, license_id, whole): a row for each known text and notice. ``texts`` adds or replaces whole texts."""
-    rows = [(i, t, True) for i, t in (TEXTS | (texts or {})).items()] + [(i, t, False) for i, t in notices()]
+    texts = texts or {}
+    rows = [(i, t, True) for i, t in layouts() if i not in texts] + [(i, t, True) for i, t in texts.items()] + [(i, t, False) for i, t in notices()]
     table = spark.createDataFrame(rows, "license_id string, text string, whole boolean")
-    return table.select(digest(F.col("text")).alias("digest"), "license_id", "whole").groupBy("digest", "whole").agg(F.min("license_id").alias("license_id"))
+    table = table.select(digest(F.col("text"), F.col("whole")).alias("digest"), "license_id", "whole")
+    long = [(d, i, True) for i, digests in DIGESTS.items() if i not in texts for d in digests]
+    table = table.unionByName(spark.createDataFrame(long, "digest string, license_id string, whole boolean"))
+    return table.groupBy("digest", "whole").agg(F.min("license_id").alias("license_id"))
 
 
 def scanned(docs: DataFrame, known_texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,7 +250,7 @@ def scanned(docs: DataFrame, known_texts: DataFrame, id_col: str = "doc_id", tex
     parts = rows.withColumn("likely", likely(F.col("text"))).select(
         "id", "row", F.explode(F.when(F.col("likely"), units).otherwise(F.array(unit(F.lit(None).cast("string"), True)))).alias("u")
     )
-    digests = parts.select("id", "row", F.col("u.whole").alias("whole"), F.when(F.col("u.part").isNotNull(), digest(F.col("u.part"))).alias("digest"))
+    digests = parts.select("id", "row", F.col("u.whole").alias("whole"), F.when(F.col("u.part").isNotNull(), digest(F.col("u.part"), F.col("u.whole"))).alias("digest"))
     found = digests.join(F.broadcast(known_texts), ["digest", "whole"], "left")
     named = F.when(~F.col("whole"), F.col("license_id"))
     return found.groupBy("id", "row").agg(

@@ -1,7 +1,9 @@
 """Canonical forms and lookups case by case."""
 
+import os
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.llm import licenses as L
@@ -42,6 +44,43 @@ def test_scan(spark):
     assert found == sorted(((i, *expected.get(i, (None, "", 0))) for i, _ in rows), key=repr)
 
 
+def test_layouts(spark):
+    isc = """ISC License
+
+Copyright (c) 2020, Jane Roe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""" + L.TEXTS["ISC"][L.TEXTS["ISC"].index("THE SOFTWARE") :]
+    owner = "Copyright (c) 2001 The Owners\nAll rights reserved.\n\n"
+    texts = {
+        1: ("ISC", isc), 2: ("MIT", "The MIT License (MIT)\n\n" + owner + L.TEXTS["MIT"]), 3: ("Zlib", owner + "zlib License\n" + L.TEXTS["Zlib"]),
+        4: ("BSD-3-Clause", "BSD 3-Clause License\n" + owner + re.sub(r"(?m)^\d\.", "*", L.TEXTS["BSD-3-Clause"])),
+        5: ("BSD-2-Clause", owner + L.TEXTS["BSD-2-Clause"]), 6: (None, "ISC License\n" + L.TEXTS["MIT"]), 7: (None, "MIT License"),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in texts.items()], "doc_id long, text string")
+    found = {r["doc_id"]: r["license_id"] for r in L.scanned(docs, L.known(spark)).collect()}
+    assert found == {i: name for i, (name, _) in texts.items()}
+
+
+def test_statements_of_copyright(spark):
+    gone = ["Copyright 2020 Me", "copyright: 2020", "* Copyright The Foo Authors", "Copyright [yyyy] [name]", "(c) Foo Inc. and Bar", "(c) me", "copyright by me"]
+    kept = ["copyright notice and this", "COPYRIGHT HOLDERS BE LIABLE", "copyrighted by the Foundation", "(c) You must retain, in the Source form", "copyright law: that is", '"Copyright" also means']
+    assert forms(spark, gone) == [""] * len(gone) and all(forms(spark, kept))
+
+
+@pytest.mark.parametrize("name, file", [("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0")])
+def test_long_texts(spark, name, file):
+    path = f"/usr/share/common-licenses/{file}"
+    if not os.path.exists(path):
+        pytest.skip("no licence texts on this machine")
+    with open(path) as f:
+        text = f.read()
+    docs = spark.createDataFrame([(1, text), (2, re.sub(r"(?<=[a-z,])\n\s*(?=[a-z])", " ", text))], "doc_id long, text string")
+    assert {r["license_id"] for r in L.scanned(docs, L.known(spark)).collect()} == {name}
+
+
 def test_own_texts_and_empty(spark):
     docs = spark.createDataFrame([(1, "Under my licence!")], "doc_id long, text string")
     known = L.known(spark, {"own": "under my license"})
