@@ -6,7 +6,7 @@
    shard. A shard of more than ``shard_rows`` nodes is partitioned by Hamming distance to a vantage point of its
    own, in shells; a node near the inner boundary of its shell is also a query of the next shell inwards, as the
    triangle bound demands, and one that is only a query also of the next shell outwards. That is repeated with
-   further vantage points.
+   further vantage points; shards that stay large are compared block by block.
 3. Within a shard a vantage-point tree finds all pairs within the radius, and a spanning forest of them leaves it:
    never all pairs of a group.
 4. ``components`` joins the links to classes by the large-star and small-star rounds, staged round by round.
@@ -38,6 +38,8 @@ LEAF = 48
 #: Nodes of a shard that one vantage-point tree takes without being partitioned further, and the partitions tried.
 SHARD_ROWS = 4096
 SPLITS = 3
+#: Rows of a shard, its queries included, that one task takes after that; more are cut into blocks.
+BLOCK_ROWS = 65_536
 #: Blocks of a fingerprint and how many of them agree for a radius of four, coarse tables first.
 TABLES = ((5, 1), (6, 2), (7, 3), (8, 4))
 #: The mean shard of a choice of tables may hold so many nodes.
@@ -225,8 +227,30 @@ def _split(rows: DataFrame, shard_rows: int) -> DataFrame:
     ).select("fp", "choice", "part", (F.col("shells") * 16 + F.col("p.s")).alias("shells"), F.col("p.h").alias("home"))
 
 
-def links(nodes: DataFrame, count: int, stage: Stage, name: str = "links", shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(a, b): links that connect what pairs of ``nodes`` (fp) within the radius connect."""
+def _blocks(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Shards of too many rows as pairs of blocks: members of the one, queries of the other.
+
+    Two members meet in one pair of blocks, a member and a query too. So nothing is lost, and no task grows; the work
+    of such a shard grows with the square of its rows.
+    """
+    shard = ["choice", "part", "shells"]
+    large = rows.groupBy(*shard).agg(F.count("*").alias("_n")).where(F.col("_n") > block_rows)
+    large = large.select(*shard, F.ceil(F.col("_n") / block_rows).alias("_k"))
+    if large.isEmpty():
+        return rows
+    own = F.pmod(F.xxhash64("fp"), F.col("_k"))
+    each = F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)
+    pair = lambda member, query: (F.col("shells") + 1) * (1 << 40) + member * (1 << 20) + query
+    queries = F.transform(F.filter(each, lambda i: (F.col("home") == 0) | (i > own)), lambda i: F.struct(pair(i, own).alias("s"), F.lit(0).alias("h")))
+    members = F.transform(F.filter(each, lambda j: F.col("home") == 1), lambda j: F.struct(pair(own, j).alias("s"), F.lit(1).alias("h")))
+    places = F.when(F.col("_k").isNull(), F.array(F.struct(F.col("shells").alias("s"), F.col("home").alias("h")))).otherwise(F.concat(queries, members))
+    return rows.join(large, shard, "left").select("fp", "choice", "part", F.explode(places).alias("p")).select(
+        "fp", "choice", "part", F.col("p.s").alias("shells"), F.col("p.h").alias("home")
+    )
+
+
+def shards(nodes: DataFrame, count: int, stage: Stage, name: str = "links", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(fp, choice, part, shells, home): the rows of every shard, in which tasks look for pairs."""
     masks = block_masks(*tables_for(count))
     choices = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(masks)])
     rows = nodes.select("fp", F.explode(choices).alias("c")).select(
@@ -235,10 +259,19 @@ def links(nodes: DataFrame, count: int, stage: Stage, name: str = "links", shard
     for level in range(SPLITS):
         sizes = rows.groupBy("choice", "part", "shells").agg(F.sum("home").alias("n"))
         if sizes.where(F.col("n") > shard_rows).isEmpty():
+            if level == 0:
+                return rows
             break
         rows = stage.write(_split(rows, shard_rows), f"{name}-split-{level}").rows
+    return _blocks(rows, block_rows)
+
+
+def links(
+    nodes: DataFrame, count: int, stage: Stage, name: str = "links", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(a, b): links that connect what pairs of ``nodes`` (fp) within the radius connect."""
     shard = ["choice", "part", "shells"]
-    together = rows.repartition(*shard).sortWithinPartitions(*shard)
+    together = shards(nodes, count, stage, name, shard_rows, block_rows).repartition(*shard).sortWithinPartitions(*shard)
     return together.mapInArrow(_shard_links(), "a long, b long")
 
 

@@ -97,6 +97,22 @@ def test_hot_block_split_again(spark, stage, monkeypatch, splits):
     assert {frozenset(pair) for pair in signed} <= found
 
 
+def test_shards_that_stay_large(spark, stage):
+    rng = np.random.default_rng(9)
+    center = int(rng.integers(0, U64, dtype=np.uint64))
+    flips = [rng.choice(64, int(rng.integers(0, 8)), replace=False).tolist() for _ in range(600)]
+    points = sorted({center ^ sum(1 << b for b in f) for f in flips})
+    signed = [p - U64 if p >> 63 else p for p in points]
+    nodes = spark.createDataFrame([(p,) for p in signed], "fp long")
+    limits = {"shard_rows": 20, "block_rows": 30}
+    rows = S.shards(nodes, len(points), stage, "shards", **limits)
+    assert rows.groupBy("choice", "part", "shells").count().agg({"count": "max"}).first()[0] <= 4 * 30
+    roots = {r[0]: r[1] for r in S.components(S.links(nodes, len(points), stage, **limits), stage).collect()}
+    found = [roots.get(p, p) for p in signed]
+    expected = plain_classes(points)
+    assert len(set(zip(found, expected))) == len(set(found)) == len(set(expected))
+
+
 def test_finer_tables_agree(spark, stage):
     points = chained(np.random.default_rng(6), 400)
     nodes = spark.createDataFrame([(p - U64 if p >> 63 else p,) for p in set(points)], "fp long")
