@@ -96,9 +96,42 @@ f AS (
 SELECT doc_id, license_id, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices FROM d LEFT JOIN f USING (r)
 """
 
+COLLOCATIONS = f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS s
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(s, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p
+), g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS v(k) WHERE len(w) >= k)
+), f AS (
+  SELECT lang, k, g, count(*) AS a FROM g GROUP BY ALL
+), cut AS (
+  SELECT f.lang, f.k, g, a, c, array_to_string(string_split(g, ' ')[:c], ' ') AS first, array_to_string(string_split(g, ' ')[c + 1:], ' ') AS rest
+  FROM f, (VALUES (1), (2)) AS v(c) WHERE f.k > c AND a >= 10
+), scored AS (
+  SELECT cut.lang, cut.k, cut.g, cut.a, x.a AS l, y.a AS r, (1000000::HUGEINT * cut.a * cut.a // (x.a::HUGEINT * y.a))::BIGINT AS score,
+    row_number() OVER (PARTITION BY cut.lang, cut.g ORDER BY 1000000::HUGEINT * cut.a * cut.a // (x.a::HUGEINT * y.a), c) AS nth
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.g = first AND x.k = c JOIN f y ON y.lang = cut.lang AND y.g = rest AND y.k = cut.k - c
+), longest AS (
+  SELECT lang, g, max(a) AS m FROM (
+    SELECT lang, array_to_string(string_split(g, ' ')[:2], ' ') AS g, a FROM f WHERE k = 3 AND a >= 10
+    UNION ALL SELECT lang, array_to_string(string_split(g, ' ')[2:], ' '), a FROM f WHERE k = 3 AND a >= 10
+  ) GROUP BY ALL
+), kept AS (
+  SELECT lang, g AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g)) AS rank
+  FROM scored LEFT JOIN longest m USING (lang, g) WHERE nth = 1 AND (scored.k = 3 OR m.m IS NULL OR 100 * m.m < 50 * a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang) USING (lang)
+WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op3_license_scan": LICENSES,
     "op2_warc": WARC,
     "op4_quality_rules": QUALITY_RULES,
     "op6_decontamination": DECONTAMINATION,
+    "op12_collocations": COLLOCATIONS,
 }
