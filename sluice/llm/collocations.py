@@ -7,7 +7,7 @@
    frequent extensions, and the largest of them, which decides whether the prefix is subsumed to the right.
 3. Levels 0 to ``most_words`` - 1 follow each other. A phrase can only be frequent if the phrases it is made of are,
    so a level keeps prefixes and extensions that pass a filter of the frequent phrases of the level before: bits by
-   hash, ``FILTER_BITS`` of them whatever the corpus, which lets some others pass but none fail. Counts are exact.
+   hash, ``FILTER_BITS`` of them whatever the corpus, which let some others pass but none fail. Counts are exact.
 4. ``collocations``: the frequent phrases meet the totals of their parts; subsumed ones go; the best of each language.
 
 A prefix with more than a ``HEAVY_SHARE`` of all words is heavy (there are at most 1 / HEAVY_SHARE of them): its
@@ -19,11 +19,11 @@ into slices at blanks; other columns are ignored, whatever their names.
 """
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,195 +37,235 @@ SCALE = 1_000_000
 HEAVY_SHARE = 1 / 4096
 HEAVY_PARTS = 256
 FILTER_BITS = 1 << 27
-#: Words that a task counts before it hands on its stripes, and bytes of text that it cuts into words at once.
-FLUSH_WORDS = 4_000_000
-SLICE = 1 << 20
+#: Bytes of text that a task counts before it hands on its stripes.
+FLUSH_BYTES = 8 << 20
 #: Stands for the end of a piece. A full stop parts pieces, so it is never a word.
 END = b"."
 
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
-_TABLE = bytes.maketrans(_SEPARATORS + b"\t", b"." * len(_SEPARATORS) + b" ").translate(bytes(range(256)).lower())
+_LOWER = bytes(range(256)).lower()
+_TABLE = _LOWER.translate(bytes.maketrans(_SEPARATORS + b"\t", END * len(_SEPARATORS) + b" "))
 STRIPE_DDL = "lang string, prefix binary, part int, words binary, counts binary"
 STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.binary()), ("part", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
 MERGED_DDL = "lang string, prefix binary, total long, words array<binary>, counts array<long>"
 MERGED = pa.schema(
     [("lang", pa.string()), ("prefix", pa.binary()), ("total", pa.int64()), ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))]
 )
-BATCH_ROWS = 20_000
+BATCH_ROWS = 10_000
 
 
-class _Ids(dict):
-    """A number for each word, in the order of their first use; 0 is the end of a piece."""
+# Words as numbers
 
-    def __init__(self):
-        super().__init__({END: 0})
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+def words_of(text: bytes) -> pa.DictionaryArray:
+    """The words and ends of a text whose separators are full stops and whose blanks are spaces; number 0 is ``END``."""
+    chars = np.frombuffer(END + text, np.uint8)
+    word, end = chars != 32, chars == END[0]
+    starts = word.copy()
+    starts[1:] &= ~word[:-1] | end[1:] | end[:-1]
+    chars, starts = chars[word], np.flatnonzero(starts[word])
+    return _strings(np.append(starts, len(chars)), chars).dictionary_encode()
 
 
-@dataclass(frozen=True)
-class Frequent:
-    """A filter of phrases by (lang, phrase): a bit for each hash. Never wrong about a phrase that is in it."""
+def _strings(offsets: np.ndarray, chars) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(chars)])
 
-    bits: bytes
 
-    def has(self, lang: str, phrases: Iterable[bytes], n: int) -> np.ndarray:
-        seen, mask, digest, head = np.frombuffer(self.bits, np.uint64), FILTER_BITS - 1, xxhash.xxh64_intdigest, lang.encode() + b"\0"
-        at = np.fromiter((digest(head + p, 42) & mask for p in phrases), np.int64, n)
-        return (seen[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+def hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))
 
 
-def frequent_bits(phrases: DataFrame) -> bytes:
-    """The filter of (lang, phrase) rows. At most FILTER_BITS / 64 numbers come to the driver, whatever the rows."""
-    named = F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), F.col("phrase"))
-    places = phrases.select(F.xxhash64(named).bitwiseAND(F.lit(FILTER_BITS - 1)).alias("at"))
+def _mixed(before, word):
+    """The hash of a phrase from that of its words but the last, and that of the last; numbers or arrays of uint64."""
+    with np.errstate(over="ignore"):
+        mixed = (before ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        return mixed ^ mixed >> np.uint64(29)
+
+
+def _of_lang(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+
+
+def _places(phrases: np.ndarray) -> np.ndarray:
+    return (phrases & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def frequent_bits(stripe_rows: DataFrame) -> bytes:
+    """The filter of the extensions of ``merged`` rows: a bit for each hash. At most FILTER_BITS / 64 numbers come to
+    the driver, whatever the rows."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, words = batch["words"], hashes(batch["words"].flatten())
+            prefixes = []
+            for lang, prefix in zip(batch["lang"].to_pylist(), batch["prefix"].to_pylist()):
+                phrase = _of_lang(lang)
+                for word in prefix.split(b" ") if prefix else ():
+                    phrase = _mixed(phrase, np.uint64(xxhash.xxh64_intdigest(word)))
+                prefixes.append(phrase)
+            sizes = lists.value_lengths().to_numpy()
+            yield pa.record_batch([pa.array(_places(_mixed(np.repeat(np.array(prefixes, np.uint64), sizes), words)))], names=["at"])
+
+    places = stripe_rows.where(F.size("words") > 0).select("lang", "prefix", "words").mapInArrow(work, "at long")
     bits = places.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
     rows, out = bits.toArrow(), np.zeros(FILTER_BITS // 64, np.int64)
     out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return out.tobytes()
 
 
-def slices(text: bytes) -> Iterator[bytes]:
-    """The text with separators as full stops and blanks as spaces, in slices that end where a word does."""
-    text = text.translate(_TABLE)
-    at = 0
-    while at < len(text):
-        end = at + SLICE
-        if end < len(text):
-            ends = [i for i in (text.find(b" ", end), text.find(b".", end)) if i >= 0]
-            end = min(ends, default=len(text))
-        yield text[at:end].replace(b".", b" . ")
-        at = end
+# Stripes of a task
+
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return keys[first], np.diff(np.append(first, len(keys)))
 
-def _windows(words: list[bytes], t: np.ndarray, level: int, lang: str, known: Frequent | None) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """(prefixes, prefix number, following word, count) of the windows of ``level`` words and the one that follows, sorted by prefix.
 
-    Extensions that are not in ``known`` count as ends.
+def _windows(t: np.ndarray, words: int, level: int, phrase_fits: np.ndarray, suffix_fits: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Prefixes of ``level`` words and the word after them, of numbers below ``words``: (the words of each prefix, the
+    prefix of each extension, the extension, its count), sorted by prefix.
+
+    Only places where ``phrase_fits`` begin a prefix; where ``suffix_fits`` is false, the extension counts as an end.
     """
-    if level == 0:
-        counts = np.bincount(t, minlength=len(words))
-        after = np.flatnonzero(counts[1:]) + 1
-        return [b""], np.zeros(len(after), np.int64), after, counts[after]
-
-    def fit(labels: list[bytes], width: int) -> np.ndarray:
-        """Whether each phrase may be frequent; and False for place -1, which is none."""
-        return np.append(known.has(lang, labels, len(labels)) if known and width == level else np.ones(len(labels), bool), False)
-
-    # grams has the number of the window that begins at a place, -1 for one that reaches over an end.
-    grams, labels = np.where(t == 0, -1, t), words
-    fits = fit(labels, 1)
-    for width in range(2, level + 1):
-        after = t[width - 1 :]
-        keys = np.where(fits[grams[:-1]] & (after > 0), grams[:-1] * len(words) + after, -1)
-        found, numbers = np.unique(keys, return_inverse=True)
-        none = int(len(found) > 0 and found[0] == -1)
-        labels = [labels[k // len(words)] + b" " + words[k % len(words)] for k in found[none:].tolist()]
-        grams, fits = numbers - none, fit(labels, width)
-    starts = len(t) - level
-    prefix, after = grams[:starts], t[level:]
-    kept = fits[prefix]
-    if known:
-        # The phrase without its first word has to be frequent too.
-        after = np.where(fits[grams[1 : starts + 1]], after, 0)
-    keys, counts = np.unique(prefix[kept] * len(words) + after[kept], return_counts=True)
-    return labels, keys // len(words), keys % len(words), counts
-
-
-def _rows(words: list[bytes], ids: np.ndarray, level: int, lang: str, known: Frequent | None, heavy: set[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
-    labels, prefix, after, counts = _windows(words, ids, level, lang, known)
+    starts = np.flatnonzero(phrase_fits)
+    after = np.where(suffix_fits[starts], t[starts + level], 0)
+    prefix, tables = np.zeros(len(starts), np.int64), {}
+    for width in range(level):
+        if len(prefix) and (int(prefix.max()) + 1) * words * words >= 1 << 63:
+            tables[width] = np.unique(prefix)
+            prefix = np.searchsorted(tables[width], prefix)
+        prefix = prefix * words + t[starts + width]
+    keys, counts = _counted(prefix * words + after)
+    prefix, after = keys // words, keys % words
+    new = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), prefix[1:] != prefix[:-1])))
+    number = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(keys))))
+    left, parts = prefix[new], []
+    for width in range(level - 1, -1, -1):
+        parts.insert(0, left % words)
+        left = left // words
+        if width in tables:
+            left = tables[width][left]
+    return parts, number, after, counts
+
+
+def _stripes(text: bytes, level: int, lang: str, known: np.ndarray | None, heavy: set[bytes]) -> tuple[list[pa.RecordBatch], bytes]:
+    """The stripes of a text of one language, and the end of it whose prefixes are yet to be counted."""
+    coded = words_of(text)
+    words, t = coded.dictionary, coded.indices.to_numpy()[1:].astype(np.int64)
+    tail = words.take(pa.array(t[max(0, len(t) - level) :] if level else t[:0])).to_pylist()
+    rest = b" ".join(tail) + b" " if any(w != END for w in tail) else b""
+    places = max(0, len(t) - level)
+    digests = hashes(words)
+    is_word = t > 0
+
+    def fits(first: int) -> np.ndarray:
+        """Whether the ``level`` words from each place, or from the one after it, are a phrase, and may be frequent."""
+        own, phrase = np.ones(places, bool), np.full(places, _of_lang(lang))
+        for i in range(first, first + level):
+            own &= is_word[i : i + places]
+            phrase = _mixed(phrase, digests[t[i : i + places]])
+        if known is not None:
+            at = _places(phrase)
+            own &= known[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) == 1
+        return own
+
+    parts, prefix, after, counts = _windows(t, len(words), level, fits(0) if level else is_word[:places], fits(1) if known is not None else np.ones(places, bool))
     if not len(prefix):
-        return
+        return [], rest
+    names = [words.take(pa.array(p)) for p in parts]
+    labels = pc.binary_join_element_wise(*names, pa.scalar(b" ", pa.binary())) if level > 1 else names[0] if level else pa.array([b""], pa.binary())
     part = np.zeros(len(prefix), np.int64)
-    hot = [i for i, label in enumerate(labels) if not level or (lang, label) in heavy]
-    if hot:
+    hot = np.flatnonzero(pc.is_in(labels, pa.array(list(heavy), pa.binary())).to_numpy(zero_copy_only=False)) if level else np.array([0])
+    if len(hot):
         own = np.isin(prefix, hot)
-        digest = xxhash.xxh64_intdigest
-        part[own] = [digest(words[i]) % HEAVY_PARTS for i in after[own].tolist()]
+        part[own] = (digests[after[own]] % np.uint64(HEAVY_PARTS)).astype(np.int64)
         order = np.lexsort((part, prefix))
         prefix, after, counts, part = prefix[order], after[order], counts[order], part[order]
-    starts = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1]))))
-    ends = np.append(starts[1:], len(prefix))
-    following = [words[i] for i in after.tolist()]
-    raw = counts.astype("<i8").tobytes()
-    for first in range(0, len(starts), BATCH_ROWS):
-        spans = list(zip(starts[first : first + BATCH_ROWS].tolist(), ends[first : first + BATCH_ROWS].tolist()))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * len(spans), pa.string()),
-                pa.array([labels[prefix[a]] for a, _ in spans], pa.binary()),
-                pa.array(part[[a for a, _ in spans]].astype(np.int32)),
-                pa.array([b" ".join(following[a:b]) for a, b in spans], pa.binary()),
-                pa.array([raw[8 * a : 8 * b] for a, b in spans], pa.binary()),
-            ],
-            schema=STRIPE,
-        )
+    first = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1]))))
+    # Words end with a space, so the words of a stripe are a stretch of all of them.
+    spaced = pc.binary_join_element_wise(words, pa.scalar(b"", pa.binary()), pa.scalar(b" ", pa.binary())).take(pa.array(after))
+    at = np.frombuffer(spaced.buffers()[1], np.int32)[spaced.offset : spaced.offset + len(spaced) + 1]
+    bounds = np.append(first, len(prefix))
+    rows = pa.Table.from_arrays(
+        [
+            pa.array([lang], pa.string()).take(pa.array(np.zeros(len(first), np.int64))),
+            labels.take(pa.array(prefix[first])),
+            pa.array(part[first].astype(np.int32)),
+            pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at[bounds]), spaced.buffers()[2]]),
+            _strings(8 * bounds, counts.astype("<i8")),
+        ],
+        schema=STRIPE,
+    )
+    return rows.to_batches(max_chunksize=BATCH_ROWS), rest
+
+
+def slices(text: bytes) -> Iterator[bytes]:
+    """The text with separators as full stops and blanks as spaces, in slices that end where a word does."""
+    text, at = text.translate(_TABLE), 0
+    while at < len(text):
+        end = at + FLUSH_BYTES
+        ends = [i for i in (text.find(b" ", end), text.find(END, end)) if i >= 0] if end < len(text) else []
+        end = min(ends, default=len(text))
+        yield text[at:end]
+        at = end
 
 
 def stripes(docs: DataFrame, level: int, known=None, heavy: Iterable[tuple[str, bytes]] = ()) -> DataFrame:
     """Rows of ``STRIPE_DDL`` of (lang, text) rows, a prefix's stripe in several rows. ``known`` is a broadcast filter."""
-    heavy = set(heavy)
+    heavy_by_lang: dict[str, set[bytes]] = {}
+    for lang, phrase in heavy:
+        heavy_by_lang.setdefault(lang, set()).add(phrase)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, buffers, buffered = _Ids(), {}, 0
-        fits = Frequent(known.value) if known else None
+        bits = np.frombuffer(known.value, np.uint64) if known else None
+        buffers, size = {}, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            """Count all windows that are whole; their last words begin the next buffer."""
-            nonlocal ids, buffers, buffered
-            words, left, fresh = list(ids), {}, _Ids()
-            for lang, parts in buffers.items():
-                t = np.concatenate(parts)
-                if len(t) > level:
-                    yield from _rows(words, t, level, lang, fits, heavy)
-                if level and t[-level:].any():
-                    left[lang] = [np.array([fresh[words[i]] for i in t[-level:].tolist()], np.int64)]
-            ids, buffers, buffered = fresh, left, 0
+            """Count the prefixes that are whole; the rest begins the next buffer."""
+            nonlocal buffers, size
+            left = {}
+            for lang, texts in buffers.items():
+                rows, rest = _stripes(b"".join(texts), level, lang, bits, heavy_by_lang.get(lang, set()))
+                yield from rows
+                if rest:
+                    left[lang] = [rest]
+            buffers, size = left, 0
 
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-                own = buffers.setdefault(lang, [])
                 for piece in slices(text.as_py()):
-                    tokens = piece.split()
-                    own.append(np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens)))
-                    buffered += len(tokens)
-                    if buffered >= FLUSH_WORDS:
+                    buffers.setdefault(lang, []).append(piece)
+                    size += len(piece)
+                    if size >= FLUSH_BYTES:
                         yield from flush()
-                        own = buffers.setdefault(lang, [])
-                own.append(np.zeros(level + 1, np.int64))
+                buffers.setdefault(lang, []).append(END)
+        for texts in buffers.values():
+            texts.append(END * (level + 1))
         yield from flush()
 
     return docs.mapInArrow(work, STRIPE_DDL)
 
 
-def _add(groups: np.ndarray, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """Counts of equal (group, word) added; sorted by group."""
-    ids = _Ids()
-    keys = groups << 32 | np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    names = list(ids)
-    return keys[first] >> 32, [names[i] for i in (keys[first] & 0xFFFFFFFF).tolist()], np.add.reduceat(counts[order], first)
+# Stripes of all tasks
 
 
 def merged(rows: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """Rows of ``MERGED_DDL``: each prefix's total and its extensions of at least ``min_count``, in several rows if it is heavy."""
 
-    def fragment(keys: list[tuple], groups: np.ndarray, words: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
-        starts = np.searchsorted(groups, np.arange(len(keys)))
-        totals = np.add.reduceat(counts, starts)
-        keep = np.flatnonzero((counts >= min_count) & np.fromiter((w != END for w in words), bool, len(words)))
-        offsets = np.searchsorted(groups[keep], np.arange(len(keys) + 1)).astype(np.int32)
+    def fragment(keys: list[tuple], groups: np.ndarray, words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        totals = np.add.reduceat(counts, np.searchsorted(groups, np.arange(len(keys))))
+        is_word = pc.not_equal(words, pa.scalar(END, pa.binary())).to_numpy(zero_copy_only=False)
+        keep = np.flatnonzero((counts >= min_count) & is_word)
+        offsets = pa.array(np.searchsorted(groups[keep], np.arange(len(keys) + 1)).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([k[0] for k in keys], pa.string()),
                 pa.array([k[1] for k in keys], pa.binary()),
                 pa.array(totals, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array([words[i] for i in keep.tolist()], pa.binary())),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(counts[keep], pa.int64())),
+                pa.ListArray.from_arrays(offsets, words.take(pa.array(keep))),
+                pa.ListArray.from_arrays(offsets, pa.array(counts[keep], pa.int64())),
             ],
             schema=MERGED,
         )
@@ -233,24 +273,30 @@ def merged(rows: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the stripe that the next batch may go on with: (key, words, counts)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             own = list(zip(batch["lang"].to_pylist(), batch["prefix"].to_pylist(), batch["part"].to_pylist()))
-            words = batch["words"].to_pylist()
-            counts = [np.frombuffer(c, "<i8") for c in batch["counts"].to_pylist()]
-            sizes = [len(c) for c in counts]
-            words = b" ".join(words).split(b" ")
+            if not own:
+                continue
+            coded = words_of(b"".join(batch["words"].to_pylist()))
+            ids, dictionary = coded.indices.to_numpy()[1:].astype(np.int64), coded.dictionary
+            blobs = batch["counts"].to_pylist()
+            sizes, counts = [len(c) // 8 for c in blobs], np.frombuffer(b"".join(blobs), "<i8")
             if last:
-                own, sizes, words, counts = [last[0], *own], [len(last[2]), *sizes], last[1] + words, [last[2], *counts]
-            new = np.fromiter((i > 0 and own[i] != own[i - 1] for i in range(len(own))), np.int64, len(own))
-            number = np.cumsum(new)
-            groups, words, counts = _add(np.repeat(number, sizes), words, np.concatenate(counts))
+                both = pa.chunked_array([dictionary, last[1]]).combine_chunks().dictionary_encode()
+                numbers, dictionary = both.indices.to_numpy().astype(np.int64), both.dictionary
+                ids = np.concatenate([numbers[len(numbers) - len(last[1]) :], ids])
+                own, sizes, counts = [last[0], *own], [len(last[2]), *sizes], np.concatenate([last[2], counts])
+            new = np.fromiter((i == 0 or own[i] != own[i - 1] for i in range(len(own))), bool, len(own))
             keys = [own[i] for i in np.flatnonzero(new).tolist()]
-            keys = [own[0], *keys]
-            open_from = int(np.searchsorted(groups, len(keys) - 1))
+            pairs = np.repeat(np.cumsum(new) - 1, sizes) * len(dictionary) + ids
+            order = np.argsort(pairs, kind="stable")
+            pairs = pairs[order]
+            first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+            groups, counts = pairs[first] // len(dictionary), np.add.reduceat(counts[order], first)
+            words = dictionary.take(pa.array(pairs[first] % len(dictionary)))
+            whole = int(np.searchsorted(groups, len(keys) - 1))
             if len(keys) > 1:
-                yield fragment(keys[:-1], groups[:open_from], words[:open_from], counts[:open_from])
-            last = (keys[-1], words[open_from:], counts[open_from:])
+                yield fragment(keys[:-1], groups[:whole], words[:whole], counts[:whole])
+            last = (keys[-1], words[whole:], counts[whole:])
         if last:
             yield fragment([last[0]], np.zeros(len(last[1]), np.int64), last[1], last[2])
 
@@ -282,7 +328,7 @@ def phrase_counts(
             # At most 1 / HEAVY_SHARE phrases of one length hold so much of all words.
             hot = found.where(F.col("a") >= max(min_count, HEAVY_SHARE * words))
             heavy = [(r["lang"], bytes(r["phrase"])) for r in hot.collect()]
-            known = docs.sparkSession.sparkContext.broadcast(frequent_bits(found))
+            known = docs.sparkSession.sparkContext.broadcast(frequent_bits(rows.rows))
     return levels
 
 

@@ -73,13 +73,12 @@ def test_settings(spark, stage, settings):
     assert found_in(rows, spark, stage, **settings) == brute_force(rows, **settings)
 
 
-def test_small_buffers_and_heavy_prefixes(spark, stage, monkeypatch):
+def test_small_buffers_and_heavy_prefixes(monkeypatch):
     rows = generated(4, 40)
-    for words, size in ((1, 1), (7, 3), (50, 64)):
-        monkeypatch.setattr(C, "FLUSH_WORDS", words)
-        monkeypatch.setattr(C, "SLICE", size)
-        # Plain functions in this process: a worker would not see the settings.
-        for level in range(3):
+    for size in (1, 7, 50, 1 << 20):
+        monkeypatch.setattr(C, "FLUSH_BYTES", size)
+        # Plain functions in this process: a worker would not see the setting.
+        for level in range(5):
             assert counted(rows, level) == counted_plainly(rows, level)
 
 
@@ -96,7 +95,7 @@ def counted(rows, level):
     out = Counter()
     for batch in C.stripes(Docs(), level, heavy={("en", b"the"), ("en", b"the the")}):
         for r in batch.to_pylist():
-            for word, count in zip(r["words"].split(b" "), np.frombuffer(r["counts"], "<i8").tolist()):
+            for word, count in zip(r["words"].rstrip(b" ").split(b" "), np.frombuffer(r["counts"], "<i8").tolist()):
                 out[r["lang"], r["prefix"], word] += count
     return out
 
