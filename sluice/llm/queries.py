@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import collocations, decontaminate, hilbert, html_text, licenses, packing, quality_model, quality_rules, repeats, simhash, warc
+from sluice.llm import collocations, decontaminate, hilbert, html_text, licenses, packing, quality_model, quality_rules, repeats, simhash, topk, warc
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
@@ -63,6 +63,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), query_stage(spark))
 
 
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), query_stage(spark))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -75,4 +79,5 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
     "op12_collocations": op12_collocations,
+    "op13_top_k": op13_top_k,
 }

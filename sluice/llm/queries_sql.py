@@ -128,10 +128,23 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN (SELECT lang, sum(a)
 WHERE rank <= 2000
 """
 
+TOP_K = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.r <> c.r
+)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank FROM s) WHERE rank <= 5
+"""
+
 ORACLES = {
     "op3_license_scan": LICENSES,
     "op2_warc": WARC,
     "op4_quality_rules": QUALITY_RULES,
     "op6_decontamination": DECONTAMINATION,
     "op12_collocations": COLLOCATIONS,
+    "op13_top_k": TOP_K,
 }

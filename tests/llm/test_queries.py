@@ -8,7 +8,7 @@ import pytest
 from sluice.llm import queries
 from tests.test_registry import comparable
 
-TABLES = "documents benchmark pages labels conversations".split()
+TABLES = "documents benchmark embeddings pages labels conversations".split()
 
 
 @pytest.fixture(scope="module")
