@@ -3,6 +3,7 @@
 import atexit
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
@@ -50,3 +51,15 @@ def per_text(prepare: Callable[[], Callable[[str], object]], kind: pa.DataType,
 def text_key(text: Column) -> Column:
     """Tells rows of one id with different texts apart."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def matrix(column: pa.Array, width: int = 0, fill: int = 0) -> np.ndarray:
+    """Lists of longs as rows of one width, at least ``width``, shorter ones filled up."""
+    sizes = np.diff(column.offsets.to_numpy()) if len(column) else np.zeros(0, np.int64)
+    width = max(width, int(sizes.max(initial=0)))
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    if (sizes == width).all():
+        return values.reshape(len(column), width)
+    out = np.full((len(column), width), fill, np.int64)
+    out[np.arange(width)[None, :] < sizes[:, None]] = values
+    return out

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import collocations, decontaminate, hilbert, html_text, licenses, packing, quality_model, quality_rules, repeats, simhash, topk, warc
+from sluice.llm import collocations, decontaminate, hilbert, html_text, licenses, packing, quality_model, quality_rules, repeats, simhash, topk, warc, whitening
 from sluice.llm.queries_sql import ORACLES
 from sluice.llm.common import query_stage, table
 
@@ -59,6 +59,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), query_stage(spark))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), query_stage(spark))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), query_stage(spark))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
     "op12_collocations": op12_collocations,
     "op13_top_k": op13_top_k,
 }

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sluice.llm.common import matrix
 from sluice.operators.stage import Stage
 
 TOP = 5
@@ -129,18 +130,6 @@ class Block:
         return _products(np.hstack([np.maximum(queries, 0), np.minimum(queries, 0)]), np.concatenate([high, low]))
 
 
-def _matrix(column: pa.Array, width: int = 0) -> np.ndarray:
-    """Lists as rows of one width, shorter ones filled up with zeros."""
-    sizes = np.diff(column.offsets.to_numpy()) if len(column) else np.zeros(0, np.int64)
-    width = max(width, int(sizes.max(initial=0)))
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    if (sizes == width).all():
-        return values.reshape(len(column), width)
-    out = np.zeros((len(column), width), np.int64)
-    out[np.arange(width)[None, :] < sizes[:, None]] = values
-    return out
-
-
 def _hits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Blocks one after the other: first a block's candidates, then its queries, in batches."""
     held, block, number = [], None, None
@@ -156,14 +145,14 @@ def _hits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             elif held or block:
                 if block is None:
                     together = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    block, held = Block(together["id"].to_pylist(), together["row"].to_numpy(), _matrix(together["x"])), []
+                    block, held = Block(together["id"].to_pylist(), together["row"].to_numpy(), matrix(together["x"])), []
                 yield _found(block, part, k)
 
 
 def _found(block: Block, asking: pa.RecordBatch, k: int) -> pa.RecordBatch:
     width = block.whole[0].shape[1]
     # What a query has beyond the block's width meets zeros.
-    queries = _matrix(asking["x"], width)[:, :width]
+    queries = matrix(asking["x"], width)[:, :width]
     found = list(block.search(queries, asking["row"].to_numpy(), asking["bound"].to_pylist(), k))
     of = pa.array(np.repeat(np.arange(len(found)), [len(places) for places, _ in found]))
     return pa.RecordBatch.from_arrays(
