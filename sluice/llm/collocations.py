@@ -1,9 +1,10 @@
 """Phrase collocations by stripes: each prefix keys a counter of the words that follow it.
 
 1. ``stripes``: each task cuts its texts into pieces and words and counts, for every prefix of ``level`` words, the
-   words that follow it in the piece; a stripe leaves the task as one row. What follows nothing (the piece ends, or
-   the extension cannot be frequent) is counted under ``END``, so that a stripe always sums to its prefix's total.
-2. ``merged``: stripes of one prefix meet and are added elementwise. One structure then holds the prefix's total, its
+   words that follow it in the piece. What follows nothing (the piece ends, or the extension cannot be frequent) is
+   counted under ``END``, so that a stripe always sums to its prefix's total. Prefixes are dealt to buckets by hash, and
+   the stripes of a bucket leave the task together, compressed.
+2. ``merged``: the stripes of a bucket meet, and those of one prefix are added elementwise. One structure then holds the prefix's total, its
    frequent extensions, and the largest of them, which decides whether the prefix is subsumed to the right.
 3. Levels 0 to ``most_words`` - 1 follow each other. A phrase can only be frequent if the phrases it is made of are,
    so a level keeps prefixes and extensions that pass a filter of the frequent phrases of the level before: bits by
@@ -19,6 +20,7 @@ into slices at blanks; other columns are ignored, whatever their names.
 """
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -38,33 +40,35 @@ HEAVY_SHARE = 1 / 4096
 HEAVY_PARTS = 256
 FILTER_BITS = 1 << 27
 #: Bytes of text that a task counts before it hands on its stripes.
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 16 << 20
 #: Stands for the end of a piece. A full stop parts pieces, so it is never a word.
 END = b"."
 
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 _LOWER = bytes(range(256)).lower()
 _TABLE = _LOWER.translate(bytes.maketrans(_SEPARATORS + b"\t", END * len(_SEPARATORS) + b" "))
-STRIPE_DDL = "lang string, prefix binary, part int, words binary, counts binary"
-STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.binary()), ("part", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
+#: A stripe: its language and prefix as one label, the following words, each with a space, and their counts.
+STRIPE = pa.schema([("label", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
+BUCKET_DDL = "bucket int, stripes binary"
 MERGED_DDL = "lang string, prefix binary, total long, words array<binary>, counts array<long>"
 MERGED = pa.schema(
     [("lang", pa.string()), ("prefix", pa.binary()), ("total", pa.int64()), ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))]
 )
-BATCH_ROWS = 10_000
+#: Buckets for each of the session's shuffle partitions; entries of a bucket that are held before they are added.
+BUCKETS, HELD = 8, 2_000_000
 
 
 # Words as numbers
 
 
-def words_of(text: bytes) -> pa.DictionaryArray:
-    """The words and ends of a text whose separators are full stops and whose blanks are spaces; number 0 is ``END``."""
-    chars = np.frombuffer(END + text, np.uint8)
+def words_of(text: bytes) -> pa.Array:
+    """The words and ends of a text whose separators are full stops and whose blanks are spaces."""
+    chars = np.frombuffer(text, np.uint8)
     word, end = chars != 32, chars == END[0]
     starts = word.copy()
     starts[1:] &= ~word[:-1] | end[1:] | end[:-1]
     chars, starts = chars[word], np.flatnonzero(starts[word])
-    return _strings(np.append(starts, len(chars)), chars).dictionary_encode()
+    return _strings(np.append(starts, len(chars)), chars)
 
 
 def _strings(offsets: np.ndarray, chars) -> pa.Array:
@@ -150,9 +154,9 @@ def _windows(t: np.ndarray, words: int, level: int, phrase_fits: np.ndarray, suf
     return parts, number, after, counts
 
 
-def _stripes(text: bytes, level: int, lang: str, known: np.ndarray | None, heavy: set[bytes]) -> tuple[list[pa.RecordBatch], bytes]:
-    """The stripes of a text of one language, and the end of it whose prefixes are yet to be counted."""
-    coded = words_of(text)
+def _stripes(text: bytes, level: int, lang: str, buckets: int, known: np.ndarray | None, heavy: set[bytes]) -> tuple[pa.Table | None, np.ndarray, bytes]:
+    """The stripes of a text of one language, their buckets, and the end of it whose prefixes are yet to be counted."""
+    coded = words_of(END + text).dictionary_encode()  # so number 0 is the end of a piece
     words, t = coded.dictionary, coded.indices.to_numpy()[1:].astype(np.int64)
     tail = words.take(pa.array(t[max(0, len(t) - level) :] if level else t[:0])).to_pylist()
     rest = b" ".join(tail) + b" " if any(w != END for w in tail) else b""
@@ -173,32 +177,48 @@ def _stripes(text: bytes, level: int, lang: str, known: np.ndarray | None, heavy
 
     parts, prefix, after, counts = _windows(t, len(words), level, fits(0) if level else is_word[:places], fits(1) if known is not None else np.ones(places, bool))
     if not len(prefix):
-        return [], rest
+        return None, np.zeros(0, np.int64), rest
     names = [words.take(pa.array(p)) for p in parts]
     labels = pc.binary_join_element_wise(*names, pa.scalar(b" ", pa.binary())) if level > 1 else names[0] if level else pa.array([b""], pa.binary())
-    part = np.zeros(len(prefix), np.int64)
+    part = np.zeros(len(prefix), np.uint64)
     hot = np.flatnonzero(pc.is_in(labels, pa.array(list(heavy), pa.binary())).to_numpy(zero_copy_only=False)) if level else np.array([0])
     if len(hot):
         own = np.isin(prefix, hot)
-        part[own] = (digests[after[own]] % np.uint64(HEAVY_PARTS)).astype(np.int64)
+        part[own] = digests[after[own]] % np.uint64(HEAVY_PARTS)
         order = np.lexsort((part, prefix))
         prefix, after, counts, part = prefix[order], after[order], counts[order], part[order]
     first = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1]))))
+    hashed = np.full(len(labels), _of_lang(lang))
+    for p in parts:
+        hashed = _mixed(hashed, digests[p])
+    bucket = _mixed(hashed[prefix[first]], part[first]) % np.uint64(buckets)
     # Words end with a space, so the words of a stripe are a stretch of all of them.
-    spaced = pc.binary_join_element_wise(words, pa.scalar(b"", pa.binary()), pa.scalar(b" ", pa.binary())).take(pa.array(after))
-    at = np.frombuffer(spaced.buffers()[1], np.int32)[spaced.offset : spaced.offset + len(spaced) + 1]
+    empty, space = pa.scalar(b"", pa.binary()), pa.scalar(b" ", pa.binary())
+    spaced = pc.binary_join_element_wise(words, empty, space).take(pa.array(after))
+    at = np.frombuffer(spaced.buffers()[1], np.int32)[: len(spaced) + 1]
     bounds = np.append(first, len(prefix))
-    rows = pa.Table.from_arrays(
-        [
-            pa.array([lang], pa.string()).take(pa.array(np.zeros(len(first), np.int64))),
-            labels.take(pa.array(prefix[first])),
-            pa.array(part[first].astype(np.int32)),
-            pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at[bounds]), spaced.buffers()[2]]),
-            _strings(8 * bounds, counts.astype("<i8")),
-        ],
-        schema=STRIPE,
-    )
-    return rows.to_batches(max_chunksize=BATCH_ROWS), rest
+    name = lang.encode()
+    whole_labels = pc.binary_join_element_wise(pa.scalar(b"%d:%s" % (len(name), name), pa.binary()), labels, empty)
+    stripe_columns = [
+        whole_labels.take(pa.array(prefix[first])),
+        pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at[bounds]), spaced.buffers()[2]]),
+        _strings(8 * bounds, counts.astype("<i8")),
+    ]
+    return pa.Table.from_arrays(stripe_columns, schema=STRIPE), bucket.astype(np.int64), rest
+
+
+def _bundles(tables: list[pa.Table], buckets: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+    """The stripes of each bucket together."""
+    bucket = np.concatenate(buckets)
+    order = np.argsort(bucket, kind="stable")
+    table, bucket = pa.concat_tables(tables).combine_chunks().take(pa.array(order)), bucket[order]
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, STRIPE, options=options) as out:
+            out.write_table(table.slice(a, b - a))
+        yield int(bucket[a]), sink.getvalue().to_pybytes()
 
 
 def slices(text: bytes) -> Iterator[bytes]:
@@ -212,8 +232,8 @@ def slices(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def stripes(docs: DataFrame, level: int, known=None, heavy: Iterable[tuple[str, bytes]] = ()) -> DataFrame:
-    """Rows of ``STRIPE_DDL`` of (lang, text) rows, a prefix's stripe in several rows. ``known`` is a broadcast filter."""
+def stripes(docs: DataFrame, level: int, buckets: int, known=None, heavy: Iterable[tuple[str, bytes]] = ()) -> DataFrame:
+    """(bucket, stripes) of (lang, text) rows, a prefix's stripe in several of them. ``known`` is a broadcast filter."""
     heavy_by_lang: dict[str, set[bytes]] = {}
     for lang, phrase in heavy:
         heavy_by_lang.setdefault(lang, set()).add(phrase)
@@ -225,13 +245,18 @@ def stripes(docs: DataFrame, level: int, known=None, heavy: Iterable[tuple[str,
         def flush() -> Iterator[pa.RecordBatch]:
             """Count the prefixes that are whole; the rest begins the next buffer."""
             nonlocal buffers, size
-            left = {}
+            left, tables, places = {}, [], []
             for lang, texts in buffers.items():
-                rows, rest = _stripes(b"".join(texts), level, lang, bits, heavy_by_lang.get(lang, set()))
-                yield from rows
+                table, bucket, rest = _stripes(b"".join(texts), level, lang, buckets, bits, heavy_by_lang.get(lang, set()))
+                if table is not None:
+                    tables.append(table)
+                    places.append(bucket)
                 if rest:
                     left[lang] = [rest]
             buffers, size = left, 0
+            if tables:
+                numbers, blobs = zip(*_bundles(tables, places))
+                yield pa.record_batch([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "stripes"])
 
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
@@ -245,63 +270,82 @@ def stripes(docs: DataFrame, level: int, known=None, heavy: Iterable[tuple[str,
             texts.append(END * (level + 1))
         yield from flush()
 
-    return docs.mapInArrow(work, STRIPE_DDL)
+    return docs.mapInArrow(work, BUCKET_DDL)
 
 
 # Stripes of all tasks
 
 
-def merged(rows: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """Rows of ``MERGED_DDL``: each prefix's total and its extensions of at least ``min_count``, in several rows if it is heavy."""
-
-    def fragment(keys: list[tuple], groups: np.ndarray, words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        totals = np.add.reduceat(counts, np.searchsorted(groups, np.arange(len(keys))))
-        is_word = pc.not_equal(words, pa.scalar(END, pa.binary())).to_numpy(zero_copy_only=False)
-        keep = np.flatnonzero((counts >= min_count) & is_word)
-        offsets = pa.array(np.searchsorted(groups[keep], np.arange(len(keys) + 1)).astype(np.int32))
+@dataclass
+class Entries:
+    """Counts of (label, word): the labels, and for each entry the number of its label, its word and its count."""
+
+    labels: pa.Array
+    of: np.ndarray
+    words: pa.Array
+    counts: np.ndarray
+
+    @staticmethod
+    def read(bundle: bytes) -> "Entries":
+        table = pa.ipc.open_stream(bundle).read_all().combine_chunks()
+        labels, words, counts = (c.chunk(0) for c in table.columns)
+        sizes = np.diff(np.frombuffer(counts.buffers()[1], np.int32)[counts.offset : counts.offset + len(counts) + 1]) // 8
+        numbers = np.frombuffer(b"".join(counts.to_pylist()), "<i8")
+        return Entries(labels, np.repeat(np.arange(len(labels)), sizes), words_of(b"".join(words.to_pylist())), numbers)
+
+    @staticmethod
+    def added(parts: list["Entries"]) -> "Entries":
+        """Stripes added elementwise: each label and word once, sorted by label."""
+        labels = pa.chunked_array([p.labels for p in parts], pa.binary()).combine_chunks().dictionary_encode()
+        words = pa.chunked_array([p.words for p in parts], pa.binary()).combine_chunks().dictionary_encode()
+        first = np.cumsum([0, *[len(p.labels) for p in parts]])
+        of = labels.indices.to_numpy().astype(np.int64)[np.concatenate([p.of + f for p, f in zip(parts, first)])]
+        keys = of * len(words.dictionary) + words.indices.to_numpy()
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        counts = np.add.reduceat(np.concatenate([p.counts for p in parts])[order], new)
+        return Entries(labels.dictionary, keys[new] // len(words.dictionary), words.dictionary.take(pa.array(keys[new] % len(words.dictionary))), counts)
+
+    def rows(self, min_count: int) -> pa.RecordBatch:
+        """Rows of ``MERGED`` of added entries."""
+        named = [label.split(b":", 1) for label in self.labels.to_pylist()]
+        starts = np.searchsorted(self.of, np.arange(len(named)))
+        is_word = pc.not_equal(self.words, pa.scalar(END, pa.binary())).to_numpy(zero_copy_only=False)
+        keep = np.flatnonzero((self.counts >= min_count) & is_word)
+        offsets = pa.array(np.searchsorted(self.of[keep], np.arange(len(named) + 1)).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.binary()),
-                pa.array(totals, pa.int64()),
-                pa.ListArray.from_arrays(offsets, words.take(pa.array(keep))),
-                pa.ListArray.from_arrays(offsets, pa.array(counts[keep], pa.int64())),
+                pa.array([name[: int(size)].decode() for size, name in named], pa.string()),
+                pa.array([name[int(size) :] for size, name in named], pa.binary()),
+                pa.array(np.add.reduceat(self.counts, starts), pa.int64()),
+                pa.ListArray.from_arrays(offsets, self.words.take(pa.array(keep))),
+                pa.ListArray.from_arrays(offsets, pa.array(self.counts[keep], pa.int64())),
             ],
             schema=MERGED,
         )
 
+
+def merged(rows: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """Rows of ``MERGED_DDL``: each prefix's total and its extensions of at least ``min_count``, in several rows if it is heavy."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # the stripe that the next batch may go on with: (key, words, counts)
+        held, size, bucket = [], 0, None
         for batch in batches:
-            own = list(zip(batch["lang"].to_pylist(), batch["prefix"].to_pylist(), batch["part"].to_pylist()))
-            if not own:
-                continue
-            coded = words_of(b"".join(batch["words"].to_pylist()))
-            ids, dictionary = coded.indices.to_numpy()[1:].astype(np.int64), coded.dictionary
-            blobs = batch["counts"].to_pylist()
-            sizes, counts = [len(c) // 8 for c in blobs], np.frombuffer(b"".join(blobs), "<i8")
-            if last:
-                both = pa.chunked_array([dictionary, last[1]]).combine_chunks().dictionary_encode()
-                numbers, dictionary = both.indices.to_numpy().astype(np.int64), both.dictionary
-                ids = np.concatenate([numbers[len(numbers) - len(last[1]) :], ids])
-                own, sizes, counts = [last[0], *own], [len(last[2]), *sizes], np.concatenate([last[2], counts])
-            new = np.fromiter((i == 0 or own[i] != own[i - 1] for i in range(len(own))), bool, len(own))
-            keys = [own[i] for i in np.flatnonzero(new).tolist()]
-            pairs = np.repeat(np.cumsum(new) - 1, sizes) * len(dictionary) + ids
-            order = np.argsort(pairs, kind="stable")
-            pairs = pairs[order]
-            first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
-            groups, counts = pairs[first] // len(dictionary), np.add.reduceat(counts[order], first)
-            words = dictionary.take(pa.array(pairs[first] % len(dictionary)))
-            whole = int(np.searchsorted(groups, len(keys) - 1))
-            if len(keys) > 1:
-                yield fragment(keys[:-1], groups[:whole], words[:whole], counts[:whole])
-            last = (keys[-1], words[whole:], counts[whole:])
-        if last:
-            yield fragment([last[0]], np.zeros(len(last[1]), np.int64), last[1], last[2])
-
-    together = rows.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
-    return together.mapInArrow(work, MERGED_DDL)
+            for number, bundle in zip(batch["bucket"].to_pylist(), batch["stripes"]):
+                if number != bucket and held:
+                    yield Entries.added(held).rows(min_count)
+                    held, size = [], 0
+                bucket = number
+                held.append(Entries.read(bundle.as_buffer()))
+                size += len(held[-1].counts)
+                if size > HELD:
+                    held = [Entries.added(held)]
+                    size = len(held[0].counts) // 2  # so that what has been added is seldom added again
+        if held:
+            yield Entries.added(held).rows(min_count)
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, MERGED_DDL)
 
 
 def extensions(stripe_rows: DataFrame) -> DataFrame:
@@ -319,8 +363,9 @@ def phrase_counts(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     )
     levels, known, heavy, words = [], None, [], 0
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for level in range(most_words):
-        rows = stage.write(merged(stripes(texts, level, known, heavy), min_count), f"level-{level}", [F.coalesce(F.sum("total"), F.lit(0)).alias("n")])
+        rows = stage.write(merged(stripes(texts, level, buckets, known, heavy), min_count), f"level-{level}", [F.coalesce(F.sum("total"), F.lit(0)).alias("n")])
         levels.append(rows.rows)
         words = words or rows.figures["n"]
         if level + 1 < most_words:
@@ -371,5 +416,6 @@ def collocations(
     levels = phrase_counts(docs, stage, lang_col, text_col, most_words, min_count)
     words = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = candidates(levels).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
-    return best.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    # Every task hands on no more than its own best.
+    best = candidates(levels).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return best.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

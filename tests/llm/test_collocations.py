@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from sluice.llm import collocations as C
@@ -83,20 +84,20 @@ def test_small_buffers_and_heavy_prefixes(monkeypatch):
 
 
 def counted(rows, level):
-    import pyarrow as pa
-
     class Docs:
         def mapInArrow(self, work, ddl):
             batch = pa.record_batch({"lang": [r[2] or "und" for r in rows], "text": pa.array([(r[1] or "").encode() for r in rows], pa.binary())})
             return list(work(iter([batch])))
 
-    import numpy as np
-
-    out = Counter()
-    for batch in C.stripes(Docs(), level, heavy={("en", b"the"), ("en", b"the the")}):
+    out, buckets = Counter(), {}
+    for batch in C.stripes(Docs(), level, 5, heavy={("en", b"the"), ("en", b"the the")}):
         for r in batch.to_pylist():
-            for word, count in zip(r["words"].rstrip(b" ").split(b" "), np.frombuffer(r["counts"], "<i8").tolist()):
-                out[r["lang"], r["prefix"], word] += count
+            entries = C.Entries.read(r["stripes"])
+            for label, word, count in zip(entries.labels.take(pa.array(entries.of)).to_pylist(), entries.words.to_pylist(), entries.counts.tolist()):
+                size, name = label.split(b":", 1)
+                out[name[: int(size)].decode(), name[int(size) :], word] += count
+                # An extension of a prefix always goes to the same bucket.
+                assert buckets.setdefault((label, word), r["bucket"]) == r["bucket"] < 5
     return out
 
 
