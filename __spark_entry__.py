@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import query_sql
-from query_sql import BUDGET_RATIOS, PAD, SEED, SHARD
+from query_sql import BUDGET_RATIOS, CLUSTER_GAP, CLUSTERS, PAD, SEED, SHARD
 from sluice.functions import text as tx
 from sluice.functions.bpe import Vocabulary, decoded, positions_of, token_count, token_ids
 from sluice.functions.order import by_position, shuffled
@@ -381,12 +381,9 @@ def mixture_share(spark, sf_dir):
 
 
 def progress_record(spark, sf_dir):
-    """The nested record of all documents, written and read back."""
-    totals = {r["source"]: r for r in stats.progress_record(token_estimate_by_source(spark, sf_dir)).select(
-        F.explode(F.map_entries("tokens_per_source")).alias("e"), "examples_per_source"
-    ).select("e.key", "e.value", F.col("examples_per_source")[F.col("e.key")].alias("samples")).toDF("source", "tokens", "samples").collect()}
-    path, names = staged(spark).path, sorted(totals)
-    sinks.write_progress(spark, {n: totals[n]["tokens"] for n in names}, {n: totals[n]["samples"] for n in names}, path, 0)
+    """The nested record of all documents, made and written where the totals are, and read back."""
+    path = staged(spark).path
+    sinks.write_progress(token_estimate_by_source(spark, sf_dir), path, 0)
 
     def by_name(field):
         return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(f"progress.{field}")))).alias(field)
@@ -649,11 +646,23 @@ def by_tokens(spark, sf_dir):
 def resumed(spark, sf_dir):
     """``by_tokens`` in steps, stopped after two of them and taken up again."""
     inputs, path = mixture_inputs(spark, sf_dir), staged(spark).path
-    figures = estimated(spark, sf_dir).agg(F.sum("token_count"), F.max("doc_id")).first()
-    total, positions = figures[0] // 2, max(1, figures[1] // 5)
+    tokens, count = estimated(spark, sf_dir).agg(F.sum("token_count"), F.count("*")).first()
+    for max_steps in (2, None):
+        take_by_tokens(inputs, "doc_id", path, tokens // 2, step_rows=max(1, count // 5), max_steps=max_steps)
+    return taken_corpus(spark, path, "doc_id", staged(spark), tokens // 2).rows.select("doc_id", "text", "source", "split")
+
+
+def resumed_sparse(spark, sf_dir):
+    """``resumed`` by positions in far clusters over nearly 2^60: the steps follow the rows."""
+    place = F.expr(f"doc_id % {CLUSTERS} * {CLUSTER_GAP} + doc_id")
+    inputs = {name: rows.withColumn("place", place) for name, rows in mixture_inputs(spark, sf_dir).items()}
+    path = staged(spark).path
+    tokens, count = estimated(spark, sf_dir).agg(F.sum("token_count"), F.count("*")).first()
     for max_steps in (2, None):
-        take_by_tokens(inputs, "doc_id", path, total, step_positions=positions, max_steps=max_steps)
-    return taken_corpus(spark, path, "doc_id", staged(spark), total).rows.select("doc_id", "text", "source", "split")
+        take_by_tokens(inputs, "place", path, tokens // 2, step_rows=max(1, count // 5), max_steps=max_steps)
+    return taken_corpus(spark, path, "place", staged(spark), tokens // 2).rows.select(
+        F.col("place").alias("position"), "text", "source", "split"
+    )
 
 
 def by_exact_tokens(spark, sf_dir):
@@ -738,6 +747,7 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pretrain_by_tokens": by_tokens,
         "pretrain_by_exact_tokens": by_exact_tokens,
         "pretrain_resumed": resumed,
+        "pretrain_resumed_sparse": resumed_sparse,
     }
 
 

@@ -8,6 +8,7 @@ from sluice.plans.pretrain import BUDGET_SOURCES
 SEED = 42
 SHARD = 100
 PAD = "\u00a0\t\u3000"
+CLUSTERS, CLUSTER_GAP = 7, 2**57
 BUDGET_RATIOS = {source.name: source.ratio for source in BUDGET_SOURCES}
 
 
@@ -308,6 +309,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "pretrain_by_tokens": f"WITH {estimated}, {mixed_by_tokens}",
         "pretrain_resumed": f"WITH {estimated}, {mixed_by_tokens}",
+        "pretrain_resumed_sparse": (
+            f"WITH clustered AS (SELECT doc_id % {CLUSTERS} * {CLUSTER_GAP} + doc_id AS doc_id, text, lang, source FROM documents), "
+            + f"{estimated}, {mixed_by_tokens}".replace("FROM documents", "FROM clustered").replace("SELECT doc_id, text, source, CASE", "SELECT doc_id AS position, text, source, CASE")
+        ),
         "pretrain_by_exact_tokens": (
             "WITH estimated AS (SELECT doc_id, text, source, lang, strlen(text)::BIGINT AS token_count FROM documents), "
             f"{mixed_by_tokens}"

@@ -1,14 +1,15 @@
 """Outputs: split tables, JSON-lines shards of exact size, metadata records and names."""
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, functions as F, types as T
 
 from sluice.operators.rank import ranked, width
 from sluice.operators.stage import Stage, plain
-from sluice.sources.tables import delete_path, is_folder
+from sluice.operators.stats import by_source, record_measures
+from sluice.sources.tables import delete_path, folder_names, is_folder, read_small, write_small
 
 # Fixed value: rows per JSON-lines shard.
 SHARD_ROWS = 100_000
@@ -19,7 +20,9 @@ PROGRESS_SCHEMA = (
     "progress struct<total_tokens: long, tokens_per_source: map<string,long>, examples_per_source: map<string,long>, "
     "examples_collected: long>, timestamp double"
 )
-RESUME_FIELD = "next_positions map<string,long>"
+RESUME_FIELDS = ("next_position", "last_position")
+RECORD_SCHEMA = ", ".join([PROGRESS_SCHEMA, *[f"{c}s map<string,long>" for c in RESUME_FIELDS]])
+LATEST_FILE = f"{PROGRESS_FOLDER}/_latest"
 
 
 def write_splits(rows: DataFrame, path: str, measures: Sequence[Column] = (), small: Sequence[str] = ()) -> dict:
@@ -103,28 +106,46 @@ def read_metadata(spark, schema: T.StructType | str, path: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{path}/{METADATA_FOLDER}")
 
 
-def write_progress(
-    spark,
-    tokens: Mapping[str, int],
-    examples: Mapping[str, int],
-    path: str,
-    step: int,
-    next_positions: Mapping[str, int] | None = None,
-) -> None:
-    """The totals so far, with the time, as the record of one step; written again if the step is run again."""
-    progress = (sum(tokens.values()), dict(tokens), dict(examples), sum(examples.values()))
-    rows = [(progress, time.time(), dict(next_positions or {}))]
-    record = spark.createDataFrame(rows, f"{PROGRESS_SCHEMA}, {RESUME_FIELD}")
+def write_progress(totals: DataFrame, path: str, step: int) -> None:
+    """The totals so far, with the time, as the record of one step; written again if the step is run again.
+
+    ``totals`` has (source, samples, tokens), and may say at which ``next_position`` a source goes on, and its
+    ``last_position``. The record is made where they are, without the driver. A pointer to it follows: a record
+    without one is of a step that did not finish.
+    """
+    totals = totals.withColumns({c: F.lit(None).cast("long") for c in RESUME_FIELDS if c not in totals.columns})
+    record = totals.agg(
+        F.struct(*record_measures()).alias("progress"),
+        (F.unix_micros(F.current_timestamp()) / 1e6).alias("timestamp"),
+        *[by_source(c).alias(f"{c}s") for c in RESUME_FIELDS],
+    )
     record.coalesce(1).write.mode("overwrite").json(f"{path}/{PROGRESS_FOLDER}/step={step}")
+    write_small(totals.sparkSession, f"{path}/{LATEST_FILE}", str(step))
 
 
 def read_progress(spark, path: str) -> DataFrame:
     """The records of all steps with their ``step``; none before the first."""
     folder = f"{path}/{PROGRESS_FOLDER}"
-    schema = f"{PROGRESS_SCHEMA}, {RESUME_FIELD}, step long"
     if not is_folder(spark, folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(folder)
+        return spark.createDataFrame([], f"{RECORD_SCHEMA}, step long")
+    return spark.read.schema(f"{RECORD_SCHEMA}, step long").json(folder)
+
+
+def latest_progress(spark, path: str) -> Row | None:
+    """The record of the last finished step, with its ``step``: the pointer and one record are read, whatever their number.
+
+    The pointer may be missing for a moment while it is replaced; then the names of the records tell the last one.
+    """
+    step = read_small(spark, f"{path}/{LATEST_FILE}")
+    if step is None:
+        folder = f"{path}/{PROGRESS_FOLDER}"
+        steps = [int(n.removeprefix("step=")) for n in folder_names(spark, folder) if n.startswith("step=")]
+        whole = [s for s in sorted(steps, reverse=True) if "_SUCCESS" in folder_names(spark, f"{folder}/step={s}")]
+        if not whole:
+            return None
+        step = whole[0]
+    record = spark.read.schema(RECORD_SCHEMA).json(f"{path}/{PROGRESS_FOLDER}/step={step}")
+    return record.withColumn("step", F.lit(int(step)).cast("long")).first()
 
 
 def write_markers(markers: DataFrame, path: str) -> None:

@@ -45,22 +45,24 @@ def source_totals_with_overall(rows: DataFrame, tokens: Column) -> DataFrame:
     return rows.rollup("source").agg(F.count("*").alias("samples"), F.sum(tokens).alias("tokens"))
 
 
-def progress_record(totals: DataFrame) -> DataFrame:
-    """One record of (source, samples, tokens) rows, with a map per measure; sources in name order.
-
-    ``totals`` has one row per configured source.
-    """
+def by_source(measure: str) -> Column:
+    """A map of the measure by source, sources in name order; those without a value are left out."""
+    pairs = F.collect_list(F.when(F.col(measure).isNotNull(), F.struct("source", measure)))
+    return F.map_from_entries(F.array_sort(pairs))
 
-    def by_source(measure: str) -> Column:
-        pairs = F.array_sort(F.collect_list(F.struct("source", measure)))
-        return F.map_from_entries(pairs)
 
-    return totals.agg(
+def record_measures() -> list[Column]:
+    """The figures of a progress record over (source, samples, tokens) rows, one for each configured source."""
+    return [
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("total_tokens"),
         by_source("tokens").alias("tokens_per_source"),
         by_source("samples").alias("examples_per_source"),
         F.coalesce(F.sum("samples"), F.lit(0)).alias("examples_collected"),
-    )
+    ]
+
+
+def progress_record(totals: DataFrame) -> DataFrame:
+    return totals.agg(*record_measures())
 
 
 def split_sizes(rows: DataFrame) -> DataFrame:

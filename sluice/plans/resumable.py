@@ -1,9 +1,10 @@
 """The token-budget mix, taken in steps: a job that dies goes on after its last finished step.
 
-Sources are taken in their order and each by position, a range of positions a step. A step weighs the rows of its
-range, cuts them where the source's target or the overall total is met, writes what it keeps to a folder named by
-the step, and then a progress record with the totals so far and where to go on. A step that was interrupted left no
-record; it is run again and overwrites its folder. Only the latest record is read.
+Sources are taken in their order and each by position, a range of positions a step. A range is as wide as its
+rows lie dense, so the number of steps follows the rows however positions are spread (``next_range``). A step weighs the rows of its range, cuts them where the source's target or the overall total is met,
+writes what it keeps to a folder named by the step, and then a progress record with the totals so far, where to go on
+and where each source ends. A step that was interrupted left no record; it is run again and overwrites its folder. A
+restart reads the latest record, found by a pointer, and looks at no source that it has looked at before.
 """
 
 from collections.abc import Mapping, Sequence
@@ -24,27 +25,53 @@ from sluice.plans.corpus import Corpus
 from sluice.plans.pretrain import BUDGET_SOURCES, SEED, TARGET_TOKENS, VAL_RATIO, accepted_text
 from sluice.sources.tables import Source, is_folder
 
-STEP_POSITIONS = 1_000_000
+STEP_ROWS = 1_000_000
+# How many times as wide a range is counted at most where one was too narrow; how far a step's rows may be off.
+GROWTH, OVERFULL = 64, 2
 ROWS_FOLDER = "rows"
+TOTALS_SCHEMA = "source string, tokens long, samples long, next_position long, last_position long"
 
 
 @dataclass
 class Progress:
-    """What has been taken so far, by source, and the position at which each source goes on."""
+    """What has been taken so far, by source, the position at which each source goes on, and its last one."""
 
     step: int
     tokens: dict[str, int]
     examples: dict[str, int]
     next_positions: dict[str, int]
+    last_positions: dict[str, int]
 
 
 def progress(spark: SparkSession, path: str) -> Progress:
-    """The state after the last finished step."""
-    last = sinks.read_progress(spark, path).orderBy(F.col("step").desc()).first()
+    """The state after the last finished step; it has a few numbers for each configured source."""
+    last = sinks.latest_progress(spark, path)
     if last is None:
-        return Progress(-1, {}, {}, {})
+        return Progress(-1, {}, {}, {}, {})
     totals = last["progress"]
-    return Progress(last["step"], dict(totals["tokens_per_source"]), dict(totals["examples_per_source"]), dict(last["next_positions"]))
+    by_source = (totals["tokens_per_source"], totals["examples_per_source"], last["next_positions"], last["last_positions"])
+    return Progress(last["step"], *[dict(m) for m in by_source])
+
+
+def next_range(scan: DataFrame, position: str, start: int, high: int, width: int, step_rows: int) -> tuple[int, int]:
+    """(first, last) of the range to take next. It holds about ``step_rows``, at least half and at most twice as many,
+    unless it reaches ``high``.
+
+    A range ``width`` wide is counted, and a wider one as its density demands, or part of it taken if it is too full.
+    Only positions are read, and files that lie outside a range by their statistics are not.
+    """
+    place, before = F.col(position), -1
+    while True:
+        end = min(high, start + width - 1)
+        within = scan.where(place.between(start, end))
+        first, rows = within.agg(F.min(place), F.count("*")).first()
+        if rows > OVERFULL * step_rows:
+            cut = find_boundaries(within.select(position), by_position(position), step_rows, span=(first, end), rows_known=rows)
+            return first, cut[""].last[0]
+        if OVERFULL * rows >= step_rows or end == high:
+            return (first if rows else start), end
+        width *= min(GROWTH, step_rows // rows + 1) if rows > max(before, 0) else GROWTH
+        before = rows
 
 
 def take_by_tokens(
@@ -53,7 +80,7 @@ def take_by_tokens(
     path: str,
     total_tokens: int = TARGET_TOKENS,
     sources: Sequence[Source] = BUDGET_SOURCES,
-    step_positions: int = STEP_POSITIONS,
+    step_rows: int = STEP_ROWS,
     vocabulary: Vocabulary | None = None,
     max_steps: int | None = None,
 ) -> bool:
@@ -70,23 +97,25 @@ def take_by_tokens(
         earlier = sum(now.tokens.get(s.name, 0) for s in sources[:index])
         if index and earlier >= total_tokens:
             break
-        span = position_span(inputs[source.name], position)
-        if span is None:
+        if source.name in now.last_positions:
+            low, high = now.next_positions[source.name], now.last_positions[source.name]
+        elif (span := position_span(inputs[source.name], position)) is None:
             continue
-        low, high = span
-        target = max(1, min(targets[source.name], total_tokens - earlier))
+        else:
+            low, high = span
+        target, width = max(1, min(targets[source.name], total_tokens - earlier)), step_rows
         while (start := now.next_positions.get(source.name, low)) <= high and now.tokens.get(source.name, 0) < target:
             if steps == max_steps:
                 return False
-            end = min(high, start + step_positions - 1)
-            now = _step(spark, inputs[source.name], source, position, path, (start, end), target, vocabulary, now)
-            steps += 1
+            first, end = next_range(inputs[source.name], position, start, high, width, step_rows)
+            now = _step(spark, inputs[source.name], source, position, path, (first, end), high, target, vocabulary, now)
+            width, steps = end - first + 1, steps + 1
     return True
 
 
 def _step(
     spark: SparkSession, scan: DataFrame, source: Source, position: str, path: str, span: tuple[int, int],
-    target: int, vocabulary: Vocabulary | None, before: Progress,
+    high: int, target: int, vocabulary: Vocabulary | None, before: Progress,
 ) -> Progress:
     text, name, step = F.col("text"), source.name, before.step + 1
     weight = token_count(text, vocabulary) if vocabulary else estimated_tokens(text)
@@ -104,8 +133,11 @@ def _step(
         before.tokens | {name: before.tokens.get(name, 0) + taken_tokens},
         before.examples | {name: before.examples.get(name, 0) + taken_rows},
         before.next_positions | {name: span[1] + 1},
+        before.last_positions | {name: high},
     )
-    sinks.write_progress(spark, now.tokens, now.examples, path, step, now.next_positions)
+    fields = (now.tokens, now.examples, now.next_positions, now.last_positions)
+    totals = [(source, *[field[source] for field in fields]) for source in now.tokens]
+    sinks.write_progress(spark.createDataFrame(totals, TOTALS_SCHEMA), path, step)
     return now
 
 

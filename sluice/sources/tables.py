@@ -1,5 +1,6 @@
 """Opening sources as DataFrames with explicit schemas."""
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
@@ -133,13 +134,49 @@ def single_source_splits(rows: DataFrame) -> int | None:
     return int(planned_splits(rows)) + 1
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str):
+    """A path and the file system it belongs to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
     return files.exists(place) and files.getFileStatus(place).isDirectory()
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder through the file system it belongs to."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, files = _place(spark, path)
+    return files.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder; none if there is no such folder."""
+    place, files = _place(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file at once: a reader finds the old one, the new one, or for a moment none, but never a part."""
+    place, files = _place(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.new")
+    out = files.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files.delete(place, False)
+    files.rename(aside, place)
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return None
+    source = files.open(place)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
