@@ -25,6 +25,7 @@ from sluice.functions.order import by_position, shuffled
 from sluice.operators import mixture, sinks, split, stats
 from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
 from sluice.operators.cut import find_boundaries, inside, keep, share_of_total
+from sluice.operators.cut_table import boundary_table, keep_by_table
 from sluice.operators.draw import draw
 from sluice.operators.stage import Stage
 from sluice.plans.inspection import first_row_report
@@ -332,6 +333,15 @@ def token_budget_per_source(spark, sf_dir):
     return keep(rows, ends, "source").select("doc_id", "text", "source", "token_count")
 
 
+def token_budget_per_conversation(spark, sf_dir):
+    """The first turns of each conversation, up to half its tokens: as many groups as there are conversations."""
+    turns = open_source(spark, Source("conversations", f"{sf_dir}/conversations.parquet"))
+    rows = turns.select("conv_id", "turn", "role", tx.estimated_tokens(F.col("text")).alias("token_count"))
+    order = by_position("turn")
+    ends, count = boundary_table(rows, order, share_of_total(0.5), "conv_id", staged(spark), weight="token_count")
+    return keep_by_table(rows, ends, count, order, "conv_id")
+
+
 def token_budget_coupled(spark, sf_dir):
     inputs = mixture_inputs(spark, sf_dir)
     rows = {
@@ -561,13 +571,12 @@ def corpus_name(spark, sf_dir):
 # Streams
 
 
-def _arrivals(spark, sf_dir, take):
-    """Let the documents arrive in two lots of several files, by position, and take what has arrived after each,
-    and once more; ``take`` is given the stream."""
+def _arrivals(spark, sf_dir, take, rows=None):
+    """Let documents, all if no ``rows`` are given, arrive in two lots of several files, by position, and take what has
+    arrived after each, and once more; ``take`` is given the stream."""
     stage = staged(spark)
-    rows = documents(spark, sf_dir).select(
-        "doc_id", "source", tx.estimated_tokens(F.col("text")).alias("token_count"), "text"
-    )
+    if rows is None:
+        rows = documents(spark, sf_dir).select("doc_id", "source", tx.estimated_tokens(F.col("text")).alias("token_count"), "text")
     half = rows.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
     for lot in (F.col("doc_id") <= half, F.col("doc_id") > half, None):
         if lot is not None:
@@ -596,17 +605,39 @@ def progress_by_batch(spark, sf_dir):
 
 
 def stream_budget(spark, sf_dir):
-    totals = {r["source"]: r["tokens"] // 2 for r in token_estimate_by_source(spark, sf_dir).collect()}
+    halves = token_estimate_by_source(spark, sf_dir).select("source", F.expr("tokens div 2").alias("target"))
+    targets = staged(spark).write(halves, "targets").rows
 
     def take(rows, path):
         streams.ingest_budgeted(
-            rows, "doc_id", "token_count", totals, f"{path}/out", f"{path}/progress", f"{path}/checkpoint"
+            rows, "doc_id", "token_count", targets, f"{path}/out", f"{path}/progress", f"{path}/checkpoint"
         )
 
     schema, path = _arrivals(spark, sf_dir, take)
     return streams.read_batches(spark, f"{path}/out", schema).select("doc_id", "source", "token_count")
 
 
+def stream_budget_coupled(spark, sf_dir):
+    """``token_budget_coupled`` over rows that arrive in two lots, each with rows of both sources."""
+    inputs = [
+        rows.where(tx.long_enough(F.col("text"))).select("doc_id", F.lit(name).alias("source"), tx.estimated_tokens(F.col("text")).alias("token_count"))
+        for name, rows in mixture_inputs(spark, sf_dir).items()
+    ]
+    rows = inputs[0].unionByName(inputs[1])
+    total = half_of(rows)
+    planned = mixture.source_targets(total, BUDGET_RATIOS)
+    targets = spark.createDataFrame([(n, t, i) for i, (n, t) in enumerate(planned.items())], "source string, target long, source_order long")
+
+    def take(arriving, path):
+        streams.ingest_budgeted(
+            arriving, "doc_id", "token_count", targets, f"{path}/out", f"{path}/progress", f"{path}/checkpoint", total
+        )
+
+    schema, path = _arrivals(spark, sf_dir, take, rows)
+    kept = streams.read_under_total(spark, "doc_id", "token_count", targets, total, f"{path}/out", f"{path}/progress", schema)
+    return kept.join(targets, "source").select("doc_id", "source", "token_count", "source_order")
+
+
 # Whole corpora
 
 
@@ -714,6 +745,7 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "first_n_seeded": first_n_seeded,
         "drawn_sample": drawn_sample,
         "token_budget_per_source": token_budget_per_source,
+        "token_budget_per_conversation": token_budget_per_conversation,
         "token_budget_coupled": token_budget_coupled,
         "taken_first": taken_first,
         "skipped_first": skipped_first,
@@ -739,6 +771,7 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_resumed": ingest_resumed,
         "progress_by_batch": progress_by_batch,
         "stream_budget": stream_budget,
+        "stream_budget_coupled": stream_budget_coupled,
         "instruct_corpus": instruct,
         "instruct_corpus_50k": instruct_50k,
         "instruct_capped": instruct_capped,

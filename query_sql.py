@@ -191,6 +191,11 @@ def oracle_sql() -> dict[str, str]:
             "FROM documents WHERE lang IS NULL OR lang = 'en') WHERE rn <= (SELECT count(*) // 10 FROM documents)"
         ),
         "token_budget_per_source": _sql(half_budget + _share("total", 0.5), "estimated"),
+        "token_budget_per_conversation": (
+            f"SELECT conv_id, turn, role, token_count FROM (SELECT *, coalesce(sum(token_count) OVER (PARTITION BY conv_id ORDER BY turn {earlier}), 0) "
+            "AS before, sum(token_count) OVER (PARTITION BY conv_id) AS total FROM (SELECT conv_id, turn, role, "
+            f"greatest(1, length(text) // 4)::BIGINT AS token_count FROM conversations)) WHERE before < {_share('total', 0.5)}"
+        ),
         "token_budget_coupled": (
             f"WITH {estimated}, {coupled.format(condition='', whole='accepted')} "
             "SELECT doc_id, source, token_count, source_order FROM kept"
@@ -289,6 +294,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_budget": _sql(
             f"SELECT doc_id, source, token_count FROM ({half_budget} total // 2)", "estimated"
         ),
+        "stream_budget_coupled": (
+            f"WITH {estimated}, {coupled.format(condition='', whole='accepted')} "
+            "SELECT doc_id, source, token_count, source_order FROM kept"
+        ),
         "instruct_corpus": (
             f"{merged_sql} SELECT conv_id, turn, {_trim('prompt')} AS prompt, {_trim('text')} AS text, "
             f"formattedconversation, tokencount, CASE WHEN place <= {train_size} THEN 'train' ELSE 'val' END AS split "

@@ -5,13 +5,15 @@ folder remembers the files taken, so an interrupted run goes on where it stopped
 named by the batch, overwritten if a batch is run again, so a repeated batch adds nothing.
 """
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.order import by_position
-from sluice.operators.cut import find_boundaries, keep
+from sluice.operators.cut import find_boundaries
+from sluice.operators.cut_table import boundary_table, keep_by_table
 from sluice.operators.stage import Stage, plain
 from sluice.operators.stats import source_totals
 from sluice.sources.tables import is_folder, table
@@ -70,49 +72,87 @@ def ingest_budgeted(
     rows: DataFrame,
     position: str,
     tokens: str,
-    targets: Mapping[str, int],
+    targets: DataFrame,
     out: str,
     progress: str,
     checkpoint: str,
+    total: int | None = None,
 ) -> StreamingQuery:
     """Per source, accept arriving rows until the tokens accepted so far reach the source's target.
 
-    Sources without a target are left out.
+    ``targets`` has (source, target), and with a ``total`` the sources' ``source_order``. Sources without a target are left
+    out. Rows of a batch are taken in position order, earlier batches before later ones. What a source has taken is read
+    from the record of the batch before, and the batch is cut by the distributed search of ``boundary_table``: a source that
+    makes up most of the stream is not gathered into one task, and however many sources there are, none of their rows
+    comes to the driver. The row that reaches the target is kept; a source yields its first row even for a target of 0.
 
-    Rows of a batch are taken in position order, earlier batches before later ones. What a source has
-    taken is read from the progress of earlier batches, and the batch is cut by the distributed search of
-    ``find_boundaries``: a source that makes up most of the stream is not gathered into one task. The row
-    that reaches the target is kept; a source yields its first row even for a target of 0.
+    A ``total`` bounds all sources together, in their order. What an earlier source will have taken when it is done is not
+    known while it is still arriving, so a later one is accepted as far as the earlier ones may leave of the total, by what
+    they have taken so far; ``read_under_total`` then says which of its rows are within the total.
     """
     spark = rows.sparkSession
-    schema = plain(rows.schema)
+    order = by_position(position)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        before = progress_totals(spark, progress, batch_id)
-        left = {
-            source: target - before[source][1] if source in before else max(1, target)
-            for source, target in targets.items()
-        }
-        open_sources = [source for source, tokens_left in left.items() if tokens_left > 0]
+        before = batch_totals(spark, progress, batch_id - 1)
+        limits = _limits(targets, before, total)
         with Stage(spark) as stage:
-            wanted = batch.where(F.col("source").isin(open_sources))
+            wanted = batch.join(limits.where("limit > 0").select(F.col("source").alias("_open")), F.col("source") == F.col("_open"), "left_semi")
             weights = stage.write(wanted.select("source", position, tokens), "weights", narrow=True)
-            ends = find_boundaries(
-                weights.rows, by_position(position), left, weight=tokens, group="source", rows_known=weights.count
-            )
-            keep(wanted, ends, "source").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        record = []
-        for source in {**before, **ends}:
-            samples, tokens_taken = (ends[source].rows, ends[source].weight) if source in ends else (0, 0)
-            earlier = before.get(source, (0, 0))
-            record.append((source, samples, tokens_taken, earlier[0] + samples, earlier[1] + tokens_taken))
-        spark.createDataFrame(record, TOTALS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-            f"{progress}/batch_id={batch_id}"
-        )
+            ends, count = boundary_table(weights.rows, order, limits, "source", stage, weight=tokens)
+            keep_by_table(wanted, ends, count, order, "source").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            taken = ends.select("source", F.col("kept_rows").alias("samples"), F.col("kept_weight").alias("tokens"))
+            record = before.select("source", "total_samples", "total_tokens").join(taken, "source", "full").na.fill(0)
+            record.select(
+                "source", "samples", "tokens", (F.col("total_samples") + F.col("samples")).alias("total_samples"),
+                (F.col("total_tokens") + F.col("tokens")).alias("total_tokens"),
+            ).coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}")
 
     return _run(rows, store, checkpoint)
 
 
+def _limits(targets: DataFrame, before: DataFrame, total: int | None) -> DataFrame:
+    """(source, limit): what each source may still take."""
+    state = targets.join(before.select("source", "total_tokens"), "source", "left")
+    started, taken = F.col("total_tokens").isNotNull(), F.coalesce("total_tokens", F.lit(0))
+    if total is None:
+        return state.select("source", F.when(started, F.col("target") - taken).otherwise(F.greatest(F.lit(1), "target")).alias("limit"))
+    # A row for each configured source, in their order.
+    so_far = Window.partitionBy(F.lit(0)).orderBy("source_order").rowsBetween(Window.unboundedPreceding, 0)
+    left = total - F.sum(taken).over(so_far)
+    fresh = F.when((F.col("source_order") > 0) & (left <= 0), F.lit(0)).otherwise(F.greatest(F.lit(1), F.least("target", left)))
+    return state.select("source", F.when(started, F.least(F.col("target") - taken, left)).otherwise(fresh).alias("limit"))
+
+
+def read_under_total(
+    spark: SparkSession, position: str, tokens: str, targets: DataFrame, total: int, out: str, progress: str, schema: T.StructType
+) -> DataFrame:
+    """The accepted rows that the sources' targets and the total leave, as if the stream had ended now.
+
+    Sources follow each other in ``source_order``, a row for each. A source takes rows until its target or the total is reached; so an
+    earlier one's excess shrinks a later one. Records tell in which batch a source's end falls: only that batch is searched.
+    """
+    batches, accepted = read_progress(spark, progress), read_batches(spark, out, schema)
+    spent, parts = 0, []
+    for index, source in enumerate(targets.orderBy("source_order").collect()):
+        if index and spent >= total:
+            break
+        limit, own = max(1, min(source["target"], total - spent)), F.col("source") == source["source"]
+        running = Window.partitionBy("source").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+        before = batches.where(own).withColumn("before", F.coalesce(F.sum("tokens").over(running), F.lit(0)))
+        last = before.where(F.col("before") + F.col("tokens") >= limit).orderBy("batch_id").first()
+        mine = accepted.where(own)
+        if last is None:
+            spent += batches.where(own).agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+            parts.append(mine)
+            continue
+        batch = mine.where(F.col("batch_id") == last["batch_id"])
+        end = find_boundaries(batch, by_position(position), limit - last["before"], weight=tokens)[""]
+        parts.append(mine.where((F.col("batch_id") < last["batch_id"]) | (F.col("batch_id") == last["batch_id"]) & end.keeps()))
+        spent += last["before"] + end.weight
+    return reduce(DataFrame.unionByName, parts) if parts else accepted.limit(0)
+
+
 def read_batches(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
     """The rows of all batches, with their ``batch_id``."""
     with_batch = T.StructType([*plain(schema).fields, T.StructField("batch_id", T.LongType())])
@@ -126,18 +166,13 @@ def read_progress(spark: SparkSession, progress: str) -> DataFrame:
     return spark.read.schema(PROGRESS_SCHEMA).parquet(progress)
 
 
-def progress_totals(spark: SparkSession, progress: str, before_batch: int) -> dict[str, tuple[int, int]]:
-    """(samples, tokens) per source up to a batch, from the record of the last one before it.
+def batch_totals(spark: SparkSession, progress: str, batch_id: int) -> DataFrame:
+    """(source, samples, tokens, total_samples, total_tokens): the record of a batch, empty before the first.
 
-    A few rows, as many as there are targets. A batch without a record, interrupted before it wrote one, is
-    run again before a later one starts.
+    Every batch leaves one before the next begins: an interrupted batch is run again first.
     """
-    for batch in range(before_batch - 1, -1, -1):
-        path = f"{progress}/batch_id={batch}"
-        if is_folder(spark, path):
-            rows = spark.read.schema(TOTALS_SCHEMA).parquet(path).collect()
-            return {r["source"]: (r["total_samples"], r["total_tokens"]) for r in rows}
-    return {}
+    path = f"{progress}/batch_id={batch_id}"
+    return spark.read.schema(TOTALS_SCHEMA).parquet(path) if is_folder(spark, path) else table(spark, [], TOTALS_SCHEMA)
 
 
 def _run(rows: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
