@@ -1,18 +1,23 @@
 """Main text of web pages by the distribution of their line blocks.
 
-Markup is stripped to lines, one for each block element's text. A line's length counts as zero if markup says that it
-is no article text (menus, page headers and footers, sidebars, notices, adverts, forms, reader comments), or if it is
-mostly links. If the page has an article or main element, its lines are the text, all but those that markup rules out.
-Otherwise lengths are summed over windows of ``WINDOW`` lines. Text begins where these sums surge from zero and ends
-where they dive to zero again; stretches with a window of at least ``SURGE`` characters are article text, or the largest
-stretch if none reaches that. Kept are the lines from the first to the last of a stretch, without those that markup
-rules out.
+Markup is stripped to lines, one for each block element's text. Lengths are summed over windows of ``WINDOW`` lines. Text
+begins where these sums surge from zero and ends where they dive to zero again, and stretches between whose largest window
+reaches the surge are kept; of several that do not, the largest.
 
-Markup rules out by element, role, or words of a class or id. An id inside an article does so only as a whole, and one
-of a heading never, as ids are made of headings. Formulas are text, their annotations are not.
+What markup rules out as article text (menus, page headers and footers, sidebars, notices, adverts, forms, reader comments)
+has no length. On a page with an article or main element, its container, lines outside of it have none either, so that
+the sums surge where it begins and dive where it ends. What is ruled out inside a container is neutral: the sums pass over it, and
+the text on both sides stays one stretch. Each article element is a stretch of its own; its surge is ``SURGE``, or a
+quarter of the largest window if that is less, so short articles stay and teasers beside a long one go. On a page without a
+container lines that are mostly links, or a statement of rights, have no length, and the surge is ``SURGE``.
+
+Markup rules out by element, role, style, or words of a class or id. Inside a container a class or id counts as a whole: one of the
+names, alone or with a number or the name of a wrapper (``comment-17``, ``related-posts``), as ids and classes of sections are
+made of headings (``related-work``, ``side-effects``). An id of a heading never counts. Formulas are text, their annotations are not.
 
 Cases: a null or empty page, or one without text, gives an empty text; unclosed elements and tags at the end of a page
-end with it; repeated rows each return a row; an empty table gives an empty one; other columns are ignored.
+end with it, but an unclosed drawing, frame or template hides nothing; repeated rows each return a row; an empty table
+gives an empty one; other columns are ignored.
 """
 
 import html
@@ -36,7 +41,10 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template svg iframe object noframes xmp annotation annotation-xml".split())
-ANNOTATIONS = frozenset("annotation annotation-xml".split())
+#: Of these, elements that a slash closes, that nest, and whose end tag may be missing.
+FOREIGN = frozenset("svg annotation annotation-xml".split())
+NESTING = frozenset("svg template object".split())
+TO_THE_END = frozenset("script style title textarea xmp noframes".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog select button fieldset search dir frameset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -46,6 +54,9 @@ NAMES = frozenset(
     "social related recommended newsletter subscribe signup login popup modal overlay widget widgets pagination pager toolbar search copyright".split()
 )
 CONTENT = frozenset("article content main post entry story body text".split())
+# What goes before and after one of the names in the class or id of a block inside an article.
+OWNERS = "user reader post page site entry article blog".split()
+WRAPPERS = "list area section form wrap wrapper container box block button buttons link links bar post posts article articles item items slot unit signup widget banner notice thread inline top bottom left right".split()
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = BLOCKS - {"br", "button", "option", "select", "noscript", "iframe", "template", "title", "body", "html", "head"}
 
@@ -54,6 +65,9 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]++)))?""")
+_INSIDE = re.compile(
+    rf"(?:(?:{'|'.join(OWNERS)})[-_])?(?:{'|'.join(sorted(NAMES - {'header', 'masthead'}))})(?:[-_](?:\d+|{'|'.join(WRAPPERS)}))*"
+)
 _RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved).{0,120}", re.I | re.S)
 
 
@@ -61,8 +75,9 @@ _RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved).{0,120}", re
 class _Element:
     name: str
     ruled_out: bool
-    inside: bool
+    article: int
     link: bool
+    main: bool
 
 
 @dataclass
@@ -78,23 +93,44 @@ def _marked(element: str, attributes: str, inside: bool) -> bool:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style":
-            if "display:none" in value.replace(" ", ""):
+            style = "".join(value.split())
+            if "display:none" in style or "visibility:hidden" in style:
                 return True
         elif name == "role":
             if value in ROLES and not (inside and value == "banner"):
                 return True
         elif name == "class" or name == "id" and element not in HEADINGS:
-            words = {value.strip()} if name == "id" and inside else set(re.split(r"[^a-z0-9]+", value))
+            if inside:
+                if any(_INSIDE.fullmatch(whole) for whole in value.split()):
+                    return True
+                continue
+            words = set(re.split(r"[^a-z0-9]+", value))
             if words & NAMES and not words & CONTENT - {"body", "text"}:
                 return True
     return False
 
 
+def _raw_end(name: str, page: str, at: int) -> int:
+    """The place after an element whose content is no text, or the place itself if that is never closed."""
+    if name not in NESTING:
+        end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+        return end.end() if end else len(page) if name in TO_THE_END else at
+    depth = 1
+    for tag in re.compile(rf"<(/?){name}(?=[\s/>])[^>]*?(/?)>", re.I).finditer(page, at):
+        depth += -1 if tag[1] else 0 if tag[2] else 1
+        if not depth:
+            return tag.end()
+    return at
+
+
 @dataclass(frozen=True)
 class Line:
+    """A block's text; which article element it lies in, counted from 1, 0 for none; and whether in a main element."""
+
     text: str
     ruled_out: bool
-    inside: bool
+    article: int
+    main: bool
     link_share: float
 
 
@@ -104,7 +140,7 @@ def lines_of(page: str) -> list[Line]:
     stack: list[_Element] = []
     now = _Line()
     at, end = 0, len(page)
-    body = _Element("", False, False, False)
+    body, articles = _Element("", False, 0, False, False), 0
 
     def say(text: str) -> None:
         if text:
@@ -119,7 +155,7 @@ def lines_of(page: str) -> list[Line]:
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
                 top = stack[-1] if stack else body
-                out.append(Line(text, top.ruled_out, top.inside, now.linked / len(raw)))
+                out.append(Line(text, top.ruled_out, top.article, top.main, now.linked / len(raw)))
             now = _Line()
 
     def close(names: set[str], stop: frozenset[str]) -> None:
@@ -148,9 +184,9 @@ def lines_of(page: str) -> list[Line]:
         if closing:
             close({name}, frozenset())
             continue
-        if name in RAW and not (name in ANNOTATIONS and attributes.endswith("/")):
-            raw_end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = raw_end.end() if raw_end else end
+        if name in RAW:
+            if not (name in FOREIGN and attributes.endswith("/")):
+                at = _raw_end(name, page, at)
             continue
         if name in VOID or attributes.endswith("/") and name not in BLOCKS:
             continue
@@ -159,9 +195,13 @@ def lines_of(page: str) -> list[Line]:
         if name in CLOSED_BY:
             close(CLOSED_BY[name], frozenset({"ul", "ol", "dl", "table", "select", "tbody", "thead", "tfoot"}))
         above = stack[-1] if stack else body
-        inside = above.inside or name in ("article", "main")
-        ruled_out = above.ruled_out or name in OUTSIDE or name == "header" and not above.inside or bool(attributes) and name not in ("html", "body", "article", "main") and _marked(name, attributes, above.inside)
-        stack.append(_Element(name, ruled_out, inside, above.link or name == "a"))
+        inside, article = above.article > 0 or above.main, above.article
+        if name == "article" and not article:
+            articles += 1
+            article = articles
+        by_name = name in OUTSIDE or name == "header" and not inside
+        named = bool(attributes) and name not in ("html", "body", "main") and _marked(name, attributes, inside or name == "article")
+        stack.append(_Element(name, above.ruled_out or by_name or named, article, above.link or name == "a", above.main or name == "main"))
     flush()
     return out
 
@@ -186,18 +226,39 @@ def stretches(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> l
     return out
 
 
-def main_text(page: str) -> str:
-    lines = lines_of(page)
-    if any(line.inside and not line.ruled_out for line in lines):
-        return " ".join(line.text for line in lines if line.inside and not line.ruled_out)
+def _contained(lines: list[Line]) -> list[bool]:
+    """Which lines lie in the page's container: the articles of its main element, or this, or its articles."""
+    for holds in (lambda line: line.main and line.article, lambda line: line.main, lambda line: line.article):
+        inside = [bool(holds(line)) for line in lines]
+        if any(i and not line.ruled_out for i, line in zip(inside, lines)):
+            return inside
+    return []
 
-    def length(line: Line) -> int:
-        if line.ruled_out or line.link_share >= LINK_SHARE or _RIGHTS.fullmatch(line.text):
-            return 0
-        return len(line.text)
 
-    lengths = [length(line) for line in lines]
-    return " ".join(lines[i].text for a, b in stretches(lengths) for i in range(a, b) if not lines[i].ruled_out)
+def main_text(page: str) -> str:
+    lines = lines_of(page)
+    inside, surge = _contained(lines), SURGE
+    if inside:
+        lengths, own, article = [], [], 0
+        for i, line in enumerate(lines):
+            if inside[i] and line.ruled_out:
+                continue  # neutral
+            if inside[i] and line.article != article:
+                article = line.article
+                lengths += [0] * WINDOW
+                own += [i] * WINDOW
+            lengths.append(len(line.text) if inside[i] else 0)
+            own.append(i)
+        largest = max((sum(lengths[i : i + WINDOW]) for i in range(len(lengths))), default=0)
+        surge = min(SURGE, largest // 4)
+    else:
+        own = list(range(len(lines)))
+        bare = lambda line: line.ruled_out or line.link_share >= LINK_SHARE or _RIGHTS.fullmatch(line.text)
+        lengths = [0 if bare(line) else len(line.text) for line in lines]
+    kept = [i for a, b in stretches(lengths, surge=surge) for i in range(a, b)]
+    if inside:
+        return " ".join(lines[own[i]].text for i in kept if lengths[i])
+    return " ".join(lines[i].text for i in kept if not lines[i].ruled_out)
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -1,6 +1,7 @@
 """Extraction on pages written for a rule each, and on the given pages against their article elements."""
 
 import html
+import random
 import re
 
 import pytest
@@ -48,6 +49,24 @@ ARTICLES = {
 }
 
 
+LONG = "<p>" + WORDS + "</p>"
+# Nothing of an article is lost, and what is none goes, inside and beside it.
+ARTICLES |= {
+    '<article><p>one <svg viewBox="0 0 1 1"/> two</p><p>three</p></article>': "one two three",
+    "<article><p>a<svg><g><svg><text>x</text></svg><title>t</title></g></svg>b</p><p>c<svg><path>d</p><p>e</article>": "ab cd e",
+    "<article><p>a<template><template>x</template>y</template>b<object><object/>z</object>c<noscript>d</article>": "a bc d",
+    "<article><p class='side-effects'>a</p><section class='search-algorithms'>b</section><div class='social-history'>c</div><p class='has-no-widgets'>d</p></article>": "a b c d",
+    "<article><p>a</p><div id='comment-17'>x</div><div class='comment-list'>y</div><div class='lead share-buttons'>z</div><p id='adverb'>b</p></article>": "a b",
+    "<main><p>a</p><section id='user-comments'><p>x</section></main>": "a",
+    "<main>" + LONG + "</main><article><h2>Teaser</h2><p>Read this next.</article>": WORDS.strip(),
+    "<main><article>" + LONG + "</article><article><h2>Next</h2></article><p>Below</p></main>": WORDS.strip(),
+    "<article>" + LONG + "</article><article>" + LONG + "</article>": (WORDS * 2).strip(),
+    "<article><p>a</p><article class=comment><p>x</article><p>b</article>": "a b",
+    "<article><p>a<p style='visibility:hidden'>x<p style='display:\n none'>y<p>b</article>": "a b",
+    "<article><h1>T</h1><p>tiny</article><p>" + WORDS: "T tiny",
+}
+
+
 @pytest.mark.parametrize("page", ARTICLES)
 def test_whole_articles(page):
     assert H.main_text(page) == ARTICLES[page]
@@ -59,8 +78,53 @@ def test_stretches():
     assert H.stretches([0, 0]) == [] and H.stretches([]) == []
 
 
+def by_sums(lengths, window, surge):
+    """Stretches by their definition: lines of some length, between zeros so wide that a window fits in."""
+    sums = [sum(lengths[i : i + window]) for i in range(len(lengths))] + [0]
+    runs, i = [], 0
+    while i < len(sums):
+        j = i
+        while sums[j]:
+            j += 1
+        if j > i:
+            runs.append((i, j))
+        i = j + 1
+    best = [r for r in runs if max(sums[r[0] : r[1]]) >= surge]
+    if not best and runs:
+        best = [max(runs, key=lambda r: sum(lengths[r[0] : r[1]]))]
+    out = []
+    for a, b in best:
+        own = [i for i in range(a, min(len(lengths), b + window)) if lengths[i]]
+        out.append((own[0], own[-1] + 1))
+    return out
+
+
+@pytest.mark.parametrize("window", [1, 3, 4])
+def test_stretches_by_definition(window):
+    rng = random.Random(window)
+    for _ in range(300):
+        lengths = [rng.choice([0, 0, 0, 5, 40, 200]) for _ in range(rng.randint(0, 30))]
+        assert H.stretches(lengths, window, 80) == by_sums(lengths, window, 80)
+
+
+def test_every_page_goes_through_the_sums(monkeypatch):
+    seen, plain_stretches = [], H.stretches
+    monkeypatch.setattr(H, "stretches", lambda *a, **k: seen.append(a) or plain_stretches(*a, **k))
+    for page in ("<article><p>a</article>", "<main>b</main>", "<p>c", ""):
+        H.main_text(page)
+    assert len(seen) == 4
+
+
+def test_pages_without_an_article():
+    """The article of a page without such an element, between menus, links, notices and rights."""
+    menu = "<ul>" + "<li><a href=x>Item</a></li>" * 6 + "</ul>"
+    body = "".join(f"<p>{WORDS}{i}</p>" for i in range(5))
+    page = f"<div class=top-nav>{menu}</div><h1>Title</h1>{body}<div class='related'>{menu}</div><p>© 2024 Owner. All rights reserved."
+    assert H.main_text(page) == "Title " + " ".join(f"{WORDS}{i}" for i in range(5))
+
+
 def test_odd_pages_end():
-    for page in ("<" * 50_000, "<p " * 20_000, "<a href='" * 5_000, "<!--" * 9, "&" * 9999, "<div>" * 20_000 + "deep", "</div>" * 1000):
+    for page in ("<" * 50_000, "<p " * 20_000, "<a href='" * 5_000, "<!--" * 9, "&" * 9999, "<div>" * 20_000 + "deep", "</div>" * 1000, "<svg>" * 3000, "<template>" * 3000, "<noscript>" * 3000):
         H.main_text(page)
 
 
