@@ -2,11 +2,12 @@
 
 Texts are made canonical before they are compared: lower case, statements of copyright gone, punctuation as one space,
 equivalent spellings as one. Two texts with one canonical form are one licence, whatever their layout. In a whole text
-lines that only reserve all rights go too, and the licence's title may stand above its text. Their SHA-256 is joined to
+lines that only reserve all rights go too, the licence's title may stand above its text, and a party that it names is
+taken for the general word. Their SHA-256 is joined to
 the digests of the known texts, which are a fixed table of some thousand rows and so are broadcast.
 
-A line is a statement of copyright if the word or (c) begins it and a sign, year or owner follows, not if a sentence
-goes on there. Long licences are known by the digest of their whole text, in its published wording only.
+A line is a statement of copyright if the word or (c) begins it, or parts or portions of which it speaks, and a sign, year
+or owner follows, not if a sentence goes on there. Long licences are known by the digest of their whole text, in its published wording only.
 
 Every known text has a word that begins with a stem of ``STEMS``; a line without any cannot match, and is not made
 canonical. Only built-in functions run, the known table included.
@@ -187,15 +188,25 @@ GOES_ON = (
     "notices? holders? owners? licen[cs]es? licensors? laws? statements? permissions? interests? protections? treat(?:y|ies) disclaimers? rights? "
     "lines? infringements? patent trademark also and or on in of for to is are as that which with"
 ).replace(" ", "|")
+# Parts of patterns, each of one line. A word of a name is taken whole or not at all, and what repeats is never tried again
+# in parts: patterns take time in proportion to a line, and no stack, however long it is.
+_BEGIN, _SIGN = "[^\\p{L}\\p{N}\\n©]*(?:(?:some )?(?:portions|parts|modifications)[ \\t:,-]+)?", "\\(c\\)|©|&copy;|[\\[{<]"
 _YEAR = "[^\\n]*\\b(?:19|20)\\d\\d\\b"
-_OWNER = "(?-i:\\p{Lu})\\S*(?:[ \\t]+(?:and|of|the|de|von|&|(?-i:\\p{Lu})\\S*|<\\S+>))*[ \\t]*$"
+_NAME = "(?-i:\\p{Lu})\\S*"
+_OWNER = f"{_NAME}(?:[ \\t]+(?:{_NAME}|<\\S+>|&|(?:and|of|the|de|von)(?!\\S)))*+[ \\t\\r]*$"
 COPYRIGHT_LINE = (
-    "(?im)^[^\\p{L}\\p{N}\\n©]*(?:©"
-    f"|copyrights?(?![\\p{{L}}\\p{{N}}])[ \\t:,.-]*(?:\\(c\\)|©|&copy;|\\p{{N}}|[\\[{{<]|by\\b|(?!(?:{GOES_ON})\\b)(?:(?-i:\\p{{Lu}})|{_YEAR}))"
-    f"|\\(c\\)[ \\t]*(?:copyright\\b|©|\\p{{N}}|[\\[{{<]|{_YEAR}|[^\\s.]+[ \\t]*$|{_OWNER})"
+    f"(?imd)^{_BEGIN}(?:©"
+    f"|copyrights?(?![\\p{{L}}\\p{{N}}])[ \\t:,.-]*+(?:{_SIGN}|\\p{{N}}|by\\b|(?!(?:{GOES_ON})\\b)(?:(?-i:\\p{{Lu}})|{_YEAR}))"
+    f"|\\(c\\)[ \\t]*+(?:copyright\\b|{_SIGN}|\\p{{N}}|{_YEAR}|[^\\s.]+[ \\t\\r]*$|{_OWNER})"
     ")[^\\n]*$"
 )
-RESERVED_LINE = f"(?im)^[^\\p{{L}}\\p{{N}}\\n]*{RESERVED}[^\\p{{L}}\\p{{N}}\\n]*$"
+RESERVED_LINE = f"(?imd)^[^\\p{{L}}\\p{{N}}\\n]*+{RESERVED}[^\\p{{L}}\\p{{N}}\\n]*$"
+# Where a licence names its parties, in canonical form, and the general words for them.
+PARTIES = (
+    ("neither the names? of [\\p{L}\\p{N} ]{1,200}? nor the names? of (?:its|their|any) contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    ("this software is provided by [\\p{L}\\p{N} ]{1,200}? and contributors as is", "this software is provided by the copyright holders and contributors as is"),
+    ("in no event shall [\\p{L}\\p{N} ]{1,200}? or contributors be liable", "in no event shall the copyright holder or contributors be liable"),
+)
 
 
 def _words(text: Column) -> Column:
@@ -206,7 +217,10 @@ def canonical(text: Column) -> Column:
     """The canonical form of a text, empty if nothing is left of it."""
     spelled = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
     words = F.split(_words(F.regexp_replace(text, COPYRIGHT_LINE, "")), " ")
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(spelled, w), w)), " ")
+    out = F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(spelled, w), w)), " ")
+    for named, general in PARTIES:
+        out = F.regexp_replace(out, named, general)
+    return out
 
 
 def digest(text: Column, whole: Column) -> Column:

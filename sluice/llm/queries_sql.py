@@ -73,25 +73,59 @@ _quoted = lambda text: "'" + text.replace("'", "''") + "'"
 _spelled = ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in licenses.SPELLINGS.items())
 
 
+_BEGIN = "(?i)^[^\\p{L}\\p{N}©]*(?:(?:some )?(?:portions|parts|modifications)[ \\t:,-]+)?"
+_YEAR = ".*\\b(?:19|20)\\d\\d\\b"
+_NAME = "(?-i:\\p{Lu})[^ \\t\\r]*"
+
+
+def _statement(line: str) -> str:
+    """SQL of whether a line is a statement of copyright, one way of being one after the other."""
+    has = lambda pattern: f"regexp_matches({line}, {_quoted(_BEGIN + pattern)})"
+    word, after = "copyrights?", "(?:[ \\t:,.-]*)"
+    sign = "(?:\\(c\\)|©|&copy;|[\\[{<])"
+    ways = [
+        has("©"),
+        has(f"{word}{after}{sign}"),
+        has(f"{word}[ \\t:,.-]+(?:\\p{{N}}|by\\b)"),
+        f"(NOT {has(f'{word}[ \\t:,.-]+(?:{licenses.GOES_ON})\\b')} AND ({has(f'{word}[ \\t:,.-]+(?-i:\\p{{Lu}})')} OR {has(f'{word}[^\\p{{L}}\\p{{N}}]{_YEAR}')}))",
+        has(f"\\(c\\)[ \\t]*(?:copyright\\b|{sign}|\\p{{N}}|{_YEAR}|[^\\s.]+[ \\t\\r]*$)"),
+        has(f"\\(c\\)[ \\t]*{_NAME}(?:[ \\t]+(?:{_NAME}|<[^ \\t\\r]+>|&|and|of|the|de|von))*[ \\t\\r]*$"),
+    ]
+    return " OR ".join(ways)
+
+
 def _canonical(text: str) -> str:
-    """SQL of the canonical form, without the shortcuts that the query takes."""
-    kept = f"regexp_replace({text}, '(?im)^[^\\p{{L}}\\p{{N}}\\n©]*(?:copyright|©|\\(c\\))[^\\n]*$', '', 'g')"
-    words = f"string_split(trim(regexp_replace(lower({kept}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
-    return f"array_to_string(list_transform({words}, lambda w: coalesce(MAP {{{_spelled}}}[w], w)), ' ')"
+    """SQL of the canonical form, line by line and without the shortcuts that the query takes."""
+    lines = f"list_filter(string_split({text}, chr(10)), lambda l: NOT ({_statement('l')}))"
+    words = f"string_split(trim(regexp_replace(lower(array_to_string({lines}, chr(10))), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')"
+    out = f"array_to_string(list_transform({words}, lambda w: coalesce(MAP {{{_spelled}}}[w], w)), ' ')"
+    for named, general in licenses.PARTIES:
+        out = f"regexp_replace({out}, {_quoted(named)}, {_quoted(general)}, 'g')"
+    return out
+
+
+def _whole(text: str) -> str:
+    """SQL of a text without the lines that only reserve all rights."""
+    reserved = f"(?i)^[^\\p{{L}}\\p{{N}}]*{licenses.RESERVED}[^\\p{{L}}\\p{{N}}]*$"
+    return f"array_to_string(list_filter(string_split({text}, chr(10)), lambda x: NOT regexp_matches(x, {_quoted(reserved)})), chr(10))"
+
 
+_values = lambda rows: ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in rows)
 
 LICENSES = f"""
 WITH k AS (
-  SELECT {_canonical("t")} AS c, whole, min(i) AS license_id
-  FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)}, {w})" for w, rows in ((True, licenses.TEXTS.items()), (False, licenses.notices())) for i, t in rows)}) AS v(i, t, whole)
-  GROUP BY 1, 2
+  SELECT sha256(c) AS h, whole, min(i) AS license_id FROM (
+    SELECT i, {_canonical(_whole("t"))} AS c, true AS whole FROM (VALUES {_values(licenses.layouts())}) AS v(i, t)
+    UNION ALL SELECT i, {_canonical("t")}, false FROM (VALUES {_values(licenses.notices())}) AS v(i, t)
+  ) GROUP BY 1, 2
+  UNION ALL SELECT h, true, i FROM (VALUES {_values((i, d) for i, digests in licenses.DIGESTS.items() for d in digests)}) AS v(i, h)
 ), d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-u AS (SELECT r, {_canonical("t")} AS c, true AS whole FROM d
+u AS (SELECT r, {_canonical(_whole("t"))} AS c, true AS whole FROM d
   UNION ALL SELECT r, {_canonical("l")}, false FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)),
 f AS (
   SELECT r, max(CASE WHEN u.whole THEN license_id END) AS license_id, count(CASE WHEN NOT u.whole THEN 1 END) AS n_notices,
     string_agg(DISTINCT CASE WHEN NOT u.whole THEN license_id END, ',' ORDER BY CASE WHEN NOT u.whole THEN license_id END) AS notices
-  FROM u JOIN k ON u.c = k.c AND u.whole = k.whole WHERE u.c <> '' GROUP BY r
+  FROM u JOIN k ON sha256(u.c) = k.h AND u.whole = k.whole WHERE u.c <> '' GROUP BY r
 )
 SELECT doc_id, license_id, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices FROM d LEFT JOIN f USING (r)
 """

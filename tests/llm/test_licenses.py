@@ -3,10 +3,12 @@
 import os
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.llm import licenses as L
+from sluice.llm.queries_sql import ORACLES, _canonical
 
 
 def test_every_known_text_has_a_stem(spark):
@@ -81,6 +83,60 @@ def test_long_texts(spark, name, file):
     assert {r["license_id"] for r in L.scanned(docs, L.known(spark)).collect()} == {name}
 
 
+def test_named_parties_and_further_notices(spark):
+    university = L.TEXTS["BSD-3-Clause"].replace("the copyright holder nor", "the University of Somewhere nor").replace(
+        "COPYRIGHT HOLDERS AND CONTRIBUTORS", "REGENTS AND CONTRIBUTORS").replace("COPYRIGHT HOLDER OR\nCONTRIBUTORS", "REGENTS OR\nCONTRIBUTORS")
+    assert "REGENTS OR" in university and "REGENTS AND" in university
+    texts = {
+        1: ("BSD-3-Clause", "Copyright (c) 1990 The Regents.\nAll rights reserved.\n" + university),
+        2: ("MIT", "MIT License\nCopyright (c) 2020 A\nPortions (c) 2021 B\nPortions Copyright 2022 C Inc.\n" + L.TEXTS["MIT"]),
+        3: (None, L.TEXTS["BSD-3-Clause"].replace("nor the names of its contributors", "")),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in texts.items()], "doc_id long, text string")
+    assert {r["doc_id"]: r["license_id"] for r in L.scanned(docs, L.known(spark)).collect()} == {i: name for i, (name, _) in texts.items()}
+
+
+LONG_LINES = [
+    "(c) " + "Aaa " * 300_000, "(c) " + "and " * 300_000, "(c) Aaa " + "of " * 300_000 + "x", "copyright " + "- " * 500_000, "copyright" + " notice" * 150_000,
+    "Portions " * 120_000, "All rights reserved" + "." * 1_000_000, "(c) " + "a" * 1_000_000 + ".", "neither the name of " + "a " * 500_000, "<" * 1_000_000 + "license",
+    "copyright 1" + "19" * 500_000, "in no event shall " * 60_000, "(c) Aaa <" + "b" * 1_000_000, "licence under " * 80_000,
+]
+
+
+def test_lines_of_a_megabyte(spark):
+    """No alternative of a pattern recurses, or tries again, once for every word of a line."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(LONG_LINES)], "doc_id long, text string").repartition(4)
+    assert L.scanned(docs, L.known(spark)).count() == len(LONG_LINES)
+    assert forms(spark, LONG_LINES[:1] + [LONG_LINES[2]]) [0] == "" != forms(spark, [LONG_LINES[2]])[0]
+
+
+SQL_TEXTS = [
+    *[t for _, t in L.layouts()], *["Copyright (c) 2020 Jane Roe <j@x.org>\r\nAll rights reserved.\r\n\r\n" + t.replace("\n", "\r\n") for t in L.TEXTS.values()],
+    *["\n".join([n, "text under it", n.upper() + " !"]) for _, n in L.notices()[::37]],
+    "\n".join([
+        "Copyright 2020 Me", "copyright: 2020", "* Copyright The Foo Authors", "(c) Foo Inc. and Bar", "(c) Andrews of the Hill", "(c) me", "copyright by me",
+        "copyright notice and this 1999", "COPYRIGHT HOLDERS BE LIABLE", "copyrighted by the Foundation", "(c) You must retain, in the form", '"Copyright" also means',
+        "copyright law: that is 2001", "Portions (c) 2021 B", "copyright - Notice", "copyright -- 1999", "© all rights reserved", "licensed under MIT", "copyright", "(c)", "(C) The and",
+    ]),
+    "Portions (c) 2021 B\n" + L.TEXTS["MIT"], "", None,
+]
+
+
+def test_sql_of_licence_files(spark, tmp_path):
+    """The query and its SQL on whole licences, as they are set, and on statements of copyright."""
+    paths = [f"/usr/share/common-licenses/{f}" for f in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "BSD", "Artistic")]
+    texts = SQL_TEXTS + [open(p).read() for p in paths if os.path.exists(p)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted(tuple(r) for r in L.scanned(docs, L.known(spark)).collect())
+    connection = duckdb.connect()
+    connection.register("documents", docs.toArrow())
+    assert found == sorted(connection.execute(ORACLES["op3_license_scan"]).fetchall())
+    assert sum(r[1] is not None for r in found) > len(L.layouts())
+    lines = SQL_TEXTS[-4].split("\n")
+    canonical = connection.execute(f"SELECT {_canonical('t')} FROM (SELECT unnest(?) AS t)", [lines]).fetchall()
+    assert forms(spark, lines) == [c for c, in canonical]
+
+
 def test_own_texts_and_empty(spark):
     docs = spark.createDataFrame([(1, "Under my licence!")], "doc_id long, text string")
     known = L.known(spark, {"own": "under my license"})
