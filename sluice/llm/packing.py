@@ -37,7 +37,6 @@ END_ID = 2
 REMEMBERED = 400_000
 #: Pieces dealt to one partition; a partition's packing works on lengths and needs a few bytes for each.
 PARTITION_ROWS = 100_000
-ROUNDS = 6
 
 _OTHER_BLANK = re.compile(r"[^\S \n]")
 _SPACE_BESIDE_BLANK = re.compile(r"\s | \s|^ | $")
@@ -268,7 +267,7 @@ def packed(parts: DataFrame, stage: Stage, limit: int = LIMIT, partition_rows: i
         still_open = F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("open")
         out = stage.write(dealt.select("row_id", "length").mapInArrow(_packer(limit, turn), schema), f"{name}-{turn}", [still_open])
         open_rows = out.figures["open"] or 0
-        last = wanted == 1 or turn == ROUNDS or open_rows == 0
+        last = wanted == 1 or open_rows == 0
         rows = out.rows if last else out.rows.where("done")
         places.append(rows.select("row_id", "sequence_id", "offset"))
         if last:
