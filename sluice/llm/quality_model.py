@@ -200,8 +200,10 @@ def training_rows(rows: DataFrame, labels: DataFrame, id_col: str, label_col: st
     own = rows.where(fold("id") != 0).join(known, "id").select("id", "statistics", "label")
     count = own.count()
     if count > sample_rows:
-        dealt = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * sample_rows / count)
-        own = own.where(dealt).limit(sample_rows)
+        # The first of them by hash, so that the same rows are taken each time; few more than these are put in order.
+        hashed = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+        share = (sample_rows + 8 * math.sqrt(sample_rows)) / count
+        own = own.where(hashed < int((1 << 30) * share) + 1).orderBy(hashed, "id", "statistics", "label").limit(sample_rows)
     table = own.select("statistics", "label").toArrow()
     values = table.column("statistics").combine_chunks()
     flat = values.flatten().to_numpy(zero_copy_only=False)
