@@ -1,7 +1,8 @@
 """Shards along a Hilbert curve over several metadata dimensions, for files that prune in all of them.
 
-1. Each dimension is quantised at its own quantiles into 2 ** BITS cells: numbers by value, strings by their first
-   seven bytes, so that cells keep the order and a file's smallest and largest value are close in every dimension.
+1. Each dimension is quantised at its own quantiles into 2 ** BITS cells, numbers and strings by their whole value, so
+   that cells keep the order and a file's smallest and largest value are close in every dimension. The quantiles of
+   strings are read off their order by a range shuffle, as strings that share a long beginning have no number of their own.
 2. The cells' place on the Hilbert curve orders the rows; neighbours on it are neighbours in all dimensions.
 3. The order is cut into runs of equal numbers of rows. Ties, also a third of all rows in one cell, are told apart by
    the text's hash, the id and the row, so that a cell is cut like any other part of the order.
@@ -24,7 +25,6 @@ from sluice.operators.stage import Stage
 
 SHARDS = 8
 BITS = 4
-PREFIX_BYTES = 7
 #: Rows in a part of the order.
 PART_ROWS = 1_000_000
 
@@ -65,24 +65,26 @@ def place_on_curve(cells: Sequence[Column], bits: int = BITS) -> Column:
     return arrow_udf(index, "long")(F.array(*cells))
 
 
-def ordinal(column: Column, kind: T.DataType) -> Column:
-    """A number that keeps the column's order: strings by their first bytes."""
-    if isinstance(kind, T.StringType):
-        digits = F.rpad(F.substring(F.hex(F.encode(column, "UTF-8")), 1, 2 * PREFIX_BYTES), 2 * PREFIX_BYTES, "0")
-        return F.conv(digits, 16, 10).cast("long")
-    return column.cast("double")
+def string_cuts(values: DataFrame, dimension: str, row: str, shares: Sequence[float], stage: Stage, count: int) -> list[str]:
+    """The strings at so many shares of their order; ties, also a third of all rows, are told apart by the row."""
+    own = values.where(F.col(dimension).isNotNull()).select(dimension, row)
+    placed, n = ranked(own, [F.col(dimension), F.col(row)], stage, f"place_{dimension}", partitions=max(2, -(-count // PART_ROWS)))
+    places = sorted({min(n - 1, int(n * share)) for share in shares}) if n else []
+    return [r[0] for r in placed.where(F.col(f"place_{dimension}").isin(places)).select(dimension).orderBy(dimension).collect()]
 
 
-def quantised(rows: DataFrame, dimensions: Sequence[str], bits: int = BITS) -> DataFrame:
-    """``rows`` with a column ``cell_<i>`` for each dimension. The cut points are 2 ** bits - 1 numbers a dimension."""
-    kinds = {f.name: f.dataType for f in rows.schema.fields}
-    values = [ordinal(F.col(d), kinds[d]) for d in dimensions]
-    shares = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
-    cuts = rows.agg(*[F.percentile_approx(v, shares, 10_000).alias(f"c{i}") for i, v in enumerate(values)]).first()
+def quantised(rows: DataFrame, dimensions: Sequence[str], row: str, stage: Stage, count: int, bits: int = BITS) -> DataFrame:
+    """``rows`` with a column ``cell_<i>`` for each dimension. The cut points are 2 ** bits - 1 values a dimension."""
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    strings = [d for d in dimensions if isinstance(rows.schema[d].dataType, T.StringType)]
+    numbers = [d for d in dimensions if d not in strings]
+    wanted = F.array(*[F.lit(s) for s in shares])
+    found = rows.agg(F.lit(0), *[F.percentile_approx(F.col(d).cast("double"), wanted, 10_000).alias(d) for d in numbers]).first()
+    cuts = {d: found[d] or [] for d in numbers} | {d: string_cuts(rows, d, row, shares, stage, count) for d in strings}
     cells = {}
-    for i, value in enumerate(values):
-        own = F.array(*[F.lit(c) for c in cuts[i] or []])
-        cell = F.size(F.filter(own, lambda c: c < value)) if cuts[i] else F.lit(0)
+    for i, d in enumerate(dimensions):
+        value = F.col(d) if d in strings else F.col(d).cast("double")
+        cell = F.size(F.filter(F.array(*[F.lit(c) for c in cuts[d]]), lambda c: c < value)) if cuts[d] else F.lit(0)
         cells[f"cell_{i}"] = F.coalesce(F.when(value.isNotNull(), cell), F.lit(0)).cast("long")
     return rows.withColumns(cells)
 
@@ -103,7 +105,7 @@ def shards(
         F.monotonically_increasing_id().alias("row"),
     )
     rows = stage.write(narrow, "rows", narrow=True)
-    in_cells = quantised(rows.rows, [f"d{i}" for i in range(len(dimensions))], bits)
+    in_cells = quantised(rows.rows, [f"d{i}" for i in range(len(dimensions))], "row", stage, rows.count, bits)
     curve = place_on_curve([F.col(f"cell_{i}") for i in range(len(dimensions))], bits)
     placed = stage.write(in_cells.withColumn("curve", curve).select("id", "size", "text_crc32", "tie", "row", "curve"), "curve", narrow=True).rows
     parts = max(1, -(-rows.count // PART_ROWS))

@@ -45,6 +45,31 @@ def test_shards(spark, stage, n):
     assert [r["curve"] for r in in_order] == sorted(r["curve"] for r in found)
 
 
+def test_strings_of_one_beginning(spark, stage):
+    """Quantiles of whole strings: 16 hosts of one long beginning, one of them a third of all rows, lie in order in cells."""
+    hosts = [f"https://www.example.org/a/very/long/beginning/{i:02}" for i in range(16)]
+    names = [hosts[i % 16] for i in range(480)] + [hosts[5]] * 240 + [None] * 9
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "row long, d0 string").repartition(3)
+    cells = {(r["d0"], r["cell_0"]) for r in H.quantised(rows, ["d0"], "row", stage, len(names)).collect()}
+    by_host = dict(cells)
+    assert len(by_host) == len(cells) == 17 and by_host[None] == 0
+    in_order = [by_host[h] for h in hosts]
+    assert in_order == sorted(in_order) and len(set(in_order)) >= 10
+
+
+@pytest.mark.parametrize("n", [1, 40, 700])
+def test_quantiles(spark, stage, n):
+    """No cell holds more than its share of distinct values and one value more."""
+    rng = np.random.default_rng(n)
+    values = [f"{int(v):05}" for v in rng.permutation(n)]
+    rows = spark.createDataFrame([(i, v, float(v)) for i, v in enumerate(values)], "row long, d0 string, d1 double").repartition(3)
+    found = H.quantised(rows, ["d0", "d1"], "row", stage, n).collect()
+    for cell, value in (("cell_0", "d0"), ("cell_1", "d1")):
+        in_order = [r[cell] for r in sorted(found, key=lambda r: r[value])]
+        assert in_order == sorted(in_order)
+        assert max(in_order.count(c) for c in set(in_order)) <= -(-n // 16) + 1
+
+
 def test_empty(spark, stage):
     assert H.shards(spark.createDataFrame([], SCHEMA), stage).collect() == []
 
