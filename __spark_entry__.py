@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import query_sql
-from query_sql import BUDGET_RATIOS, CLUSTER_GAP, CLUSTERS, PAD, SEED, SHARD
+from query_sql import BUDGET_RATIOS, CLUSTER_GAP, CLUSTERS, LONG_TEXT, PAD, SEED, SHARD
 from sluice.functions import text as tx
 from sluice.functions.bpe import Vocabulary, decoded, positions_of, token_count, token_ids
 from sluice.functions.order import by_position, shuffled
-from sluice.operators import mixture, sinks, split, stats
+from sluice.operators import checks, mixture, sinks, split, stats
 from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
 from sluice.operators.cut import find_boundaries, inside, keep, share_of_total
 from sluice.operators.cut_table import boundary_table, keep_by_table
@@ -407,6 +407,16 @@ def progress_record(spark, sf_dir):
     )
 
 
+def failed_checks(spark, sf_dir):
+    """Plans and filters of each source: shares of another source's tokens, above 1 for most, and rows left by a filter
+    that empties some."""
+    totals = token_estimate_by_source(spark, sf_dir)
+    least = totals.agg(F.min("tokens").alias("least"))
+    shares = totals.crossJoin(F.broadcast(least)).select("source", (F.col("tokens") / (F.col("least") * 2)).alias("share"))
+    long_ones = stats.source_totals(documents(spark, sf_dir).where(F.length("text") >= LONG_TEXT))
+    return checks.share_checks(shares, "source", "share").unionByName(checks.row_checks(totals, long_ones, "source"))
+
+
 # Splits
 
 
@@ -752,6 +762,7 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sample_plan": sample_plan,
         "mixture_share": mixture_share,
         "progress_record": progress_record,
+        "failed_checks": failed_checks,
         "split_permutation": split_permutation,
         "split_permuted_order": split_permuted_order,
         "split_take_skip": split_take_skip,

@@ -9,6 +9,7 @@ SEED = 42
 SHARD = 100
 PAD = "\u00a0\t\u3000"
 CLUSTERS, CLUSTER_GAP = 7, 2**57
+LONG_TEXT = 20_000
 BUDGET_RATIOS = {source.name: source.ratio for source in BUDGET_SOURCES}
 
 
@@ -227,6 +228,12 @@ def oracle_sql() -> dict[str, str]:
             f"AS examples_per_source, sum(samples)::BIGINT AS examples_collected, true AS has_time FROM (SELECT {by_source} FROM estimated "
             "GROUP BY source)", "estimated",
         ),
+        "failed_checks": _sql(
+            "SELECT 'share' AS \"check\", source AS subject, share <= 1 AS passed, CASE WHEN share > 1 THEN "
+            "'share must lie in [0.0, 1.0], got ' || share END AS reason FROM (SELECT source, tokens / (min(tokens) OVER () * 2.0::DOUBLE) AS share "
+            f"FROM (SELECT {by_source} FROM estimated GROUP BY source)) UNION ALL SELECT 'rows', source, n > 0, CASE WHEN n = 0 THEN 'no rows collected' "
+            f"END FROM (SELECT source, count(CASE WHEN length(text) >= {LONG_TEXT} THEN 1 END) AS n FROM documents GROUP BY source)", "estimated",
+        ),
         "split_permutation": (
             f"SELECT doc_id, source, CASE WHEN rn <= {train_size} THEN 'train' ELSE 'val' END AS split "
             f"FROM ({shuffled_docs.format(seed=52)})"

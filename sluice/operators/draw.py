@@ -8,8 +8,8 @@ from sluice.functions.order import shuffled
 from sluice.operators.cut import find_boundaries, keep
 from sluice.operators.stage import Stage, plain
 
-# A draw of few rows stages the rows of twice the share of the order that would hold them if every row
-# were usable; a draw that needs more than a quarter of the source stages ids only.
+# A draw of few rows stages the ids of twice the share of the order that would hold them if every row were
+# usable; a draw that needs more than a quarter of the source stages the ids of all usable rows.
 HEADROOM = 2
 FEW = 0.25
 # The smallest share probed, well above what an order can still tell apart, and the growth after a probe
@@ -32,33 +32,32 @@ def draw(
 ) -> Drawn:
     """The first ``n`` usable rows of the seeded order, or all of them.
 
-    A small part of a source of ``source_rows`` is read from it once: the beginning of the order is
-    staged, without a shuffle, and more of it if too few rows there were usable. Once a large part is
-    needed, ids are staged instead, and the rows are read again where they lie.
+    Ids are staged, never a text, whatever the share: of the beginning of the order that should hold the rows, of more
+    of it if too few rows there were usable, or of all usable rows once a large part is needed. The rows are then read
+    where they lie, by a filter; nothing is shuffled.
     """
     order = shuffled(seed, *ids)
-    beginning = _beginning(usable, ids, n, seed, source_rows, stage, name)
+    usable_ids = usable.select(*ids)
+    beginning = _beginning(usable_ids, ids, n, seed, source_rows, stage, name)
     if beginning is None:
-        staged = stage.write(usable.select(*ids), f"{name}-ids", narrow=True)
-        all_ids, rows, count = staged.rows, usable, staged.count
-    else:
-        rows, count = beginning
-        all_ids = rows.select(*ids)
-    ends = find_boundaries(all_ids, order, n, rows_known=count)
-    return Drawn(keep(rows, ends), keep(all_ids, ends), ends[""].rows if ends else 0)
+        staged = stage.write(usable_ids, f"{name}-ids", narrow=True)
+        beginning = staged.rows, staged.count
+    staged_ids, count = beginning
+    ends = find_boundaries(staged_ids, order, n, rows_known=count)
+    return Drawn(keep(usable, ends), keep(staged_ids, ends), ends[""].rows if ends else 0)
 
 
 def _beginning(
-    usable: DataFrame, ids: tuple[str, ...], n: int, seed: int, source_rows: int, stage: Stage, name: str
+    usable_ids: DataFrame, ids: tuple[str, ...], n: int, seed: int, source_rows: int, stage: Stage, name: str
 ) -> tuple[DataFrame, int] | None:
-    """At least ``n`` usable rows from the beginning of the order and their number; None if that is a large part."""
+    """The ids of at least ``n`` usable rows from the beginning of the order and their number; None if that is a large part."""
     order, parts, count, start = shuffled(seed, *ids), [], 0, 0.0
     end = max(LEAST_SHARE, HEADROOM * n / source_rows) if source_rows else 1.0
     while end <= FEW:
         parts.append(f"{name}/{len(parts)}")
-        count += stage.write(usable.where(order.share(start, end)), parts[-1]).count
+        count += stage.write(usable_ids.where(order.share(start, end)), parts[-1], narrow=True).count
         if count >= n:
-            return stage.read(plain(usable.schema), *parts), count
+            return stage.read(plain(usable_ids.schema), *parts), count
         # By the density found, but never more than so many times the share that has been looked at.
         start, end = end, end * min(GROWTH, HEADROOM * n / count if count else GROWTH)
     return None

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import draw as drawing
+from tests.plans import physical_plan
 
 
 @pytest.mark.parametrize(
@@ -20,13 +21,13 @@ def test_draws_are_the_beginning_of_the_order(spark, stage, n, every):
     assert all(r["text"] == f"t{r['id']}" for r in drawn.rows.collect())
 
 
-def test_a_small_draw_does_not_read_the_source_again(spark, stage):
-    source = spark.range(1000)
+def test_a_small_draw_reads_rows_where_they_lie(spark, stage):
+    source = spark.range(1000).withColumn("text", F.lit("t"))
     drawn = drawing.draw(source, ("id",), 20, 1, 1000, stage, "d")
-    plan = drawn.rows._jdf.queryExecution().executedPlan().toString()
-    assert "Range" not in plan and "FileScan" in plan
-    staged = spark.read.parquet(f"{stage.path}/d/0").count()
-    assert 20 <= staged < 100
+    plan = physical_plan(drawn.rows)
+    assert "Range" in plan and "FileScan" not in plan and "Exchange" not in plan
+    staged = spark.read.parquet(f"{stage.path}/d/0")
+    assert staged.columns == ["id"] and 20 <= staged.count() < 100
 
 
 @pytest.mark.parametrize(("n", "every"), [(1, 1), (1, 50), (3, 100)])
@@ -45,18 +46,21 @@ def test_a_share_below_all_hashes_grows(spark, stage):
     assert drawn.count == 1
 
 
-def test_staged_text_is_not_shuffled(spark, stage, monkeypatch):
-    plans, write = [], type(stage).write
+@pytest.mark.parametrize("n", [1, 10, 100, 130, 400, 500])
+def test_ids_only_are_staged(spark, stage, monkeypatch, n):
+    """At any share, whether the draw ends in the beginning of the order or needs all of it."""
+    staged, write = [], type(stage).write
 
     def seen(self, rows, *rest, **options):
-        plans.append((rows.columns, options.get("narrow", False)))
+        staged.append((rows.columns, options.get("narrow", False)))
         return write(self, rows, *rest, **options)
 
     monkeypatch.setattr(type(stage), "write", seen)
     rows = spark.range(500).withColumn("text", F.lit("t"))
-    drawing.draw(rows, ("id",), 10, 1, 500, stage, "few")
-    drawing.draw(rows, ("id",), 400, 1, 500, stage, "most")
-    assert {(tuple(columns), narrow) for columns, narrow in plans} == {(("id", "text"), False), (("id",), True)}
+    drawn = drawing.draw(rows, ("id",), n, 1, 500, stage, "draw")
+    assert all(s == (["id"], True) for s in staged) and len(staged) == 1
+    order = sorted(range(500), key=lambda i: hashlib.md5(f"1:{i}".encode()).hexdigest())
+    assert sorted(r["id"] for r in drawn.rows.collect()) == sorted(order[:n])
 
 
 def test_no_rows(spark, stage):
