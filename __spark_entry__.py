@@ -13,7 +13,7 @@ import sys
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,6 +27,7 @@ from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
 from sluice.operators.cut import find_boundaries, inside, keep, share_of_total
 from sluice.operators.cut_table import boundary_table, keep_by_table
 from sluice.operators.draw import draw
+from sluice.operators.meter import Meter
 from sluice.operators.stage import Stage
 from sluice.plans.inspection import first_row_report
 from sluice.plans.instruct import MAX_TOKENS, VAL_RATIO, capped_instruct_corpus, instruct_corpus
@@ -411,8 +412,8 @@ def failed_checks(spark, sf_dir):
     """Plans and filters of each source: shares of another source's tokens, above 1 for most, and rows left by a filter
     that empties some."""
     totals = token_estimate_by_source(spark, sf_dir)
-    least = totals.agg(F.min("tokens").alias("least"))
-    shares = totals.crossJoin(F.broadcast(least)).select("source", (F.col("tokens") / (F.col("least") * 2)).alias("share"))
+    least = F.min("tokens").over(Window.partitionBy(F.lit(0)))  # a row for each source
+    shares = totals.select("source", (F.col("tokens") / (least * 2)).alias("share"))
     long_ones = stats.source_totals(documents(spark, sf_dir).where(F.length("text") >= LONG_TEXT))
     return checks.share_checks(shares, "source", "share").unionByName(checks.row_checks(totals, long_ones, "source"))
 
@@ -523,7 +524,9 @@ def bounded_files(spark, sf_dir):
 def split_roundtrip(spark, sf_dir):
     stage = staged(spark)
     rows = split_permutation(spark, sf_dir)
-    sinks.write_splits(rows, stage.path, small=["val"])
+    # A first corpus, replaced at once by the second.
+    for corpus in (rows.where("split = 'val'"), rows):
+        sinks.publish_splits(corpus, stage.path, small=["val"])
     return sinks.read_splits(spark, stage.path, rows.schema)
 
 
@@ -556,6 +559,21 @@ def written_totals(spark, sf_dir):
     )
 
 
+def running_figures(spark, sf_dir):
+    """The figures of one write as its tasks end: they rise, several times, to the totals."""
+    rows, meter = estimated(spark, sf_dir).repartition(8).withColumn("split", F.lit("train")), Meter(spark, every=0)
+    sinks.write_splits(rows.withColumn("token_count", meter.column(F.col("token_count"))), staged(spark).path)
+    in_order = Window.partitionBy(F.lit(0)).orderBy("seconds", "rows")  # a row for each task
+    before = [F.coalesce(F.lag(c).over(in_order), F.lit(0)).alias(f"{c}_before") for c in ("rows", "tokens")]
+    return meter.table().select("*", *before).agg(
+        F.max("rows").alias("samples"),
+        F.max("tokens").alias("tokens"),
+        (F.count("*") > 1).alias("several"),
+        F.every((F.col("rows") > F.col("rows_before")) & (F.col("tokens") > F.col("tokens_before"))).alias("rising"),
+        F.every(F.col("tokens_per_second") > 0).alias("has_rate"),
+    )
+
+
 def marker_sidecar(spark, sf_dir):
     vocabulary = Vocabulary.bytes_only()
     marks = vocabulary.special_ids()
@@ -777,6 +795,7 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chunk_roundtrip": chunk_roundtrip,
         "run_metadata": run_metadata,
         "written_totals": written_totals,
+        "running_figures": running_figures,
         "marker_sidecar": marker_sidecar,
         "corpus_name": corpus_name,
         "ingest_resumed": ingest_resumed,

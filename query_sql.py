@@ -278,6 +278,9 @@ def oracle_sql() -> dict[str, str]:
             "sum(tokencount)::BIGINT AS total_tokens, CAST(sum(tokencount) AS DOUBLE) / count(*) AS mean_tokens_per_sample "
             "FROM divided"
         ),
+        "running_figures": _sql(
+            "SELECT count(*) AS samples, sum(token_count)::BIGINT AS tokens, true AS several, true AS rising, true AS has_rate FROM estimated", "estimated"
+        ),
         "written_totals": _sql(
             "SELECT count(*) AS samples, sum(token_count)::BIGINT AS tokens, true AS has_rate FROM estimated", "estimated"
         ),

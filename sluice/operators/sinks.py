@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, Row, functions as F, types as T
 
+from sluice.operators.publish import attempt, publish, published
 from sluice.operators.rank import ranked, width
 from sluice.operators.stage import Stage, plain
 from sluice.operators.stats import by_source, record_measures
@@ -41,6 +42,14 @@ def write_splits(rows: DataFrame, path: str, measures: Sequence[Column] = (), sm
     return {**seen.get, "seconds": time.monotonic() - started}
 
 
+def publish_splits(rows: DataFrame, path: str, measures: Sequence[Column] = (), small: Sequence[str] = ()) -> dict:
+    """``write_splits`` as an attempt that is published when all of it is written."""
+    folder = attempt(path)
+    seen = write_splits(rows, folder, measures, small)
+    publish(rows.sparkSession, path, folder)
+    return seen
+
+
 def _gather(spark, data: str, aside: str, schema: T.StructType, splits: Sequence[str]) -> None:
     """The splits as few files, by way of a folder beside the data."""
     rows = spark.read.schema(schema).parquet(data).where(F.col("split").isin(*splits))
@@ -52,8 +61,8 @@ def _gather(spark, data: str, aside: str, schema: T.StructType, splits: Sequence
 
 
 def read_splits(spark, path: str, schema: T.StructType, split: str | None = None) -> DataFrame:
-    """Rows of all splits or of one; an empty split has the same schema."""
-    rows = spark.read.schema(schema).parquet(f"{path}/{DATA_FOLDER}")
+    """Rows of all splits or of one, of what is published at the path; an empty split has the same schema."""
+    rows = spark.read.schema(schema).parquet(f"{published(spark, path)}/{DATA_FOLDER}")
     return rows if split is None else rows.where(F.col("split") == split)
 
 
@@ -99,11 +108,11 @@ def write_metadata(spark, figures: dict, schema: T.StructType | str, path: str)
 
 
 def read_markers(spark, path: str) -> DataFrame:
-    return spark.read.schema("token string, id long").json(f"{path}/{MARKER_FOLDER}")
+    return spark.read.schema("token string, id long").json(f"{published(spark, path)}/{MARKER_FOLDER}")
 
 
 def read_metadata(spark, schema: T.StructType | str, path: str) -> DataFrame:
-    return spark.read.schema(schema).json(f"{path}/{METADATA_FOLDER}")
+    return spark.read.schema(schema).json(f"{published(spark, path)}/{METADATA_FOLDER}")
 
 
 def write_progress(totals: DataFrame, path: str, step: int) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions.bpe import Vocabulary
 from sluice.operators import sinks
+from sluice.operators.publish import attempt, publish
 from sluice.operators.rank import partitions_for
 from sluice.operators.stage import Stage, plain
 
@@ -33,14 +34,15 @@ class Corpus:
         return f"{self.figure_types}, {counts}, total_samples long{tokens}, location string, created string"
 
     def save(self, path: str) -> dict:
-        """Write splits, metadata and markers; the figures come from the writing pass, not a second one."""
-        spark = self.rows.sparkSession
+        """Write splits, metadata and markers and publish them at once: a run that dies on the way leaves ``path`` as it
+        was. The figures come from the writing pass, not a second one."""
+        spark, folder = self.rows.sparkSession, attempt(path)
         measures = [
             F.count_if(F.col("split") == name).alias(f"{name}_samples") for name in self.names
         ]
         if self.tokens:
             measures.append(F.coalesce(F.sum(self.tokens), F.lit(0)).alias("total_tokens"))
-        seen = sinks.write_splits(self.rows, path, measures, small=self.names[1:])
+        seen = sinks.write_splits(self.rows, folder, measures, small=self.names[1:])
         rows = seen["rows_written"]
         record = dict(self.figures)
         record |= {f"{name}_samples": seen[f"{name}_samples"] for name in self.names}
@@ -50,9 +52,10 @@ class Corpus:
             record["mean_tokens_per_sample"] = seen["total_tokens"] / rows if rows else 0.0
         record["location"] = path
         record["created"] = datetime.now(timezone.utc).isoformat()
-        sinks.write_metadata(spark, record, self.metadata_schema(), path)
+        sinks.write_metadata(spark, record, self.metadata_schema(), folder)
         if self.vocabulary:
-            sinks.write_markers(self.vocabulary.marker_table(spark), path)
+            sinks.write_markers(self.vocabulary.marker_table(spark), folder)
+        publish(spark, path, folder)
         return record
 
     def save_shards(

@@ -157,17 +157,30 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
 
 
-def write_small(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file at once: a reader finds the old one, the new one, or for a moment none, but never a part."""
+def write_small(spark: SparkSession, path: str, text: str, replace_it: bool = True) -> bool:
+    """Write a small file at once: a reader finds the old one, the new one, or for a moment none, but never a part.
+
+    A file that is not to be replaced is written only if there is none of that name; False if there is one.
+    """
     place, files = _place(spark, path)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.new")
+    aside = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}.{uuid.uuid4().hex}")
     out = files.create(aside, True)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    files.delete(place, False)
-    files.rename(aside, place)
+    if replace_it:
+        files.delete(place, False)
+    elif files.exists(place):
+        files.delete(aside, False)
+        return False
+    return files.rename(aside, place)
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When a file was last written, in milliseconds of the file system's clock; None if there is none."""
+    place, files = _place(spark, path)
+    return files.getFileStatus(place).getModificationTime() if files.exists(place) else None
 
 
 def read_small(spark: SparkSession, path: str) -> str | None:

@@ -73,7 +73,7 @@ def test_saving_writes_splits_metadata_and_markers(spark, stage, tmp_path):
     assert corpus.read(str(tmp_path), "val").count() == 3
     stored = sinks.read_metadata(spark, corpus.metadata_schema(), str(tmp_path)).first()
     assert stored["total_tokens"] == record["total_tokens"] and stored["seed"] == 42
-    markers = spark.read.json(f"{tmp_path}/markers").collect()
+    markers = sinks.read_markers(spark, str(tmp_path)).collect()
     assert {r["token"]: r["id"] for r in markers}["<|im_end|>"] == 258
 
 

@@ -1,13 +1,14 @@
 import json
 import os
+import time
 from datetime import date
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from sluice.functions.order import shuffled
-from sluice.operators import rank, sinks
+from sluice.operators import rank, sinks, stage as stages
 from sluice.operators.rank import partitions_for, ranked
 from sluice.operators.stage import Stage, checkpoint_root
 from sluice.sources.tables import (
@@ -99,6 +100,37 @@ def test_stage_lives_in_the_checkpoint_folder_and_goes(spark):
     assert not is_folder(spark, stage.path)
 
 
+def test_folders_of_dead_runs_go_with_the_next(spark, tmp_path):
+    """A lease that has run out is that of a dead driver; a live one, and a folder without one, stay."""
+    root = str(tmp_path / "shared")
+    with Stage(spark, root) as live:
+        live.write(spark.range(3), "t")
+        folders = {name: tmp_path / "shared" / name for name in ("stage-dead", "stage-slow", "stage-new", "other")}
+        for name, folder in folders.items():
+            folder.mkdir()
+            if name != "stage-new":
+                (folder / stages.LEASE).write_text("")
+        for name, age in (("stage-dead", 1.5), ("stage-slow", 0.5), ("other", 9)):
+            then = time.time() - age * stages.LEASE_SECONDS
+            os.utime(folders[name] / stages.LEASE, (then, then))
+        with Stage(spark, root) as second:
+            # The first stage of a session has swept; the next session's first one does.
+            assert folders["stage-dead"].exists()
+            assert stages.sweep(spark, root, second.path) == ["stage-dead"]
+            assert sorted(p.name for p in (tmp_path / "shared").iterdir()) == sorted(["stage-new", "stage-slow", "other", live.path[-38:], second.path[-38:]])
+        assert live.read(T.StructType([T.StructField("id", T.LongType())]), "t").count() == 3
+
+
+def test_an_owner_renews_its_leases(spark, tmp_path):
+    root = str(tmp_path / "shared")
+    with Stage(spark, root) as stage, Stage(spark, root) as closed:
+        lease = tmp_path / "shared" / stage.path.rsplit("/", 1)[1] / stages.LEASE
+        os.utime(lease, (1, 1))
+        closed.close()
+        stages.renew_all()
+        assert lease.stat().st_mtime > 1e9 and not is_folder(spark, closed.path)
+
+
 def test_an_empty_stage_table_keeps_its_schema(spark, stage):
     rows = stage.write(spark.range(3).toDF("id").where("id > 5"), "t").rows
     assert rows.count() == 0 and rows.dtypes == [("id", "bigint")]
