@@ -2,22 +2,25 @@
 
 A window is ``window`` consecutive words of an item (all of a shorter item's words); a document word inside any
 occurrence of a window is hit. The automaton holds seeds, not windows: any window of w words covers one of the
-item's blocks of (w + 1) / 2 words at multiples of that length, so a seed found is compared word by word to both
-sides with its item, and a run of at least w equal words is all occurrences of the windows in it. That takes one
-thirteenth of the nodes. Texts are compared as normalised bytes; hits are mapped to characters of the original.
+item's blocks of (w + 1) / 2 words at multiples of that length, so where a seed is found the windows of the text that cover
+it are looked up among the items'. That takes one thirteenth of the nodes. A window is known once, with the group of
+items that share it, so passages common to many items cost no more than others. Texts are compared as normalised
+bytes; hits are mapped to characters of the original.
 
-The items are read into every task, so their size is checked: beyond ``part_bytes`` they are dealt to several
-automata, each of which scans the documents, one after the other.
+The items are read into every worker, which keeps its automaton from task to task, so their size is checked: beyond
+``part_bytes`` they are dealt to several automata, each of which scans the documents, one after the other.
 
 Cases: a null or empty text has no words and is never contaminated; an item without words has no window; rows of one
 item id are one item with several texts; an item with a null id hits words, but is not listed; repeated documents
 each return a row; empty tables give no rows, or no hits; other columns are ignored.
 """
 
+import hashlib
 import pickle
 import re
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import accumulate
 
 import ahocorasick
@@ -28,7 +31,7 @@ from sluice.llm.common import per_text, text_key
 from sluice.operators.stage import Stage
 
 WINDOW = 13
-#: Bytes of item texts in one automaton; each takes about 60 bytes of memory in a task.
+#: Bytes of item texts in one automaton; each takes about 100 bytes of memory in a worker.
 PART_BYTES = 2 << 20
 SHARE = 20
 
@@ -55,45 +58,54 @@ def seeds_of(words: list[bytes], window: int) -> list[tuple[int, int]]:
     return [(at, size) for at in range(0, len(words) - size + 1, size)]
 
 
-def build(items: list[tuple[str | None, str]], window: int):
-    """The automaton of the items' seeds, and the items as (id, words)."""
-    known = [(i, words_of(text)) for i, text in items]
-    places = defaultdict(list)
-    for n, (_, words) in enumerate(known):
-        for at, size in seeds_of(words, window):
-            places[_joined(words[at : at + size])].append((n, at, size))
+@dataclass(frozen=True)
+class Known:
+    """The automaton of the items' seeds (None without any), the group of each window, and the ids of each group's items."""
+
+    automaton: object
+    windows: dict[bytes, int]
+    groups: list[frozenset[str | None]]
+
+
+def build(items: list[tuple[str | None, str]], window: int) -> Known:
+    seeds, holders = {}, defaultdict(set)
+    for item, text in items:
+        words = words_of(text)
+        size = min(window, len(words))
+        for at in range(len(words) - size + 1 if size else 0):
+            holders[b" ".join(words[at : at + size])].add(item)
+        for at, block in seeds_of(words, window):
+            seeds[_joined(words[at : at + block])] = block
+    numbers: dict[frozenset[str | None], int] = {}
+    windows = {key: numbers.setdefault(frozenset(who), len(numbers)) for key, who in holders.items()}
     automaton = ahocorasick.Automaton()
-    for seed, where in places.items():
-        automaton.add_word(seed, (len(seed), where))
-    if places:
+    for seed, block in seeds.items():
+        automaton.add_word(seed, (len(seed), block))
+    if seeds:
         automaton.make_automaton()
-    return (automaton if places else None), known
+    return Known(automaton if seeds else None, windows, list(numbers))
+
 
+def runs_in(words: list[bytes], known: Known, window: int) -> tuple[list[tuple[int, int]], set[int]]:
+    """Merged word runs inside occurrences of windows, and the groups of items that these come from."""
+    starts, looked_up, runs, groups = None, set(), [], set()
 
-def runs_in(words: list[bytes], automaton, known, window: int) -> tuple[list[tuple[int, int]], set[int]]:
-    """Merged word runs inside occurrences of windows, and the items they come from."""
-    joined = _joined(words)
-    starts = None
-    ends_on: dict[tuple[int, int], int] = {}
-    runs, items = [], set()
-    for last, (length, places) in automaton.iter(joined):
+    def look_up(first: int, size: int) -> None:
+        if (first, size) not in looked_up:
+            looked_up.add((first, size))
+            group = known.windows.get(b" ".join(words[first : first + size]))
+            if group is not None:
+                runs.append((first, first + size))
+                groups.add(group)
+
+    for last, (length, block) in known.automaton.iter(_joined(words)):
         if starts is None:
             starts = {s: i for i, s in enumerate(accumulate((len(w) + 1 for w in words), initial=0))}
         first = starts[last - length + 1]
-        for n, at, size in places:
-            own, diagonal = known[n][1], (n, first - at)
-            if ends_on.get(diagonal, -1) >= first + size:
-                continue
-            left, right = 0, size
-            while left < min(first, at) and words[first - left - 1] == own[at - left - 1]:
-                left += 1
-            while first + right < len(words) and at + right < len(own) and words[first + right] == own[at + right]:
-                right += 1
-            ends_on[diagonal] = first + right
-            if left + right >= min(window, len(own)):
-                runs.append((first - left, first + right))
-                items.add(n)
-    return merged(runs), items
+        look_up(first, block)  # an item of so few words
+        for before in range(max(0, first + block - window), min(first, len(words) - window) + 1):
+            look_up(before, window)
+    return merged(runs), groups
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -107,24 +119,36 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def scanner(items: list[tuple[str | None, str]], window: int) -> Callable[[str], dict]:
-    automaton, known = build(items, window)
+    known = build(items, window)
 
     def scan(text: str) -> dict:
         words = words_of(text)
-        runs, found = runs_in(words, automaton, known, window) if automaton and words else ([], set())
+        runs, groups = runs_in(words, known, window) if known.automaton and words else ([], set())
         spans = []
         if runs:
             at = [m.span() for m in _WORD.finditer(text)]
             spans = [(at[a][0], at[b - 1][1]) for a, b in runs]
         pairs = lambda xs: [{"start": a, "end": b} for a, b in xs]
-        ids = sorted({known[n][0] for n in found} - {None})
+        ids = sorted(frozenset().union(*(known.groups[g] for g in groups)) - {None})
         return {"n_words": len(words), "words": pairs(runs), "spans": pairs(spans), "items": ids}
 
     return scan
 
 
-def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int) -> list[list[tuple[str | None, str]]]:
-    """The items, dealt to lists of at most about ``part_bytes`` each."""
+_last: tuple[tuple[bytes, int], Callable[[str], dict]] | None = None
+
+
+def _worker_scanner(pickled: bytes, window: int) -> Callable[[str], dict]:
+    """The scanner of pickled items, kept by a worker from one task to the next."""
+    global _last
+    key = (hashlib.sha256(pickled).digest(), window)
+    if _last is None or _last[0] != key:
+        _last = (key, scanner(pickle.loads(pickled), window))
+    return _last[1]
+
+
+def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
+    """The items, dealt to lists of at most about ``part_bytes`` each, of which the driver holds one at a time."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL").distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // part_bytes) or 1
@@ -135,7 +159,7 @@ def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int)
 
 def _scan(docs: DataFrame, items: list[tuple[str | None, str]], window: int) -> Callable[[Column], Column]:
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(items))
-    return per_text(lambda: scanner(pickle.loads(shared.value), window), _KIND, SCHEMA)
+    return per_text(lambda: _worker_scanner(shared.value, window), _KIND, SCHEMA)
 
 
 def contamination(
@@ -208,9 +232,10 @@ def clean(
 ) -> DataFrame:
     """The rows of ``docs`` that are not contaminated. With one automaton rows are judged where they are read; with
     several, the ids of contaminated ones are joined."""
-    parts = list(_parts(benchmark, item_col, item_text_col, part_bytes))
-    if len(parts) == 1:
-        rows = docs.select(F.struct("*").alias("_row"), _scan(docs, parts[0], window)(F.col(text_col)).alias("_s"))
+    parts = _parts(benchmark, item_col, item_text_col, part_bytes)
+    only, more = next(parts), next(parts, None)
+    if more is None:
+        rows = docs.select(F.struct("*").alias("_row"), _scan(docs, only, window)(F.col(text_col)).alias("_s"))
         hit = hit_words(F.col("_s.words"))
         return rows.where((hit == 0) | (share * hit < F.col("_s.n_words"))).select("_row.*")
     found = contamination(docs, benchmark, stage, id_col, text_col, item_col, item_text_col, window, part_bytes)

@@ -69,6 +69,41 @@ def test_against_windows(spark, stage, part_bytes):
         assert inside == [words[k] for k in sorted(hit)]
 
 
+def test_shared_passages_are_looked_up_once(monkeypatch):
+    """Items of one template take no more look-ups for a document that holds it than a single one."""
+    rng = np.random.default_rng(5)
+    template = " ".join(f"t{x}" for x in rng.integers(0, 500, 60))
+    text = " ".join([template] * 20)
+    results, sizes = [], []
+    for n in (1, 400):
+        items = [(str(i), f"{template} own{i} words{i}") for i in range(n)]
+        known = D.build(items, D.WINDOW)
+        runs, groups = D.runs_in(D.words_of(text), known, D.WINDOW)
+        results.append(runs)
+        sizes.append(len(groups))
+        assert frozenset().union(*(known.groups[g] for g in groups)) == {i for i, _ in items}
+        assert len(known.windows) <= 48 + 4 * n
+    assert results[0] == results[1] and sizes == [1, 1]
+
+
+def test_short_items_as_long_as_a_seed():
+    """An item of seven words is a window of its own, also where a longer item has it as a seed."""
+    long = " ".join(f"w{i}" for i in range(20))
+    items = [("short", " ".join(f"w{i}" for i in range(7))), ("long", long), ("one", "w3")]
+    scan = D.scanner(items, D.WINDOW)
+    for text in ("w0 w1 w2 w3 w4 w5 w6 x", long, "x w3", " ".join(f"w{i}" for i in range(12)), "w2 w1 w0"):
+        words, hit, found = plain(text, items)
+        row = scan(text)
+        assert sorted(k for r in row["words"] for k in range(r["start"], r["end"])) == sorted(hit) and row["items"] == sorted(found)
+
+
+def test_a_worker_keeps_its_scanner():
+    import pickle
+
+    pickled = pickle.dumps([("a", "b c")])
+    assert D._worker_scanner(pickled, 13) is D._worker_scanner(pickled, 13) is not D._worker_scanner(pickled, 5)
+
+
 def test_empty(spark, stage):
     docs = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")
