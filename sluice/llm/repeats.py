@@ -18,7 +18,8 @@ Texts travel twice, by id: to cut out contexts, and to be rid of the repeats. Ev
 
 Cases: a null text is empty; texts under LENGTH bytes keep everything; repeated rows are repeats of each other, as
 any two rows with equal texts; ids may be null; an empty table gives an empty one; other columns are ignored. Very
-long texts are read in pieces, which may only cut a run in two.
+long texts are read in pieces, which may only cut a run in two. Stretches that repeat themselves at every few bytes, also
+megabytes of one byte, take two runs a piece (``collapsed``).
 """
 
 import hashlib
@@ -79,8 +80,22 @@ def runs_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return hashes[at].view(np.int64), first, sizes, at - first
 
 
-RUN = "key long, ctx long, start long, n int, ahead int"
-_RUN = [("key", pa.int64()), ("ctx", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("ahead", pa.int32())]
+RUN = "key long, ctx long, start long, n int, ahead int, stretch long"
+RUN_COLUMNS = [c.split()[0] for c in RUN.split(", ")]
+
+
+def collapsed(key: np.ndarray, ctx: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs to hand on, and for each the end of the stretch of equal runs that it begins, 0 if it begins none.
+
+    A text that repeats itself at every few bytes has a run a period, with one anchor string and one context. Two of a
+    stretch are enough to be found repeats, of each other and of any other run; the first covers the stretch.
+    """
+    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1])])
+    last = np.r_[new[1:], len(key)] - 1
+    ends = np.zeros(len(key), np.int64)
+    ends[new] = np.where(last > new, first[last] + n[last] + LENGTH - 1, 0)
+    kept = np.union1d(new, np.minimum(new + 1, last))
+    return kept, ends[kept]
 
 
 def _text_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +110,11 @@ def _text_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 piece = memoryview(whole)[at : at + PIECE + LENGTH - 1]
                 key, first, n, ahead = runs_of(np.frombuffer(piece, np.uint8))
                 ctx = np.array([digest(piece[a:b]) for a, b in zip(first.tolist(), (first + n + LENGTH - 1).tolist())], np.uint64).view(np.int64)
-                parts.append((key, ctx, first + at, n.astype(np.int32), ahead.astype(np.int32)))
-                rows.append(np.full(len(key), row))
-                size += len(key)
+                kept, ends = collapsed(key, ctx, first, n)
+                ends[ends > 0] += at
+                parts.append((key[kept], ctx[kept], first[kept] + at, n[kept].astype(np.int32), ahead[kept].astype(np.int32), ends))
+                rows.append(np.full(len(kept), row))
+                size += len(kept)
                 if size >= 100_000:
                     yield _run_batch(batch, parts, rows)
                     parts, rows, size = [], [], 0
@@ -109,11 +126,11 @@ def _run_batch(batch: pa.RecordBatch, parts: list, rows: list) -> pa.RecordBatch
     take = pa.array(np.concatenate(rows))
     columns = [batch.column(c).take(take) for c in ("id", "text_key")]
     columns += [pa.array(np.concatenate(c)) for c in zip(*parts)]
-    return pa.RecordBatch.from_arrays(columns, names=["id", "text_key", *(n for n, _ in _RUN)])
+    return pa.RecordBatch.from_arrays(columns, names=["id", "text_key", *RUN_COLUMNS])
 
 
 def text_runs(texts: DataFrame) -> DataFrame:
-    """(id, text_key, key, ctx, start, n, ahead) of all runs of (id, text_key, text)."""
+    """(id, text_key, key, ctx, start, n, ahead, stretch) of the runs of (id, text_key, text)."""
     kind = texts.schema["id"].dataType.simpleString()
     return texts.mapInArrow(_text_runs, f"id {kind}, text_key long, {RUN}")
 
@@ -228,7 +245,9 @@ def repeated_spans(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_c
     least = F.min(F.struct("id", "text_key", "start", "n", "ahead")).alias("r")
     classes = stage.write(runs.groupBy("key", "ctx").agg(F.count("*").alias("copies"), least), "contexts", narrow=True).rows
     whole = classes.where("copies > 1").select("key", "ctx")
-    inside = runs.join(whole, ["key", "ctx"]).select("id", "text_key", F.col("start").alias("first"), (F.col("start") + F.col("n") + LENGTH - 1).alias("end"))
+    inside = runs.join(whole, ["key", "ctx"]).select(
+        "id", "text_key", F.col("start").alias("first"), F.greatest(F.col("start") + F.col("n") + LENGTH - 1, "stretch").alias("end")
+    )
 
     mixed = classes.groupBy("key").agg(F.count("*").alias("c"), F.min("copies").alias("m")).where("c > 1 AND m = 1")
     mixed = stage.write(mixed.select("key", (F.col("c") > group_rows).alias("hot")), "mixed", narrow=True).rows

@@ -58,6 +58,35 @@ def test_against_windows(spark, stage, seed, group_rows, monkeypatch):
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
 
 
+def periodic(seed):
+    """Texts that repeat themselves at every few bytes, alone, beside each other and inside others."""
+    rng = np.random.default_rng(seed)
+    word = lambda k: "".join(rng.choice(list("abcdefgh "), k))
+    texts = ["a" * 900, "a" * 201, "b" * 200, "b" * 199, "c" * 200 + "d" * 200, "ab" * 150, "ba" * 101, ("xyz" * 90)[:250]]
+    for period in (1, 2, 3, 7, 31, 32, 33, 100, 168, 169, 170, 199, 200, 201, 230):
+        unit = word(period)
+        times = 700 // period + 2
+        texts += [word(40) + unit * times + word(50), (unit * 5)[3:420] + "#", word(260) + unit * 2]
+    return texts + ["a" * 250 + "Z" + "a" * 230, word(300) + "e" * 300, "e" * 210]
+
+
+@pytest.mark.parametrize("seed,group_rows", [(1, R.GROUP_ROWS), (2, 2)])
+def test_periodic_texts_against_windows(spark, stage, seed, group_rows):
+    texts = periodic(seed)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = R.removal_digests(docs, R.repeated_spans(docs, stage, group_rows=group_rows)).collect()
+    assert sorted(map(tuple, found)) == [(i, *e) for i, e in enumerate(plain(texts))]
+
+
+def test_megabytes_of_one_byte(spark, stage):
+    """24 MB of one byte, and of a few in turn, leave two runs a piece."""
+    texts = [(1, "x" * (24 << 20)), (2, "abc" * (1 << 20) + "end"), (3, "x" * 250), (4, "y" * 250 + "x" * 199)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert R.text_runs(R.keyed(docs, "doc_id", "text")).count() < 400
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in R.removal_digests(docs, R.repeated_spans(docs, stage)).collect()}
+    assert found == {1: (24 << 20, 24 << 20, 1), 2: (3 * (1 << 20) + 3, 3 << 20, 1), 3: (250, 250, 1), 4: (449, 250, 1)}
+
+
 def test_pieces(monkeypatch):
     rng = np.random.default_rng(1)
     raw = rng.integers(97, 100, 3000).astype(np.uint8)
