@@ -33,6 +33,7 @@ def boundary_table(
     stage: Stage,
     name: str = "boundaries",
     weight: str | None = None,
+    rows_known: int | None = None,
     bucket_bits: int = BUCKET_BITS,
     window_rows: int = WINDOW_ROWS,
 ) -> tuple[DataFrame, int]:
@@ -42,11 +43,15 @@ def boundary_table(
     is kept. ``limit`` is one number, a table of (group, limit), where groups without a row have a limit of 0, or an
     expression of the group's total weight. Rows without a group are in none; one without a place in the order is refused,
     and so are two rows at one place, if a boundary falls there. ``whole`` groups are kept whole; without it and without
-    ``last`` nothing is kept. Weights are longs that are not negative, 1 per row if there is no ``weight``.
+    ``last`` nothing is kept. Weights are longs that are not negative, 1 per row if there is no ``weight``. Rows known to be
+    no more than ``window_rows`` are put in order without a search.
     """
     weights = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     ids = [_present(c).alias(c) for c in order.ids]
     narrow = rows.where(F.col(group).isNotNull()).select(F.col(group).alias(GROUP), *ids, weights.alias(WEIGHT))
+    if rows_known is not None and rows_known <= window_rows:
+        table = stage.write(_ordered(narrow, order, limit, group).withColumnRenamed(GROUP, group), f"{name}/table", narrow=True)
+        return table.rows, table.count
     last_type = narrow.select(_keys(order).alias("last")).schema["last"].dataType
     depths = order.buckets(_span(narrow, order, None), bucket_bits)
     _, bucket = next(depths)
@@ -86,16 +91,48 @@ def _keys(order: Order) -> Column:
 
 def _first_search(narrow: DataFrame, bucket: Column, limit: int | DataFrame | LimitOf, group: str) -> DataFrame:
     """Each group's limit and totals, and the bucket in which its running sum reaches the limit; null if none does."""
-    buckets = _histogram(narrow, bucket)
-    if isinstance(limit, DataFrame):
-        limits = limit.select(F.col(group).alias(GROUP), F.col(LIMIT).cast("long").alias(LIMIT))
-        limited = buckets.join(limits, GROUP, "left").withColumn(LIMIT, F.coalesce(LIMIT, F.lit(0).cast("long")))
-    else:
-        limited = buckets.withColumn(LIMIT, limit(F.col("total_weight")) if callable(limit) else F.lit(limit).cast("long"))
+    limited = _limited(_histogram(narrow, bucket), limit, group)
     of_group = [F.max(c).alias(c) for c in OF_GROUP]
     return limited.groupBy(GROUP).agg(*of_group, F.max(_crossing(F.col(LIMIT))).alias("at")).select(GROUP, *OF_GROUP, "at.*")
 
 
+def _limited(rows: DataFrame, limit: int | DataFrame | LimitOf, group: str) -> DataFrame:
+    """Rows that have their group's ``total_weight`` with its limit."""
+    if isinstance(limit, DataFrame):
+        limits = limit.select(F.col(group).alias(GROUP), F.col(LIMIT).cast("long").alias(LIMIT))
+        return rows.join(limits, GROUP, "left").withColumn(LIMIT, F.coalesce(LIMIT, F.lit(0).cast("long")))
+    return rows.withColumn(LIMIT, limit(F.col("total_weight")) if callable(limit) else F.lit(limit).cast("long"))
+
+
+def _ordered(narrow: DataFrame, order: Order, limit: int | DataFrame | LimitOf, group: str) -> DataFrame:
+    """The boundaries of rows that are few as a whole."""
+    of_group = Window.partitionBy(GROUP)
+    in_order = of_group.orderBy(*order.keys())
+    totals = narrow.select(
+        GROUP, WEIGHT, _keys(order).alias("keys"), F.row_number().over(in_order).alias("place"),
+        F.sum(WEIGHT).over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias("running"),
+        (_keys(order) == F.lead(_keys(order)).over(in_order)).alias("tied"),
+        F.count("*").over(of_group).alias("total_rows"), F.sum(WEIGHT).over(of_group).alias("total_weight"),
+    )
+    at = F.max(F.when(_reached(), F.struct("place", "running", "keys", "tied"))).alias("at")
+    found = _limited(totals, limit, group).groupBy(GROUP).agg(*[F.max(c).alias(c) for c in OF_GROUP], at)
+    whole = F.col("at").isNull() & (F.col(LIMIT) > 0)
+    kept = lambda reached, total: F.coalesce(F.col(reached).cast("long"), F.when(whole, F.col(total)), F.lit(0).cast("long"))
+    return found.select(
+        GROUP, whole.alias("whole"), F.when(F.col("at.tied"), _refused(order, "at.keys")).otherwise(F.col("at.keys")).alias("last"),
+        kept("at.place", "total_rows").alias("kept_rows"), kept("at.running", "total_weight").alias("kept_weight"), "total_rows", "total_weight",
+    )
+
+
+def _reached() -> Column:
+    """Whether the running sum reaches the limit with this row."""
+    return (F.col("running") >= F.col(LIMIT)) & (F.col("running") - F.col(WEIGHT) < F.col(LIMIT))
+
+
+def _refused(order: Order, keys: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"the order by {order.ids} is not unique at "), F.to_json(keys)))
+
+
 def _next_search(within: DataFrame, bucket: Column) -> DataFrame:
     """The same inside the bucket of each group, by the next bits of the order."""
     finer = within.drop("bucket", "bucket_rows").groupBy(GROUP, bucket.alias("bucket")).agg(
@@ -137,9 +174,7 @@ def _last_rows(within: DataFrame, order: Order) -> DataFrame:
         "*", _keys(order).alias("keys"), F.row_number().over(in_order).alias("place"), running.alias("running"),
         (_keys(order) == F.lead(_keys(order)).over(in_order)).alias("tied"),
     )
-    reached = (F.col("running") >= F.col(LIMIT)) & (F.col("running") - F.col(WEIGHT) < F.col(LIMIT))
-    refused = F.raise_error(F.concat(F.lit(f"the order by {order.ids} is not unique at "), F.to_json("keys")))
-    return ordered.where(reached).select(
-        GROUP, F.lit(False).alias("whole"), F.when(F.col("tied"), refused).otherwise(F.col("keys")).alias("last"),
+    return ordered.where(_reached()).select(
+        GROUP, F.lit(False).alias("whole"), F.when(F.col("tied"), _refused(order, "keys")).otherwise(F.col("keys")).alias("last"),
         (F.col("before_rows") + F.col("place")).alias("kept_rows"), F.col("running").alias("kept_weight"), "total_rows", "total_weight",
     )

@@ -99,7 +99,7 @@ def ingest_budgeted(
         with Stage(spark) as stage:
             wanted = batch.join(limits.where("limit > 0").select(F.col("source").alias("_open")), F.col("source") == F.col("_open"), "left_semi")
             weights = stage.write(wanted.select("source", position, tokens), "weights", narrow=True)
-            ends, count = boundary_table(weights.rows, order, limits, "source", stage, weight=tokens)
+            ends, count = boundary_table(weights.rows, order, limits, "source", stage, weight=tokens, rows_known=weights.count)
             keep_by_table(wanted, ends, count, order, "source").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
             taken = ends.select("source", F.col("kept_rows").alias("samples"), F.col("kept_weight").alias("tokens"))
             record = before.select("source", "total_samples", "total_tokens").join(taken, "source", "full").na.fill(0)

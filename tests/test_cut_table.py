@@ -29,7 +29,7 @@ def generated(spark, n, groups, step=1):
 
 
 @pytest.mark.parametrize("order", [by_position("id"), shuffled(3, "id")], ids=["position", "hash"])
-@pytest.mark.parametrize("search", [{}, SMALL], ids=["one look", "many looks"])
+@pytest.mark.parametrize("search", [{}, SMALL, {"rows_known": 400}], ids=["one look", "many looks", "few rows"])
 @pytest.mark.parametrize("step", [1, 2**40])
 def test_cuts_equal_a_window(spark, stage, order, search, step):
     rows = generated(spark, 400, 9, step)
@@ -77,8 +77,9 @@ def test_a_million_groups(spark, stage, monkeypatch):
 
 def test_refusals(spark, stage):
     tied = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (2, 1, 1)], "id long, g long, w long")
-    with pytest.raises(Exception, match="not unique"):
-        C.boundary_table(tied, by_position("id"), 1, "g", stage)
+    for known in (None, 3):
+        with pytest.raises(Exception, match="not unique"):
+            C.boundary_table(tied, by_position("id"), 1, "g", stage, f"tied-{known}", rows_known=known)
     for repeated in ([(5, 1, 1)] * 9, [(5, 1, 1)] * 9 + [(2**40, 1, 1)]):
         with pytest.raises(Exception, match="not unique"):
             C.boundary_table(spark.createDataFrame(repeated, "id long, g long, w long"), by_position("id"), 3, "g", stage, "again", **SMALL)
