@@ -6,8 +6,6 @@ row with its reason beside those that pass.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: The columns of a check.
-CHECK = ("check", "subject", "passed", "reason")
 
 
 def _checked(rows: DataFrame, check: str, subject: str, passed: Column, reason: Column) -> DataFrame:

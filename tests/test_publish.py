@@ -1,6 +1,5 @@
 """A corpus that is replaced while its writer dies: readers find the old one or the new one, whole."""
 
-import pytest
 from pyspark.sql import DataFrameWriter, functions as F
 
 from sluice.operators import publish as P, sinks
