@@ -7,7 +7,6 @@ row with its reason beside those that pass.
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-
 def _checked(rows: DataFrame, check: str, subject: str, passed: Column, reason: Column) -> DataFrame:
     sound = F.coalesce(passed, F.lit(False))
     return rows.select(
