@@ -2,10 +2,10 @@
 
 A window is ``window`` consecutive words of an item (all of a shorter item's words); a document word inside any
 occurrence of a window is hit. The automaton holds seeds, not windows: any window of w words covers one of the
-item's blocks of (w + 1) / 2 words at multiples of that length, so where a seed is found the windows of the text that cover
-it are looked up among the items'. That takes one thirteenth of the nodes. A window is known once, with the group of
-items that share it, so passages common to many items cost no more than others. Texts are compared as normalised
-bytes; hits are mapped to characters of the original.
+item's blocks of (w + 1) / 2 words at multiples of that length, so it is enough to find the blocks, each by its first
+bytes. Where a seed is found and the whole block follows, the windows of the text that cover it are looked up among the
+items'. A window is known once, by a digest of 128 bits, with the group of items that share it, so passages common to many
+items cost no more than others. Texts are compared as normalised bytes; hits are mapped to characters of the original.
 
 The items are read into every worker, which keeps its automaton from task to task, so their size is checked: beyond
 ``part_bytes`` they are dealt to several automata, each of which scans the documents, one after the other.
@@ -18,21 +18,26 @@ each return a row; empty tables give no rows, or no hits; other columns are igno
 import hashlib
 import pickle
 import re
-from collections import defaultdict
+from array import array
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.llm.common import per_text, text_key
 from sluice.operators.stage import Stage
 
 WINDOW = 13
-#: Bytes of item texts in one automaton; each takes about 100 bytes of memory in a worker.
-PART_BYTES = 2 << 20
+#: Bytes of item texts in one automaton; README has the memory that they take in a worker.
+PART_BYTES = 20 << 20
+#: First bytes of a block by which it is found: fewer take less memory, more find fewer blocks in vain.
+SEED_BYTES = 24
 SHARE = 20
 
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -58,54 +63,136 @@ def seeds_of(words: list[bytes], window: int) -> list[tuple[int, int]]:
     return [(at, size) for at in range(0, len(words) - size + 1, size)]
 
 
+_digest = xxhash.xxh3_128_digest
+
+
+class Phrases:
+    """Sequences of words by their digests, each with a number, in sorted arrays of 20 bytes a sequence."""
+
+    def __init__(self, digests: np.ndarray, numbers: np.ndarray):
+        self.high, self.low = np.ascontiguousarray(digests[:, 0]), np.ascontiguousarray(digests[:, 1])
+        self.numbers = numbers
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def find(self, digests: bytearray) -> np.ndarray:
+        """The number of each of the digests, -1 for one that is not known."""
+        high, low = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
+        found, at, left = np.full(len(high), -1, np.int64), np.searchsorted(self.high, high), np.arange(len(high))
+        while len(left):
+            left = left[at[left] < len(self.high)]
+            left = left[self.high[at[left]] == high[left]]
+            same = self.low[at[left]] == low[left]
+            found[left[same]] = self.numbers[at[left[same]]]
+            left = left[~same]
+            at[left] += 1
+        return found
+
+
+def _sorted_pairs(digests: bytearray, owners: array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (digest, owner) in order, and where each digest begins."""
+    keys, own = np.frombuffer(digests, np.uint64).reshape(-1, 2), np.frombuffer(owners, np.int32)
+    order = np.lexsort((own, keys[:, 1], keys[:, 0]))
+    keys, own = keys[order], own[order]
+    other = np.ones(len(own), bool)
+    other[1:] = (keys[1:] != keys[:-1]).any(axis=1) | (own[1:] != own[:-1])
+    keys, own = keys[other], own[other]
+    heads = np.ones(len(own), bool)
+    heads[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+    return keys, own, np.flatnonzero(heads)
+
+
 @dataclass(frozen=True)
 class Known:
-    """The automaton of the items' seeds (None without any), the group of each window, and the ids of each group's items."""
+    """The automaton of the items' seeds (None without any), what a seed's number says (its length, and of how many words
+    the blocks are that begin with it), the blocks, the group of each window, and the ids of each group's items."""
 
     automaton: object
-    windows: dict[bytes, int]
+    shapes: list[tuple[int, tuple[int, ...]]]
+    blocks: Phrases
+    windows: Phrases
     groups: list[frozenset[str | None]]
 
 
 def build(items: list[tuple[str | None, str]], window: int) -> Known:
-    seeds, holders = {}, defaultdict(set)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    shapes: dict[tuple[int, tuple[int, ...]], int] = {}
+    named: list[tuple[int, tuple[int, ...]]] = []
+    ids: dict[str | None, int] = {}
+    windows, owners, blocks = bytearray(), array("i"), bytearray()
     for item, text in items:
-        words = words_of(text)
+        words, number = words_of(text), ids.setdefault(item, len(ids))
         size = min(window, len(words))
         for at in range(len(words) - size + 1 if size else 0):
-            holders[b" ".join(words[at : at + size])].add(item)
+            windows += _digest(b" ".join(words[at : at + size]))
+            owners.append(number)
         for at, block in seeds_of(words, window):
-            seeds[_joined(words[at : at + block])] = block
-    numbers: dict[frozenset[str | None], int] = {}
-    windows = {key: numbers.setdefault(frozenset(who), len(numbers)) for key, who in holders.items()}
-    automaton = ahocorasick.Automaton()
-    for seed, block in seeds.items():
-        automaton.add_word(seed, (len(seed), block))
-    if seeds:
+            blocks += _digest(b" ".join(words[at : at + block]))
+            seed = _joined(words[at : at + block])[:SEED_BYTES]
+            before = automaton.get(seed, -1)
+            sizes = named[before][1] if before >= 0 else ()
+            if block not in sizes:
+                shape = (len(seed), tuple(sorted((*sizes, block))))
+                if shape not in shapes:
+                    shapes[shape] = len(named)
+                    named.append(shape)
+                automaton.add_word(seed, shapes[shape])
+    if len(automaton):
         automaton.make_automaton()
-    return Known(automaton if seeds else None, windows, list(numbers))
+    keys, own, heads = _sorted_pairs(windows, owners)
+    ends = np.append(heads[1:], len(own))
+    numbers, groups = own[heads].copy(), [frozenset([item]) for item in ids]
+    names, shared = list(ids), {}
+    for i in np.flatnonzero(ends - heads > 1):
+        who = own[heads[i] : ends[i]].tobytes()
+        if who not in shared:
+            shared[who] = len(groups)
+            groups.append(frozenset(names[n] for n in np.frombuffer(who, np.int32)))
+        numbers[i] = shared[who]
+    block_keys, _, block_heads = _sorted_pairs(blocks, array("i", bytes(4 * (len(blocks) // 16))))
+    known_blocks = Phrases(block_keys[block_heads], np.zeros(len(block_heads), np.int32))
+    return Known(automaton if len(automaton) else None, named, known_blocks, Phrases(keys[heads], numbers), groups)
+
+
+def _words_at(joined: str, blank: int, size: int) -> bytes | None:
+    """The ``size`` words after a blank, None if there are fewer."""
+    end = blank
+    for _ in range(size):
+        end = joined.find(" ", end + 1)
+        if end < 0:
+            return None
+    return joined[blank + 1 : end].encode("latin-1")
 
 
 def runs_in(words: list[bytes], known: Known, window: int) -> tuple[list[tuple[int, int]], set[int]]:
     """Merged word runs inside occurrences of windows, and the groups of items that these come from."""
-    starts, looked_up, runs, groups = None, set(), [], set()
-
-    def look_up(first: int, size: int) -> None:
-        if (first, size) not in looked_up:
-            looked_up.add((first, size))
-            group = known.windows.get(b" ".join(words[first : first + size]))
-            if group is not None:
-                runs.append((first, first + size))
-                groups.add(group)
-
-    for last, (length, block) in known.automaton.iter(_joined(words)):
-        if starts is None:
-            starts = {s: i for i, s in enumerate(accumulate((len(w) + 1 for w in words), initial=0))}
-        first = starts[last - length + 1]
-        look_up(first, block)  # an item of so few words
+    joined, places, digests = _joined(words), [], bytearray()
+    for last, shape in known.automaton.iter(joined):
+        length, sizes = known.shapes[shape]
+        blank = last - length + 1
+        for block in sizes:
+            phrase = _words_at(joined, blank, block)
+            if phrase is not None:
+                places.append((blank, block))
+                digests += _digest(phrase)
+    real = np.flatnonzero(known.blocks.find(digests) >= 0)
+    if not len(real):
+        return [], set()
+    starts = list(accumulate((len(w) + 1 for w in words), initial=0))
+    spans = {}
+    for i in real:
+        blank, block = places[i]
+        first = bisect_left(starts, blank)
+        spans[first, block] = None  # an item of so few words
         for before in range(max(0, first + block - window), min(first, len(words) - window) + 1):
-            look_up(before, window)
-    return merged(runs), groups
+            spans[before, window] = None
+    looked_up = list(spans)
+    digests = bytearray().join(_digest(b" ".join(words[first : first + size])) for first, size in looked_up)
+    groups = known.windows.find(digests)
+    inside = np.flatnonzero(groups >= 0)
+    runs = [(looked_up[i][0], sum(looked_up[i])) for i in inside]
+    return merged(runs), set(groups[inside].tolist())
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -117,3 +117,35 @@ def test_null_item_is_not_listed(spark, stage):
     items = spark.createDataFrame([(None, "b")], "item_id long, text string")
     row = D.figures(D.contamination(docs, items, stage)).first()
     assert (row["n_hit"], row["n_items"], row["contaminated"]) == (1, 0, True)
+
+
+def test_blocks_that_begin_alike():
+    """Seeds end after some bytes, within a word too: blocks and short items that share them are told apart."""
+    stem = "common " * 4
+    items = [("a", stem + "x1 x2 x3 x4 x5 x6 x7 x8 x9 x10"), ("b", stem + "y1 y2 y3 y4 y5 y6 y7 y8 y9 y10"), ("c", stem + "x1"), ("d", stem + "x1 x2 x3")]
+    items += [("e", "w" * 5000 + "1"), ("f", "w" * 5000 + "2 z"), ("g", "w" * 30)]
+    scan = D.scanner(items, D.WINDOW)
+    assert len(max(D.build(items, D.WINDOW).automaton.keys(), key=len)) <= D.SEED_BYTES
+    texts = [t for _, t in items] + [stem, stem * 3, stem + "x1 x2 y3", "q " + stem + "y1 y2 y3 y4 y5 y6 y7 y8 y9", stem + "x1 x2", "w" * 5000, "w" * 29 + " " + "w" * 31]
+    for text in texts + [" ".join(texts)]:
+        words, hit, found = plain(text, items)
+        row = scan(text)
+        assert sorted(k for r in row["words"] for k in range(r["start"], r["end"])) == sorted(hit) and row["items"] == sorted(found)
+
+
+def test_digests_that_agree_in_one_half():
+    known = D.Phrases(np.array([[1, 5], [1, 7], [1, 9], [4, 5]], np.uint64), np.array([10, 11, 12, 13], np.int32))
+    asked = np.array([[1, 9], [1, 5], [1, 6], [4, 5], [4, 9], [9, 9], [0, 5], [1, 7]], np.uint64)
+    assert known.find(bytearray(asked.tobytes())).tolist() == [12, 10, -1, 13, -1, -1, -1, 11]
+    assert known.find(bytearray()).tolist() == []
+
+
+def test_memory_of_many_items():
+    """Windows take 20 bytes and blocks at most ``SEED_BYTES`` nodes, whatever the items' words."""
+    rng = np.random.default_rng(3)
+    items = [(str(i), " ".join(f"word{x}" for x in rng.integers(0, 10**6, 60))) for i in range(2000)]
+    known = D.build(items, D.WINDOW)
+    arrays = sum(a.nbytes for p in (known.windows, known.blocks) for a in (p.high, p.low, p.numbers))
+    nodes = known.automaton.get_stats()["nodes_count"]
+    blocks = 2000 * 8
+    assert len(known.windows) == 2000 * 48 and arrays <= 24 * (len(known.windows) + len(known.blocks)) and nodes <= D.SEED_BYTES * blocks + 1
