@@ -30,7 +30,7 @@ from sluice.operators.draw import draw
 from sluice.operators.meter import Meter
 from sluice.operators.stage import Stage
 from sluice.plans.inspection import first_row_report
-from sluice.plans.instruct import MAX_TOKENS, VAL_RATIO, capped_instruct_corpus, instruct_corpus
+from sluice.plans.instruct import MAX_TOKENS, VAL_RATIO, capped_instruct_corpus, count_in_lots, instruct_corpus
 from sluice.plans.pretrain import pretrain_by_samples, pretrain_by_tokens
 from sluice.plans.resumable import take_by_tokens, taken_corpus
 from sluice.sources.tables import (
@@ -50,6 +50,8 @@ except ModuleNotFoundError as missing:
 PAIR = ("conv_id", "turn")
 MERGES = (b"an", b"on", b"ion")
 DAY = date(2024, 5, 6)
+# Files of few rows, so that small tables too have several in each lot.
+LOTS, LOT_FILE_ROWS = 4, 1000
 SHARD_SCHEMA = "position long, text string, source string, shard long"
 
 _stages: list[Stage] = []
@@ -673,6 +675,17 @@ def instruct(spark, sf_dir):
     return _instruct(spark, sf_dir, Vocabulary.with_merges(*MERGES)).rows
 
 
+def instruct_resumed(spark, sf_dir):
+    """``instruct`` over files, a lot of files at a time, stopped after one of them and taken up again."""
+    stage, vocabulary = staged(spark), Vocabulary.with_merges(*MERGES)
+    source = stage.write(pairs(spark, sf_dir), "pairs", file_rows=LOT_FILE_ROWS)
+    for max_lots in (1, None):
+        corpus = instruct_corpus(
+            source.rows, PAIR, vocabulary, stage, target_rows=source.count * 3 // 4, input_rows=source.count
+        ).in_lots(f"{stage.path}/lots", LOTS, max_lots)
+    return corpus.rows
+
+
 def instruct_50k(spark, sf_dir):
     return _instruct(spark, sf_dir, public_vocabulary()).rows
 
@@ -682,6 +695,17 @@ def instruct_capped(spark, sf_dir):
     return capped_instruct_corpus(instructions(spark, sf_dir), PAIR, vocabulary, staged(spark)).rows
 
 
+def instruct_capped_resumed(spark, sf_dir):
+    """``instruct_capped`` with the counting done a lot of files at a time, stopped and taken up again."""
+    stage, vocabulary = staged(spark), Vocabulary.with_merges(*MERGES)
+    source = stage.write(instructions(spark, sf_dir), "instructions", file_rows=LOT_FILE_ROWS)
+    path = f"{stage.path}/lots"
+    count_in_lots(source.rows, vocabulary, path, lots=LOTS, max_lots=1)
+    return capped_instruct_corpus(
+        source.rows, PAIR, vocabulary, stage, input_rows=source.count, counted_path=path, lots=LOTS
+    ).rows
+
+
 def instruct_capped_50k(spark, sf_dir):
     return capped_instruct_corpus(instructions(spark, sf_dir), PAIR, public_vocabulary(), staged(spark)).rows
 
@@ -695,6 +719,19 @@ def by_samples(spark, sf_dir):
     ).rows
 
 
+def by_samples_resumed(spark, sf_dir):
+    """``by_samples`` over files, a lot of files at a time, stopped after one of them and taken up again."""
+    stage = staged(spark)
+    rows = stage.write(documents(spark, sf_dir), "documents", file_rows=LOT_FILE_ROWS).rows
+    web, math = rows.where("source <> 'src0'"), rows.where("source = 'src0'")
+    counts = rows.agg(F.count_if(F.col("source") != "src0"), F.count_if(F.col("source") == "src0")).first()
+    for max_lots in (1, None):
+        corpus = pretrain_by_samples(
+            web, math, ("doc_id",), stage, total_tokens=200 * sum(counts), input_rows=tuple(counts)
+        ).in_lots(f"{stage.path}/lots", LOTS, max_lots)
+    return corpus.rows
+
+
 def by_tokens(spark, sf_dir):
     inputs = mixture_inputs(spark, sf_dir)
     total = half_of(estimated(spark, sf_dir))
@@ -803,10 +840,13 @@ def reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_budget": stream_budget,
         "stream_budget_coupled": stream_budget_coupled,
         "instruct_corpus": instruct,
+        "instruct_resumed": instruct_resumed,
         "instruct_corpus_50k": instruct_50k,
         "instruct_capped": instruct_capped,
+        "instruct_capped_resumed": instruct_capped_resumed,
         "instruct_capped_50k": instruct_capped_50k,
         "pretrain_by_samples": by_samples,
+        "pretrain_by_samples_resumed": by_samples_resumed,
         "pretrain_by_tokens": by_tokens,
         "pretrain_by_exact_tokens": by_exact_tokens,
         "pretrain_resumed": resumed,

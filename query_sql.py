@@ -134,7 +134,7 @@ def oracle_sql() -> dict[str, str]:
         "divided AS (SELECT *, row_number() OVER (ORDER BY md5('52:' || source || ':' || doc_id), source, doc_id) AS place, "
         "count(*) OVER () AS n FROM drawn WHERE rn <= planned)"
     )
-    return {
+    sql = {
         "min_length_english": (
             "SELECT doc_id, text, 'web' AS source FROM documents WHERE (lang IS NULL OR lang = 'en') AND length(text) >= 50"
         ),
@@ -337,3 +337,6 @@ def oracle_sql() -> dict[str, str]:
             f"{mixed_by_tokens}"
         ),
     }
+    # A job that was stopped and taken up again has the rows of one that was not.
+    resumed = {"instruct_resumed": "instruct_corpus", "instruct_capped_resumed": "instruct_capped", "pretrain_by_samples_resumed": "pretrain_by_samples"}
+    return sql | {name: sql[whole] for name, whole in resumed.items()}

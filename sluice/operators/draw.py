@@ -1,11 +1,12 @@
 """The first rows of a seeded order, as a sample of an exact size."""
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from sluice.functions.order import shuffled
-from sluice.operators.cut import find_boundaries, keep
+from sluice.operators.cut import Boundary, find_boundaries, keep
 from sluice.operators.stage import Stage, plain
 
 # A draw of few rows stages the ids of twice the share of the order that would hold them if every row were
@@ -20,11 +21,12 @@ GROWTH = 16
 
 @dataclass(frozen=True)
 class Drawn:
-    """The rows drawn, their ids alone, and their number."""
+    """The rows drawn, their ids alone, their number, and where the draw ends."""
 
     rows: DataFrame
     ids: DataFrame
     count: int
+    ends: Mapping[str, Boundary]
 
 
 def draw(
@@ -44,7 +46,7 @@ def draw(
         beginning = staged.rows, staged.count
     staged_ids, count = beginning
     ends = find_boundaries(staged_ids, order, n, rows_known=count)
-    return Drawn(keep(usable, ends), keep(staged_ids, ends), ends[""].rows if ends else 0)
+    return Drawn(keep(usable, ends), keep(staged_ids, ends), ends[""].rows if ends else 0, ends)
 
 
 def _beginning(

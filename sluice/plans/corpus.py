@@ -1,13 +1,15 @@
 """What every plan returns: rows with a split, and how to save them with their figures."""
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.functions.bpe import Vocabulary
 from sluice.operators import sinks
+from sluice.operators.cut import Boundary
+from sluice.operators.lots import LOTS, Part, read_lots, write_lots
 from sluice.operators.publish import attempt, publish
 from sluice.operators.rank import partitions_for
 from sluice.operators.stage import Stage, plain
@@ -17,7 +19,8 @@ from sluice.operators.stage import Stage, plain
 class Corpus:
     """Rows with a ``split`` column, the figures known before writing, and what to measure on writing.
 
-    ``tokens`` names the token count column, ``row_count`` is the number of rows as the plan knows it.
+    ``tokens`` names the token count column, ``row_count`` is the number of rows as the plan knows it. ``rows_of``
+    makes the rows that come from a part of the inputs, and ``ends`` is where they were cut.
     """
 
     rows: DataFrame
@@ -27,6 +30,8 @@ class Corpus:
     vocabulary: Vocabulary | None = None
     tokens: str | None = None
     row_count: int | None = None
+    rows_of: Callable[[Part], DataFrame] | None = None
+    ends: Sequence[Boundary | None] = ()
 
     def metadata_schema(self) -> str:
         counts = ", ".join(f"{n}_samples long" for n in self.names)
@@ -58,6 +63,16 @@ class Corpus:
         publish(spark, path, folder)
         return record
 
+    def in_lots(self, path: str, lots: int = LOTS, max_lots: int | None = None) -> "Corpus | None":
+        """The corpus with its rows written to ``path`` lot by lot, from where an earlier run stopped; None if ``max_lots``
+        ended it before. The inputs must be read from files, the same ones in every run."""
+        ends = [(end.last, end.rows) if end else None for end in self.ends]
+        figures = {k: v for k, v in self.figures.items() if k != "name"}  # which may have the day in it
+        plan = {"figures": figures, "ends": ends, "rows": self.row_count}
+        if not write_lots(self.rows.sparkSession, self.rows_of, path, plan, lots, self.tokens, F.col("split"), max_lots):
+            return None
+        return replace(self, rows=read_lots(self.rows.sparkSession, path, self.rows), rows_of=None)
+
     def save_shards(
         self, path: str, keys: Sequence[Column], stage: Stage, shard_rows: int = sinks.SHARD_ROWS
     ) -> None:

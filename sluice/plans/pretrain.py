@@ -10,7 +10,9 @@ from sluice.functions.order import shuffled
 from sluice.functions.text import estimated_tokens, long_enough, non_blank, strip
 from sluice.operators import mixture
 from sluice.operators.budget import BudgetSource, coupled_budgets, take_budgets
+from sluice.operators.cut import keep
 from sluice.operators.draw import draw
+from sluice.operators.lots import Part
 from sluice.operators.sinks import budget_name
 from sluice.operators.split import SPLIT_SEED_OFFSET, permutation_boundary, split_column, take_skip_boundary
 from sluice.operators.stage import Stage
@@ -75,23 +77,30 @@ def pretrain_by_samples(
         mixture.planned_samples(budgets[0], mixture.PRIMARY_TOKENS_PER_SAMPLE),
         mixture.planned_samples(budgets[1], mixture.SECONDARY_TOKENS_PER_SAMPLE),
     )
-    drawn, drawn_ids, samples = [], [], {}
+    usable = lambda rows: rows.where(non_blank(F.col("text"))).select(*ids, "text")
+    drawn, drawn_ids, samples = {}, [], {}
     for offset, (label, rows, planned) in enumerate(zip(labels, (primary, secondary), plans)):
         samples[label] = 0
         if planned == 0:
             continue
-        usable = rows.where(non_blank(F.col("text"))).select(*ids, "text")
         source_rows = input_rows[offset] if input_rows else rows.count()
-        sample = draw(usable, ids, planned, seed + offset, source_rows, stage, f"samples/{offset}")
+        sample = draw(usable(rows), ids, planned, seed + offset, source_rows, stage, f"samples/{offset}")
         samples[label] = sample.count
-        drawn.append(sample.rows.select(*ids, strip(F.col("text")).alias("text"), F.lit(label).alias("source")))
+        drawn[label] = rows, sample.ends
         drawn_ids.append(sample.ids.withColumn("source", F.lit(label)))
     require_rows(sum(samples.values()))
-    mixed, mixed_ids = _concatenated(drawn), _concatenated(drawn_ids)
     train_end = permutation_boundary(
-        mixed_ids, shuffled(seed + SPLIT_SEED_OFFSET, "source", *ids), val_ratio, sum(samples.values())
+        _concatenated(drawn_ids), shuffled(seed + SPLIT_SEED_OFFSET, "source", *ids), val_ratio, sum(samples.values())
     )
     names = ("pretrain_train", "pretrain_val")
+
+    def rows_of(part: Part) -> DataFrame:
+        texts = [
+            keep(usable(part(rows)), ends).select(*ids, strip(F.col("text")).alias("text"), F.lit(label).alias("source"))
+            for label, (rows, ends) in drawn.items()
+        ]
+        return _concatenated(texts).withColumn("split", split_column(train_end, *names))
+
     share = secondary_share if with_secondary else 0.0
     figures = {
         "model_size": size,
@@ -110,8 +119,9 @@ def pretrain_by_samples(
         f"{SHARE_FIELD} double, samples_per_source map<string,long>, val_split double, "
         "subset string, seed long, name string"
     )
-    rows = mixed.withColumn("split", split_column(train_end, *names))
-    return Corpus(rows, names, figures, types, row_count=sum(samples.values()))
+    all_ends = (*[end for _, ends in drawn.values() for end in ends.values()], train_end)
+    count = sum(samples.values())
+    return Corpus(rows_of(lambda rows: rows), names, figures, types, row_count=count, rows_of=rows_of, ends=all_ends)
 
 
 def accepted_text(rows: DataFrame, source: Source, position: str) -> DataFrame:
