@@ -2,7 +2,8 @@
 
 A ``Vocabulary`` is read once on the driver (about 1 MB for 50,257 entries) and travels inside the
 UDF; each Python worker builds the encoder once and keeps it for later tasks. The encoder lets go of
-the ids it does not need: a count never turns them into Python lists.
+the ids it does not need: a count never turns them into Python lists. One text at a time is held as Python
+objects, and ids and texts are handed on in parts of a bounded size, so a worker's memory is that of an Arrow batch.
 """
 
 import base64
@@ -11,6 +12,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
@@ -29,6 +31,8 @@ END_OF_TEXT = "<|endoftext|>"
 BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # A longer run of blanks before other text exhausts the matcher too, so the text is cut there.
 LONG_RUN = 10_000
+#: Ids, or characters of text, that a part holds before it is handed on, and ids that are Python objects at once.
+PART, PIECE = 1 << 20, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -128,23 +132,38 @@ def token_count(text: Column, vocabulary: Vocabulary) -> Column:
             return sum(encode(part, allowed_special="all").size for part in segments(text, specials))
 
         for batch in batches:
-            yield pa.array([None if s is None else size(s) for s in batch.to_pylist()], pa.int64())
+            yield pa.array([size(s.as_py()) if s.is_valid else None for s in batch], pa.int64())
 
     return arrow_udf(count, T.LongType()).asNondeterministic()(text)
 
 
+def _lists(rows: list[np.ndarray | None]) -> pa.Array:
+    """Lists of ids from their arrays, without a Python object for each id."""
+    sizes = [0 if r is None else r.size for r in rows]
+    values = np.concatenate([np.zeros(0, np.int32), *(r.view(np.int32) for r in rows if r is not None)])
+    missing = pa.array([r is None for r in rows], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(values, pa.int32()), mask=missing)
+
+
 def token_ids(text: Column, vocabulary: Vocabulary) -> Column:
     """Token ids in order; null for null."""
     encoder, specials = _encoder_factory(vocabulary), vocabulary.specials
 
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = encoder().encode
+        encode = encoder().encode_to_numpy
 
-        def all_ids(text: str) -> list[int]:
-            return [i for part in segments(text, specials) for i in encode(part, allowed_special="all")]
+        def all_ids(text: str) -> np.ndarray:
+            return np.concatenate([encode(part, allowed_special="all") for part in segments(text, specials)])
 
         for batch in batches:
-            yield pa.array([None if s is None else all_ids(s) for s in batch.to_pylist()], pa.list_(pa.int32()))
+            found, held = [], 0
+            for text in batch:
+                found.append(all_ids(text.as_py()) if text.is_valid else None)
+                held += found[-1].size if text.is_valid else 0
+                if held >= PART:
+                    yield _lists(found)
+                    found, held = [], 0
+            yield _lists(found)
 
     return arrow_udf(ids, T.ArrayType(T.IntegerType())).asNondeterministic()(text)
 
@@ -154,9 +173,21 @@ def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
     encoder = _encoder_factory(vocabulary)
 
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        text_of = encoder().decode
+        bytes_of = encoder().decode_bytes
+
+        def text_of(own: np.ndarray) -> str:
+            parts = [bytes_of(own[at : at + PIECE].tolist()) for at in range(0, own.size, PIECE)]
+            return b"".join(parts).decode(errors="replace")
+
         for batch in batches:
-            yield pa.array([None if row is None else text_of(row) for row in batch.to_pylist()], pa.string())
+            texts, held = [], 0
+            for row in batch:
+                texts.append(text_of(row.values.to_numpy()) if row.is_valid else None)
+                held += len(texts[-1]) if row.is_valid else 0
+                if held >= PART:
+                    yield pa.array(texts, pa.string())
+                    texts, held = [], 0
+            yield pa.array(texts, pa.string())
 
     return arrow_udf(decode, T.StringType()).asNondeterministic()(ids)
 

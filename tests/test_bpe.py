@@ -1,12 +1,15 @@
+import tracemalloc
 from functools import cache
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as registry
+from sluice.functions import bpe
 from sluice.functions.bpe import Vocabulary, _encoder_factory, decoded, positions_of, segments, token_count, token_ids
 from tests.plans import physical_plan
 
@@ -136,3 +139,42 @@ def test_marker_positions_count_from_zero(spark):
 def test_a_filter_on_the_count_runs_the_encoder_once(spark, public):
     rows = rows_of(spark, TEXTS).withColumn("n", token_count(F.col("text"), public)).where("n < 508")
     assert physical_plan(rows).count("ArrowEvalPython") == 1
+
+
+class Caught:
+    """Stands in for ``arrow_udf`` and gives the function that workers would run."""
+
+    def __init__(self, work, _):
+        self.work = work
+
+    def asNondeterministic(self):  # noqa: N802
+        return lambda _: self.work
+
+
+def test_ids_and_texts_of_a_batch_are_never_all_python_objects(monkeypatch, public):
+    monkeypatch.setattr(bpe, "arrow_udf", Caught)
+    texts = [f"{i} words, " * 2500 for i in range(300)] + [None, ""]
+    ids, back = token_ids(None, public), decoded(None, public)
+    list(back(ids(iter([pa.array(["warm up"])]))))
+    most = []
+    for work, batch in ((ids, pa.array(texts)), (back, None)):
+        batch = batch if batch is not None else pa.concat_arrays(parts)
+        tracemalloc.start()
+        parts = list(work(iter([batch])))
+        most.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert sum(map(len, parts)) == len(texts)
+    assert pa.concat_arrays(parts).to_pylist() == texts
+    assert max(most) < 24 << 20, most
+
+
+def test_decoding_in_pieces_cuts_no_character(spark, public, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECE", 3)
+    monkeypatch.setattr(bpe, "PART", 2)
+    monkeypatch.setattr(bpe, "arrow_udf", Caught)
+    rows = pa.array([*TEXTS, None, "漢字é\U0001d49c" * 50, ""])
+    ids = list(token_ids(None, public)(iter([rows])))
+    assert len(ids) > 3 and pa.concat_arrays(ids).type == pa.list_(pa.int32())
+    assert pa.concat_arrays(list(decoded(None, public)(iter(ids)))).to_pylist() == rows.to_pylist()
+    cut = next(decoded(None, public)(iter([pa.array([other_ids("漢")[:1], None, []], pa.list_(pa.int32()))])))
+    assert cut.to_pylist()[0] == encoder().decode(other_ids("漢")[:1])
