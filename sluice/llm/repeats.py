@@ -34,6 +34,7 @@ from pyspark.sql.functions import arrow_udf
 from sluice.llm.common import text_key
 from sluice.llm.suffixes import deep_shallow
 from sluice.operators.stage import Stage
+from sluice.sources.tables import part_limit
 
 LENGTH = 200
 SEED = 32
@@ -237,20 +238,21 @@ def repeated_spans(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_c
     """(id, text_key, spans): overlapping byte ranges [first, end) to remove, of the texts that have any."""
     texts = keyed(docs, id_col, text_col)
     kind = texts.schema["id"].dataType.simpleString()
+    parts = part_limit(docs)
     runs = text_runs(texts)
     # Written, so that the join is one of two plain shuffles, whose hot keys Spark splits.
-    shared = stage.write(runs.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "keys", narrow=True).rows
-    runs = stage.write(runs.join(shared, "key"), "runs", narrow=True).rows
+    shared = stage.write(runs.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "keys", narrow=True, parts=parts).rows
+    runs = stage.write(runs.join(shared, "key"), "runs", narrow=True, parts=parts).rows
 
     least = F.min(F.struct("id", "text_key", "start", "n", "ahead")).alias("r")
-    classes = stage.write(runs.groupBy("key", "ctx").agg(F.count("*").alias("copies"), least), "contexts", narrow=True).rows
+    classes = stage.write(runs.groupBy("key", "ctx").agg(F.count("*").alias("copies"), least), "contexts", narrow=True, parts=parts).rows
     whole = classes.where("copies > 1").select("key", "ctx")
     inside = runs.join(whole, ["key", "ctx"]).select(
         "id", "text_key", F.col("start").alias("first"), F.greatest(F.col("start") + F.col("n") + LENGTH - 1, "stretch").alias("end")
     )
 
     mixed = classes.groupBy("key").agg(F.count("*").alias("c"), F.min("copies").alias("m")).where("c > 1 AND m = 1")
-    mixed = stage.write(mixed.select("key", (F.col("c") > group_rows).alias("hot")), "mixed", narrow=True).rows
+    mixed = stage.write(mixed.select("key", (F.col("c") > group_rows).alias("hot")), "mixed", narrow=True, parts=parts).rows
     ends = classes.join(mixed, "key")
     wanted = ends.groupBy("r.id", "r.text_key").agg(F.collect_list(F.struct("key", "copies", "r.start", "r.n", "r.ahead", "hot")).alias("wanted"))
     of_text = texts.join(
@@ -258,7 +260,7 @@ def repeated_spans(docs: DataFrame, stage: Stage, id_col: str = "doc_id", text_c
         F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")),
     )
     columns = f"id {kind}, text_key long, key long, copies long, start long, n int, ahead int, hot boolean, context binary"
-    cut = stage.write(of_text.select("id", "text_key", "text", "wanted").mapInArrow(_cut_contexts, columns), "ends", narrow=True).rows
+    cut = stage.write(of_text.select("id", "text_key", "text", "wanted").mapInArrow(_cut_contexts, columns), "ends", narrow=True, parts=parts).rows
 
     span = f"id {kind}, text_key long, first long, end long"
     sorted_ = cut.where("NOT hot").repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_spans, span)
@@ -308,7 +310,8 @@ def with_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
     """(row, spans): each whole row of ``docs`` as a struct with its spans, null if it has none."""
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"))
     found = spans.select(F.col("id").alias("i"), F.col("text_key").alias("k"), "spans")
-    return rows.join(found, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")), "left").select("row", "spans")
+    joined = rows.join(found, F.col("id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")), "left")
+    return joined.select("row", "spans").coalesce(part_limit(docs))
 
 
 def _pairs(spans) -> list[tuple[int, int]]:

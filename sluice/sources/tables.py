@@ -126,6 +126,15 @@ def planned_splits(rows: DataFrame) -> float:
     return rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() / split_bytes
 
 
+def part_limit(rows: DataFrame) -> int:
+    """Files that a result of these rows, no larger than they are, needs at most: two a scan split, and one a core.
+
+    Shuffles may have many more parts than that, and each file of a part costs a task, a writer, and on a local disk
+    without Hadoop's native library a process that sets its mode.
+    """
+    return max(rows.sparkSession.sparkContext.defaultParallelism, int(min(2 * planned_splits(rows), 1 << 30)) + 1)
+
+
 def single_source_splits(rows: DataFrame) -> int | None:
     """``planned_splits`` of rows that are read from the files of one source; None where the size is a guess."""
     leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -115,3 +116,26 @@ def test_empty(spark, stage):
     docs = spark.createDataFrame([], "doc_id long, text string")
     spans = R.repeated_spans(docs, stage)
     assert R.removal_digests(docs, spans).collect() == [] and R.without_repeats(docs, spans).collect() == []
+
+
+def test_many_shuffle_parts_leave_few_files(spark, stage, tmp_path):
+    """Files follow the input's size, also where a shuffle has many parts that are not joined again."""
+    texts = corpus(5)
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+        rows = R.removal_digests(docs, R.repeated_spans(docs, stage))
+        found = rows.collect()
+        written = tmp_path / "out"
+        rows.write.parquet(str(written))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, found)) == [(i, *e) for i, e in enumerate(plain(texts))]
+    few, folder = spark.sparkContext.defaultParallelism, Path(stage.path.removeprefix("file:"))
+    assert {p.name for p in folder.iterdir() if p.is_dir()} == {"keys", "runs", "contexts", "mixed", "ends"}
+    assert all(len(list(p.glob("*.parquet"))) <= few for p in [*folder.iterdir(), written])
